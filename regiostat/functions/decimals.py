@@ -22,6 +22,17 @@ def to_stat(c: Column | str) -> Column:
     return c.cast(STAT_DECIMAL)
 
 
+def double_to_stat(c: Column | str) -> Column:
+    """Store a double statistic (stddev) as ``decimal(20,2)``.
+
+    The double is first fixed to 6 places and then rounded half-up to 2, so
+    results that sit on a ``.xx5`` boundary up to floating noise round the
+    same way whichever algorithm produced the double.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return c.cast("decimal(38,6)").cast(STAT_DECIMAL)
+
+
 def exact_mean_sql(sum_expr: str, count_expr: str) -> str:
     """SQL text: ``sum/count`` rounded half away from zero to 2 places.
 

@@ -36,7 +36,7 @@ def vintage_level(nuts: DataFrame, level_pred, vintage: str = NUTS_VINTAGE) -> D
 
 
 def nuts3_rollup(lau_with_parent: DataFrame, nuts: DataFrame, vintage: str = NUTS_VINTAGE,
-                 level: int = 3) -> DataFrame:
+                 level: int = 3, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """J5 + A2: municipality rows -> one row per (NUTS 3 region, time).
 
     The original right join is followed by a NULL-rejecting filter on the
@@ -47,8 +47,8 @@ def nuts3_rollup(lau_with_parent: DataFrame, nuts: DataFrame, vintage: str = NUT
         F.col("gid").alias("n_gid"), F.col("nuts_id").alias("n_nuts_id"), "stat_levl_")
     j = join_dimension(lau_with_parent.drop("nuts_id", "stat_levl_"), n,
                        F.col("fk_nuts_gid") == F.col("n_gid"), "inner")
-    agg = j.groupBy("n_gid", "n_nuts_id", "stat_levl_", "fk_time_id").agg(*_rollup_aggs())
-    return agg.select("min", "max", "sum", "count", exact_mean("sum", "count").alias("mean"),
+    agg = j.groupBy(*extra_keys, "n_gid", "n_nuts_id", "stat_levl_", "fk_time_id").agg(*_rollup_aggs())
+    return agg.select(*extra_keys, "min", "max", "sum", "count", exact_mean("sum", "count").alias("mean"),
                       F.col("n_nuts_id").alias("nuts_id"), "stat_levl_", "fk_time_id",
                       F.col("n_gid").alias("fk_nuts_gid"))
 
@@ -66,7 +66,7 @@ def hierarchy_prefix_join(children: DataFrame, ancestors: DataFrame,
 
 
 def nuts_upper_rollup(nuts_stats: DataFrame, nuts: DataFrame, vintage: str = NUTS_VINTAGE,
-                      per_child: bool = False) -> DataFrame:
+                      per_child: bool = False, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """A3 (default) / A4 (``per_child=True``): NUTS 3 rows -> levels 0-2.
 
     A3 emits one row per (ancestor, time).  A4 reproduces the query as it is
@@ -74,24 +74,28 @@ def nuts_upper_rollup(nuts_stats: DataFrame, nuts: DataFrame, vintage: str = NUT
     ``fk_nuts_gid``, i.e. one row per (ancestor, NUTS 3 child, time).
     """
     n3 = nuts_stats.filter((F.col("stat_levl_") == 3) & F.col("count").isNotNull()).select(
-        "min", "max", "sum", "count", "nuts_id", "fk_time_id", F.col("fk_nuts_gid").alias("child_gid"))
+        *extra_keys, "min", "max", "sum", "count", "nuts_id", "fk_time_id",
+        F.col("fk_nuts_gid").alias("child_gid"))
     anc = vintage_level(nuts, F.col("stat_levl_") < 3, vintage).select(
         F.col("gid").alias("a_gid"), F.col("nuts_id").alias("a_code"), F.col("stat_levl_").alias("a_lvl"))
     j = hierarchy_prefix_join(n3, anc)
-    keys = ["a_gid", "a_code", "a_lvl", "fk_time_id"] + (["child_gid"] if per_child else [])
+    keys = [*extra_keys, "a_gid", "a_code", "a_lvl", "fk_time_id"] + (["child_gid"] if per_child else [])
     agg = j.groupBy(*keys).agg(*_rollup_aggs())
-    return agg.select("min", "max", "sum", "count", exact_mean("sum", "count").alias("mean"),
+    return agg.select(*extra_keys, "min", "max", "sum", "count", exact_mean("sum", "count").alias("mean"),
                       F.col("a_code").alias("nuts_id"), F.col("a_lvl").alias("stat_levl_"), "fk_time_id",
                       F.col("child_gid" if per_child else "a_gid").alias("fk_nuts_gid"))
 
 
-def all_levels(level3: DataFrame, upper: DataFrame) -> DataFrame:
+def all_levels(level3: DataFrame, upper: DataFrame, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Level 3 and levels 0-2 in one table (UNION ALL)."""
-    return level3.select(*NUTS_STAT_COLUMNS).unionByName(upper.select(*NUTS_STAT_COLUMNS))
+    cols = [*extra_keys, *NUTS_STAT_COLUMNS]
+    return level3.select(*cols).unionByName(upper.select(*cols))
 
 
 def rollup_all(lau_stats: DataFrame, lau: DataFrame, nuts: DataFrame,
-               vintage: str = NUTS_VINTAGE, per_child: bool = False) -> DataFrame:
-    """LAU statistics -> NUTS 3 -> NUTS 0-2, as one table."""
-    l3 = nuts3_rollup(attach_parent(lau_stats, lau), nuts, vintage)
-    return all_levels(l3, nuts_upper_rollup(l3, nuts, vintage, per_child))
+               vintage: str = NUTS_VINTAGE, per_child: bool = False,
+               extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """LAU statistics -> NUTS 3 -> NUTS 0-2, as one table.  ``extra_keys``
+    (e.g. ``("dataset",)``) run many datasets through one plan."""
+    l3 = nuts3_rollup(attach_parent(lau_stats, lau), nuts, vintage, extra_keys=extra_keys)
+    return all_levels(l3, nuts_upper_rollup(l3, nuts, vintage, per_child, extra_keys), extra_keys)

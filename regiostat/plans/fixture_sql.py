@@ -62,7 +62,7 @@ LEFT JOIN (SELECT gid AS n_gid, nuts_id FROM nuts WHERE stat_levl_ = 3 AND year
 # -- B.3 ---------------------------------------------------------------------
 _STATS_AGG = """count(*) AS count,
   CAST(sum(v) AS DECIMAL(20,2)) AS sum,
-  CAST(stddev_pop(CAST(v AS DOUBLE)) AS DECIMAL(20,2)) AS stddev,
+  CAST(CAST(stddev_pop(CAST(v AS DOUBLE)) AS DECIMAL(38,6)) AS DECIMAL(20,2)) AS stddev,
   CAST(min(v) AS DECIMAL(20,2)) AS min, CAST(max(v) AS DECIMAL(20,2)) AS max"""
 cte("fx_price", [], """
 SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_totalprice AS DECIMAL(20,2)) AS v FROM orders""")
@@ -95,3 +95,16 @@ SELECT dataset,
   'C' || CAST(o_custkey AS VARCHAR) AS comm_id, CAST(1 AS BIGINT) AS fk_time_id, o_custkey AS fk_lau_gid
 FROM (SELECT 'ds_' || regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_', 'g') AS dataset, o_custkey, {_STATS_AGG}
       FROM fx_price GROUP BY 1, 2)""")
+
+
+def _upd_body(cols: list[str]) -> str:
+    sets = ", ".join(f"CASE WHEN n.fk_lau_gid IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}"
+                     if c in cols else f"o.{c}" for c in ["count", "sum", "mean", "stddev", "min", "max"])
+    return f"""
+SELECT {sets}, o.comm_id, o.fk_time_id, o.fk_lau_gid
+FROM lau_stats o LEFT JOIN (SELECT * FROM lau_stats_new WHERE comm_id LIKE 'C1%') n
+  ON o.fk_lau_gid = n.fk_lau_gid AND o.fk_time_id = n.fk_time_id"""
+
+
+cte("lau_upd", ["lau_stats", "lau_stats_new"], _upd_body(["count", "sum", "mean", "stddev", "min", "max"]))
+cte("lau_upd_compat", ["lau_stats", "lau_stats_new"], _upd_body(["count", "mean", "stddev", "min", "max"]))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiostat.functions.decimals import exact_mean, to_stat
+from regiostat.functions.decimals import double_to_stat, exact_mean, to_stat
 from regiostat.session import read_table
 
 # Fixed values of the derived fixtures.
@@ -74,7 +74,7 @@ class Fixtures:
     def _stats(grouped) -> DataFrame:
         return grouped.agg(
             F.count(F.lit(1)).alias("count"), to_stat(F.sum("v")).alias("sum"),
-            to_stat(F.stddev_pop(F.col("v").cast("double"))).alias("stddev"),
+            double_to_stat(F.stddev_pop(F.col("v").cast("double"))).alias("stddev"),
             to_stat(F.min("v")).alias("min"), to_stat(F.max("v")).alias("max"))
 
     _STAT_COLS = ["count", "sum", "mean", "stddev", "min", "max"]

@@ -108,3 +108,77 @@ FROM lau_stats o LEFT JOIN (SELECT * FROM lau_stats_new WHERE comm_id LIKE 'C1%'
 
 cte("lau_upd", ["lau_stats", "lau_stats_new"], _upd_body(["count", "sum", "mean", "stddev", "min", "max"]))
 cte("lau_upd_compat", ["lau_stats", "lau_stats_new"], _upd_body(["count", "mean", "stddev", "min", "max"]))
+
+
+# -- B.6 / B.7 / B.8 -------------------------------------------------------------
+cte("px", [], """
+SELECT CAST(1 AS BIGINT) AS fk_time_id, CAST(col AS BIGINT) AS col, CAST(row AS BIGINT) AS row,
+       CAST(CASE WHEN d = 0 THEN -9999.0 ELSE v END AS DOUBLE) AS value
+FROM (SELECT l_orderkey % 200 AS col, l_partkey % 200 AS row, max(l_quantity) AS v, min(l_discount) AS d
+      FROM lineitem GROUP BY 1, 2)
+UNION ALL
+SELECT CAST(2 AS BIGINT), CAST(col AS BIGINT), CAST(row AS BIGINT), CAST(v AS DOUBLE)
+FROM (SELECT (l_orderkey + l_linenumber) % 200 AS col, l_suppkey % 200 AS row, min(l_quantity) AS v
+      FROM lineitem GROUP BY 1, 2)""")
+
+
+def _template_values() -> str:
+    from regiostat.plans.fixtures import SQUARE_HOLE, SQUARE_OUTER, TRIANGLE
+    rows = []
+    for shape, ring, pts in ((0, 0, SQUARE_OUTER), (0, 1, SQUARE_HOLE), (1, 0, TRIANGLE)):
+        rows += [f"({shape}, {ring}, {k}, {float(dx)}, {float(dy)})" for k, (dx, dy) in enumerate(pts)]
+    return ", ".join(rows)
+
+
+cte("zvert", [], f"""
+SELECT CAST(n_nationkey AS BIGINT) AS gid, 0 AS part, t.ring, t.seq,
+  CAST(CASE WHEN n_nationkey = 24 THEN 1002.25 ELSE (n_nationkey % 5) * 40.0 + 2.25 END + t.dx AS DOUBLE) AS x,
+  CAST((n_nationkey // 5) * 40.0 + 2.25 + t.dy AS DOUBLE) AS y
+FROM nation JOIN (VALUES {_template_values()}) t(shape, ring, seq, dx, dy) ON t.shape = n_nationkey % 2""")
+cte("zedge", ["zvert"], """
+SELECT * FROM (
+  SELECT gid, part, ring, seq, x AS x1, y AS y1,
+         lead(x) OVER (PARTITION BY gid, part, ring ORDER BY seq) AS x2,
+         lead(y) OVER (PARTITION BY gid, part, ring ORDER BY seq) AS y2
+  FROM zvert) WHERE x2 IS NOT NULL""")
+cte("zwkt", ["zvert"], """
+SELECT gid, 'POLYGON (' || string_agg(r, ',' ORDER BY ring) || ')' AS wkt FROM (
+  SELECT gid, ring, '(' || string_agg(regexp_replace(CAST(x AS VARCHAR), '\\.0$', '') || ' ' ||
+         regexp_replace(CAST(y AS VARCHAR), '\\.0$', ''), ',' ORDER BY seq) || ')' AS r
+  FROM zvert GROUP BY gid, ring) GROUP BY gid""")
+cte("zone_lau", ["nuts"], """
+SELECT CAST(n_nationkey AS BIGINT) AS gid, 'N' || CAST(n_nationkey AS VARCHAR) AS comm_id,
+       CAST(n_nationkey * 12 + 10000 AS BIGINT) AS fk_nuts_gid, n.nuts_id
+FROM nation LEFT JOIN (SELECT gid, nuts_id FROM nuts WHERE stat_levl_ = 3 AND year = DATE '2013-01-01') n
+  ON n.gid = n_nationkey * 12 + 10000""")
+cte("pos", [], "SELECT CAST(c AS BIGINT) AS col, CAST(r AS BIGINT) AS row FROM range(200) a(c), range(200) b(r)")
+cte("inside", ["pos", "zedge"], """
+SELECT e.gid, p.col, p.row FROM pos p JOIN zedge e
+  ON (e.y1 > p.row + 0.5) <> (e.y2 > p.row + 0.5)
+ AND p.col + 0.5 < e.x1 + (p.row + 0.5 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+GROUP BY e.gid, p.col, p.row HAVING count(*) % 2 = 1""")
+cte("tilekeys", ["px"], "SELECT DISTINCT fk_time_id, col // 32 AS tile_col, row // 32 AS tile_row FROM px")
+cte("clip", ["inside", "tilekeys", "px"], """
+SELECT i.gid, t.fk_time_id, i.col, i.row, COALESCE(p.value, -9999.0) AS value
+FROM inside i JOIN tilekeys t ON t.tile_col = i.col // 32 AND t.tile_row = i.row // 32
+LEFT JOIN px p ON p.fk_time_id = t.fk_time_id AND p.col = i.col AND p.row = i.row""")
+
+
+def zonal_body(times: list[int]) -> str:
+    tv = ", ".join(f"({t})" for t in times)
+    return f"""
+SELECT a.count, a.sum, a.mean, a.stddev, a.min, a.max, z.comm_id, t.fk_time_id, z.gid AS fk_lau_gid
+FROM zone_lau z CROSS JOIN (SELECT CAST(v AS BIGINT) AS fk_time_id FROM (VALUES {tv}) tv(v)) t
+LEFT JOIN (
+  SELECT gid, fk_time_id, count(*) AS count, CAST(sum(value) AS DECIMAL(20,2)) AS sum,
+    CAST(CAST(avg(value) AS DECIMAL(38,6)) AS DECIMAL(20,2)) AS mean,
+    CAST(CAST(stddev_pop(value) AS DECIMAL(38,6)) AS DECIMAL(20,2)) AS stddev,
+    CAST(min(value) AS DECIMAL(20,2)) AS min, CAST(max(value) AS DECIMAL(20,2)) AS max
+  FROM clip WHERE value <> -9999.0 AND NOT isnan(value) GROUP BY gid, fk_time_id) a
+ON a.gid = z.gid AND a.fk_time_id = t.fk_time_id"""
+
+
+cte("zonal", ["zone_lau", "clip"], zonal_body([1, 2]))
+cte("lonlat", [], """
+SELECT c_custkey AS gid, (c_custkey * 37 % 3500) / 100.0 - 5 AS lon, (c_custkey * 53 % 3500) / 100.0 + 35 AS lat
+FROM customer""")

@@ -105,3 +105,99 @@ class Fixtures:
         return agg.select(
             "dataset", *stats, F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("comm_id"),
             F.lit(1).cast("bigint").alias("fk_time_id"), F.col("o_custkey").alias("fk_lau_gid"))
+
+
+# -- B.6 / B.7 raster and zones -------------------------------------------------
+# Raster size, tiling, nodata, zone shapes (offsets from the
+# lower-left corner of each zone; rings are closed).
+RASTER_SIZE = 200
+NODATA = -9999.0
+SQUARE_OUTER = [(0, 0), (30, 0), (30, 30), (0, 30), (0, 0)]
+SQUARE_HOLE = [(10, 10), (19, 10), (19, 19), (10, 19), (10, 10)]
+TRIANGLE = [(0, 0), (30, 2), (11, 30), (0, 0)]
+OUTSIDE_ZONE = 24          # moved to x = 1002.25, has no pixels
+OUTSIDE_X = 1002.25
+
+
+def raster_grid():
+    from regiostat.operators.raster import Grid
+    return Grid(width=RASTER_SIZE, height=RASTER_SIZE, tile_w=32, tile_h=32, nodata=NODATA)
+
+
+def _ring_text(x0, y0, ring):
+    from regiostat.functions.geometry import fmt_number
+    parts = []
+    for i, (dx, dy) in enumerate(ring):
+        if i:
+            parts.append(F.lit(", "))
+        parts += [fmt_number(x0 + F.lit(float(dx))), F.lit(" "), fmt_number(y0 + F.lit(float(dy)))]
+    return F.concat(F.lit("("), *parts, F.lit(")"))
+
+
+def _pixels(self, layer: int) -> DataFrame:
+    li = self.t("lineitem")
+    if layer == 1:
+        g = li.groupBy((F.col("l_orderkey") % RASTER_SIZE).alias("col"),
+                       (F.col("l_partkey") % RASTER_SIZE).alias("row")).agg(
+            F.max("l_quantity").alias("v"), F.min("l_discount").alias("d"))
+        value = F.when(F.col("d") == 0, F.lit(NODATA)).otherwise(F.col("v"))
+    else:
+        g = li.groupBy(((F.col("l_orderkey") + F.col("l_linenumber")) % RASTER_SIZE).alias("col"),
+                       (F.col("l_suppkey") % RASTER_SIZE).alias("row")).agg(F.min("l_quantity").alias("v"))
+        value = F.col("v")
+    return g.select(F.lit(layer).cast("bigint").alias("fk_time_id"), F.col("col").cast("bigint").alias("col"),
+                    F.col("row").cast("bigint").alias("row"), value.cast("double").alias("value"))
+
+
+def _pixels_all(self) -> DataFrame:
+    """Pixel table ``(fk_time_id, col, row, value)``: time 1 = B.6 layer,
+    time 2 = the second (overlapping) layer."""
+    return self.pixels_layer(1).unionByName(self.pixels_layer(2))
+
+
+def _tiles(self) -> DataFrame:
+    from regiostat.operators.raster import tiles_from_pixels
+    return tiles_from_pixels(self.pixels(), raster_grid())
+
+
+def _zone_wkt(self) -> DataFrame:
+    """B.7: one polygon per nation as WKT text, with its parent NUTS 3."""
+    n = self.t("nation").select("n_nationkey")
+    i, j = F.col("n_nationkey") % 5, (F.col("n_nationkey") / 5).cast("int")
+    x0 = F.when(F.col("n_nationkey") == OUTSIDE_ZONE, F.lit(OUTSIDE_X)).otherwise(i * 40.0 + 2.25)
+    y0 = j * 40.0 + 2.25
+    square = F.concat(F.lit("POLYGON("), _ring_text(x0, y0, SQUARE_OUTER), F.lit(","),
+                      _ring_text(x0, y0, SQUARE_HOLE), F.lit(")"))
+    tri = F.concat(F.lit("POLYGON("), _ring_text(x0, y0, TRIANGLE), F.lit(")"))
+    return n.select(F.col("n_nationkey").cast("bigint").alias("gid"),
+                    F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("comm_id"),
+                    (F.col("n_nationkey") * 12 + 10000).cast("bigint").alias("fk_nuts_gid"),
+                    F.when(F.col("n_nationkey") % 2 == 0, square).otherwise(tri).alias("wkt"))
+
+
+def _zones(self) -> DataFrame:
+    from regiostat.functions.geometry import wkt_parse
+    return self.zone_wkt().select("gid", "comm_id", wkt_parse("wkt").alias("geom"))
+
+
+def _zone_lau(self) -> DataFrame:
+    n3 = self.nuts().filter("stat_levl_ = 3 AND year = DATE'2013-01-01'").select(
+        F.col("gid").alias("n_gid"), "nuts_id")
+    z = self.zone_wkt().select("gid", "comm_id", "fk_nuts_gid")
+    return z.join(F.broadcast(n3), z.fk_nuts_gid == n3.n_gid, "left").drop("n_gid")
+
+
+def _lonlat(self) -> DataFrame:
+    """B.8: lon/lat points from customer."""
+    c = F.col("c_custkey")
+    return self.t("customer").select(
+        c.alias("gid"), ((c * 37 % 3500) / 100.0 - 5).alias("lon"), ((c * 53 % 3500) / 100.0 + 35).alias("lat"))
+
+
+Fixtures.pixels_layer = _pixels
+Fixtures.pixels = _pixels_all
+Fixtures.tiles = _tiles
+Fixtures.zone_wkt = _zone_wkt
+Fixtures.zones = _zones
+Fixtures.zone_lau = _zone_lau
+Fixtures.lonlat = _lonlat

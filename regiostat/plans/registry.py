@@ -32,4 +32,4 @@ def load_all() -> None:
         importlib.import_module(f"regiostat.plans.{m}")
 
 
-MODULES = ["q_hierarchy", "q_recompute"]
+MODULES = ["q_hierarchy", "q_recompute", "q_zonal"]

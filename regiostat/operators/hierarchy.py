@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from regiostat.config import NUTS_VINTAGE
 from regiostat.functions.decimals import exact_mean, to_stat
 from regiostat.operators.joins import join_dimension, prefixes
+from regiostat.session import materialize
 
 NUTS_STAT_COLUMNS = ["min", "max", "sum", "count", "mean", "nuts_id", "stat_levl_",
                      "fk_time_id", "fk_nuts_gid"]
@@ -94,8 +95,13 @@ def all_levels(level3: DataFrame, upper: DataFrame, extra_keys: tuple[str, ...]
 
 def rollup_all(lau_stats: DataFrame, lau: DataFrame, nuts: DataFrame,
                vintage: str = NUTS_VINTAGE, per_child: bool = False,
-               extra_keys: tuple[str, ...] = ()) -> DataFrame:
+               extra_keys: tuple[str, ...] = (), materialize_level3: bool = True) -> DataFrame:
     """LAU statistics -> NUTS 3 -> NUTS 0-2, as one table.  ``extra_keys``
-    (e.g. ``("dataset",)``) run many datasets through one plan."""
+    (e.g. ``("dataset",)``) run many datasets through one plan.
+
+    The NUTS 3 table feeds both the output and the upper levels; it is
+    computed once and checkpointed (it is small: regions x times)."""
     l3 = nuts3_rollup(attach_parent(lau_stats, lau), nuts, vintage, extra_keys=extra_keys)
+    if materialize_level3:
+        l3 = materialize(l3)
     return all_levels(l3, nuts_upper_rollup(l3, nuts, vintage, per_child, extra_keys), extra_keys)

@@ -14,9 +14,18 @@ from pyspark.sql import functions as F
 from regiostat.config import BROADCAST_MAX_ROWS
 
 
+_SIZE_CHECKS: dict[tuple[int, int], bool] = {}
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded scan)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (bounded scan).
+
+    The answer is remembered per analysed plan (``semanticHash``), so a
+    dimension that several joins use is counted once."""
+    key = (df.semanticHash(), max_rows)
+    if key not in _SIZE_CHECKS:
+        _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _SIZE_CHECKS[key]
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -50,10 +50,17 @@ def tiles_from_pixels(pixels: DataFrame, grid: Grid) -> DataFrame:
         (F.col("col") / tw).cast("bigint").alias("tile_col"),
         (F.col("row") / th).cast("bigint").alias("tile_row"),
         ((F.col("row") % th) * tw + F.col("col") % tw).cast("int").alias("off"))
+    # Densify without per-pixel map lookups: append one nodata filler per
+    # offset, sort by (offset, source) and keep the first entry per offset.
+    # Cost per tile is one sort of at most 2 * tile_w * tile_h entries.
     g = p.groupBy("fk_time_id", "tile_row", "tile_col").agg(
-        F.map_from_entries(F.collect_list(F.struct("off", "value"))).alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(tw * th - 1)),
-                        lambda i: F.coalesce(F.try_element_at("m", i), F.lit(grid.nodata)))
+        F.collect_list(F.struct("off", F.lit(0).alias("src"), "value")).alias("got"))
+    filler = F.transform(F.sequence(F.lit(0), F.lit(tw * th - 1)),
+                         lambda i: F.struct(i.alias("off"), F.lit(1).alias("src"),
+                                            F.lit(grid.nodata).cast("double").alias("value")))
+    g = g.withColumn("_all", F.array_sort(F.concat("got", filler)))
+    firsts = F.filter("_all", lambda s, k: (k == 0) | (F.col("_all")[k - 1]["off"] != s["off"]))
+    dense = F.transform(firsts, lambda s: s["value"])
     return g.select(
         (F.col("fk_time_id") * F.lit(10**12) + F.col("tile_row") * F.lit(10**6) + F.col("tile_col")).alias("rid"),
         "fk_time_id", F.lit(grid.srid).alias("srid"), "tile_col", "tile_row",

@@ -12,6 +12,7 @@ from regiostat.plans.fixture_sql import CTES, with_ctes
 from regiostat.plans.fixtures import Fixtures, raster_grid
 from regiostat.plans.q_hierarchy import all_levels_sql
 from regiostat.plans.registry import register
+from regiostat.session import materialize
 
 GRID = raster_grid()
 TIMES = [1, 2]
@@ -235,7 +236,7 @@ def zonal_pipeline(spark, sf):
     """Flagship: tiles -> zonal statistics per municipality -> NUTS 3 ->
     NUTS 0-2 (one table)."""
     fx = Fixtures(spark, sf)
-    lau_stats = Z.zonal_stats(fx.zones(), fx.tiles(), GRID, TIMES)
+    lau_stats = materialize(Z.zonal_stats(fx.zones(), fx.tiles(), GRID, TIMES))  # the stored LAU table
     return H.rollup_all(lau_stats, fx.zone_lau(), fx.nuts())
 
 

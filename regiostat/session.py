@@ -60,3 +60,11 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared checkpoint folder (survives executor loss; never a
+    machine-local copy).  Used where a result feeds several consumers."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

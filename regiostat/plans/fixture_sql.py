@@ -182,3 +182,53 @@ cte("zonal", ["zone_lau", "clip"], zonal_body([1, 2]))
 cte("lonlat", [], """
 SELECT c_custkey AS gid, (c_custkey * 37 % 3500) / 100.0 - 5 AS lon, (c_custkey * 53 % 3500) / 100.0 + 35 AS lat
 FROM customer""")
+
+
+# -- B.4 / B.5 --------------------------------------------------------------------------
+def _fmt_case() -> str:
+    from regiostat.functions.timefuncs import STRPTIME_FORMATS
+    whens = " ".join(f"WHEN {i} THEN strftime(ts, '{f}')" for i, f in enumerate(STRPTIME_FORMATS))
+    return f"CASE o_orderkey % 17 {whens} END"
+
+
+def duck_parse(col: str) -> str:
+    """DuckDB twin of the 17-format parse; a regexp guard keeps DuckDB from
+    accepting blanks around the text."""
+    from regiostat.functions.timefuncs import STRPTIME_FORMATS
+    fl = ", ".join(f"'{f}'" for f in STRPTIME_FORMATS)
+    guard = r"'[0-9]{1,4}([/.-][0-9]{1,4}){0,2}( [0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2})?)?'"
+    return f"CASE WHEN regexp_full_match({col}, {guard}) THEN try_strptime({col}, [{fl}]) END"
+
+
+cte("time_text", [], f"""
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, ts,
+  CASE WHEN o_orderkey % 101 = 0 THEN (['', 'abc', '31/02/2015'])[(o_orderkey // 101) % 3 + 1]
+       ELSE {_fmt_case()} END AS ts_text,
+  (['Yearly', 'MONTH', 'day', 'hourly', 'decade'])[o_orderkey % 5 + 1] AS gran_text
+FROM (SELECT *, o_orderdate + to_seconds(CAST((o_orderkey % 24) * 3600 + (o_orderkey % 60) * 60
+                                               + o_orderkey % 59 AS BIGINT)) AS ts FROM orders)""")
+cte("raw_tabular", ["time_text", "lau"], """
+SELECT CASE WHEN o_orderkey % 50 = 0 THEN 'ZZ999' ELSE lower(l.nuts_id) END AS "key",
+  CASE WHEN o_orderkey % 997 = 0 THEN 'n/a' WHEN o_orderkey % 13 = 0 THEN ''
+       ELSE CAST(CAST(o_totalprice AS DECIMAL(20,2)) AS VARCHAR) END AS "Value EUR/m2",
+  CAST(CAST((o_orderkey % 1000) / 4.0 AS DECIMAL(20,2)) AS VARCHAR) AS "Value-EUR-m2",
+  CASE WHEN o_orderkey % 89 = 0 THEN '3.0' ELSE CAST(o_orderkey % 1000 AS VARCHAR) END AS "count",
+  (['t', 'f', 'yes', 'no'])[o_orderkey % 4 + 1] AS flag,
+  ts_text AS datetime, o_orderstatus AS comment
+FROM time_text t LEFT JOIN lau l ON l.gid = t.o_custkey""")
+cte("typed_tabular", ["raw_tabular"], f"""
+SELECT "key" AS "key",
+  TRY_CAST(nullif("Value EUR/m2", '') AS DECIMAL(20,2)) AS value_eur_m2, nullif("Value EUR/m2", '') AS r1,
+  TRY_CAST(nullif("Value-EUR-m2", '') AS DECIMAL(20,2)) AS value_eur_m2_1, nullif("Value-EUR-m2", '') AS r2,
+  CASE WHEN regexp_full_match(nullif("count", ''), '[+-]?[0-9]+') THEN CAST("count" AS BIGINT) END AS "count",
+  nullif("count", '') AS r3,
+  CASE WHEN lower(trim(flag)) IN ('t','tr','tru','true','y','ye','yes','on','1') THEN true
+       WHEN lower(trim(flag)) IN ('f','fa','fal','fals','false','n','no','of','off','0') THEN false END AS flag,
+  nullif(flag, '') AS r4,
+  {duck_parse("nullif(datetime, '')")} AS datetime, nullif(datetime, '') AS r5
+FROM raw_tabular""")
+cte("accepted_tabular", ["typed_tabular"], """
+SELECT "key", value_eur_m2, value_eur_m2_1, "count", flag, datetime FROM typed_tabular
+WHERE NOT ((r1 IS NOT NULL AND value_eur_m2 IS NULL) OR (r2 IS NOT NULL AND value_eur_m2_1 IS NULL)
+        OR (r3 IS NOT NULL AND "count" IS NULL) OR (r4 IS NOT NULL AND flag IS NULL)
+        OR (r5 IS NOT NULL AND datetime IS NULL) OR length("key") > 255)""")

@@ -201,3 +201,61 @@ Fixtures.zone_wkt = _zone_wkt
 Fixtures.zones = _zones
 Fixtures.zone_lau = _zone_lau
 Fixtures.lonlat = _lonlat
+
+
+# -- B.4 / B.5 time text and raw tabular dataset ------------------------------------
+# Bad texts and granularity spellings used by the fixture.
+BAD_TIME_TEXT = ["", "abc", "31/02/2015"]
+GRANULARITY_TEXT = ["Yearly", "MONTH", "day", "hourly", "decade"]
+BOOL_TEXT = ["t", "f", "yes", "no"]
+
+
+def _time_text(self) -> DataFrame:
+    """B.4: per order a true timestamp, its text in one of the 17 formats
+    (bad text for every 101st order) and a granularity spelling."""
+    from regiostat.functions.timefuncs import STRPTIME_FORMATS
+    k = F.col("o_orderkey")
+    off = (k % 24) * 3600 + (k % 60) * 60 + k % 59
+    o = self.t("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus",
+                                F.timestamp_add("SECOND", off, F.col("o_orderdate")).alias("ts"))
+    from regiostat.functions.timefuncs import spark_pattern
+    pats = ", ".join(f"'{spark_pattern(f, padded=True)}'" for f in STRPTIME_FORMATS)
+    # one date_format with a per-row pattern keeps the expression small
+    txt = F.expr(f"date_format(ts, element_at(array({pats}), CAST(o_orderkey % 17 + 1 AS INT)))")
+    bad = F.element_at(F.array(*[F.lit(b) for b in BAD_TIME_TEXT]), ((k / 101).cast("bigint") % 3 + 1).cast("int"))
+    txt = F.when(k % 101 == 0, bad).otherwise(txt)
+    gran = F.element_at(F.array(*[F.lit(g) for g in GRANULARITY_TEXT]), (k % 5 + 1).cast("int"))
+    return o.select("*", txt.alias("ts_text"), gran.alias("gran_text"))
+
+
+def _raw_tabular(self) -> DataFrame:
+    """B.5: the raw CSV dataset (all text) derived from orders."""
+    k = F.col("o_orderkey")
+    tt = self.time_text()
+    lau = self.lau().select(F.col("gid").alias("o_custkey"), "nuts_id")
+    j = tt.join(F.broadcast(lau), "o_custkey", "left")
+    price = F.col("o_totalprice").cast("decimal(20,2)").cast("string")
+    return j.select(
+        F.when(k % 50 == 0, F.lit("ZZ999")).otherwise(F.lower("nuts_id")).alias("key"),
+        F.when(k % 997 == 0, F.lit("n/a")).when(k % 13 == 0, F.lit("")).otherwise(price).alias("Value EUR/m2"),
+        ((k % 1000) / F.lit(4.0)).cast("decimal(20,2)").cast("string").alias("Value-EUR-m2"),
+        F.when(k % 89 == 0, F.lit("3.0")).otherwise((k % 1000).cast("string")).alias("count"),
+        F.element_at(F.array(*[F.lit(b) for b in BOOL_TEXT]), (k % 4 + 1).cast("int")).alias("flag"),
+        F.col("ts_text").alias("datetime"),
+        F.col("o_orderstatus").alias("comment"))
+
+
+def tabular_fields():
+    """The manifest field list of the B.5 dataset."""
+    from regiostat.operators.tabular import FieldSpec
+    return [FieldSpec("key", "string", "region"), FieldSpec("Value EUR/m2", "number", "EUR"),
+            FieldSpec("Value-EUR-m2", "number", "EUR"), FieldSpec("count", "integer", ""),
+            FieldSpec("flag", "boolean", "bool"), FieldSpec("datetime", "datetime", ""),
+            FieldSpec("comment", "text", "")]
+
+
+TABULAR_START = "2013-01-01 00:00:00"
+TABULAR_RESOLUTION = "Yearly"
+
+Fixtures.time_text = _time_text
+Fixtures.raw_tabular = _raw_tabular

@@ -36,12 +36,34 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_SHAPE_TOKENS = {"%Y": r"\d{4}", "%m": r"\d{1,2}", "%d": r"\d{1,2}", "%H": r"\d{1,2}", "%M": r"\d{1,2}",
+                 "%S": r"\d{1,2}"}
+
+
+def _shape(fmt: str) -> str:
+    out = fmt.replace(".", r"\.")
+    for k, v in _SHAPE_TOKENS.items():
+        out = out.replace(k, v)
+    return "^" + out + "$"
+
+
 def parse_date_multi(text) -> Column:
     """first of the 17 formats that matches the whole text, as
-    ``timestamp_ntz``; NULL when none matches (the caller rejects the row)."""
+    ``timestamp_ntz``; NULL when none matches (the caller rejects the row).
+
+    The formats have pairwise different shapes (separators, field count and
+    width), so a text can only parse with the format whose shape it has: a
+    regexp picks that one and a single parse runs.  Texts of no known shape
+    fall back to trying every format in order, which gives the same answer.
+    """
     t = _c(text)
+    pats = F.array(*[F.lit(spark_pattern(f)) for f in STRPTIME_FORMATS])
+    idx = F.lit(None).cast("int")
+    for i in reversed(range(len(STRPTIME_FORMATS))):
+        idx = F.when(t.rlike(_shape(STRPTIME_FORMATS[i])), F.lit(i + 1)).otherwise(idx)
+    one = F.try_to_timestamp(t, F.element_at(pats, idx))
     tries = [F.try_to_timestamp(t, F.lit(spark_pattern(f))) for f in STRPTIME_FORMATS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    return F.when(idx.isNotNull(), one).otherwise(F.coalesce(*tries)).cast("timestamp_ntz")
 
 
 def format_date(ts, fmt: str) -> Column:

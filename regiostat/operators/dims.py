@@ -120,7 +120,8 @@ def time_dim_upsert(time_dim: DataFrame, keys: DataFrame) -> DataFrame:
     k = keys.select("timestamp", "granularity").filter(F.col("timestamp").isNotNull()).distinct()
     new = join_dimension(k, time_dim.select("timestamp", "granularity"), ["timestamp", "granularity"], "left_anti")
     start = max_id(time_dim) + 1
-    numbered = dense_id(time_rows(new), ["timestamp", "granularity"], start=start)
+    new_rows = materialize(time_rows(new))      # parse the source once
+    numbered = dense_id(new_rows, ["timestamp", "granularity"], start=start)
     return time_dim.select(*TIME_COLUMNS).unionByName(numbered.select(*TIME_COLUMNS))
 
 

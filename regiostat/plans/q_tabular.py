@@ -11,7 +11,7 @@ from regiostat.operators import tabular as TB
 from regiostat.plans.fixture_sql import cte, duck_parse, with_ctes
 from regiostat.plans.fixtures import TABULAR_RESOLUTION, TABULAR_START, Fixtures, tabular_fields
 from regiostat.plans.registry import register
-from regiostat.session import staging_path
+from regiostat.session import materialize, staging_path
 from regiostat.sources.csv import read_csv_dataset, write_csv_dataset
 
 PARSED = duck_parse("ts_text")
@@ -104,8 +104,8 @@ def _time_keys(spark, sf):
 
 def _time_dim(spark, sf):
     k = _time_keys(spark, sf)
-    old = D.time_dim_upsert(D.empty_time_dim(spark), k.filter(F.col("o_orderkey") % 3 == 0))
-    return k, D.time_dim_upsert(old, k)
+    old = materialize(D.time_dim_upsert(D.empty_time_dim(spark), k.filter(F.col("o_orderkey") % 3 == 0)))
+    return k, materialize(D.time_dim_upsert(old, k))
 
 
 @register("time_dim_upsert", with_ctes(["tdim"], f"""

@@ -21,7 +21,7 @@ FALSE_TEXT = ["f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0"]
 GEOMETRY_TYPES = {
     "polygon": "MultiPolygon", "multipolygon": "MultiPolygon",
     "point": "Point", "multipoint": "MultiPoint",
-    "linestring": "LineString", "multilinestring": "MultiLineString",
+    "linestring": "Linestring", "multilinestring": "MultiLinestring",
 }
 
 

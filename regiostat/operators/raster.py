@@ -132,3 +132,13 @@ def overview_pyramid(pixels: DataFrame, levels: int, pyramid_tile: int = 2048) -
     return res.select("level", "fk_time_id", "col", "row",
                       (F.col("col") / pyramid_tile).cast("bigint").alias("tile_col"),
                       (F.col("row") / pyramid_tile).cast("bigint").alias("tile_row"), "value")
+
+
+def save_tile_table(tiles: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Store tiles as a catalog table bucketed and sorted by the tile key.
+
+    The zonal join (segments JOIN tiles ON tile_col, tile_row) then reads the
+    big side in place and shuffles only the segments into the same buckets."""
+    (tiles.write.mode("overwrite").bucketBy(buckets, "tile_col", "tile_row")
+     .sortBy("tile_col", "tile_row").saveAsTable(table))
+    return tiles.sparkSession.table(table)

@@ -161,3 +161,28 @@ def q_fk_set_null(spark, sf):
              .filter("id < 3"))
     return C.set_null_on_delete(fx.lau_stats(times=3).select("count", "comm_id", "fk_time_id"), times,
                                 "fk_time_id", "id")
+
+
+def _compat_nuts3_sql() -> str:
+    from regiostat.plans.fixture_sql import duck_mean
+    mean = duck_mean("CAST(sum(lp.sum) AS DECIMAL(20,2))", "CAST(sum(lp.count) AS BIGINT)")
+    agg = f"""SELECT CAST(min(lp.min) AS DECIMAL(20,2)) AS min, CAST(max(lp.max) AS DECIMAL(20,2)) AS max,
+  CAST(sum(lp.sum) AS DECIMAL(20,2)) AS sum, CAST(sum(lp.count) AS BIGINT) AS count, {mean} AS mean, n.nuts_id
+FROM nuts n JOIN (SELECT s.*, l.fk_nuts_gid FROM lau_upd s LEFT JOIN lau l ON l.comm_id = s.comm_id
+                  WHERE s.comm_id LIKE 'C1%') lp ON lp.fk_nuts_gid = n.gid
+WHERE n.stat_levl_ = 3 AND n.year = DATE '2013-01-01' GROUP BY n.gid, n.nuts_id"""
+    sets = ", ".join(f"CASE WHEN a.nuts_id IS NOT NULL THEN a.{c} ELSE o.{c} END AS {c}"
+                     for c in ["min", "max", "sum", "count", "mean"])
+    return with_ctes(["nuts", "lau", "lau_stats", "lau_upd"], f"""
+SELECT {sets}, o.nuts_id, o.stat_levl_, o.fk_time_id, o.fk_nuts_gid
+FROM ({nuts3_sql('lau_stats')}) o LEFT JOIN ({agg}) a ON a.nuts_id = o.nuts_id""")
+
+
+@register("region_recompute_nuts3_compat", _compat_nuts3_sql())
+def q_region_recompute_nuts3_compat(spark, sf):
+    """A6 as written in the original: only the prefixed municipalities,
+    grouped by ``nuts_id`` with the times merged, matched on ``nuts_id``."""
+    fx, old_lau, old_nuts = _recompute_inputs(spark, sf)
+    new_lau = R.region_recompute_lau(old_lau, fx.lau_stats(even_only=True), RECOMPUTE_PREFIX)
+    return R.region_recompute_nuts3(old_nuts.filter("stat_levl_ = 3"), new_lau, fx.lau(), fx.nuts(),
+                                    RECOMPUTE_PREFIX, compat=True)

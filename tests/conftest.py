@@ -16,6 +16,7 @@ def spark():
     s = (SparkSession.builder.master("local[*]").appName("regiostat-tests")
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", ckpt)
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="regiostat-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():

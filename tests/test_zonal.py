@@ -94,3 +94,25 @@ def test_tiles_dense_and_roundtrip(spark):
     assert rows[(0, 0)].pixels.count(-1.0) == 63
     back = sorted(tuple(r) for r in tile_pixels(t).select("col", "row", "value").collect())
     assert back == [(3, 2, 7.0), (9, 9, 5.0)]
+
+
+def test_bucketed_tiles_are_not_shuffled(spark):
+    from regiostat.operators.raster import save_tile_table
+    pix = [(1, c, r, float(c)) for c in range(40) for r in range(40)]
+    tiles = tiles_from_pixels(spark.createDataFrame(pix, "fk_time_id long, col long, row long, value double"), GRID)
+    stored = save_tile_table(tiles, "test_tiles_bucketed", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        z = zones(spark, ["POLYGON((0.25 0.25, 30.25 0.25, 30.25 30.25, 0.25 0.25))"])
+        df = Z.zone_values(z, stored, GRID)
+        n = df.count()
+        p = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert n > 0
+    tile_side = [line for line in p.splitlines() if "test_tiles_bucketed" in line or "Bucketed: true" in line]
+    assert tile_side, p
+    # the tile scan feeds the join without an exchange of its own
+    lines = p.splitlines()
+    scan = next(i for i, l in enumerate(lines) if "FileScan" in l and "pixels" in l)
+    assert "Exchange" not in lines[scan - 1] and "Exchange" not in lines[scan - 2], p

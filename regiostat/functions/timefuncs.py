@@ -36,15 +36,21 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-_SHAPE_TOKENS = {"%Y": r"\d{4}", "%m": r"\d{1,2}", "%d": r"\d{1,2}", "%H": r"\d{1,2}", "%M": r"\d{1,2}",
-                 "%S": r"\d{1,2}"}
+def shape_signature(fmt: str) -> str:
+    """Signature of a format: ``%Y`` -> ``Y`` (exactly 4 digits), the other
+    fields -> ``N`` (1 or 2 digits), separators kept (``%Y/%m`` -> ``Y/N``)."""
+    out = fmt.replace("%Y", "Y")
+    for k in ("%m", "%d", "%H", "%M", "%S"):
+        out = out.replace(k, "N")
+    return out
 
 
-def _shape(fmt: str) -> str:
-    out = fmt.replace(".", r"\.")
-    for k, v in _SHAPE_TOKENS.items():
-        out = out.replace(k, v)
-    return "^" + out + "$"
+def text_signature(text) -> Column:
+    """The same signature computed from a text: digit runs of length 4 ->
+    ``Y``, of length 1-2 -> ``N``; anything else stays and matches nothing."""
+    t = _c(text)
+    y = F.regexp_replace(t, r"(?<![0-9])[0-9]{4}(?![0-9])", "Y")
+    return F.regexp_replace(y, r"(?<![0-9])[0-9]{1,2}(?![0-9])", "N")
 
 
 def parse_date_multi(text) -> Column:
@@ -52,18 +58,18 @@ def parse_date_multi(text) -> Column:
     ``timestamp_ntz``; NULL when none matches (the caller rejects the row).
 
     The formats have pairwise different shapes (separators, field count and
-    width), so a text can only parse with the format whose shape it has: a
-    regexp picks that one and a single parse runs.  Texts of no known shape
-    fall back to trying every format in order, which gives the same answer.
+    field widths, as strptime reads them), so a text can only parse with the
+    one format whose shape it has: the shape signature of the text selects
+    that format and a single parse runs.  The expression stays small, so it
+    can be used in filters and projections of one stage without exceeding
+    generated-code limits.
     """
     t = _c(text)
+    sigs = F.create_map(*[x for i, f in enumerate(STRPTIME_FORMATS)
+                          for x in (F.lit(shape_signature(f)), F.lit(i + 1))])
     pats = F.array(*[F.lit(spark_pattern(f)) for f in STRPTIME_FORMATS])
-    idx = F.lit(None).cast("int")
-    for i in reversed(range(len(STRPTIME_FORMATS))):
-        idx = F.when(t.rlike(_shape(STRPTIME_FORMATS[i])), F.lit(i + 1)).otherwise(idx)
-    one = F.try_to_timestamp(t, F.element_at(pats, idx))
-    tries = [F.try_to_timestamp(t, F.lit(spark_pattern(f))) for f in STRPTIME_FORMATS]
-    return F.when(idx.isNotNull(), one).otherwise(F.coalesce(*tries)).cast("timestamp_ntz")
+    fmt = F.try_element_at(pats, F.try_element_at(sigs, text_signature(t)))
+    return F.try_to_timestamp(t, fmt).cast("timestamp_ntz")
 
 
 def format_date(ts, fmt: str) -> Column:

@@ -217,6 +217,9 @@ def ingest_tabular(raw: DataFrame, fields: list[FieldSpec], regions: DataFrame |
     fact = fact.withColumn("_ts", row_time(fact, plan, start_date)).withColumn("_gr", gran)
     if "_epoch_timestamp" in fact.columns:
         fact = fact.drop("_epoch_timestamp")
+    # the typed, keyed rows feed the time dimension, the id numbering and
+    # the output: compute them once
+    fact = D.materialize(fact)
     keys = fact.select(F.col("_ts").alias("timestamp"), F.col("_gr").alias("granularity"))
     new_dim = D.materialize(D.time_dim_upsert(time_dim, keys))
     fact = D.time_lookup(fact, new_dim, "_ts", "_gr").drop("_ts", "_gr")

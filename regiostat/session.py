@@ -62,9 +62,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
-    the shared checkpoint folder (survives executor loss; never a
-    machine-local copy).  Used where a result feeds several consumers."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Compute ``df`` once and cut its lineage: written as a Parquet table in
+    the shared checkpoint folder and read back (one job; survives executor
+    loss; later scans get column pruning and filter pushdown).  Never a
+    machine-local copy.  Used where a result feeds several consumers."""
+    path = staging_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

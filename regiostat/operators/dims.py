@@ -110,7 +110,7 @@ def time_rows(keys: DataFrame) -> DataFrame:
     return keys.select("timestamp", *time_attributes("timestamp"), "granularity")
 
 
-def time_dim_upsert(time_dim: DataFrame, keys: DataFrame) -> DataFrame:
+def time_dim_upsert(time_dim: DataFrame | None, keys: DataFrame) -> DataFrame:
     """Get-or-create for many keys at once.
 
     New distinct keys (anti-join against the dimension) get ids after the
@@ -118,8 +118,13 @@ def time_dim_upsert(time_dim: DataFrame, keys: DataFrame) -> DataFrame:
     old dimension plus the new rows.  Running it twice adds nothing.
     """
     k = keys.select("timestamp", "granularity").filter(F.col("timestamp").isNotNull()).distinct()
-    new = join_dimension(k, time_dim.select("timestamp", "granularity"), ["timestamp", "granularity"], "left_anti")
-    start = max_id(time_dim) + 1
+    if time_dim is None:                       # first load: nothing to look up
+        time_dim = empty_time_dim(keys.sparkSession)
+        new, start = k, 1
+    else:
+        new = join_dimension(k, time_dim.select("timestamp", "granularity"), ["timestamp", "granularity"],
+                             "left_anti", check=False)
+        start = max_id(time_dim) + 1
     new_rows = materialize(time_rows(new))      # parse the source once
     numbered = dense_id(new_rows, ["timestamp", "granularity"], start=start)
     return time_dim.select(*TIME_COLUMNS).unionByName(numbered.select(*TIME_COLUMNS))

@@ -33,8 +33,16 @@ def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact-to-dimension equi-join; broadcast only a proven-small dimension."""
+                   max_rows: int = BROADCAST_MAX_ROWS, check: bool = True) -> DataFrame:
+    """Fact-to-dimension equi-join; broadcast only a proven-small dimension.
+
+    ``check=False`` is for derived right sides whose counting would cost a
+    pass of their own: the join is planned as a shuffle join and AQE
+    converts it to a broadcast only when the measured shuffle output is
+    below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    """
+    if not check:
+        return fact.join(dim, on, how)
     return fact.join(maybe_broadcast(dim, max_rows), on, how)
 
 

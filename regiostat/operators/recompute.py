@@ -32,7 +32,7 @@ def update_from(target: DataFrame, updates: DataFrame, keys: list[str], set_cols
     even when they are NULL; unmatched rows keep theirs.
     """
     u = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in set_cols]).withColumn("_matched", F.lit(True))
-    j = join_dimension(target, u, keys, "left")
+    j = join_dimension(target, u, keys, "left", check=False)
     m = F.coalesce(F.col("_matched"), F.lit(False))
     return j.select(*[F.when(m, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in set_cols else F.col(c)
                       for c in target.columns])
@@ -70,7 +70,7 @@ def region_recompute_nuts3(nuts3_stats: DataFrame, lau_stats: DataFrame, lau: Da
         sub = region_prefix_filter(lp, prefix).withColumn("fk_time_id", F.lit(None).cast("bigint"))
         fresh = H.nuts3_rollup(sub, nuts, vintage).drop("fk_time_id")
         return update_from(nuts3_stats, fresh, ["nuts_id"], NUTS_SET)
-    sub = join_dimension(lp, affected_nuts3(lau, prefix), "fk_nuts_gid", "left_semi")
+    sub = join_dimension(lp, affected_nuts3(lau, prefix), "fk_nuts_gid", "left_semi", check=False)
     fresh = H.nuts3_rollup(sub, nuts, vintage)
     return update_from(nuts3_stats, fresh, ["nuts_id", "fk_time_id"], NUTS_SET)
 
@@ -84,7 +84,7 @@ def region_recompute_upper(nuts_stats: DataFrame, lau: DataFrame, nuts: DataFram
     upper = nuts_stats.filter(F.col("stat_levl_") < 3)
     codes = (join_dimension(affected_nuts3(lau, prefix),
                             nuts.select(F.col("gid").alias("fk_nuts_gid"), F.col("nuts_id").alias("child_code")),
-                            "fk_nuts_gid").select("child_code"))
+                            "fk_nuts_gid", check=False).select("child_code"))
     anc = H.vintage_level(nuts, F.col("stat_levl_") < 3, vintage).select(
         F.col("gid").alias("a_gid"), F.col("nuts_id").alias("a_code"))
     hit = H.hierarchy_prefix_join(codes, anc, child_code="child_code").select("a_gid").distinct()

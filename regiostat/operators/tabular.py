@@ -188,7 +188,7 @@ class IngestResult:
 
 
 def ingest_tabular(raw: DataFrame, fields: list[FieldSpec], regions: DataFrame | None,
-                   spatial_resolution: str | None, key_field: str | None, time_dim: DataFrame,
+                   spatial_resolution: str | None, key_field: str | None, time_dim: DataFrame | None,
                    temporal_resolution: str = DEFAULT_RESOLUTION, start_date: str = DEFAULT_START,
                    vintage: str = NUTS_VINTAGE, all_or_nothing: bool = True) -> IngestResult:
     """S3 output -> typed fact table with region and time keys, ids and units.

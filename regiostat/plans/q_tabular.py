@@ -103,8 +103,8 @@ def _time_keys(spark, sf):
 
 
 def _time_dim(spark, sf):
-    k = _time_keys(spark, sf)
-    old = materialize(D.time_dim_upsert(D.empty_time_dim(spark), k.filter(F.col("o_orderkey") % 3 == 0)))
+    k = materialize(_time_keys(spark, sf))          # the parsed source, stored once
+    old = materialize(D.time_dim_upsert(None, k.filter(F.col("o_orderkey") % 3 == 0)))
     return k, materialize(D.time_dim_upsert(old, k))
 
 
@@ -246,7 +246,7 @@ def q_metadata_columns(spark, sf):
     z = Fixtures(spark, sf).zones().select("gid")
     keys = z.select(TF.parse_date_multi(F.lit(TABULAR_START)).alias("timestamp"),
                     TF.normalize_granularity(F.lit("year")).alias("granularity"))
-    dim = D.time_dim_upsert(D.empty_time_dim(spark), keys)
+    dim = D.time_dim_upsert(None, keys)
     return TB.metadata_columns(z, TABULAR_START, "year", dim)
 
 
@@ -303,5 +303,5 @@ def q_tabular_ingest(spark, sf):
     """CSV -> typed -> rejects out -> region key -> time id -> units -> ids."""
     fx = Fixtures(spark, sf)
     res = TB.ingest_tabular(staged_csv(spark, sf), tabular_fields(), fx.nuts(), "NUTS 3", "key",
-                            D.empty_time_dim(spark), TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
+                            None, TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
     return res.fact

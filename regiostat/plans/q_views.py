@@ -32,7 +32,7 @@ FROM ingest_ided f LEFT JOIN ingest_tdim t ON f.fk_time_id = t.id LEFT JOIN nuts
 def _ingest(spark, sf):
     fx = Fixtures(spark, sf)
     res = TB.ingest_tabular(staged_csv(spark, sf), tabular_fields(), fx.nuts(), "NUTS 3", "key",
-                            D.empty_time_dim(spark), TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
+                            None, TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
     return fx, res
 
 

@@ -47,10 +47,17 @@ def dense_id(df: DataFrame, order_cols: list[str], start: Column | int = 1, name
 
 
 def first_match(df: DataFrame, key: list[str], order_col: str) -> DataFrame:
-    """One row per key (the one with the smallest ``order_col``); the
-    original takes whichever row comes first."""
-    w = Window.partitionBy(*key).orderBy(F.col(order_col).asc_nulls_last())
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """One row per key (the one with the smallest ``order_col``; ties
+    broken by the whole row); the original takes whichever row comes first.
+
+    A ``min`` over ``struct(order_col, row)`` per key: partial aggregation
+    keeps a key that holds a large share of the rows from landing whole in
+    one task (a ranking window would sort that key's rows in one task)."""
+    rest = [c for c in df.columns if c not in key]
+    ordered = [order_col] + [c for c in rest if c != order_col]
+    cols = [F.col(order_col).isNull().alias("_null_last")] + [F.col(c).alias(c) for c in ordered]
+    best = df.groupBy(*key).agg(F.min(F.struct(*cols)).alias("_best"))
+    return best.select(*key, *[F.col("_best")[c].alias(c) for c in rest]).select(*df.columns)
 
 
 # -- J1 / J2 / J2b / J2c ------------------------------------------------------------

@@ -70,3 +70,17 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def tune_for_scale(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
+                   max_partitions: int = 20000) -> int:
+    """Size shuffles for a large input: initial shuffle partitions from the
+    input size (AQE coalesces small ones and splits skewed ones at run time),
+    scan splits of ``partition_bytes``.  Returns the partition count."""
+    n = max(200, min(max_partitions, input_bytes // partition_bytes + 1))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes // 2))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    return int(n)

@@ -84,7 +84,7 @@ def normalize_timestamp(ts) -> Column:
 def epoch_to_timestamp(epoch) -> Column:
     """F8: epoch seconds (text or number) -> ``timestamp_ntz`` in UTC,
     independent of the session time zone."""
-    secs = _c(epoch).cast("double").cast("bigint")
+    secs = _c(epoch).try_cast("double").try_cast("bigint")
     return F.timestamp_add("SECOND", secs, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 

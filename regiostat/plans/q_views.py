@@ -183,8 +183,7 @@ def q_zone_cover_join(spark, sf):
 SELECT gid, 'N' || CAST(gid AS VARCHAR) AS comm_id, 'POLYGON' AS type, count(*) AS n_vertices,
   min(x) AS xmin, max(y) AS ymax FROM zvert GROUP BY gid"""))
 def q_vector_features_scan(spark, sf):
-    """Zones written as GeoJSON FeatureCollections (one file per
-    partition) and read back as features."""
+    """Zones written as GeoJSON features (one per line) and read back."""
     z = Fixtures(spark, sf).zones()
     coords = F.to_json(F.transform("geom.parts", lambda p: F.transform(p, lambda r: F.transform(
         r, lambda v: F.array(v["x"], v["y"]))))[0])
@@ -192,11 +191,8 @@ def q_vector_features_scan(spark, sf):
                     F.lit('", "comm_id": "'), F.col("comm_id"), F.lit('"}, "geometry": {"type": "Polygon", '
                                                                       '"coordinates": '), coords, F.lit("}}"))
     path = staging_path(spark, "zones_geojson")
-    (z.select(feat.alias("f")).groupBy(F.spark_partition_id().alias("p"))
-     .agg(F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.array_join(F.collect_list("f"), ", "),
-                   F.lit("]}")).alias("value"))
-     .select("value").write.mode("overwrite").text(path))
-    f = read_geojson(spark, path)
+    z.select(feat.alias("value")).write.mode("overwrite").text(path)     # one Feature per line
+    f = read_geojson(spark, path, sequence=True)
     b = G.bbox("geom")
     return f.select(F.col("properties")["gid"].cast("bigint").alias("gid"), F.col("properties")["comm_id"].alias("comm_id"),
                     F.col("geom.type").alias("type"), G.num_vertices("geom").cast("bigint").alias("n_vertices"),

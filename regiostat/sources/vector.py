@@ -24,21 +24,26 @@ PARTS = T.ArrayType(T.ArrayType(T.ArrayType(PT)))
 GEOM = T.StructType([T.StructField("srid", T.IntegerType()), T.StructField("type", T.StringType()),
                      T.StructField("parts", PARTS)])
 
-COORDS = T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))
-GEOJSON_SCHEMA = T.StructType([
-    T.StructField("type", T.StringType()),
-    T.StructField("features", T.ArrayType(T.StructType([
-        T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()),
-                                               T.StructField("coordinates", T.StringType())]))])))])
-
-
-def read_geojson(spark: SparkSession, path: str, srid: int = DEFAULT_SRID) -> DataFrame:
-    """FeatureCollections -> one row per feature: ``properties`` (map of
-    text) and ``geom``.  Coordinates are parsed per geometry type from their
+FEATURE = T.StructType([
+    T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()),
+                                           T.StructField("coordinates", T.StringType())]))])
+GEOJSON_SCHEMA = T.StructType([T.StructField("type", T.StringType()),
+                               T.StructField("features", T.ArrayType(FEATURE))])
+
+
+def read_geojson(spark: SparkSession, path: str, srid: int = DEFAULT_SRID, sequence: bool = False) -> DataFrame:
+    """GeoJSON -> one row per feature: ``properties`` (map of text) and
+    ``geom``.  ``sequence=False`` reads FeatureCollection documents (one per
+    file); ``sequence=True`` reads one Feature per line, which splits large
+    files across tasks.  Coordinates are parsed per geometry type from their
     JSON text, so one explicit schema covers points to multipolygons."""
-    raw = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", True).json(path)
-    f = raw.select(F.input_file_name().alias("source"), F.explode("features").alias("f"))
+    if sequence:
+        f = spark.read.schema(FEATURE).json(path).select(
+            F.input_file_name().alias("source"), F.struct("properties", "geometry").alias("f"))
+    else:
+        raw = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", True).json(path)
+        f = raw.select(F.input_file_name().alias("source"), F.explode("features").alias("f"))
     t = F.col("f.geometry.type")
     c = F.col("f.geometry.coordinates")
     d4 = F.from_json(c, "array<array<array<array<double>>>>")

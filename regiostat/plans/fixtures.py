@@ -22,15 +22,39 @@ RECOMPUTE_PREFIX = "C1"   # plays the part of a country prefix
 TIMES = 3                 # several-times variant: fk_time_id = 1 + o_orderkey % 3
 
 
+_PLANS: dict[tuple[int, str], tuple[SparkSession, dict]] = {}
+
+
+def cached(fn):
+    """Reuse the (immutable) DataFrame a fixture method built for the same
+    session, folder and arguments: building a plan costs many JVM round
+    trips, executing it is unaffected."""
+    def wrapper(self, *args, **kwargs):
+        key = (fn.__name__, args, tuple(sorted(kwargs.items())))
+        memo = self._memo
+        if key not in memo:
+            memo[key] = fn(self, *args, **kwargs)
+        return memo[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        k = (id(spark), sf_dir)
+        if k not in _PLANS or _PLANS[k][0] is not spark:
+            _PLANS[k] = (spark, {})
+        self._memo = _PLANS[k][1]
 
+    @cached
     def t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
     # -- B.1 region hierarchy ---------------------------------------------------
+    @cached
     def nuts(self) -> DataFrame:
         r = self.t("region").select(F.col("r_regionkey").alias("rk"),
                                     F.upper(F.substring("r_name", 1, 2)).alias("cc"))
@@ -54,6 +78,7 @@ class Fixtures:
         return l0.unionByName(l0_old).unionByName(l1).unionByName(l2).unionByName(l3)
 
     # -- B.2 municipalities -----------------------------------------------------
+    @cached
     def lau(self) -> DataFrame:
         c = self.t("customer").select(
             F.col("c_custkey").cast("bigint").alias("gid"),
@@ -79,6 +104,7 @@ class Fixtures:
 
     _STAT_COLS = ["count", "sum", "mean", "stddev", "min", "max"]
 
+    @cached
     def lau_stats(self, times: int = 1, even_only: bool = False) -> DataFrame:
         """One row per municipality (and time), NULL statistics for the
         excluded ones, as the zonal step leaves zones without pixels."""
@@ -93,6 +119,7 @@ class Fixtures:
         j = grid.join(agg, (grid.gid == agg.o_custkey) & (grid.fk_time_id == agg.fk_time_id), "left")
         return j.select(*self._STAT_COLS, "comm_id", grid.fk_time_id, F.col("gid").alias("fk_lau_gid"))
 
+    @cached
     def dataset_stats(self) -> DataFrame:
         """Statistics per (dataset, municipality): one dataset per order
         priority; the excluded customers keep NULL statistics."""
@@ -194,13 +221,13 @@ def _lonlat(self) -> DataFrame:
         c.alias("gid"), ((c * 37 % 3500) / 100.0 - 5).alias("lon"), ((c * 53 % 3500) / 100.0 + 35).alias("lat"))
 
 
-Fixtures.pixels_layer = _pixels
-Fixtures.pixels = _pixels_all
-Fixtures.tiles = _tiles
-Fixtures.zone_wkt = _zone_wkt
-Fixtures.zones = _zones
-Fixtures.zone_lau = _zone_lau
-Fixtures.lonlat = _lonlat
+Fixtures.pixels_layer = cached(_pixels)
+Fixtures.pixels = cached(_pixels_all)
+Fixtures.tiles = cached(_tiles)
+Fixtures.zone_wkt = cached(_zone_wkt)
+Fixtures.zones = cached(_zones)
+Fixtures.zone_lau = cached(_zone_lau)
+Fixtures.lonlat = cached(_lonlat)
 
 
 # -- B.4 / B.5 time text and raw tabular dataset ------------------------------------
@@ -257,5 +284,5 @@ def tabular_fields():
 TABULAR_START = "2013-01-01 00:00:00"
 TABULAR_RESOLUTION = "Yearly"
 
-Fixtures.time_text = _time_text
-Fixtures.raw_tabular = _raw_tabular
+Fixtures.time_text = cached(_time_text)
+Fixtures.raw_tabular = cached(_raw_tabular)

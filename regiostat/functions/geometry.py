@@ -38,6 +38,13 @@ def wkt_type(wkt) -> Column:
     return F.upper(F.regexp_extract(_col(wkt), r"^\s*([A-Za-z]+)", 1))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a lambda binding), so
+    an expression used several times inside ``body`` is not copied into
+    every use when the optimizer collapses projections."""
+    return F.transform(F.array(value), body)[0]
+
+
 def wkt_parse(wkt, srid=DEFAULT_SRID) -> Column:
     """G1: WKT text -> geometry struct (``ST_GeomFromText(wkt, srid)``).
 
@@ -45,18 +52,25 @@ def wkt_parse(wkt, srid=DEFAULT_SRID) -> Column:
     gives NULL parts.
     """
     w = _col(wkt)
-    typ = wkt_type(w)
-    body = F.regexp_extract(w, r"^\s*[A-Za-z]+\s*(\(.*\))\s*$", 1)
-    inner = F.regexp_replace(F.trim(body), r"^\(+|\)+$", "")
-    single_ring = F.array(F.array(_vertices(inner)))
-    parts = (F.when(typ.isin("POINT", "LINESTRING", "MULTIPOINT"), single_ring)
-              .when(typ == "POLYGON", F.array(_rings(inner)))
-              .when(typ == "MULTILINESTRING",
-                    F.transform(F.split(inner, r"\)\s*,\s*\("), lambda r: F.array(_vertices(r))))
-              .when(typ == "MULTIPOLYGON",
-                    F.transform(F.split(inner, r"\)\s*\)\s*,\s*\(\s*\("), _rings)))
-    return F.struct(F.lit(srid).cast("int").alias("srid") if not isinstance(srid, Column) else srid.alias("srid"),
-                    typ.alias("type"), parts.alias("parts"))
+    srid_col = F.lit(srid).cast("int") if not isinstance(srid, Column) else srid
+
+    def head(s: Column) -> Column:
+        body = F.regexp_extract(s, r"^\s*[A-Za-z]+\s*(\(.*\))\s*$", 1)
+        return F.struct(wkt_type(s).alias("t"), F.regexp_replace(F.trim(body), r"^\(+|\)+$", "").alias("inner"))
+
+    def build(h: Column) -> Column:
+        typ, inner = h["t"], h["inner"]
+        single_ring = F.array(F.array(_vertices(inner)))
+        parts = (F.when(typ.isin("POINT", "LINESTRING", "MULTIPOINT"), single_ring)
+                  .when(typ == "POLYGON", F.array(_rings(inner)))
+                  .when(typ == "MULTILINESTRING",
+                        F.transform(F.split(inner, r"\)\s*,\s*\("), lambda r: F.array(_vertices(r))))
+                  .when(typ == "MULTIPOLYGON",
+                        F.transform(F.split(inner, r"\)\s*\)\s*,\s*\(\s*\("), _rings)))
+        return F.struct(typ.alias("type"), parts.alias("parts"))
+
+    g = let(let(w, head), build)
+    return F.struct(srid_col.alias("srid"), g["type"].alias("type"), g["parts"].alias("parts"))
 
 
 def ewkt_parse(ewkt) -> Column:

@@ -28,8 +28,8 @@ LAU_STAT_COLUMNS = ["count", "sum", "mean", "stddev", "min", "max"]
 
 def zone_vertices(zones: DataFrame, geom: str = "geom", ids: tuple[str, ...] = ("gid",)) -> DataFrame:
     """Vertex table ``(ids, part, ring, seq, x, y)``."""
-    z = zones.select(*ids, F.posexplode(F.col(geom)["parts"]).alias("part", "rings"))
-    z = z.select(*ids, "part", F.posexplode("rings").alias("ring", "pts"))
+    z = zones.select(*ids, F.posexplode_outer(F.col(geom)["parts"]).alias("part", "rings"))
+    z = z.filter(F.col("rings").isNotNull()).select(*ids, "part", F.posexplode("rings").alias("ring", "pts"))
     z = z.select(*ids, "part", "ring", F.posexplode("pts").alias("seq", "p"))
     return z.select(*ids, "part", "ring", "seq", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
 
@@ -37,8 +37,11 @@ def zone_vertices(zones: DataFrame, geom: str = "geom", ids: tuple[str, ...] = (
 def zone_edges(zones: DataFrame, geom: str = "geom", ids: tuple[str, ...] = ("gid",)) -> DataFrame:
     """Edge table ``(ids, part, ring, seq, x1, y1, x2, y2)``; consecutive
     vertices of each (closed) ring, built inside the row."""
-    z = zones.select(*ids, F.posexplode(F.col(geom)["parts"]).alias("part", "rings"))
-    z = z.select(*ids, "part", F.posexplode("rings").alias("ring", "pts"))
+    # outer explode on the geometry column: an inner one makes the optimizer
+    # infer a filter on the parsed geometry and push it below the zone
+    # table's own aggregations, re-parsing per source row
+    z = zones.select(*ids, F.posexplode_outer(F.col(geom)["parts"]).alias("part", "rings"))
+    z = z.filter(F.col("rings").isNotNull()).select(*ids, "part", F.posexplode("rings").alias("ring", "pts"))
     pairs = F.when(F.size("pts") > 1, F.transform(
         F.sequence(F.lit(1), F.size("pts") - 1),
         lambda i: F.struct(F.element_at("pts", i).alias("a"), F.element_at("pts", i + 1).alias("b"))))

@@ -232,3 +232,36 @@ SELECT "key", value_eur_m2, value_eur_m2_1, "count", flag, datetime FROM typed_t
 WHERE NOT ((r1 IS NOT NULL AND value_eur_m2 IS NULL) OR (r2 IS NOT NULL AND value_eur_m2_1 IS NULL)
         OR (r3 IS NOT NULL AND "count" IS NULL) OR (r4 IS NOT NULL AND flag IS NULL)
         OR (r5 IS NOT NULL AND datetime IS NULL) OR length("key") > 255)""")
+
+
+# -- scaled raster and zones -------------------------------------------------------------
+cte("spx", [], """
+SELECT CAST(1 AS BIGINT) AS fk_time_id, o_orderkey % 1024 AS col, o_orderkey // 1024 AS row,
+  CASE WHEN o_orderstatus = 'P' THEN -9999.0 ELSE o_totalprice END AS value FROM orders""")
+
+
+def _scaled_edges() -> str:
+    from regiostat.plans.fixtures import SCALED_TRIANGLE
+    rows = ", ".join(f"({k}, {x1}, {y1}, {x2}, {y2})" for k, ((x1, y1), (x2, y2))
+                     in enumerate(zip(SCALED_TRIANGLE[:-1], SCALED_TRIANGLE[1:])))
+    return f"""
+SELECT b.gid, b.bx * 32.0 + t.x1 AS x1, b.by * 32.0 + t.y1 AS y1, b.bx * 32.0 + t.x2 AS x2, b.by * 32.0 + t.y2 AS y2
+FROM (SELECT DISTINCT col // 32 AS bx, row // 32 AS by, (row // 32) * 32 + col // 32 AS gid FROM spx) b,
+     (VALUES {rows}) t(k, x1, y1, x2, y2)"""
+
+
+cte("sedge", ["spx"], _scaled_edges())
+cte("szonal", ["spx", "sedge"], """
+SELECT a.count, a.sum, a.mean, a.stddev, a.min, a.max, 'B' || CAST(z.gid AS VARCHAR) AS comm_id,
+  CAST(1 AS BIGINT) AS fk_time_id, z.gid AS fk_lau_gid
+FROM (SELECT DISTINCT gid FROM sedge) z LEFT JOIN (
+  SELECT gid, count(*) AS count, CAST(sum(value) AS DECIMAL(20,2)) AS sum,
+    CAST(CAST(avg(value) AS DECIMAL(38,6)) AS DECIMAL(20,2)) AS mean,
+    CAST(CAST(stddev_pop(value) AS DECIMAL(38,6)) AS DECIMAL(20,2)) AS stddev,
+    CAST(min(value) AS DECIMAL(20,2)) AS min, CAST(max(value) AS DECIMAL(20,2)) AS max
+  FROM (SELECT e.gid, p.col, p.row, p.value FROM spx p JOIN sedge e
+          ON e.gid = (p.row // 32) * 32 + p.col // 32
+         AND (e.y1 > p.row + 0.5) <> (e.y2 > p.row + 0.5)
+         AND p.col + 0.5 < e.x1 + (p.row + 0.5 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+        GROUP BY e.gid, p.col, p.row, p.value HAVING count(*) % 2 = 1)
+  WHERE value <> -9999.0 GROUP BY gid) a ON a.gid = z.gid""")

@@ -286,3 +286,46 @@ TABULAR_RESOLUTION = "Yearly"
 
 Fixtures.time_text = cached(_time_text)
 Fixtures.raw_tabular = cached(_raw_tabular)
+
+
+# -- a raster and zone set that grow with the data ---------------------------------------
+# One pixel per order on a grid 1024 pixels wide; one triangular
+# zone per 32 x 32 block that holds an order (vertex offsets inside the block).
+SCALED_WIDTH = 1024
+SCALED_BLOCK = 32
+SCALED_TRIANGLE = [(1.25, 1.25), (30.75, 3.25), (12.25, 29.75), (1.25, 1.25)]
+
+
+def scaled_grid():
+    from regiostat.operators.raster import Grid
+    return Grid(width=SCALED_WIDTH, height=1 << 30, tile_w=32, tile_h=32, nodata=NODATA)
+
+
+def _scaled_pixels(self) -> DataFrame:
+    k = F.col("o_orderkey")
+    return self.t("orders").select(
+        F.lit(1).cast("bigint").alias("fk_time_id"), (k % SCALED_WIDTH).alias("col"),
+        (k / SCALED_WIDTH).cast("bigint").alias("row"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(NODATA)).otherwise(F.col("o_totalprice")).alias("value"))
+
+
+def _scaled_zones(self) -> DataFrame:
+    from regiostat.functions.geometry import fmt_number, wkt_parse
+    per_row = SCALED_WIDTH // SCALED_BLOCK
+    p = self.scaled_pixels()
+    b = p.select((F.col("col") / SCALED_BLOCK).cast("bigint").alias("bx"),
+                 (F.col("row") / SCALED_BLOCK).cast("bigint").alias("by")).distinct()
+    x0, y0 = F.col("bx") * float(SCALED_BLOCK), F.col("by") * float(SCALED_BLOCK)
+    pts = []
+    for i, (dx, dy) in enumerate(SCALED_TRIANGLE):
+        if i:
+            pts.append(F.lit(", "))
+        pts += [fmt_number(x0 + dx), F.lit(" "), fmt_number(y0 + dy)]
+    wkt = F.concat(F.lit("POLYGON(("), *pts, F.lit("))"))
+    gid = F.col("by") * per_row + F.col("bx")
+    return b.select(gid.alias("gid"), F.concat(F.lit("B"), gid.cast("string")).alias("comm_id"),
+                    wkt_parse(wkt).alias("geom"))
+
+
+Fixtures.scaled_pixels = cached(_scaled_pixels)
+Fixtures.scaled_zones = cached(_scaled_zones)

@@ -247,3 +247,14 @@ def _pipeline_sql() -> str:
 
 register("zonal_pipeline", _pipeline_sql())(zonal_pipeline)
 assert "zonal" in CTES
+
+
+@register("zonal_stats_scaled", with_ctes(["szonal"], f"SELECT {ZONAL_COLS} FROM szonal"))
+def q_zonal_stats_scaled(spark, sf):
+    """A1 on a raster and a zone set that both grow with the data: one pixel
+    per order, one zone per 32 x 32 block holding orders."""
+    from regiostat.plans.fixtures import scaled_grid
+    from regiostat.operators.raster import tiles_from_pixels
+    fx = Fixtures(spark, sf)
+    g = scaled_grid()
+    return Z.zonal_stats(fx.scaled_zones(), tiles_from_pixels(fx.scaled_pixels(), g), g, [1])

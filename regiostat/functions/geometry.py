@@ -189,3 +189,19 @@ def laea_constants() -> dict[str, float]:
     e2, e, qp, beta0, rq, d = _laea_constants()
     return {"e2": e2, "e": e, "qp": qp, "beta0": beta0, "rq": rq, "d": d,
             "lon0": math.radians(LAEA_LON0)}
+
+
+def transform_to_laea(geom) -> Column:
+    """G5 on geometries: ETRS89 (4258) / WGS84 (4326) lon-lat -> EPSG:3035 for
+    every vertex; already 3035 is returned unchanged; other SRIDs give NULL
+    parts (no general projection library is available)."""
+    g = _col(geom)
+
+    def proj(v: Column) -> Column:
+        e, n = laea_project(v["x"], v["y"])
+        return F.struct(e.alias("x"), n.alias("y"))
+
+    projected = F.transform(g["parts"], lambda p: F.transform(p, lambda r: F.transform(r, proj)))
+    parts = F.when(g["srid"] == 3035, g["parts"]).when(g["srid"].isin(4258, 4326), projected)
+    srid = F.when(g["srid"].isin(3035, 4258, 4326), F.lit(3035))
+    return F.struct(srid.alias("srid"), g["type"].alias("type"), parts.alias("parts"))

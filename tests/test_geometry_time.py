@@ -75,3 +75,11 @@ def test_epoch_is_utc_whatever_the_session_zone(spark):
         assert one(spark, TF.epoch_to_timestamp(F.col("v")), "86400") == dt.datetime(1970, 1, 2)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_transform_geometry_to_laea(spark):
+    g = one(spark, G.transform_to_laea(G.wkt_parse(F.col("v"), 4326)), "POINT (5 50)")
+    p = g.parts[0][0][0]
+    assert g.srid == 3035 and abs(p.x - 3962799.451) < 1e-3 and abs(p.y - 2999718.853) < 1e-3
+    same = one(spark, G.transform_to_laea(G.wkt_parse(F.col("v"), 3035)), "POINT (1 2)")
+    assert same.parts[0][0][0].x == 1.0

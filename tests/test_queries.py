@@ -25,3 +25,14 @@ def test_query_plan(spark, key):
     p = plan_text(df)
     assert "BatchEvalPython" not in p, key                 # no row-at-a-time Python UDF
     assert "CartesianProduct" not in p, key
+
+
+@pytest.mark.parametrize("key", ["zonal_stats_scaled", "zonal_pipeline"])
+def test_geometry_parsing_not_pushed_into_source_scans(spark, key):
+    """Parsing runs once per zone, never as a pushed-down filter on the rows
+    the zones are derived from."""
+    from __spark_entry__ import queries
+    df = queries()[key](spark, SF001)
+    df.limit(1).collect()
+    scans = [line for line in plan_text(df).splitlines() if "FileScan" in line or "Filter" in line]
+    assert not [s for s in scans if "regexp" in s and "size(" in s], key

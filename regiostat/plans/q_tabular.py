@@ -301,7 +301,20 @@ FROM ingest_matched m JOIN ingest_tdim t ON t._ts = m._ts AND t._gr = m._gr""")
                                       + ") AS id, * FROM ingest_fact"))
 def q_tabular_ingest(spark, sf):
     """CSV -> typed -> rejects out -> region key -> time id -> units -> ids."""
-    fx = Fixtures(spark, sf)
-    res = TB.ingest_tabular(staged_csv(spark, sf), tabular_fields(), fx.nuts(), "NUTS 3", "key",
-                            None, TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
-    return res.fact
+    return loaded_tabular(spark, sf, reload=True)[0]
+
+
+_LOADED: dict[tuple[int, str], tuple] = {}
+
+
+def loaded_tabular(spark, sf, reload: bool = False):
+    """(fact, time dimension) of the fixture dataset, loaded and written to
+    the shared folder; later readers (views) use the loaded tables of the
+    same session and folder instead of loading again."""
+    key = (id(spark), sf)
+    if reload or key not in _LOADED or _LOADED[key][0] is not spark:
+        fx = Fixtures(spark, sf)
+        res = TB.ingest_tabular(staged_csv(spark, sf), tabular_fields(), fx.nuts(), "NUTS 3", "key",
+                                None, TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
+        _LOADED[key] = (spark, materialize(res.fact), res.time_dim)
+    return _LOADED[key][1], _LOADED[key][2]

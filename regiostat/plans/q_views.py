@@ -13,9 +13,9 @@ from regiostat.operators import views as VW
 from regiostat.operators import zonal as Z
 from regiostat.operators.spatial import points_in_polygons
 from regiostat.plans.fixture_sql import cte, with_ctes
-from regiostat.plans.fixtures import TABULAR_RESOLUTION, TABULAR_START, Fixtures, tabular_fields
+from regiostat.plans.fixtures import Fixtures, tabular_fields
 from regiostat.plans.q_hierarchy import all_levels_sql, nuts3_sql, upper_sql
-from regiostat.plans.q_tabular import INGEST_COLS, staged_csv
+from regiostat.plans.q_tabular import INGEST_COLS, loaded_tabular, staged_csv
 from regiostat.plans.registry import register
 from regiostat.session import materialize, staging_path
 from regiostat.sources import sinks as SK
@@ -30,15 +30,13 @@ FROM ingest_ided f LEFT JOIN ingest_tdim t ON f.fk_time_id = t.id LEFT JOIN nuts
 
 
 def _ingest(spark, sf):
-    fx = Fixtures(spark, sf)
-    res = TB.ingest_tabular(staged_csv(spark, sf), tabular_fields(), fx.nuts(), "NUTS 3", "key",
-                            None, TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
-    return fx, res
+    fact, time_dim = loaded_tabular(spark, sf)
+    return Fixtures(spark, sf), fact, time_dim
 
 
 def layer_view(spark, sf):
-    fx, res = _ingest(spark, sf)
-    return VW.layer_view(materialize(res.fact), res.time_dim, fx.nuts())
+    fx, fact, time_dim = _ingest(spark, sf)
+    return VW.layer_view(fact, time_dim, fx.nuts())
 
 
 @register("layer_view_join", with_ctes(["layer_view"], "SELECT * FROM layer_view"))

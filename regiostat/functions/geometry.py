@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from regiostat.config import DEFAULT_SRID
+from regiostat.functions.common import let
 
 
 def _col(c) -> Column:
@@ -38,13 +39,6 @@ def wkt_type(wkt) -> Column:
     return F.upper(F.regexp_extract(_col(wkt), r"^\s*([A-Za-z]+)", 1))
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a lambda binding), so
-    an expression used several times inside ``body`` is not copied into
-    every use when the optimizer collapses projections."""
-    return F.transform(F.array(value), body)[0]
-
-
 def wkt_parse(wkt, srid=DEFAULT_SRID) -> Column:
     """G1: WKT text -> geometry struct (``ST_GeomFromText(wkt, srid)``).
 

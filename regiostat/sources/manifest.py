@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regiostat.functions.common import let
+
 S = T.StringType()
 FIELD = T.StructType([T.StructField("name", S), T.StructField("unit", S), T.StructField("type", S)])
 RESOURCE = T.StructType([
@@ -42,10 +44,14 @@ def parse_manifest(json_text: Column | str) -> Column:
 def manifest_scan(texts: DataFrame, package_col: str = "package", text_col: str = "json") -> DataFrame:
     """S1 over a (package, json text) frame: one row per package with
     ``m`` (the struct) and ``corrupt`` (bool)."""
-    m = texts.select(package_col, parse_manifest(text_col).alias("m"))
-    corrupt = F.col("m._corrupt_record").isNotNull() | F.col("m").isNull()
-    # a partly parsed malformed document is not trusted: keep only the flag
-    return m.select(package_col, F.when(~corrupt, F.col("m")).alias("m"), corrupt.alias("corrupt"))
+    def flagged(m: Column) -> Column:
+        corrupt = m["_corrupt_record"].isNotNull() | m.isNull()
+        # a partly parsed malformed document is not trusted: keep only the flag
+        return F.struct(F.when(~corrupt, m).alias("m"), corrupt.alias("corrupt"))
+
+    # parse once per document, however often the result is used downstream:
+    # the generator output is a fresh column that projections cannot inline
+    return texts.select(package_col, F.inline(F.array(let(parse_manifest(text_col), flagged))))
 
 
 def read_manifest_files(spark: SparkSession, path_glob: str) -> DataFrame:

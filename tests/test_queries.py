@@ -3,6 +3,10 @@
 import pytest
 
 from conftest import SF001, plan_text
+from regiostat.plans.registry import QUERIES, load_all
+
+load_all()
+KEYS = sorted(QUERIES)
 
 
 def test_entry_smoke(spark):
@@ -13,11 +17,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    from regiostat.plans.registry import ORACLE, QUERIES, load_all
+    load_all()
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("key", sorted(__import__("__spark_entry__").queries()))
+@pytest.mark.parametrize("key", KEYS)
 def test_query_plan(spark, key):
     from __spark_entry__ import queries
     df = queries()[key](spark, SF001)

@@ -51,3 +51,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, k=5)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from regiostat.llm.near_duplicates import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)

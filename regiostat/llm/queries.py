@@ -57,3 +57,17 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from regiostat.llm.near_duplicates import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from regiostat.llm.secret_scan import digest, scan
+    return digest(scan(table(spark, sf_dir, "documents")))
+
+
+def _oracles() -> None:
+    from regiostat.llm import secret_scan
+    ORACLE["op2_secret_scan"] = secret_scan.oracle()
+
+
+_oracles()

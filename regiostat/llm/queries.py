@@ -65,9 +65,16 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(scan(table(spark, sf_dir, "documents")))
 
 
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from regiostat.llm.pii import digest, scan
+    return digest(scan(table(spark, sf_dir, "documents")))
+
+
 def _oracles() -> None:
-    from regiostat.llm import secret_scan
+    from regiostat.llm import pii, secret_scan
     ORACLE["op2_secret_scan"] = secret_scan.oracle()
+    ORACLE["op10_pii"] = pii.oracle()
 
 
 _oracles()

@@ -71,8 +71,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(scan(table(spark, sf_dir, "documents")))
 
 
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from regiostat.llm.mixing import mix
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def _oracles() -> None:
-    from regiostat.llm import pii, secret_scan
+    from regiostat.llm import mixing, pii, secret_scan
+    ORACLE["op3_mixing"] = mixing.oracle()
     ORACLE["op2_secret_scan"] = secret_scan.oracle()
     ORACLE["op10_pii"] = pii.oracle()
 

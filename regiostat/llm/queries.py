@@ -77,6 +77,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from regiostat.llm import html_extraction
+    pages = table(spark, sf_dir, "pages")
+    found = html_extraction.extract(pages, html_extraction.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def _oracles() -> None:
     from regiostat.llm import mixing, pii, secret_scan
     ORACLE["op3_mixing"] = mixing.oracle()

@@ -54,11 +54,11 @@ GOOD = {"main", "heading"}
 
 # Prior weights (clutter, content, mixed) of the features.
 PRIOR = {
-    "tag:nav": (4, -4, -2), "tag:aside": (4, -3, -2), "tag:footer": (4, -4, -2), "tag:header": (2.5, -1, -1), "tag:form": (4, -4, -2), "tag:control": (4, -4, -3),
+    "tag:nav": (6, -5, -2), "tag:aside": (6, -5, -2), "tag:footer": (6, -5, -2), "tag:header": (1.5, -0.5, -0.5), "tag:form": (6, -5, -2), "tag:control": (6, -5, -3),
     "tag:article": (-3, 4, 0), "tag:main": (-3, 4, 1.5), "tag:page": (-4, -6, 8), "tag:body": (-4, -2, 6), "tag:head": (6, -6, -4), "tag:div": (0, 0, 0.5), "tag:section": (0, 0.5, 0.3),
     "tag:p": (0, 1, -2), "tag:h1": (0, 1, -2), "tag:heading": (0, 0.5, -2), "tag:list": (0.3, 0, -1), "tag:quote": (0, 1, -2), "tag:table": (0, 0, -1), "tag:dialog": (4, -4, -2),
-    "name:menu": (5, -3, -1), "name:foot": (4.5, -3, -1), "name:head": (3, -1.5, -1), "name:side": (5, -3, -1), "name:notice": (5, -3, -1), "name:advert": (6, -4, -2),
-    "name:form": (4.5, -3, -1), "name:talk": (6, -4, -2), "name:share": (4, -2, -1), "name:hidden": (6, -4, -2), "name:main": (-2, 3, 1.5), "name:heading": (0, 0.7, 0),
+    "name:menu": (7, -5, -2), "name:foot": (6, -4, -2), "name:head": (3, -1.5, -1), "name:side": (7, -5, -2), "name:notice": (7, -5, -2), "name:advert": (8, -6, -3),
+    "name:form": (6, -5, -2), "name:talk": (10, -8, -4), "name:share": (6, -4, -2), "name:hidden": (8, -6, -3), "name:main": (-2, 3, 1.5), "name:heading": (0, 0.7, 0),
     "own:none": (0, 0, 1), "own:short": (0.5, 0, -1), "own:some": (0, 0.5, -1.5), "own:long": (-0.5, 1.5, -2), "own:very long": (-1.5, 2.5, -2), "own:sentence": (0, 0.7, 0),
     "links:own": (2.5, -1, -0.5), "links:below": (2, -0.5, 0), "below:long": (-0.5, 0.5, 0.5), "says:copyright": (4, -2, -1), "always": (0, 0, 0),
 }
@@ -208,9 +208,12 @@ def train(pages: DataFrame, sample: int = 2_000, id_col: str = "page_id", html_c
 
     found = map_rows(rows, tally, "what string, state bigint, n bigint").groupBy("what", "state").agg(F.sum("n").alias("n")).orderBy("what", "state").toPandas()
     pairs, found = found[found.what == "pair"], found[found.what != "pair"]
-    counts = PAIRS.copy()
+    seen = np.zeros((3, 3))
     for s, n in zip(pairs.state, pairs.n):
-        counts[int(s) // 3, int(s) % 3] += n
+        seen[int(s) // 3, int(s) % 3] += n
+    # the labelled pages weigh as much as the pseudo-counts at most
+    total = seen.sum(axis=1, keepdims=True)
+    counts = PAIRS + seen * np.minimum(1.0, PAIRS.sum(axis=1, keepdims=True) / np.maximum(total, 1))
     mean = np.array(list(PRIOR.values()), dtype=float)
     weight = mean.copy()
     if len(found):
@@ -219,7 +222,7 @@ def train(pages: DataFrame, sample: int = 2_000, id_col: str = "page_id", html_c
             x[row, [int(i) for i in what.split()]] = 1
         y = np.eye(3)[found.state.to_numpy().astype(int)]
         n = found.n.to_numpy(dtype=float)
-        n = n / n.sum() * min(n.sum(), 2_000.0)  # nodes of a page are no independent witnesses
+        n = n / n.sum() * min(n.sum(), 500.0)  # nodes of a page are no independent witnesses
         first, second = np.zeros_like(weight), np.zeros_like(weight)
         for step in range(1, steps + 1):
             z = x @ weight

@@ -33,7 +33,7 @@ def find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` of a function on single record batches."""
     def run(batches):
         for batch in batches:
@@ -50,3 +50,19 @@ def batch(**columns) -> pa.RecordBatch:
 def starts_of(keys: np.ndarray) -> np.ndarray:
     """First index of each run of equal values in a sorted array."""
     return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
+def filter_rows(df: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """Rows whose text passes ``keep`` (a mask per column of texts), with all
+    their columns, whatever these are called."""
+    place = df.columns.index(text_col)
+
+    def run(rows: pa.RecordBatch):
+        yield rows.filter(pa.array(keep(rows.column(place))))
+    return map_rows(df, run, df.schema)
+
+
+def join_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str, most: int = 1_000_000) -> DataFrame:
+    """Semi- or anti-join with a one-column table of ids: broadcast when its
+    counted size is at most ``most`` (8 MB), shuffled otherwise."""
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, id_col, how).select(*df.columns)

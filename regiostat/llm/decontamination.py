@@ -21,6 +21,7 @@ tables give no rows or no hits; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiostat.llm.common import batch, map_rows, starts_of
+from regiostat.llm.common import batch, filter_rows, map_rows, starts_of
 from regiostat.llm.textvec import ALNUM, Words, doc_windows, text_blocks, windows
 
 #: Words as a regular expression for Spark (of lower-cased text); ``ALNUM`` in bytes.
@@ -159,25 +160,49 @@ def covered(spans: Column) -> Column:
         (a["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], a["e"]))).alias("n"), F.greatest(a["e"], x["e"]).alias("e")))["n"]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, block_words: int = 4_000_000,
-                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``id, n_words, n_hit, hits (word spans), items, contaminated`` of every
-    document row."""
+def _blocks(benchmark: DataFrame, window: int, k: int, block_words: int, item_col: str, item_text_col: str) -> Iterator[BenchmarkIndex]:
+    """Indexes of the benchmark, one block of items after the other."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     # a word takes two bytes at least, its separator counted
     size = items.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     blocks = max(1, -(-size // (2 * block_words)))
-    source = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("k"), F.col(text_col).alias("t"))
-
-    def one(b: int) -> DataFrame:
+    for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()
-        return _scan(source, BenchmarkIndex([r["id"] for r in rows], [r["text"] for r in rows], window, k))
+        yield BenchmarkIndex([r["id"] for r in rows], [r["text"] for r in rows], window, k)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, block_words: int = 4_000_000,
+                      text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without a hit."""
+    for index in _blocks(benchmark, window, k, block_words, item_col, item_text_col):
+        docs = filter_rows(docs, text_col, _clean(docs.sparkSession.sparkContext.broadcast(index)))
+    return docs
+
+
+def _clean(shared):
+    def keep(texts: pa.Array) -> np.ndarray:
+        mask = np.ones(len(texts), dtype=bool)
+        for start, data, offsets in text_blocks(texts):
+            w = Words(data, offsets, ALNUM)
+            for at, _, _, _ in shared.value.matches(w):
+                mask[start + np.searchsorted(w.first, at, side="right") - 1] = False
+        return mask
+    return keep
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, k: int = 5, block_words: int = 4_000_000,
+                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``id, n_words, n_hit, hits (word spans), items, contaminated`` of every
+    document row."""
+    blocks = _blocks(benchmark, window, k, block_words, item_col, item_text_col)
+    source = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("k"), F.col(text_col).alias("t"))
 
-    found = one(0)
-    if blocks > 1:
+    first, *more = (_scan(source, index) for index in blocks)
+    found = first
+    if more:
         # equal rows have equal hits in every block: unite them by row content
-        found = (reduce(DataFrame.unionAll, [found] + [one(b) for b in range(1, blocks)])
+        found = (reduce(DataFrame.unionAll, more, first)
                  .groupBy("i", "k", "n_words").agg(F.count("*").alias("n"), F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))
-                 .withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("n") / blocks).cast("int")))))
+                 .withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("n") / (1 + len(more))).cast("int")))))
     return found.select(F.col("i").alias(id_col), "n_words", covered(F.col("hits")).alias("n_hit"), "hits",
                         F.array_sort(F.array_distinct("items")).alias("items"), (F.size("hits") > 0).alias("contaminated"))

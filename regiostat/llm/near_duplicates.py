@@ -37,15 +37,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiostat.llm.common import batch, map_rows
+from regiostat.llm.common import batch, join_ids, map_rows
 from regiostat.llm.components import components
 from regiostat.llm.textvec import Words, doc_windows, mix64, text_blocks, windows
 from regiostat.session import materialize
 
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 256
-#: Ids up to which a semi-join is broadcast (8 MB); beyond, Spark shuffles.
-BROADCAST_IDS = 1_000_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,14 +97,6 @@ def sketches(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFra
                     f"i {docs.schema[id_col].dataType.simpleString()}, n bigint, h1 bigint, h2 bigint, bands array<bigint>, sketch array<bigint>")
 
 
-def estimate(x: Column, y: Column) -> Column:
-    """Similarity estimate of two odd sketches (null: far apart)."""
-    odd = F.bit_count(x[0].bitwiseXOR(y[0]))
-    for i in range(1, SKETCH_BITS // 64):
-        odd = odd + F.bit_count(x[i].bitwiseXOR(y[i]))
-    return F.lit(1.0) + SKETCH_BITS / (4.0 * BANDS * ROWS) * F.log(F.lit(1.0) - 2.0 * odd / F.lit(float(SKETCH_BITS)))
-
-
 def most_bits(threshold: float) -> int:
     """Odd bits up to which the estimate reaches ``threshold``."""
     return math.floor(SKETCH_BITS / 2 * (1 - math.exp((threshold - 1) * 4 * BANDS * ROWS / SKETCH_BITS)))
@@ -140,7 +130,6 @@ class _Finder:
         """Those pairs whose full sets are similar enough."""
         pairs = materialize(pairs, "pairs")
         ids = materialize(pairs.select(F.col("a").alias("i")).union(pairs.select(F.col("b").alias("i"))).distinct(), "ids")
-        few = ids.count() <= BROADCAST_IDS
         words = self.words
 
         def run(rows: pa.RecordBatch):
@@ -149,7 +138,7 @@ class _Finder:
                 doc, h = shingle_sets(data, offsets, words)
                 yield batch(i=rows["i"].slice(start, n), s=pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)), pa.array(h.view(np.int64))))
 
-        texts = self.docs.join(F.broadcast(ids) if few else ids, "i", "left_semi")
+        texts = join_ids(self.docs, ids, "i", "left_semi")
         sets = materialize(map_rows(texts, run, f"i {texts.schema['i'].dataType.simpleString()}, s array<bigint>"), "sets")
         both = (pairs.join(sets.select(F.col("i").alias("a"), F.col("s").alias("x")), "a")
                 .join(sets.select(F.col("i").alias("b"), F.col("s").alias("y")), "b"))
@@ -211,6 +200,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, slack: f
     return out.select(F.col("i").alias(id_col), F.col("n").alias("n_shingles"), component_id.alias("component_id"), F.col("i").eqNullSafe(component_id).alias("kept"))
 
 
+def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group, the one with the least id.
+    Of rows that repeat an id one stays; rows without an id are only freed of
+    exact copies of each other."""
+    found = materialize(near_duplicates(docs.where(F.col(id_col).isNotNull()), words, percent, id_col=id_col, text_col=text_col), "groups")
+    gone = materialize(found.where(~F.col("kept")).select(id_col).distinct(), "gone")
+    repeated = materialize(found.groupBy(id_col).count().where("count > 1").select(id_col), "repeated")
+    named = join_ids(docs.where(F.col(id_col).isNotNull()), gone, id_col, "left_anti")
+    once = join_ids(named, repeated, id_col, "left_anti")
+    again = join_ids(named, repeated, id_col, "left_semi").dropDuplicates([id_col])
+    return once.unionAll(again).unionAll(docs.where(F.col(id_col).isNull()).dropDuplicates([text_col]))
+
+
 def _unsettled(members: DataFrame, component: DataFrame) -> DataFrame:
     """``bucket, rep, size, component, least`` of the buckets with several components."""
     now = (members.join(component.select(F.col("node").alias("rep"), "component"), "rep", "left")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiostat.llm.common import batch, map_rows
+from regiostat.llm.common import batch, filter_rows, map_rows
 from regiostat.llm.textvec import ALNUM, Words, spans_hash, text_blocks
 
 BITS = 18
@@ -176,3 +176,14 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
     out = map_rows(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")), run, f"i {docs.schema[id_col].dataType.simpleString()}, score double")
     return out.withColumnRenamed("i", id_col)
+
+
+def reject(docs: DataFrame, machine: Machine, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def keep(texts: pa.Array) -> np.ndarray:
+        parts = [_sigmoid(shared.value.margin(len(offsets) - 1, *terms(data, offsets))) < threshold for _, data, offsets in text_blocks(texts)]
+        return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+    return filter_rows(docs, text_col, keep)

@@ -22,6 +22,14 @@ def query(fn):
     return fn
 
 
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from regiostat.llm.lm_scoring import lm_scores
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    scored = lm_scores(table(spark, sf_dir, "documents"), learn=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from regiostat.llm.quality_rules import quality

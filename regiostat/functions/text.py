@@ -31,7 +31,10 @@ def _c(c) -> Column:
 
 def sanitize_name(c, token: str = NAME_TOKEN) -> Column:
     """Lower-case, drop ``token``, runs of non-alphanumerics -> ``_``."""
-    return F.regexp_replace(F.replace(F.lower(_c(c)), F.lit(token), F.lit("")), "[^A-Za-z0-9]+", "_")
+    low = F.lower(_c(c))
+    if token:
+        low = F.replace(low, F.lit(token), F.lit(""))
+    return F.regexp_replace(low, "[^A-Za-z0-9]+", "_")
 
 
 def sanitize_name_py(name: str, token: str | None = None) -> str:

@@ -10,38 +10,42 @@ from regiostat.plans.fixtures import Fixtures
 from regiostat.plans.registry import register
 
 # -- DuckDB building blocks ---------------------------------------------------
-AGG_SQL = """CAST(min({a}.min) AS DECIMAL(20,2)) AS min, CAST(max({a}.max) AS DECIMAL(20,2)) AS max,
-  CAST(sum({a}.sum) AS DECIMAL(20,2)) AS sum, CAST(sum({a}.count) AS BIGINT) AS count,
-  """
+def stat_sql(rows: str) -> str:
+    """Statistics of a group of rows ``rows``: extremes of extremes, sums of
+    sums, and the mean that follows from the two sums."""
+    total, n = f"CAST(sum({rows}.sum) AS DECIMAL(20,2))", f"CAST(sum({rows}.count) AS BIGINT)"
+    extremes = ", ".join(f"CAST({f}({rows}.{f}) AS DECIMAL(20,2)) AS {f}" for f in ("min", "max"))
+    return f"{extremes}, {total} AS sum, {n} AS count, {duck_mean(total, n)} AS mean"
 
 
-def agg_sql(a: str) -> str:
-    return AGG_SQL.format(a=a) + duck_mean(f"CAST(sum({a}.sum) AS DECIMAL(20,2))",
-                                          f"CAST(sum({a}.count) AS BIGINT)") + " AS mean"
+def level_sql(condition: str) -> str:
+    """Regions of a level in the current vintage."""
+    return f"(SELECT gid, nuts_id, stat_levl_ FROM nuts WHERE {condition} AND year = DATE '2013-01-01')"
 
 
-def lp_sql(stats: str) -> str:
-    return (f"SELECT s.*, l.fk_nuts_gid FROM {stats} s LEFT JOIN lau l ON l.comm_id = s.comm_id")
+def nuts3_sql(stats: str = "lau_stats", towns: str = "lau", keys: str = "") -> str:
+    """A level-3 region gathers the towns that name it as their parent."""
+    first = f"{keys}, " if keys else ""
+    return f"""SELECT {first}{stat_sql('town')}, home.nuts_id, home.stat_levl_, town.fk_time_id, home.gid AS fk_nuts_gid
+FROM (SELECT stat.*, place.fk_nuts_gid AS home_gid FROM {stats} AS stat JOIN {towns} AS place USING (comm_id)) AS town
+JOIN {level_sql('stat_levl_ = 3')} AS home ON home.gid = town.home_gid
+GROUP BY {first}home.nuts_id, home.stat_levl_, town.fk_time_id, home.gid"""
 
 
-def nuts3_sql(stats: str = "lau_stats") -> str:
-    return f"""SELECT {agg_sql('lp')}, n.nuts_id, n.stat_levl_, lp.fk_time_id, lp.fk_nuts_gid
-FROM nuts n RIGHT JOIN ({lp_sql(stats)}) lp ON lp.fk_nuts_gid = n.gid
-WHERE n.stat_levl_ = 3 AND n.year = DATE '2013-01-01'
-GROUP BY n.gid, n.nuts_id, n.stat_levl_, lp.fk_nuts_gid, lp.fk_time_id"""
+def upper_sql(level3: str, per_child: bool = False, keys: str = "") -> str:
+    """A higher region gathers the level-3 rows whose code begins with its
+    own; ``per_child`` keeps one row for each of them."""
+    first = f"{keys}, " if keys else ""
+    own = "part.fk_nuts_gid" if per_child else "area.gid"
+    return f"""SELECT {first}{stat_sql('part')}, area.nuts_id, area.stat_levl_, part.fk_time_id, {own} AS fk_nuts_gid
+FROM (SELECT * FROM ({level3}) WHERE count IS NOT NULL) AS part
+JOIN {level_sql('stat_levl_ < 3')} AS area ON left(part.nuts_id, length(area.nuts_id)) = area.nuts_id
+GROUP BY {first}area.nuts_id, area.stat_levl_, part.fk_time_id, {own}"""
 
 
-def upper_sql(n3: str, per_child: bool = False) -> str:
-    child = "n3.fk_nuts_gid" if per_child else "n.gid"
-    extra = ", n3.fk_nuts_gid" if per_child else ""
-    return f"""SELECT {agg_sql('n3')}, n.nuts_id, n.stat_levl_, n3.fk_time_id, {child} AS fk_nuts_gid
-FROM nuts n RIGHT JOIN ({n3}) n3 ON n3.nuts_id LIKE n.nuts_id || '%'
-WHERE n3.count IS NOT NULL AND n3.stat_levl_ = 3 AND n.stat_levl_ < 3 AND n.year = DATE '2013-01-01'
-GROUP BY n.gid, n.nuts_id, n.stat_levl_, n3.fk_time_id{extra}"""
-
-
-def all_levels_sql(stats: str = "lau_stats") -> str:
-    return f"SELECT * FROM ({nuts3_sql(stats)}) UNION ALL SELECT * FROM ({upper_sql(nuts3_sql(stats))})"
+def all_levels_sql(stats: str = "lau_stats", towns: str = "lau", keys: str = "") -> str:
+    level3 = nuts3_sql(stats, towns, keys)
+    return f"SELECT * FROM ({level3}) UNION ALL SELECT * FROM ({upper_sql(level3, keys=keys)})"
 
 
 FX = ["nuts", "lau", "lau_stats"]
@@ -53,8 +57,8 @@ def q_nuts3_rollup(spark, sf):
     return H.nuts3_rollup(H.attach_parent(fx.lau_stats(), fx.lau()), fx.nuts())
 
 
-@register("stats_to_region_join", with_ctes(FX, lp_sql("lau_stats").replace("s.*, l.fk_nuts_gid",
-                                            "s.*, l.fk_nuts_gid, l.nuts_id")))
+@register("stats_to_region_join", with_ctes(FX, """
+SELECT stat.*, place.fk_nuts_gid, place.nuts_id FROM lau_stats AS stat LEFT JOIN lau AS place USING (comm_id)"""))
 def q_stats_to_region_join(spark, sf):
     fx = Fixtures(spark, sf)
     return H.attach_parent(fx.lau_stats(), fx.lau())

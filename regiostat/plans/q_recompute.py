@@ -12,7 +12,7 @@ from regiostat.operators import recompute as R
 from regiostat.operators.joins import maybe_broadcast
 from regiostat.plans.fixture_sql import with_ctes
 from regiostat.plans.fixtures import RECOMPUTE_PREFIX, Fixtures
-from regiostat.plans.q_hierarchy import all_levels_sql, nuts3_sql
+from regiostat.plans.q_hierarchy import all_levels_sql, level_sql, nuts3_sql, stat_sql
 from regiostat.plans.registry import register
 from regiostat.session import staging_path
 
@@ -95,28 +95,8 @@ def q_dataset_list_scan(spark, sf):
     return dataset_list(spark, sf)
 
 
-def _ds_nuts3_sql() -> str:
-    return """SELECT lp.dataset, CAST(min(lp.min) AS DECIMAL(20,2)) AS min, CAST(max(lp.max) AS DECIMAL(20,2)) AS max,
-  CAST(sum(lp.sum) AS DECIMAL(20,2)) AS sum, CAST(sum(lp.count) AS BIGINT) AS count, {mean} AS mean,
-  n.nuts_id, n.stat_levl_, lp.fk_time_id, lp.fk_nuts_gid
-FROM nuts n RIGHT JOIN (SELECT s.*, l.fk_nuts_gid FROM dataset_stats s LEFT JOIN lau l ON l.comm_id = s.comm_id) lp
-  ON lp.fk_nuts_gid = n.gid
-WHERE n.stat_levl_ = 3 AND n.year = DATE '2013-01-01'
-GROUP BY lp.dataset, n.gid, n.nuts_id, n.stat_levl_, lp.fk_nuts_gid, lp.fk_time_id"""
-
-
 def _ds_sql() -> str:
-    from regiostat.plans.fixture_sql import duck_mean
-    mean = duck_mean("CAST(sum(lp.sum) AS DECIMAL(20,2))", "CAST(sum(lp.count) AS BIGINT)")
-    mean3 = duck_mean("CAST(sum(n3.sum) AS DECIMAL(20,2))", "CAST(sum(n3.count) AS BIGINT)")
-    l3 = _ds_nuts3_sql().format(mean=mean)
-    up = f"""SELECT n3.dataset, CAST(min(n3.min) AS DECIMAL(20,2)) AS min, CAST(max(n3.max) AS DECIMAL(20,2)) AS max,
-  CAST(sum(n3.sum) AS DECIMAL(20,2)) AS sum, CAST(sum(n3.count) AS BIGINT) AS count, {mean3} AS mean,
-  n.nuts_id, n.stat_levl_, n3.fk_time_id, n.gid AS fk_nuts_gid
-FROM nuts n RIGHT JOIN ({l3}) n3 ON n3.nuts_id LIKE n.nuts_id || '%'
-WHERE n3.count IS NOT NULL AND n.stat_levl_ < 3 AND n.year = DATE '2013-01-01'
-GROUP BY n3.dataset, n.gid, n.nuts_id, n.stat_levl_, n3.fk_time_id"""
-    return with_ctes(["nuts", "lau", "dataset_stats"], f"SELECT * FROM ({l3}) UNION ALL SELECT * FROM ({up})")
+    return with_ctes(["nuts", "lau", "dataset_stats"], all_levels_sql("dataset_stats", keys="dataset"))
 
 
 @register("recompute_batch", _ds_sql())
@@ -164,18 +144,15 @@ def q_fk_set_null(spark, sf):
 
 
 def _compat_nuts3_sql() -> str:
-    from regiostat.plans.fixture_sql import duck_mean
-    mean = duck_mean("CAST(sum(lp.sum) AS DECIMAL(20,2))", "CAST(sum(lp.count) AS BIGINT)")
-    agg = f"""SELECT CAST(min(lp.min) AS DECIMAL(20,2)) AS min, CAST(max(lp.max) AS DECIMAL(20,2)) AS max,
-  CAST(sum(lp.sum) AS DECIMAL(20,2)) AS sum, CAST(sum(lp.count) AS BIGINT) AS count, {mean} AS mean, n.nuts_id
-FROM nuts n JOIN (SELECT s.*, l.fk_nuts_gid FROM lau_upd s LEFT JOIN lau l ON l.comm_id = s.comm_id
-                  WHERE s.comm_id LIKE 'C1%') lp ON lp.fk_nuts_gid = n.gid
-WHERE n.stat_levl_ = 3 AND n.year = DATE '2013-01-01' GROUP BY n.gid, n.nuts_id"""
-    sets = ", ".join(f"CASE WHEN a.nuts_id IS NOT NULL THEN a.{c} ELSE o.{c} END AS {c}"
-                     for c in ["min", "max", "sum", "count", "mean"])
+    names = ["min", "max", "sum", "count", "mean"]
+    part = f"""SELECT {stat_sql('town')}, home.nuts_id
+FROM (SELECT stat.*, place.fk_nuts_gid AS home_gid FROM lau_upd AS stat JOIN lau AS place USING (comm_id)
+      WHERE starts_with(comm_id, 'C1')) AS town
+JOIN {level_sql('stat_levl_ = 3')} AS home ON home.gid = town.home_gid GROUP BY home.nuts_id"""
+    sets = ", ".join(f"CASE WHEN hit THEN part.{c} ELSE kept.{c} END AS {c}" for c in names)
     return with_ctes(["nuts", "lau", "lau_stats", "lau_upd"], f"""
-SELECT {sets}, o.nuts_id, o.stat_levl_, o.fk_time_id, o.fk_nuts_gid
-FROM ({nuts3_sql('lau_stats')}) o LEFT JOIN ({agg}) a ON a.nuts_id = o.nuts_id""")
+SELECT {sets}, nuts_id, kept.stat_levl_, kept.fk_time_id, kept.fk_nuts_gid
+FROM ({nuts3_sql('lau_stats')}) AS kept LEFT JOIN (SELECT *, true AS hit FROM ({part})) AS part USING (nuts_id)""")
 
 
 @register("region_recompute_nuts3_compat", _compat_nuts3_sql())

@@ -188,13 +188,13 @@ def q_upper_key(spark, sf):
 
 # -- names, typing, rejects ------------------------------------------------------------------
 @register("sanitize_table_name", """
-SELECT p_partkey, regexp_replace(replace(lower(CASE WHEN p_partkey % 3 = 0 THEN 'HotMaps_' || p_name
-  ELSE p_name || ' ' || p_brand END), 'hotmaps', ''), '[^A-Za-z0-9]+', '_', 'g') AS table_name FROM part""")
+SELECT p_partkey, regexp_replace(replace(lower(CASE WHEN p_partkey % 3 = 0 THEN 'Quilldew_' || p_name
+  ELSE p_name || ' ' || p_brand END), 'quilldew', ''), '[^A-Za-z0-9]+', '_', 'g') AS table_name FROM part""")
 def q_sanitize_table_name(spark, sf):
     p = Fixtures(spark, sf).t("part")
-    name = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("HotMaps_"), "p_name")).otherwise(
+    name = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("Quilldew_"), "p_name")).otherwise(
         F.concat_ws(" ", "p_name", "p_brand"))
-    return p.select("p_partkey", TX.sanitize_name(name).alias("table_name"))
+    return p.select("p_partkey", TX.sanitize_name(name, token="quilldew").alias("table_name"))
 
 
 PLAN = TB.schema_plan(tabular_fields())

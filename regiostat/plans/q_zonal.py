@@ -241,8 +241,7 @@ def zonal_pipeline(spark, sf):
 
 
 def _pipeline_sql() -> str:
-    sql = all_levels_sql("zonal").replace("LEFT JOIN lau l", "LEFT JOIN zone_lau l")
-    return with_ctes(["nuts", "zone_lau", "zonal"], sql)
+    return with_ctes(["nuts", "zone_lau", "zonal"], all_levels_sql("zonal", "zone_lau"))
 
 
 register("zonal_pipeline", _pipeline_sql())(zonal_pipeline)

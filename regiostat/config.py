@@ -14,6 +14,3 @@ NAME_TOKEN = ""  # a word to drop from table names; empty: none
 MAX_NAME_LENGTH = 50
 MAX_TEXT_LENGTH = 255
 
-# Largest dimension (rows) that joins broadcast without a second thought;
-# anything above goes through a shuffle join that AQE may still convert.
-BROADCAST_MAX_ROWS = 2_000_000

@@ -27,8 +27,8 @@ def _vertices(text: Column) -> Column:
     clean = F.trim(F.regexp_replace(text, r"[()]", ""))
     return F.transform(
         F.split(clean, r"\s*,\s*"),
-        lambda v: F.struct(F.split(F.trim(v), r"\s+")[0].cast("double").alias("x"),
-                           F.split(F.trim(v), r"\s+")[1].cast("double").alias("y")))
+        lambda v: F.struct(F.get(F.split(F.trim(v), r"\s+"), F.lit(0)).try_cast("double").alias("x"),
+                           F.get(F.split(F.trim(v), r"\s+"), F.lit(1)).try_cast("double").alias("y")))
 
 
 def _rings(text: Column) -> Column:
@@ -42,8 +42,9 @@ def wkt_type(wkt) -> Column:
 def wkt_parse(wkt, srid=DEFAULT_SRID) -> Column:
     """G1: WKT text -> geometry struct (``ST_GeomFromText(wkt, srid)``).
 
-    Handles POINT, LINESTRING, POLYGON and their MULTI forms; anything else
-    gives NULL parts.
+    Handles POINT, LINESTRING, POLYGON and their MULTI forms in two
+    dimensions; anything else (EMPTY, Z and M forms, broken text) gives NULL
+    parts.
     """
     w = _col(wkt)
     srid_col = F.lit(srid).cast("int") if not isinstance(srid, Column) else srid
@@ -63,8 +64,12 @@ def wkt_parse(wkt, srid=DEFAULT_SRID) -> Column:
                         F.transform(F.split(inner, r"\)\s*\)\s*,\s*\(\s*\("), _rings)))
         return F.struct(typ.alias("type"), parts.alias("parts"))
 
-    g = let(let(w, head), build)
-    return F.struct(srid_col.alias("srid"), g["type"].alias("type"), g["parts"].alias("parts"))
+    def checked(g: Column) -> Column:
+        # a vertex that is no pair of numbers makes the whole text no geometry
+        bad = F.exists(F.flatten(F.flatten(g["parts"])), lambda v: v["x"].isNull() | v["y"].isNull())
+        return F.struct(srid_col.alias("srid"), g["type"].alias("type"), F.when(~bad, g["parts"]).alias("parts"))
+
+    return let(let(let(w, head), build), checked)
 
 
 def ewkt_parse(ewkt) -> Column:

@@ -80,5 +80,5 @@ def name_too_long(c, limit: int = MAX_NAME_LENGTH) -> Column:
 
 
 def has_file_extension(c) -> Column:
-    """ends with one of the data file extensions."""
-    return F.lower(_c(c)).rlike(r"\.(" + "|".join(BAD_EXTENSIONS) + r")$")
+    """ends with one of the data file extensions (as written, in lower case)."""
+    return _c(c).rlike(r"\.(" + "|".join(BAD_EXTENSIONS) + r")$")

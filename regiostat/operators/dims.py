@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from regiostat.config import NUTS_VINTAGE
 from regiostat.functions.timefuncs import time_attributes
-from regiostat.operators.joins import has_at_most, join_dimension, maybe_broadcast
+from regiostat.operators.joins import join_dimension, prefixes
 from regiostat.session import materialize
 
 
@@ -23,27 +23,29 @@ def max_id(df: DataFrame, col: str = "id") -> int:
     return int(m) if m is not None else 0
 
 
-def dense_id(df: DataFrame, order_cols: list[str], start: Column | int = 1, name: str = "id",
-             small_max_rows: int = 1_000_000) -> DataFrame:
+def dense_id(df: DataFrame, order_cols: list[str], start: int = 1, name: str = "id") -> DataFrame:
     """Surrogate ids ``start, start+1, ...`` in ``order_cols`` order.
 
-    Small inputs use ``row_number`` over the global order.  Large inputs never
-    sort in one partition: a distributed range sort, per-partition counts
-    (one row per partition), running offsets, and the position inside the
-    partition.  The sorted frame is checkpointed first so both passes see the
-    same partition boundaries.
-    """
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    if has_at_most(df, small_max_rows):
-        w = Window.orderBy(*order_cols)
-        return df.withColumn(name, (F.row_number().over(w) - 1 + start_col).cast("bigint"))
-    s = materialize(df.orderBy(*order_cols).withColumn("_pid", F.spark_partition_id())
-                    .withColumn("_mono", F.monotonically_increasing_id()))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
-    offs = counts.withColumn("_off", F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n"))
-    j = s.join(F.broadcast(offs.select("_pid", "_off", "_first")), "_pid")
-    return j.withColumn(name, (F.col("_off") + F.col("_mono") - F.col("_first") + start_col).cast("bigint")) \
-            .drop("_pid", "_mono", "_off", "_first")
+    One algorithm at every size: a distributed range sort, stored; the rows
+    of a partition are numbered by their place in it plus the rows of the
+    partitions before (one count per partition goes over the driver)."""
+    return serial_id(df.orderBy(*order_cols), start, name)
+
+
+def serial_id(df: DataFrame, start: int = 1, name: str = "id") -> DataFrame:
+    """Surrogate ids in storage order, without a sort: the frame is stored
+    once with partition and place of each row, then every partition gets the
+    offset that the counts of the others leave it."""
+    s = materialize(df.withColumns({"_pid": F.spark_partition_id(), "_mono": F.monotonically_increasing_id()}), "numbered")
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.min("_mono").alias("first")).orderBy("_pid").collect()
+    offsets, done = {}, start
+    for r in counts:
+        offsets[r["_pid"]] = done - r["first"]
+        done += r["n"]
+    if not offsets:
+        return s.withColumn(name, F.lit(start).cast("bigint")).drop("_pid", "_mono")
+    off = F.element_at(F.map_from_arrays(F.lit(list(offsets)), F.lit(list(offsets.values()))), F.col("_pid"))
+    return s.withColumn(name, (F.col("_mono") + off).cast("bigint")).drop("_pid", "_mono")
 
 
 def first_match(df: DataFrame, key: list[str], order_col: str) -> DataFrame:
@@ -88,23 +90,26 @@ def unmatched_region_keys(fact: DataFrame, key_col: str, regions: DataFrame, cod
 
 
 def region_key_like_join(fact: DataFrame, key_col: str, regions: DataFrame, code_col: str = "nuts_id",
-                         vintage: str | None = NUTS_VINTAGE, out: str = "fk_nuts_gid",
-                         max_regions: int = 100_000) -> DataFrame:
+                         vintage: str | None = NUTS_VINTAGE, out: str = "fk_nuts_gid") -> DataFrame:
     """J2c (compat): ``region.code LIKE upper(key)`` where ``%``/``_`` in the
-    data act as wildcards.  Keys without wildcards take the equi-join path;
-    only wildcard keys (usually none) go through a nested-loop join against
-    the broadcast region table, whose size is checked first."""
+    data act as wildcards; a row takes the smallest matching gid (W2).
+
+    Keys without wildcards take the equi-join path.  Of the others only the
+    *distinct patterns* meet the regions, by an equi-join on the pattern's
+    literal beginning (regions are exploded into their code prefixes), then
+    the LIKE test; the winners go back to the rows by an equi-join on the
+    pattern.  No size limit, no nested loop."""
     dim = region_dimension(regions, code_col, vintage)
     f = fact.withColumn("_code", F.upper(F.col(key_col)))
     wild = F.col("_code").rlike("[%_]")
-    plain = join_dimension(f.filter(~wild | F.col("_code").isNull()), dim, "_code", "inner")
-    if not has_at_most(dim, max_regions):
-        raise ValueError("region table too large for a wildcard join")
-    w = f.filter(wild).withColumn("_row", F.monotonically_increasing_id())
-    w = w.join(F.broadcast(dim.withColumnRenamed("_code", "_rcode")), F.expr("_rcode LIKE _code"), "inner")
-    # first region per row (W2): smallest gid among the matches
-    w = first_match(w, ["_row"], "_gid").drop("_row", "_rcode")
-    return plain.unionByName(w).drop("_code").withColumnRenamed("_gid", out)
+    plain = join_dimension(f.filter(~wild), dim, "_code", "inner")
+    patterns = f.filter(wild).select("_code").distinct().withColumn("_head", F.regexp_extract("_code", "^[^%_\\\\]*", 0))
+    heads = dim.select(F.col("_code").alias("_rcode"), "_gid",
+                       F.explode(F.concat(F.array(F.lit("")), F.when(F.length("_code") > 0, prefixes(F.col("_code")))
+                                          .otherwise(F.expr("CAST(array() AS array<string>)")))).alias("_head"))
+    first = (patterns.join(heads, "_head").filter(F.expr("_rcode LIKE _code"))
+             .groupBy("_code").agg(F.min("_gid").alias("_gid")))
+    return plain.unionByName(f.filter(wild).join(first, "_code")).drop("_code").withColumnRenamed("_gid", out)
 
 
 # -- J3 / U1 --------------------------------------------------------------------------
@@ -130,10 +135,9 @@ def time_dim_upsert(time_dim: DataFrame | None, keys: DataFrame) -> DataFrame:
         new, start = k, 1
     else:
         new = join_dimension(k, time_dim.select("timestamp", "granularity"), ["timestamp", "granularity"],
-                             "left_anti", check=False)
+                             "left_anti")
         start = max_id(time_dim) + 1
-    new_rows = materialize(time_rows(new))      # parse the source once
-    numbered = dense_id(new_rows, ["timestamp", "granularity"], start=start)
+    numbered = dense_id(time_rows(new), ["timestamp", "granularity"], start=start)
     return time_dim.select(*TIME_COLUMNS).unionByName(numbered.select(*TIME_COLUMNS))
 
 
@@ -143,7 +147,7 @@ def time_lookup(fact: DataFrame, time_dim: DataFrame, ts_col: str = "timestamp",
     dim = time_dim.select(F.col("timestamp").alias("_dim_ts"), F.col("granularity").alias("_dim_gr"),
                           F.col("id").alias(out))
     cond = (F.col(ts_col) == F.col("_dim_ts")) & (F.col(gran_col) == F.col("_dim_gr"))
-    return fact.join(maybe_broadcast(dim), cond, "left").drop("_dim_ts", "_dim_gr")
+    return fact.join(dim, cond, "left").drop("_dim_ts", "_dim_gr")
 
 
 # -- U2 ---------------------------------------------------------------------------------

@@ -1,9 +1,10 @@
 """Join helpers shared by the operators.
 
-``join_dimension`` broadcasts the small side only after proving its size
-with a bounded count (reads at most ``max_rows + 1`` rows); beyond the bound
-it falls back to a shuffle join that AQE can still re-plan (broadcast at run
-time, or split skewed partitions).
+No operator forces a broadcast.  Spark broadcasts a side whose size in bytes
+it knows to be below ``spark.sql.autoBroadcastJoinThreshold``, at planning
+time from file sizes or at run time (AQE) from the measured shuffle output;
+anything larger is a shuffle join whose skewed partitions AQE splits.  A row
+count would be the wrong measure: a region row may carry a polygon.
 """
 
 from __future__ import annotations
@@ -11,39 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiostat.config import BROADCAST_MAX_ROWS
 
-
-_SIZE_CHECKS: dict[tuple[int, int], bool] = {}
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded scan).
-
-    The answer is remembered per analysed plan (``semanticHash``), so a
-    dimension that several joins use is counted once."""
-    key = (df.semanticHash(), max_rows)
-    if key not in _SIZE_CHECKS:
-        _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _SIZE_CHECKS[key]
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = BROADCAST_MAX_ROWS, check: bool = True) -> DataFrame:
-    """Fact-to-dimension equi-join; broadcast only a proven-small dimension.
-
-    ``check=False`` is for derived right sides whose counting would cost a
-    pass of their own: the join is planned as a shuffle join and AQE
-    converts it to a broadcast only when the measured shuffle output is
-    below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-    """
-    if not check:
-        return fact.join(dim, on, how)
-    return fact.join(maybe_broadcast(dim, max_rows), on, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Fact-to-dimension equi-join, planned by size in bytes."""
+    return fact.join(dim, on, how)
 
 
 def prefixes(code: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regiostat.config import DEFAULT_SRID
+from regiostat.session import materialize
 
 
 @dataclass(frozen=True)
@@ -37,12 +38,13 @@ class Grid:
         return -(-self.width // self.tile_w)
 
 
-def tiles_from_pixels(pixels: DataFrame, grid: Grid) -> DataFrame:
+def tiles_from_pixels(pixels: DataFrame, grid: Grid, layer: int = 0) -> DataFrame:
     """Pixel table ``(fk_time_id, col, row, value)`` -> tile table.
 
     One bounded group per tile (at most ``tile_w * tile_h`` entries); absent
-    pixels become nodata.  ``pixels`` must be unique per (time, col, row);
-    run :func:`mosaic` first when layers overlap.
+    pixels become nodata.  Pixels must be unique per (time, col, row): two
+    values on one position are an error, never a silent choice; overlapping
+    layers become tiles of their own and :func:`mosaic_tiles` unites them.
     """
     tw, th = grid.tile_w, grid.tile_h
     p = pixels.select(
@@ -60,9 +62,11 @@ def tiles_from_pixels(pixels: DataFrame, grid: Grid) -> DataFrame:
                                             F.lit(grid.nodata).cast("double").alias("value")))
     g = g.withColumn("_all", F.array_sort(F.concat("got", filler)))
     firsts = F.filter("_all", lambda s, k: (k == 0) | (F.col("_all")[k - 1]["off"] != s["off"]))
-    dense = F.transform(firsts, lambda s: s["value"])
+    double = F.size(F.array_distinct(F.transform("got", lambda s: s["off"]))) < F.size("got")
+    message = F.concat(F.lit("two pixels on one position in tile "), F.col("tile_col").cast("string"), F.lit(", "), F.col("tile_row").cast("string"))
+    dense = F.when(double, F.raise_error(message).cast("array<double>")).otherwise(F.transform(firsts, lambda s: s["value"]))
     return g.select(
-        (F.col("fk_time_id") * F.lit(10**12) + F.col("tile_row") * F.lit(10**6) + F.col("tile_col")).alias("rid"),
+        F.struct(F.lit(layer).cast("bigint").alias("layer"), "fk_time_id", "tile_row", "tile_col").alias("rid"),
         "fk_time_id", F.lit(grid.srid).alias("srid"), "tile_col", "tile_row",
         F.lit(tw).alias("width"), F.lit(th).alias("height"),
         (F.lit(grid.ulx) + F.col("tile_col") * F.lit(tw * grid.scale_x)).alias("ulx"),
@@ -114,17 +118,32 @@ def mosaic(layers: DataFrame) -> DataFrame:
                                            F.max("rid").alias("rid"))
 
 
+def mosaic_tiles(tiles: DataFrame) -> DataFrame:
+    """A8 on tiles: the tiles of one position and time become one, per pixel
+    the valid value of the highest ``rid``.  Partitioned by tile position
+    (a group is the layers that overlap there), which the zonal join reuses."""
+    def over(below, above):
+        return F.zip_with(below, above, lambda b, a: F.when((a == F.col("nodata")) | F.isnan(a) | a.isNull(), b).otherwise(a))
+
+    first = [c for c in tiles.columns if c not in ("rid", "pixels", "fk_time_id", "tile_col", "tile_row")]
+    g = (tiles.repartition("tile_col", "tile_row").groupBy("fk_time_id", "tile_col", "tile_row")
+         .agg(F.array_sort(F.collect_list(F.struct("rid", "pixels"))).alias("_layers"), *[F.first(c).alias(c) for c in first]))
+    pixels = F.aggregate(F.slice("_layers", 2, F.greatest(F.size("_layers") - 1, F.lit(0))), F.col("_layers")[0]["pixels"], lambda acc, x: over(acc, x["pixels"]))
+    return g.select(F.element_at("_layers", -1)["rid"].alias("rid"), "fk_time_id", "tile_col", "tile_row", *first, pixels.alias("pixels"))
+
+
 def overview_pyramid(pixels: DataFrame, levels: int, pyramid_tile: int = 2048) -> DataFrame:
     """Image pyramid as a table.  Level L averages 2x2 blocks of level
     L-1 (bilinear at an exact factor of 2 is the block mean); the tile key of
     a level is ``col div pyramid_tile``.  Each level is a partial+final
-    aggregation over the previous one."""
+    aggregation over the stored previous one."""
     cur = pixels.select("fk_time_id", "col", "row", F.col("value").cast("double").alias("value"))
     out = []
     for lvl in range(1, levels + 1):
         cur = (cur.groupBy("fk_time_id", (F.col("col") / 2).cast("bigint").alias("col"),
                            (F.col("row") / 2).cast("bigint").alias("row"))
                .agg(F.avg("value").alias("value")))
+        cur = materialize(cur, f"pyramid-{lvl}")
         out.append(cur.withColumn("level", F.lit(lvl)))
     res = out[0]
     for o in out[1:]:

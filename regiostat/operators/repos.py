@@ -12,8 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiostat.operators.dims import first_match
-from regiostat.operators.joins import has_at_most, join_dimension
+from regiostat.operators.joins import join_dimension
 
 
 def changed_repositories(repos: DataFrame, commits: DataFrame, since) -> DataFrame:
@@ -22,19 +21,33 @@ def changed_repositories(repos: DataFrame, commits: DataFrame, since) -> DataFra
     return join_dimension(repos, recent, "git_id", "left_semi")
 
 
-def search_repositories(requests: DataFrame, repos: DataFrame, max_requests: int = 100_000) -> DataFrame:
+def search_repositories(requests: DataFrame, repos: DataFrame) -> DataFrame:
     """Each requested name -> first repository whose name contains it
-    (smallest ``git_id``), NULL when none.  The request list is a command
-    line's worth of names, so it is size-checked and broadcast; the
-    repository table streams past it."""
-    if not has_at_most(requests, max_requests):
-        raise ValueError("request list too large for a substring search")
+    (smallest ``git_id``), NULL when none.
+
+    ``contains`` as an equi-join: names are exploded into their substrings of
+    just the lengths that are requested (a handful, at most the length of the
+    longest name) and joined on equality; a request that very many names
+    contain is reduced by a partial minimum.  Work is linear in both tables."""
     req = requests.select(F.col("request")).distinct()
-    hits = repos.join(F.broadcast(req), F.col("name").contains(F.col("request")), "inner")
-    first = first_match(hits, ["request"], "git_id").select("request", "git_id", "name")
+    lengths = [r[0] for r in req.select(F.length("request")).distinct().collect() if r[0] is not None]
+    pieces = [_substrings(n) for n in lengths]
+    if not pieces:
+        return req.select("request", F.lit(None).cast(repos.schema["git_id"].dataType).alias("git_id"), F.lit(None).cast("string").alias("name"))
+    hits = repos.select("git_id", "name", F.explode(F.array_distinct(F.concat(*pieces))).alias("request"))
+    first = hits.groupBy("request").agg(F.min(F.struct("git_id", "name")).alias("r")).select("request", "r.git_id", "r.name")
     return req.join(first, "request", "left")
 
 
+def _substrings(n: int):
+    """All substrings of ``name`` of length ``n``."""
+    none = F.expr("CAST(array() AS array<string>)")
+    if n == 0:
+        return F.array(F.lit(""))
+    every = F.transform(F.sequence(F.lit(1), F.length("name") - (n - 1)), lambda i: F.substring(F.col("name"), i, F.lit(n)))
+    return F.when(F.length("name") >= n, every).otherwise(none)
+
+
 def deny_list(repos: DataFrame, denied: DataFrame, col: str = "name") -> DataFrame:
     """Drop repositories (or resources) named in the deny table."""
     return join_dimension(repos, denied.select(F.col(col)).distinct(), col, "left_anti")

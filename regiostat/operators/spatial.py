@@ -1,8 +1,9 @@
 """Point-in-polygon by equi-join.
 
-Points and polygon edges are bucketed by ``floor(y / bucket)``; a point only
-meets the edges of its own bucket row, and the even-odd crossing count of
-those edges decides containment.  No polygon-by-point product is formed.
+Polygons are bucketed by the square cells that their bounding box covers,
+points by the cell they lie in; a point only meets polygons of its own cell,
+carrying just their edges of its band, and the even-odd crossing count inside
+the row decides containment.  No polygon-by-point product is formed.
 """
 
 from __future__ import annotations
@@ -14,16 +15,23 @@ from pyspark.sql import functions as F
 def points_in_polygons(points: DataFrame, edges: DataFrame, bucket: float,
                        point_id: str = "pid", zone_id: str = "zone") -> DataFrame:
     """``points(pid, x, y)``, ``edges(zone, x1, y1, x2, y2)`` -> ``(pid, zone)``
-    for every polygon that contains the point (even-odd rule)."""
-    e = edges.filter(F.col("y1") != F.col("y2")).select(
-        zone_id, "x1", "y1", "x2", "y2",
-        F.explode(F.sequence(F.floor(F.least("y1", "y2") / bucket).cast("bigint"),
-                             F.floor(F.greatest("y1", "y2") / bucket).cast("bigint"))).alias("_b"))
-    p = points.select(point_id, F.col("x").alias("px"), F.col("y").alias("py"),
-                      F.floor(F.col("y") / bucket).cast("bigint").alias("_b"))
-    j = p.join(e, "_b")
-    straddles = (F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))
-    xcross = F.col("x1") + (F.col("py") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    hits = j.filter(straddles & (F.col("px") < xcross))
-    return (hits.groupBy(point_id, zone_id).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") % 2 == 1).select(point_id, zone_id))
+    for every polygon that contains the point (even-odd rule); ``bucket`` is
+    the side of a cell."""
+    def cell(c):
+        return F.floor(c / bucket).cast("bigint")
+
+    zones = (edges.groupBy(zone_id).agg(F.min(F.least("x1", "x2")).alias("xmin"), F.max(F.greatest("x1", "x2")).alias("xmax"),
+                                        F.min(F.least("y1", "y2")).alias("ymin"), F.max(F.greatest("y1", "y2")).alias("ymax"),
+                                        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("ring")))
+    bands = zones.select(zone_id, "xmin", "xmax", "ring", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax")))).alias("_cy"))
+    near = F.filter("ring", lambda e: (e["y1"] != e["y2"]) & (F.floor(F.least(e["y1"], e["y2"]) / bucket) <= F.col("_cy"))
+                    & (F.floor(F.greatest(e["y1"], e["y2"]) / bucket) >= F.col("_cy")))
+    cells = (bands.select(zone_id, "_cy", "xmin", "xmax", near.alias("ring"))
+             .select(zone_id, "_cy", "ring", F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))).alias("_cx")))
+    p = points.select(point_id, F.col("x").alias("px"), F.col("y").alias("py"), cell(F.col("x")).alias("_cx"), cell(F.col("y")).alias("_cy"))
+
+    def crosses(e):
+        straddles = (e["y1"] > F.col("py")) != (e["y2"] > F.col("py"))
+        return straddles & (F.col("px") < e["x1"] + (F.col("py") - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"]))
+
+    return p.join(cells, ["_cx", "_cy"]).filter(F.size(F.filter("ring", crosses)) % 2 == 1).select(point_id, zone_id)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiostat.config import DEFAULT_RESOLUTION, DEFAULT_START, MAX_TEXT_LENGTH, NUTS_VINTAGE
+from regiostat.functions.common import let
 from regiostat.functions.text import parse_boolean, sanitize_name_py
 from regiostat.functions.timefuncs import epoch_to_timestamp, normalize_granularity, parse_date_multi
 
@@ -94,7 +95,7 @@ def typed_value(raw: Column, declared: str) -> Column:
         return parse_date_multi(raw).cast("date")
     if t == "geometry":
         from regiostat.functions.geometry import ewkt_parse
-        return F.when(raw.isNotNull(), ewkt_parse(raw))
+        return let(ewkt_parse(raw), lambda g: F.when(g["parts"].isNotNull(), g))
     if t == "string":
         return raw
     return raw.try_cast(t)

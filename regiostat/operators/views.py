@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiostat.operators.joins import maybe_broadcast
-
 
 def drop_colliding_columns(fact: DataFrame, region: DataFrame) -> list[str]:
     """Fact columns whose (case-insensitive) name is not a region column."""
@@ -25,10 +23,10 @@ def layer_view(fact: DataFrame, time_dim: DataFrame | None, region: DataFrame |
     rk = region_key if region_key in cols else "_rk"
     if time_dim is not None and "fk_time_id" in fact.columns:
         t = time_dim.select(F.col("id").alias("_tid"), F.col("timestamp").alias("timestamp"))
-        out = out.join(maybe_broadcast(t), F.col("fk_time_id") == F.col("_tid"), "left").drop("_tid")
+        out = out.join(t, F.col("fk_time_id") == F.col("_tid"), "left").drop("_tid")
     if region is not None and rk in out.columns:
         r = region.select(*[F.col(c).alias(c) for c in region.columns], F.col("gid").alias("_rgid"))
-        out = out.join(maybe_broadcast(r), F.col(rk) == F.col("_rgid"), "left").drop("_rgid")
+        out = out.join(r, F.col(rk) == F.col("_rgid"), "left").drop("_rgid")
         if rk == "_rk":
             out = out.drop("_rk")
     return out

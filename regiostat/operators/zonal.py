@@ -20,9 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regiostat.config import DEFAULT_SRID, STAT_DECIMAL
 from regiostat.functions.decimals import double_to_stat, to_stat
-from regiostat.operators.raster import Grid, nodata_mask
+from regiostat.functions.geometry import transform_to_laea
+from regiostat.operators.raster import Grid, mosaic_tiles, nodata_mask
 
+PARTS_TYPE = "array<array<array<struct<x:double,y:double>>>>"
 LAU_STAT_COLUMNS = ["count", "sum", "mean", "stddev", "min", "max"]
 
 
@@ -112,6 +115,17 @@ def clip_values(segments: DataFrame, tiles: DataFrame, ids: tuple[str, ...] = ("
     return v.drop("nodata")
 
 
+def to_grid(geom: str, grid: Grid):
+    """Zone geometry in the grid's reference system: unchanged when it says
+    nothing or says the same, projected (G5) from geographic coordinates when
+    the grid is EPSG:3035, without parts (no pixels) otherwise."""
+    g = F.col(geom)
+    same = g["srid"].isNull() | (g["srid"] == grid.srid)
+    if grid.srid != DEFAULT_SRID:
+        return F.when(same, g).otherwise(F.struct(g["srid"].alias("srid"), g["type"].alias("type"), F.lit(None).cast(PARTS_TYPE).alias("parts")))
+    return F.when(same, g).otherwise(transform_to_laea(g))
+
+
 def zone_values(zones: DataFrame, tiles: DataFrame, grid: Grid, geom: str = "geom",
                 ids: tuple[str, ...] = ("gid",), mask_nodata: bool = True) -> DataFrame:
     spans = zone_spans(zone_edges(zones, geom, ids), grid, ids)
@@ -119,14 +133,22 @@ def zone_values(zones: DataFrame, tiles: DataFrame, grid: Grid, geom: str = "geo
 
 
 def zonal_stats(zones: DataFrame, tiles: DataFrame, grid: Grid, time_ids: list[int],
-                geom: str = "geom", ids: tuple[str, ...] = ("gid", "comm_id")) -> DataFrame:
+                geom: str = "geom", ids: tuple[str, ...] = ("gid", "comm_id"), overlaps: bool = False) -> DataFrame:
     """A1 + J9: per zone and time: count, sum, mean, stddev (population),
     min, max of valid pixels, stored as ``decimal(20,2)``; zones without
-    pixels keep a row with NULL statistics for every requested time."""
-    vals = zone_values(zones, tiles, grid, geom, ids)
+    pixels keep a row with NULL statistics for every requested time.
+
+    Only tiles of ``time_ids`` are read; zones in geographic coordinates are
+    projected to the grid; with ``overlaps`` the layers of a time are united
+    first (A8), so no position counts twice.  Sums are exact decimals, so
+    they do not depend on the order of the rows."""
+    wanted = tiles.filter(F.col("fk_time_id").isin([int(t) for t in time_ids]))
+    own = zones.select(*ids, to_grid(geom, grid).alias(geom))
+    vals = zone_values(own, mosaic_tiles(wanted) if overlaps else wanted, grid, geom, ids)
+    exact = F.col("value").cast("decimal(28,6)")
     agg = vals.groupBy(*ids, "fk_time_id").agg(
-        F.count(F.lit(1)).alias("count"), to_stat(F.sum("value")).alias("sum"),
-        double_to_stat(F.avg("value")).alias("mean"), double_to_stat(F.stddev_pop("value")).alias("stddev"),
+        F.count(F.lit(1)).alias("count"), to_stat(F.sum(exact)).alias("sum"),
+        (F.sum(exact) / F.count(F.lit(1))).cast("decimal(38,6)").cast(STAT_DECIMAL).alias("mean"), double_to_stat(F.stddev_pop("value")).alias("stddev"),
         to_stat(F.min("value")).alias("min"), to_stat(F.max("value")).alias("max"))
     grid_rows = zones.select(*ids, F.explode(F.array(*[F.lit(t).cast("bigint") for t in time_ids]))
                              .alias("fk_time_id"))

@@ -260,7 +260,7 @@ def _raw_tabular(self) -> DataFrame:
     k = F.col("o_orderkey")
     tt = self.time_text()
     lau = self.lau().select(F.col("gid").alias("o_custkey"), "nuts_id")
-    j = tt.join(F.broadcast(lau), "o_custkey", "left")
+    j = tt.join(lau, "o_custkey", "left")
     price = F.col("o_totalprice").cast("decimal(20,2)").cast("string")
     return j.select(
         F.when(k % 50 == 0, F.lit("ZZ999")).otherwise(F.lower("nuts_id")).alias("key"),

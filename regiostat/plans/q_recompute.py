@@ -9,7 +9,6 @@ from regiostat.config import DEFAULT_SRID
 from regiostat.operators import checks as C
 from regiostat.operators import hierarchy as H
 from regiostat.operators import recompute as R
-from regiostat.operators.joins import maybe_broadcast
 from regiostat.plans.fixture_sql import with_ctes
 from regiostat.plans.fixtures import RECOMPUTE_PREFIX, Fixtures
 from regiostat.plans.q_hierarchy import all_levels_sql, level_sql, nuts3_sql, stat_sql
@@ -104,7 +103,7 @@ def q_recompute_batch(spark, sf):
     """All datasets of the parameter table through one plan (no per-dataset
     loop): the list is a broadcast semi-join, ``dataset`` a grouping key."""
     fx = Fixtures(spark, sf)
-    todo = maybe_broadcast(dataset_list(spark, sf).select(F.col("dataset_name").alias("dataset")))
+    todo = dataset_list(spark, sf).select(F.col("dataset_name").alias("dataset"))
     stats = fx.dataset_stats().join(todo, "dataset", "left_semi")
     return H.rollup_all(stats, fx.lau(), fx.nuts(), extra_keys=("dataset",))
 

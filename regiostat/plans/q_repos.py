@@ -52,7 +52,7 @@ UNION ALL SELECT 'missing_repo_' || CAST(n_nationkey AS VARCHAR) FROM nation WHE
 
 def requests(spark, sf):
     fx = Fixtures(spark, sf)
-    a = fx.t("supplier").filter(F.col("s_suppkey") % 10 == 0).select(F.substring("s_name", 13, 1000).alias("request"))
+    a = fx.t("supplier").filter(F.col("s_suppkey") % 10 == 0).select(F.expr("substring(s_name, 13)").alias("request"))
     b = fx.t("nation").filter(F.col("n_nationkey") < 3).select(
         F.concat(F.lit("missing_repo_"), F.col("n_nationkey").cast("string")).alias("request"))
     return a.unionByName(b)

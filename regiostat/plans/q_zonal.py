@@ -180,7 +180,7 @@ def q_mosaic(spark, sf):
 
 
 def _pyramid_sql(levels: int = 3) -> str:
-    parts, prev = [], "(SELECT fk_time_id, col, row, value FROM px WHERE fk_time_id = 1 AND value <> -9999.0)"
+    parts, prev = [], "(SELECT fk_time_id, col, row, value FROM px WHERE value <> -9999.0)"
     ctes = []
     for lvl in range(1, levels + 1):
         name = f"lv{lvl}"
@@ -196,7 +196,7 @@ def _pyramid_sql(levels: int = 3) -> str:
 @register("overview_pyramid", _pyramid_sql())
 def q_overview_pyramid(spark, sf):
     fx = Fixtures(spark, sf)
-    base = RA.nodata_mask(fx.pixels_layer(1).withColumn("nodata", F.lit(-9999.0)))
+    base = RA.nodata_mask(fx.pixels().withColumn("nodata", F.lit(-9999.0)))
     p = RA.overview_pyramid(base, 3)
     return p.withColumn("value", F.col("value").cast("decimal(38,6)"))
 

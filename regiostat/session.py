@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,26 +37,55 @@ def get_spark(master: str | None = None, app: str = "regiostat",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when nothing is set
-    (local tests) a folder under the system temp dir is created.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only a session that runs in
+    one process (local tests) may do without: it gets a folder under the
+    system temp dir.  Anywhere else that folder would not be shared, so a
+    missing setting is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="regiostat-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
+#: Staged paths of each application, in order of creation.
+_STAGED: list[str] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "regiostat-stage", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path below the shared checkpoint folder.  It is deleted when
+    the application ends, or at the end of a :func:`staged_tables` block."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/regiostat-stage/{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    _STAGED.append(path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table folder, wherever it is stored."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession):
+    """Tables staged inside the block are deleted at its end; results that
+    read them must be written or collected before."""
+    mark = len(_STAGED)
+    try:
+        yield
+    finally:
+        for path in _STAGED[mark:]:
+            drop_path(spark, path)
+        del _STAGED[mark:]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,17 +100,3 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def tune_for_scale(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
-                   max_partitions: int = 20000) -> int:
-    """Size shuffles for a large input: initial shuffle partitions from the
-    input size (AQE coalesces small ones and splits skewed ones at run time),
-    scan splits of ``partition_bytes``.  Returns the partition count."""
-    n = max(200, min(max_partitions, input_bytes // partition_bytes + 1))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes // 2))
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    return int(n)

@@ -21,9 +21,9 @@ def test_time_dim_upsert_is_idempotent(spark):
     assert sorted(r.id for r in d3.collect()) == [1, 2, 3]
 
 
-def test_dense_id_large_path_matches_row_number(spark):
+def test_dense_id_matches_row_number(spark):
     df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5003).alias("k"))
-    big = D.dense_id(df, ["k"], start=10, small_max_rows=0)
+    big = D.dense_id(df, ["k"], start=10)
     ref = df.withColumn("id", F.row_number().over(Window.orderBy("k")) + 9)
     assert sorted(tuple(r) for r in big.collect()) == sorted(tuple(r) for r in ref.collect())
 

@@ -31,7 +31,8 @@ MSG_NO_GEOMETRY = ("no geometry provided (nuts/lau reference [attribute spatial_
                    "needed.")
 MSG_PROFILE = ("'profile' contains an unsupported value! Use only vector-data-resource, raster-data-resource or "
                "tabular-data-resource")
-MSG_NO_MANIFEST = "datapackage.json not found"
+MSG_NO_MANIFEST = "datapackage.json file missing or not in correct directory"
+MSG_NO_DATA = "data directory missing"
 MSG_CORRUPT = "datapackage.json is not valid JSON"
 
 # Required resource properties per profile, in check order.
@@ -52,8 +53,9 @@ class Rule:
     profile: str | None   # None = package level
 
 
-def _incomplete(fields: Column) -> Column:
-    return F.exists(fields, lambda f: f["name"].isNull() | f["unit"].isNull() | f["type"].isNull())
+def _lacks(keys: Column, key: str) -> Column:
+    """The key is not there; one with a null value is."""
+    return ~F.array_contains(keys, key)
 
 
 def resource_rule_table():
@@ -64,7 +66,7 @@ def resource_rule_table():
         for i, p in enumerate(props):
             base = 10 * (i + 1)
             out.append((Rule(PROP_RULE[prof], base, "missing", f"resources/{p}", prof),
-                        lambda r, ex, p=p: r[p].isNull()))
+                        lambda r, ex, p=p: _lacks(r["keys"], p)))
             if p == "name":
                 out.append((Rule("v_name", base + 1, "error", MSG_NAME_LONG, prof),
                             lambda r, ex: name_too_long(r["name"])))
@@ -72,22 +74,22 @@ def resource_rule_table():
                             lambda r, ex: has_file_extension(r["name"])))
     for prof in (VECTOR, RASTER):
         out.append((Rule("v_path", 100, "error", MSG_PATH, prof), lambda r, ex: r["path"].isNotNull() & ~ex))
-    out.append((Rule("v_epsg", 110, "missing", "vector/epsg", VECTOR), lambda r, ex: r["vector"]["epsg"].isNull()))
-    out.append((Rule("v_epsg", 110, "missing", "raster/epsg", RASTER), lambda r, ex: r["raster"]["epsg"].isNull()))
+    out.append((Rule("v_epsg", 110, "missing", "vector/epsg", VECTOR), lambda r, ex: _lacks(r["vector_keys"], "epsg")))
+    out.append((Rule("v_epsg", 110, "missing", "raster/epsg", RASTER), lambda r, ex: _lacks(r["raster_keys"], "epsg")))
     out.append((Rule("v_geometry_type", 120, "missing", "vector/geometry_type", VECTOR),
-                lambda r, ex: r["vector"]["geometry_type"].isNull()))
+                lambda r, ex: _lacks(r["vector_keys"], "geometry_type")))
     out.append((Rule("v_geometry_type", 121, "error", MSG_GEOM_TYPE, VECTOR),
                 lambda r, ex: ~F.lower(r["vector"]["geometry_type"]).isin(*GEOMETRY_TYPES)))
     out.append((Rule("v_vector_schema", 130, "missing", "vector/schema", VECTOR),
-                lambda r, ex: r["vector"]["schema"].isNull()))
+                lambda r, ex: _lacks(r["vector_keys"], "schema")))
     out.append((Rule("v_vector_schema", 131, "error", MSG_VECTOR_SCHEMA, VECTOR),
-                lambda r, ex: r["vector"]["schema"].isNull() | _incomplete(r["vector"]["schema"])))
+                lambda r, ex: _lacks(r["vector_keys"], "schema") | ~F.coalesce(r["vector_complete"], F.lit(True))))
     fields = lambda r: r["schema"]["fields"]
     out.append((Rule("v_tabular_fields", 140, "missing", "fields", TABULAR),
-                lambda r, ex: r["schema"].isNotNull() & fields(r).isNull()))
+                lambda r, ex: ~_lacks(r["keys"], "schema") & _lacks(r["schema_keys"], "fields")))
     out.append((Rule("v_tabular_fields", 141, "error", MSG_TABULAR_SCHEMA, TABULAR),
-                lambda r, ex: r["schema"].isNull() | F.coalesce(_incomplete(fields(r)), F.lit(False))))
-    spatial = lambda r: r["spatial_resolution"].isNotNull() & r["spatial_key_field"].isNotNull()
+                lambda r, ex: _lacks(r["keys"], "schema") | ~F.coalesce(r["fields_complete"], F.lit(True))))
+    spatial = lambda r: ~_lacks(r["keys"], "spatial_resolution") & ~_lacks(r["keys"], "spatial_key_field")
     names = lambda r: F.coalesce(F.transform(fields(r), lambda f: f["name"]), F.array().cast("array<string>"))  # noqa
     has_geom = lambda r: F.coalesce(F.exists(fields(r), lambda f: f["type"] == "geometry"), F.lit(False))  # noqa
     out.append((Rule("v_spatial_key", 150, "error", MSG_SPATIAL_KEY, TABULAR),
@@ -138,18 +140,25 @@ def package_violations(manifests: DataFrame) -> DataFrame:
     """V2, V3 over S1 output (valid JSON only)."""
     m = manifests.filter(~F.col("corrupt")).withColumn("ridx", F.lit(None).cast("int"))
     prof, res = F.col("m.profile"), F.col("m.resources")
-    conds = [prof.isNull(), res.isNull(),
+    conds = [_lacks(F.col("m.keys"), "profile"), _lacks(F.col("m.keys"), "resources"),
              (F.size(res) > 0) & ~F.coalesce(prof.isin(VECTOR, RASTER, TABULAR), F.lit(False))]
     return _explode_rules(m, [_emit(rule, c) for rule, c in zip(PACKAGE_RULES, conds)])
 
 
 def repo_layout_violations(packages: DataFrame, listing: DataFrame) -> DataFrame:
-    """V1: packages without a ``datapackage.json`` in the listing."""
+    """V1: packages without a ``datapackage.json``, or with one but without a
+    file below ``data/``, in the listing."""
     have = listing.filter(F.col("path").endswith("/datapackage.json")).select(
         F.regexp_extract("path", r"^(.*)/datapackage\.json$", 1).alias("package")).distinct()
-    miss = packages.select("package").distinct().join(have, "package", "left_anti")
-    return miss.select("package", F.lit(None).cast("int").alias("ridx"), F.lit("v_repo_layout").alias("rule"),
-                       F.lit(0).alias("ord"), F.lit("missing").alias("kind"), F.lit(MSG_NO_MANIFEST).alias("message"))
+    data = listing.select(F.regexp_extract("path", r"^(.*?)/data/", 1).alias("package")).filter("package <> ''").distinct()
+    known = packages.select("package").distinct()
+
+    def rows(df: DataFrame, order: int, message: str) -> DataFrame:
+        return df.select("package", F.lit(None).cast("int").alias("ridx"), F.lit("v_repo_layout").alias("rule"),
+                         F.lit(order).alias("ord"), F.lit("missing").alias("kind"), F.lit(message).alias("message"))
+
+    return (rows(known.join(have, "package", "left_anti"), 0, MSG_NO_MANIFEST)
+            .unionByName(rows(known.join(have, "package", "left_semi").join(data, "package", "left_anti"), 1, MSG_NO_DATA)))
 
 
 def corrupt_manifests(manifests: DataFrame) -> DataFrame:
@@ -208,7 +217,7 @@ def geometry_column_count(resources: DataFrame) -> DataFrame:
     n = F.when(fl.isNull(), F.lit(0)).otherwise(
         F.size(F.filter(fl, lambda f: F.lower(f["type"]).isin("geom", "geometry"))))
     sr = F.col("r.spatial_resolution")
-    has_spatial = sr.isNotNull() & F.col("r.spatial_key_field").isNotNull()
+    has_spatial = ~_lacks(F.col("r.keys"), "spatial_resolution") & ~_lacks(F.col("r.keys"), "spatial_key_field")
     missing = F.when(has_spatial, (F.lower(sr) == "none") & (n <= 0)).otherwise(n <= 0)
     return t.select("package", "ridx", n.alias("n_geom"), missing.alias("missing_geometry"))
 

@@ -7,6 +7,9 @@ parses exactly the same text.  Defects follow from the part key:
 % 17 no epsg, % 19 geometry type ``blob``, % 23 field without unit,
 % 29 unknown spatial key field, % 31 no spatial reference, % 37 cut-off JSON;
 % 41 declared files absent from the listing, % 47 no ``datapackage.json``.
+Valid but unusual: % 43 contributors that are texts, % 53 ``doubleQuote`` as
+text, % 59 ``temporal`` as text, % 61 ``"unit": null``, % 67 a name ending
+``.CSV`` (the suffix test goes by case).
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ K = "CAST(p_partkey AS STRING)"
 
 def _res(i: int) -> str:
     nm = (f"CASE WHEN p_partkey % 11 = 0 THEN rpad('res_' || {K} || '_{i}_', 60, 'x') "
-          f"ELSE 'res_' || {K} || '_{i}' END || CASE WHEN p_partkey % 13 = 0 THEN '.csv' ELSE '' END")
+          f"ELSE 'res_' || {K} || '_{i}' END || CASE WHEN p_partkey % 13 = 0 THEN '.csv' WHEN p_partkey % 67 = 0 THEN '.CSV' ELSE '' END")
     ext = "CASE p_partkey % 4 WHEN 0 THEN 'shp' WHEN 1 THEN 'tif' WHEN 2 THEN 'csv' ELSE 'dat' END"
     vector = ("'\"vector\": {' || CASE WHEN p_partkey % 17 = 0 THEN '' ELSE '\"epsg\": \"3035\", ' END "
               "|| '\"geometry_type\": \"' || CASE WHEN p_partkey % 19 = 0 THEN 'blob' ELSE 'Polygon' END "
@@ -24,26 +27,27 @@ def _res(i: int) -> str:
               "ELSE '\"unit\": \"m\", ' END || '\"type\": \"integer\"}, {\"name\": \"b\", \"unit\": \"\", "
               "\"type\": \"string\"}]}'")
     raster = "'\"raster\": {' || CASE WHEN p_partkey % 17 = 0 THEN '' ELSE '\"epsg\": \"3035\"' END || '}'"
-    tabular = ("'\"encoding\": \"utf-8\", \"dialect\": {\"delimiter\": \",\", \"doubleQuote\": true}, "
+    tabular = ("'\"encoding\": \"utf-8\", \"dialect\": {\"delimiter\": \",\", \"doubleQuote\": ' || CASE WHEN p_partkey % 53 = 0 THEN '\"true\"' ELSE 'true' END || '}, "
                "\"schema\": {\"fields\": [{\"name\": \"nuts_id\", \"unit\": \"\", \"type\": \"string\"}, "
                "{\"name\": \"value\", ' || CASE WHEN p_partkey % 23 = 0 THEN '' ELSE '\"unit\": \"EUR\", ' END "
                "|| '\"type\": \"number\"}' || CASE WHEN p_partkey % 3 = 2 THEN ', {\"name\": \"geom\", "
                "\"unit\": \"\", \"type\": \"geometry\"}' ELSE '' END || ']}' "
                "|| CASE WHEN p_partkey % 31 = 0 THEN '' ELSE ', \"spatial_resolution\": \"NUTS 3\", "
                "\"spatial_key_field\": \"' || CASE WHEN p_partkey % 29 = 0 THEN 'nuts_code' ELSE 'nuts_id' END "
-               "|| '\"' END || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE ', \"temporal\": {\"start\": "
+               "|| '\"' END || CASE WHEN p_partkey % 59 = 0 THEN ', \"temporal\": \"2015\"' WHEN p_partkey % 3 = 0 THEN '' ELSE ', \"temporal\": {\"start\": "
                "\"2015-01-01\", \"end\": \"2015-12-31\"}' END || CASE WHEN p_partkey % 5 = 0 THEN '' "
                "ELSE ', \"temporal_resolution\": \"year\"' END")
     body = f"CASE p_partkey % 4 WHEN 0 THEN {vector} WHEN 1 THEN {raster} WHEN 2 THEN {tabular} ELSE '\"extra\": \"x\"' END"
     return (f"'{{' || CASE WHEN p_partkey % 7 = 0 THEN '' ELSE '\"name\": \"' || {nm} || '\", ' END "
             f"|| '\"path\": \"data/res_' || {K} || '_{i}.' || {ext} || '\", \"format\": \"' || {ext} "
-            f"|| '\", \"unit\": \"MWh\", ' || {body} || '}}'")
+            f"|| '\", \"unit\": ' || CASE WHEN p_partkey % 61 = 0 THEN 'null' ELSE '\"MWh\"' END || ', ' || {body} || '}}'")
 
 
 _PROFILE = ("CASE p_partkey % 4 WHEN 0 THEN 'vector-data-resource' WHEN 1 THEN 'raster-data-resource' "
             "WHEN 2 THEN 'tabular-data-resource' ELSE 'unsupported-resource' END")
 _FULL = (f"'{{\"profile\": \"' || {_PROFILE} || '\", \"name\": \"pkg' || {K} || '\", \"version\": \"1.0\", "
-         f"\"contributors\": [{{\"title\": \"team' || CAST(p_partkey % 5 AS STRING) || '\"}}], \"resources\": [' "
+         f"\"contributors\": [' || CASE WHEN p_partkey % 43 = 0 THEN '\"me\"' ELSE '{{\"title\": \"team' || CAST(p_partkey % 5 AS STRING) || '\"}}' END "
+         f"|| '], \"resources\": [' "
          f"|| {_res(0)} || CASE WHEN p_partkey % 2 = 1 THEN ', ' || {_res(1)} ELSE '' END || ']}}'")
 
 # the manifest text of one part row (same SQL in Spark and DuckDB)

@@ -21,6 +21,7 @@ from regiostat.operators import tabular as TB
 from regiostat.operators import validate as V
 from regiostat.operators import zonal as Z
 from regiostat.operators.raster import Grid
+from regiostat.session import materialize
 from regiostat.sources import manifest as M
 from regiostat.sources import sinks as SK
 from regiostat.sources.csv import read_csv_dataset
@@ -47,11 +48,16 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
 
 def validate_packages(spark: SparkSession, root: str) -> Validation:
     """V1-V16 for every ``<root>/<package>/datapackage.json``."""
-    m = M.read_manifest_files(spark, f"{root.rstrip('/')}/*/datapackage.json")
-    res = M.manifest_resources(m)
     listing = file_listing(spark, root)
-    viol = V.all_violations(m, res, listing).unionByName(V.corrupt_manifests(m))
-    return Validation(m, res, viol, V.validation_gate(m, viol), V.validation_report(viol))
+    packages = listing.select(F.split("path", "/")[0].alias("package")).distinct()
+    m = materialize(M.read_manifest_files(spark, f"{root.rstrip('/')}/*/datapackage.json"), "manifests")
+    res = M.manifest_resources(m)
+    viol = (V.all_violations(m, res, listing).unionByName(V.corrupt_manifests(m))
+            .unionByName(V.repo_layout_violations(packages, listing)))
+    # a package without a manifest is judged too: it has no row among the manifests
+    judged = m.select("package", "corrupt").unionByName(
+        packages.join(m.select("package"), "package", "left_anti").withColumn("corrupt", F.lit(False)))
+    return Validation(m, res, viol, V.validation_gate(judged, viol), V.validation_report(viol))
 
 
 def _fields(resource: dict) -> list[TB.FieldSpec]:

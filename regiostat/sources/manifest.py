@@ -1,7 +1,11 @@
 """Dataset manifests (S1, S2, F15): ``datapackage.json`` as nested rows.
 
-The schema is explicit; malformed JSON lands in ``_corrupt_record`` and is
-reported as an issue instead of stopping the run.
+The schema is explicit.  Only text that is no JSON is corrupt (an issue
+instead of a stop); a value of another type than expected is read as far as it
+goes.  Fields that come in several shapes (contributors, doubleQuote,
+temporal) are read as text first, and which keys a resource *has* is kept
+beside their values, because ``"unit": null`` is there and ``unit`` left out
+is not.
 """
 
 from __future__ import annotations
@@ -21,37 +25,71 @@ RESOURCE = T.StructType([
                                           T.StructField("schema", T.ArrayType(FIELD))])),
     T.StructField("raster", T.StructType([T.StructField("epsg", S)])),
     T.StructField("schema", T.StructType([T.StructField("fields", T.ArrayType(FIELD))])),
-    T.StructField("dialect", T.StructType([T.StructField("delimiter", S), T.StructField("doubleQuote", T.BooleanType())])),
+    T.StructField("dialect", T.StructType([T.StructField("delimiter", S), T.StructField("doubleQuote", S)])),
     T.StructField("spatial_resolution", S), T.StructField("spatial_key_field", S),
-    T.StructField("temporal", T.StructType([T.StructField("start", S), T.StructField("end", S)])),
+    T.StructField("temporal", S),
     T.StructField("temporal_resolution", S),
 ])
 MANIFEST = T.StructType([
     T.StructField("profile", S), T.StructField("name", S), T.StructField("version", S),
-    T.StructField("contributors", T.ArrayType(T.StructType([T.StructField("title", S)]))),
-    T.StructField("resources", T.ArrayType(RESOURCE)),
-    T.StructField("_corrupt_record", S),
+    T.StructField("contributors", S), T.StructField("resources", T.ArrayType(S)),
 ])
+CONTRIBUTORS = T.ArrayType(T.StructType([T.StructField("title", S)]))
+TEMPORAL = T.StructType([T.StructField("start", S), T.StructField("end", S)])
+#: What a complete field description has.
+FIELD_KEYS = ("name", "unit", "type")
+
+
+def _keys(json: Column, path: str = "$") -> Column:
+    """Keys of the object at ``path`` (empty if there is none)."""
+    return F.coalesce(F.json_object_keys(F.get_json_object(json, path)), F.array().cast("array<string>"))
+
+
+def _complete(json: Column, path: str) -> Column:
+    """Every entry of the list at ``path`` has all of :data:`FIELD_KEYS`."""
+    entries = F.from_json(F.get_json_object(json, path), "array<string>")
+    return F.forall(entries, lambda x: F.size(F.array_intersect(_keys(x), F.array(*[F.lit(k) for k in FIELD_KEYS]))) == len(FIELD_KEYS))
+
+
+def _resource(json: Column) -> Column:
+    """JSON text of one resource -> struct: the values of :data:`RESOURCE`
+    and ``keys``, ``vector_keys``, ``raster_keys``, ``schema_keys``,
+    ``vector_complete``, ``fields_complete``."""
+    def typed(r: Column) -> Column:
+        values = []
+        for f in RESOURCE.fields:
+            v = r[f.name]
+            if f.name == "dialect":
+                double = F.lower(v["doubleQuote"])
+                quote = F.when(double == "true", True).when(double == "false", False)
+                v = F.when(v.isNotNull(), F.struct(v["delimiter"].alias("delimiter"), quote.alias("doubleQuote")))
+            elif f.name == "temporal":
+                v = F.from_json(v, TEMPORAL)
+            values.append(v.alias(f.name))
+        return F.struct(*values, _keys(json).alias("keys"), _keys(json, "$.vector").alias("vector_keys"), _keys(json, "$.raster").alias("raster_keys"),
+                        _keys(json, "$.schema").alias("schema_keys"), _complete(json, "$.vector.schema").alias("vector_complete"),
+                        _complete(json, "$.schema.fields").alias("fields_complete"))
+    return let(F.from_json(json, RESOURCE), typed)
 
 
 def parse_manifest(json_text: Column | str) -> Column:
-    """JSON text -> manifest struct; malformed text keeps the text in
-    ``_corrupt_record`` (PERMISSIVE mode)."""
+    """JSON text -> manifest struct, NULL if the text is no JSON."""
     c = F.col(json_text) if isinstance(json_text, str) else json_text
-    return F.from_json(c, MANIFEST, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+
+    def typed(m: Column) -> Column:
+        people = F.filter(F.from_json(m["contributors"], CONTRIBUTORS), lambda x: x["title"].isNotNull())
+        return F.struct(m["profile"].alias("profile"), m["name"].alias("name"), m["version"].alias("version"), people.alias("contributors"),
+                        F.transform(m["resources"], _resource).alias("resources"), _keys(c).alias("keys"))
+
+    return F.when(F.try_parse_json(c).isNotNull(), let(F.from_json(c, MANIFEST), typed))
 
 
 def manifest_scan(texts: DataFrame, package_col: str = "package", text_col: str = "json") -> DataFrame:
     """S1 over a (package, json text) frame: one row per package with
     ``m`` (the struct) and ``corrupt`` (bool)."""
-    def flagged(m: Column) -> Column:
-        corrupt = m["_corrupt_record"].isNotNull() | m.isNull()
-        # a partly parsed malformed document is not trusted: keep only the flag
-        return F.struct(F.when(~corrupt, m).alias("m"), corrupt.alias("corrupt"))
-
     # parse once per document, however often the result is used downstream:
     # the generator output is a fresh column that projections cannot inline
-    return texts.select(package_col, F.inline(F.array(let(parse_manifest(text_col), flagged))))
+    return texts.select(package_col, F.inline(F.array(let(parse_manifest(text_col), lambda m: F.struct(m.alias("m"), m.isNull().alias("corrupt"))))))
 
 
 def read_manifest_files(spark: SparkSession, path_glob: str) -> DataFrame:

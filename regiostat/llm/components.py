@@ -9,30 +9,41 @@ from regiostat.session import materialize
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``(node, component)`` of every node of ``links(a, b)``; the component
-    is its least node.
+    """``(node, component)`` of the nodes of ``links(a, b)`` that are not the
+    least of their component; the component is its least node.
 
     Each round every node points to its least neighbour, if that is less
     than itself; chains of pointers are followed to their ends by doubling;
-    links between different ends form the next round's, smaller graph (every
-    node that has a link and is no local minimum goes away, at least half of
-    them).  Group sizes never matter: only minima per node are aggregated."""
-    edges = materialize(links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    nodes = materialize(edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-                        .select("node", F.col("node").alias("component")), "nodes")
-    while not edges.isEmpty():
-        up = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
-        up = materialize(up, "parents")
-        while True:  # parent of parent, until all point to a root
-            over = up.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-            up = materialize(up.join(over, "parent", "left").select("node", F.coalesce("grand", "parent").alias("parent"), F.col("grand").isNotNull().alias("moved")), "parents")
-            if up.where("moved").isEmpty():
-                break
-            up = up.select("node", "parent")
-        root = up.select("node", "parent")
-        nodes = materialize(nodes.join(root.select(F.col("node").alias("component"), "parent"), "component", "left")
-                            .select("node", F.coalesce("parent", "component").alias("component")), "nodes")
+    links between different ends form the next round's, smaller graph (at
+    least half of its nodes are gone).  Group sizes never matter: only minima
+    per node are aggregated."""
+    edges = materialize(_normal(links), "links")
+    found = None
+    while True:
+        up = _ends(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component")))
+        if found is None:
+            found = up
+        else:
+            over = up.select(F.col("node").alias("component"), F.col("component").alias("root"))
+            found = materialize(found.join(over, "component", "left").select("node", F.coalesce("root", "component").alias("component")).unionByName(up), "nodes")
         for end in ("a", "b"):
-            edges = edges.join(root.select(F.col("node").alias(end), "parent"), end, "left").withColumn(end, F.coalesce("parent", end)).drop("parent")
-        edges = materialize(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    return nodes
+            edges = edges.join(up.select(F.col("node").alias(end), "component"), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+        edges = materialize(_normal(edges), "links")
+        if edges.isEmpty():
+            return found
+
+
+def _normal(links: DataFrame) -> DataFrame:
+    return links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _ends(up: DataFrame) -> DataFrame:
+    """Pointers ``(node, component)`` followed until they all end at a node
+    that points nowhere."""
+    up = materialize(up, "pointers")
+    while True:
+        over = up.select(F.col("node").alias("component"), F.col("component").alias("next"))
+        up = materialize(up.join(over, "component", "left").select("node", F.coalesce("next", "component").alias("component"), F.col("next").isNotNull().alias("moved")), "pointers")
+        if up.where("moved").isEmpty():
+            return up.drop("moved")
+        up = up.drop("moved")

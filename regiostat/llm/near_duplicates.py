@@ -5,17 +5,17 @@
    samples folded into band keys, and an *odd sketch*: the parity bitmap of
    the samples.  Documents with equal sets form one class from here on, so
    exact copies cost one row, not pairs.
-2. Classes that share a band key are candidates.  In every bucket all classes
-   are compared with one pivot, its least one, never all with all.
+2. Classes that share a band key are candidates.  In a bucket of more than
+   ``small_bucket`` classes all are compared with one pivot, its least one,
+   never all with all.
 3. A candidate pair is dropped if the sizes rule the similarity out, or if the
    XOR of the sketches has so many bits that the estimate
    ``1 + n / 4k * ln(1 - 2 z / n)`` lies ``slack`` below the threshold (more
    than five standard errors); all others are compared on their full sets.
-4. Components of the links are taken.  Buckets whose classes still lie in
-   several components are taken up again: the large ones with two further
-   pivots, then all of them by pairs from different components, where the
-   sketch test is part of the join, so that only likely links come out of it.
-   Thus every pair with a common band key is either joined, in one component
+4. Components of the links are taken.  Large buckets whose classes still lie
+   in several components are taken up again with one further pivot, then by
+   pairs from different components, each looked at in the first band it shares,
+   with all tests inside the join, so that only links come out of it.  Thus every pair with a common band key is either joined, in one component
    already, or refused by a test.
 
 With 32 bands of 4 rows a pair at similarity 0.8 shares no band with a
@@ -44,6 +44,8 @@ from regiostat.session import materialize
 
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 256
+#: Rounds for buckets with several components; the last one is exhaustive.
+TURNS = 2
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,10 +128,8 @@ class _Finder:
                   .join(side.select(F.col("rep").alias("b"), F.struct("n", "sketch").alias("y")), "b"))
         return tested.where(_likely("x", "y", self.percent, self.slack)).select("a", "b")
 
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """Those pairs whose full sets are similar enough."""
-        pairs = materialize(pairs, "pairs")
-        ids = materialize(pairs.select(F.col("a").alias("i")).union(pairs.select(F.col("b").alias("i"))).distinct(), "ids")
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """``i, s``: the full shingle sets of the documents ``ids(i)``."""
         words = self.words
 
         def run(rows: pa.RecordBatch):
@@ -138,23 +138,45 @@ class _Finder:
                 doc, h = shingle_sets(data, offsets, words)
                 yield batch(i=rows["i"].slice(start, n), s=pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)), pa.array(h.view(np.int64))))
 
-        texts = join_ids(self.docs, ids, "i", "left_semi")
-        sets = materialize(map_rows(texts, run, f"i {texts.schema['i'].dataType.simpleString()}, s array<bigint>"), "sets")
+        texts = join_ids(self.docs, materialize(ids.distinct(), "ids"), "i", "left_semi")
+        return materialize(map_rows(texts, run, f"i {texts.schema['i'].dataType.simpleString()}, s array<bigint>"), "sets")
+
+    def similar(self, x: str, y: str) -> Column:
+        """The exact test of two sets."""
+        common = F.size(F.array_intersect(x, y))
+        return 100 * common >= self.percent * (F.size(x) + F.size(y) - common)
+
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        """Those pairs whose full sets are similar enough."""
+        pairs = materialize(pairs, "pairs")
+        sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("i")))
         both = (pairs.join(sets.select(F.col("i").alias("a"), F.col("s").alias("x")), "a")
                 .join(sets.select(F.col("i").alias("b"), F.col("s").alias("y")), "b"))
-        common = F.size(F.array_intersect("x", "y"))
-        return both.where(100 * common >= self.percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
-
-    def add(self, pairs: DataFrame) -> DataFrame:
-        """Confirm candidates and give the components of all links so far."""
-        self.links.append(materialize(self.confirm(pairs), "confirmed"))
+        return both.where(self.similar("x", "y")).select("a", "b").distinct()
+
+    def across(self, rest: DataFrame) -> DataFrame:
+        """Links between different components of a bucket.  Every pair is
+        looked at in the first band it shares only, and the size, sketch and
+        exact tests are all part of the join, so that nothing but links
+        comes out of it."""
+        sets = self.sets(rest.select(F.col("rep").alias("i")))
+        side = materialize(rest.select("bucket", "rep", "component").join(self.classes.select("rep", "n", "sketch", "bands"), "rep")
+                           .join(sets.select(F.col("i").alias("rep"), "s"), "rep"), "unsettled")
+        first = F.coalesce(*[F.when(F.col("x.bands")[i] == F.col("y.bands")[i], F.col("x.bands")[i]) for i in range(BANDS)])
+        meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component"))
+        tests = _likely("x", "y", self.percent, self.slack) & (first == F.col("x.bucket")) & self.similar("x.s", "y.s")
+        return side.alias("x").join(side.alias("y"), meet & tests).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+
+    def add(self, links: DataFrame) -> DataFrame:
+        """Take in confirmed links; the components of all links so far."""
+        self.links.append(materialize(links, "confirmed"))
         every = self.links[0]
         for more in self.links[1:]:
             every = every.unionAll(more)
         return components(every)
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, slack: float = 0.25, small_bucket: int = 32,
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, slack: float = 0.25, small_bucket: int = 8,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_shingles, component_id, kept`` of every row: documents are
     linked if their sets of ``words``-word shingles have at least ``percent``
@@ -167,31 +189,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, slack: f
     buckets = materialize(banded.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "buckets")
     members = materialize(banded.join(buckets, "bucket"), "members")
 
-    component = finder.add(finder.likely(members.where("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))))
-    # buckets of two are settled; of the others, those not in one component
-    members = members.where("size > 2").select("bucket", "rep", "size")
-    used = None
-    for _ in range(2):
-        open_ = _unsettled(members, component)
-        large = open_.where(F.col("size") > small_bucket)
-        if large.isEmpty():
+    # small buckets: every pair; large ones: every class with the pivot
+    small = members.where(F.col("size") <= small_bucket).select("bucket", "rep")
+    every = small.withColumnRenamed("rep", "a").join(small.withColumnRenamed("rep", "b"), "bucket").where("a < b").select("a", "b")
+    star = members.where((F.col("size") > small_bucket) & (F.col("rep") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+    component = finder.add(finder.confirm(finder.likely(every.unionByName(star))))
+    large, used = members.where(F.col("size") > small_bucket).select("bucket", "rep"), None
+    for turn in range(TURNS):
+        rest = _unsettled(large, component)
+        if rest is None:
             break
-        # the next pivot: the least class that lies outside the component of the bucket's least
-        pivots = large.where("component != least")
-        if used is not None:
-            pivots = pivots.join(used, ["bucket", "rep"], "left_anti")
-        pivots = materialize(pivots.groupBy("bucket").agg(F.min(F.struct("rep", "component")).alias("p")).select("bucket", "p.*"), "pivots")
-        mine = pivots.select("bucket", F.col("rep").alias("pivot"), F.col("component").alias("own"))
-        pairs = large.join(mine, "bucket").where("component != own").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-        component = finder.add(finder.likely(pairs))
-        used = pivots.select("bucket", "rep") if used is None else used.unionAll(pivots.select("bucket", "rep"))
-    rest = _unsettled(members, component)
-    if not rest.isEmpty():
-        side = materialize(rest.join(classes.select("rep", "n", "sketch"), "rep").select("bucket", "rep", "component", "n", "sketch"), "unsettled")
-        x, y = side.alias("x"), side.alias("y")
-        pairs = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _likely("x", "y", percent, slack))
-                 .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-        component = finder.add(pairs)
+        if turn < TURNS - 1:
+            # the next pivot: the least class outside the component of the bucket's least
+            pivots = rest.where("component != least")
+            if used is not None:
+                pivots = pivots.join(used, ["bucket", "rep"], "left_anti")
+            pivots = materialize(pivots.groupBy("bucket").agg(F.min(F.struct("rep", "component")).alias("p")).select("bucket", "p.*"), "pivots")
+            mine = pivots.select("bucket", F.col("rep").alias("pivot"), F.col("component").alias("own"))
+            pairs = rest.join(mine, "bucket").where("component != own").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+            links = finder.confirm(finder.likely(pairs))
+            used = pivots.select("bucket", "rep") if used is None else used.unionAll(pivots.select("bucket", "rep"))
+        else:
+            links = finder.across(rest)
+        component = finder.add(links)
 
     named = (classes.join(component.select(F.col("node").alias("rep"), "component"), "rep", "left")
              .select("h1", "h2", "n", F.coalesce("component", "rep").alias("component")))
@@ -213,10 +233,10 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     return once.unionAll(again).unionAll(docs.where(F.col(id_col).isNull()).dropDuplicates([text_col]))
 
 
-def _unsettled(members: DataFrame, component: DataFrame) -> DataFrame:
-    """``bucket, rep, size, component, least`` of the buckets with several components."""
+def _unsettled(members: DataFrame, component: DataFrame) -> DataFrame | None:
+    """``bucket, rep, component, least`` of the buckets with several
+    components; None if there is no such bucket."""
     now = (members.join(component.select(F.col("node").alias("rep"), "component"), "rep", "left")
            .withColumn("component", F.coalesce("component", "rep")))
-    now = materialize(now, "now")
     several = materialize(now.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").drop("most"), "several")
-    return materialize(now.join(several, "bucket"), "open")
+    return None if several.isEmpty() else materialize(now.join(several, "bucket"), "open")

@@ -18,7 +18,7 @@ probabilities of all kept seatings are averaged.
 
 Distribution.  1. Heavy words of every piece of the corpus give the contexts
 (at most ``max_contexts`` rows, broadcast).  2. Texts become blocks of about
-1.5 M tokens; a block's distinct (context, word) pairs with their training
+1 M tokens; a block's distinct (context, word) pairs with their training
 counts go, packed, to buckets: by word, or by pair if the word is itself one
 of the frequent ones, so that no word is hot.  3. A bucket merges the counts of
 its pairs over all blocks and samples their seating.  Restaurant totals, which
@@ -65,28 +65,32 @@ class Settings:
     burn: int = 2
     samples: int = 2
     seats: int = 16
-    block_tokens: int = 1_500_000
-    bucket_tokens: int = 6_000_000
+    block_tokens: int = 1_000_000
+    bucket_tokens: int = 3_000_000
 
 
-# packed arrays: smallest unsigned type, compressed
+_KINDS = (np.uint8, np.uint16, np.uint32, np.uint64)
+
 
 def pack(*arrays: np.ndarray) -> bytes:
-    press, parts = zstandard.ZstdCompressor(level=1), []
+    """Arrays of whole numbers as one compressed text: a list of (type,
+    length), then the values."""
+    heads, bodies = [len(arrays)], []
     for a in arrays:
         top = int(a.max()) if len(a) else 0
         kind = next(k for k, most in enumerate((1 << 8, 1 << 16, 1 << 32, 1 << 64)) if top < most)
-        body = press.compress(a.astype((np.uint8, np.uint16, np.uint32, np.uint64)[kind]).tobytes())
-        parts += [np.array([kind, len(a), len(body)], dtype=np.int64).tobytes(), body]
-    return b"".join(parts)
+        heads += [kind, len(a)]
+        bodies.append(a.astype(_KINDS[kind]).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.array(heads, dtype=np.uint32).tobytes() + b"".join(bodies))
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
-    press, out, at = zstandard.ZstdDecompressor(), [], 0
-    while at < len(data):
-        kind, n, size = np.frombuffer(data, np.int64, 3, at)
-        out.append(np.frombuffer(press.decompress(data[at + 24:at + 24 + size], max_output_size=max(1, int(n) << int(kind))), (np.uint8, np.uint16, np.uint32, np.uint64)[kind]))
-        at += 24 + int(size)
+    raw, out = zstandard.ZstdDecompressor().decompress(data), []
+    n = int(np.frombuffer(raw, np.uint32, 1)[0])
+    heads, at = np.frombuffer(raw, np.uint32, 2 * n, 4), 4 + 8 * n
+    for kind, size in heads.reshape(n, 2).tolist():
+        out.append(np.frombuffer(raw, _KINDS[kind], size, at))
+        at += size << kind
     return out
 
 

@@ -186,48 +186,56 @@ class IngestResult:
     rejected: DataFrame
     unmatched: DataFrame | None
     plan: SchemaPlan
+    issues: DataFrame
+
+
+REJECT_MESSAGE = "The dataset was not loaded: rows do not fit the declared types."
 
 
 def ingest_tabular(raw: DataFrame, fields: list[FieldSpec], regions: DataFrame | None,
                    spatial_resolution: str | None, key_field: str | None, time_dim: DataFrame | None,
                    temporal_resolution: str = DEFAULT_RESOLUTION, start_date: str = DEFAULT_START,
-                   vintage: str = NUTS_VINTAGE, all_or_nothing: bool = True) -> IngestResult:
+                   vintage: str = NUTS_VINTAGE, all_or_nothing: bool = True, dataset: str = "dataset") -> IngestResult:
     """S3 output -> typed fact table with region and time keys, ids and units.
 
-    ``all_or_nothing``: a dataset with any rejected row loads no rows (one
-    scalar count decides); otherwise rejected rows are left out.
-    """
+    One pass over the file types every row, flags the bad ones, looks up the
+    region and stores the result; everything else reads that table.  Ids
+    follow the storage order (no sort).  ``all_or_nothing``: a dataset with
+    any rejected row loads no rows and leaves an issue; otherwise rejected
+    rows are left out."""
     from regiostat.operators import dims as D
     plan = schema_plan(fields)
     typed = typed_projection(raw, plan)
     if any(c.column == "timestamp" for c in plan.columns):
         typed = typed.withColumn("_epoch_timestamp", F.col("_raw_timestamp"))
         typed = typed.withColumn("timestamp", epoch_to_timestamp(F.col("_raw_timestamp")))
-    accepted, rejected = reject_rows(typed, plan)
-    if all_or_nothing and rejected.limit(1).count() > 0:
-        accepted = accepted.limit(0)
-    fact, unmatched = accepted, None
+    typed = typed.withColumns({"_reject": reject_condition(plan), "_ts": row_time(typed, plan, start_date),
+                               "_gr": normalize_granularity(F.lit(temporal_resolution))})
     key = sanitize_name_py(key_field) if key_field else None
     res = (spatial_resolution or "").lower()
+    out = None
     if regions is not None and key and res.startswith(("nuts", "lau")):
-        code, vin, out = ("nuts_id", vintage, "fk_nuts_gid") if res.startswith("nuts") else ("comm_id", None,
-                                                                                               "fk_lau_gid")
-        unmatched = D.unmatched_region_keys(fact, key, regions, code, vin)
-        fact = D.region_key_join(fact, key, regions, code, vin, out)
-    gran = normalize_granularity(F.lit(temporal_resolution))
-    fact = fact.withColumn("_ts", row_time(fact, plan, start_date)).withColumn("_gr", gran)
-    if "_epoch_timestamp" in fact.columns:
-        fact = fact.drop("_epoch_timestamp")
-    # the typed, keyed rows feed the time dimension, the id numbering and
-    # the output: compute them once
-    fact = D.materialize(fact)
-    keys = fact.select(F.col("_ts").alias("timestamp"), F.col("_gr").alias("granularity"))
-    new_dim = D.materialize(D.time_dim_upsert(time_dim, keys))
-    fact = D.time_lookup(fact, new_dim, "_ts", "_gr").drop("_ts", "_gr")
+        code, vin, out = ("nuts_id", vintage, "fk_nuts_gid") if res.startswith("nuts") else ("comm_id", None, "fk_lau_gid")
+        dim = D.region_dimension(regions, code, vin)
+        typed = D.join_dimension(typed.withColumn("_code", F.upper(F.col(key))), dim, "_code", "left").drop("_code")
+    stored = D.materialize(typed, "typed")
+    n_bad = stored.agg(F.count(F.when(F.col("_reject"), 1))).first()[0]
+    names = [c.column for c in plan.columns]
+    rejected = stored.filter("_reject").select(*names, *[f"_raw_{c}" for c in names])
+    accepted = stored.filter(F.lit(False) if all_or_nothing and n_bad else ~F.col("_reject"))
+    unmatched = None
+    if out:
+        unmatched = accepted.filter("_gid IS NULL").groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n_rows"))
+        accepted = accepted.filter("_gid IS NOT NULL")
+    keys = accepted.select(F.col("_ts").alias("timestamp"), F.col("_gr").alias("granularity"))
+    new_dim = D.time_dim_upsert(time_dim, keys)
+    fact = D.time_lookup(accepted, new_dim, "_ts", "_gr").select(*names, *([F.col("_gid").alias(out)] if out else []), "fk_time_id")
     fact = unit_columns(fact, plan)
-    order = [c for c in fact.columns]
-    fact = D.dense_id(fact, order).select("id", *order)
-    return IngestResult(fact, new_dim, rejected, unmatched, plan)
+    columns = list(fact.columns)
+    issues = raw.sparkSession.range(1 if all_or_nothing and n_bad else 0).select(
+        F.lit(dataset).alias("dataset"), F.lit(f"Integration error {dataset}").alias("name"), F.lit(REJECT_MESSAGE).alias("description"),
+        F.lit("Dataset Provider improvement needed").alias("issue_type"), F.lit(None).cast("array<string>").alias("tags"), F.lit(n_bad).cast("bigint").alias("n_messages"))
+    return IngestResult(D.serial_id(fact).select("id", *columns), new_dim, rejected, unmatched, plan, issues)
 
 
 def add_missing_column(df: DataFrame, name: str, dtype: str) -> DataFrame:

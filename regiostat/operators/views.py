@@ -32,6 +32,15 @@ def layer_view(fact: DataFrame, time_dim: DataFrame | None, region: DataFrame |
     return out
 
 
+def layer_view_sql(fact_path: str, fact_columns: list[str], time_path: str, region_path: str, region_columns: list[str],
+                   region_key: str = "fk_nuts_gid") -> str:
+    """J7 as SQL over stored tables, for a view in the catalog."""
+    taken = {c.lower() for c in region_columns}
+    cols = [f"f.`{c}`" for c in fact_columns if c.lower() not in taken] + ["t.`timestamp`"] + [f"r.`{c}`" for c in region_columns]
+    return (f"SELECT {', '.join(cols)} FROM parquet.`{fact_path}` f LEFT JOIN parquet.`{time_path}` t ON f.fk_time_id = t.id "
+            f"LEFT JOIN parquet.`{region_path}` r ON f.`{region_key}` = r.gid")
+
+
 def theme_projections(view: DataFrame, themes: dict[str, list[str]]) -> dict[str, DataFrame]:
     """Several fixed projections of one table; ``-`` in column names
     becomes ``_``."""

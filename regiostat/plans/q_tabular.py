@@ -77,10 +77,16 @@ def q_epoch_to_timestamp(spark, sf):
 
 
 @register("row_time_source", with_ctes(["parsed"], f"""
-SELECT o_orderkey, COALESCE(ts, TIMESTAMP '{TABULAR_START}') AS row_ts FROM parsed"""))
+SELECT o_orderkey, COALESCE(CASE WHEN o_orderkey % 2 = 0 THEN ts END,
+  CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '1970-01-01 00:00:00' + to_seconds(o_orderkey * 3600) END,
+  TIMESTAMP '{TABULAR_START}') AS row_ts FROM parsed"""))
 def q_row_time_source(spark, sf):
-    p = _parsed(spark, sf)
-    return p.select("o_orderkey", F.coalesce("ts", TF.parse_date_multi(F.lit(TABULAR_START))).alias("row_ts"))
+    """a datetime column, else epoch seconds, else the manifest's start."""
+    k = F.col("o_orderkey")
+    p = _parsed(spark, sf).select("o_orderkey", F.when(k % 2 == 0, F.col("ts")).alias("datetime"),
+                                  F.when(k % 3 == 0, (k * 3600).cast("string")).alias("_epoch_timestamp"))
+    plan = TB.schema_plan([TB.FieldSpec("datetime", "datetime"), TB.FieldSpec("timestamp", "timestamp")])
+    return p.select("o_orderkey", TB.row_time(p, plan, TABULAR_START).alias("row_ts"))
 
 
 # -- time dimension ---------------------------------------------------------------------
@@ -296,25 +302,37 @@ SELECT m."key", m.value_eur_m2, m.value_eur_m2_1, m."count", m.flag, m.datetime,
 FROM ingest_matched m JOIN ingest_tdim t ON t._ts = m._ts AND t._gr = m._gr""")
 
 
-@register("tabular_ingest", with_ctes(["ingest_fact"], "SELECT row_number() OVER (ORDER BY "
-                                      + ", ".join(f"{c} NULLS FIRST" for c in INGEST_COLS)
-                                      + ") AS id, * FROM ingest_fact"))
+@register("tabular_ingest", with_ctes(["ingest_fact"], """
+SELECT *, (SELECT count(*) FROM ingest_fact) AS n_ids, CAST(1 AS BIGINT) AS first_id, (SELECT count(*) FROM ingest_fact) AS last_id FROM ingest_fact"""))
 def q_tabular_ingest(spark, sf):
-    """CSV -> typed -> rejects out -> region key -> time id -> units -> ids."""
-    return loaded_tabular(spark, sf, reload=True)[0]
+    """CSV -> typed -> rejects out -> region key -> time id -> units -> ids.
+    The ids follow the storage order, so what is compared is that they are
+    all different and without gaps."""
+    fact = loaded_tabular(spark, sf, reload=True)[0]
+    n, first, last = fact.agg(F.countDistinct("id"), F.min("id"), F.max("id")).first()
+    return fact.drop("id").withColumns({"n_ids": F.lit(n).cast("bigint"), "first_id": F.lit(first).cast("bigint"), "last_id": F.lit(last).cast("bigint")})
+
+
+@register("tabular_ingest_strict", with_ctes(["typed_tabular", "accepted_tabular"], """
+SELECT 'raw_tabular' AS dataset, (SELECT count(*) FROM typed_tabular) - (SELECT count(*) FROM accepted_tabular) AS n_messages, CAST(0 AS BIGINT) AS n_loaded"""))
+def q_tabular_ingest_strict(spark, sf):
+    """The default mode: a dataset with bad rows loads nothing and leaves an issue."""
+    res = TB.ingest_tabular(staged_csv(spark, sf), tabular_fields(), Fixtures(spark, sf).nuts(), "NUTS 3", "key",
+                            None, TABULAR_RESOLUTION, TABULAR_START, dataset="raw_tabular")
+    return res.issues.select("dataset", "n_messages").withColumn("n_loaded", F.lit(res.fact.count()).cast("bigint"))
 
 
 _LOADED: dict[tuple[int, str], tuple] = {}
 
 
 def loaded_tabular(spark, sf, reload: bool = False):
-    """(fact, time dimension) of the fixture dataset, loaded and written to
-    the shared folder; later readers (views) use the loaded tables of the
-    same session and folder instead of loading again."""
+    """(fact, time dimension) of the fixture dataset, loaded and stored;
+    later readers (views) use the loaded tables of the same session and
+    folder instead of loading again."""
     key = (id(spark), sf)
     if reload or key not in _LOADED or _LOADED[key][0] is not spark:
         fx = Fixtures(spark, sf)
         res = TB.ingest_tabular(staged_csv(spark, sf), tabular_fields(), fx.nuts(), "NUTS 3", "key",
                                 None, TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
-        _LOADED[key] = (spark, materialize(res.fact), res.time_dim)
+        _LOADED[key] = (spark, res.fact, res.time_dim)
     return _LOADED[key][1], _LOADED[key][2]

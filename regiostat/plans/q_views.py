@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from regiostat.functions import geometry as G
@@ -15,10 +17,11 @@ from regiostat.operators.spatial import points_in_polygons
 from regiostat.plans.fixture_sql import cte, with_ctes
 from regiostat.plans.fixtures import Fixtures, tabular_fields
 from regiostat.plans.q_hierarchy import all_levels_sql, nuts3_sql, upper_sql
-from regiostat.plans.q_tabular import INGEST_COLS, loaded_tabular, staged_csv
+from regiostat.plans.q_tabular import INGEST_COLS, loaded_tabular
 from regiostat.plans.registry import register
 from regiostat.session import materialize, staging_path
 from regiostat.sources import sinks as SK
+from regiostat.sources.csv import write_csv_dataset
 from regiostat.sources.vector import read_geojson
 from regiostat.streaming.incremental import incremental_ingest, read_sink
 
@@ -39,14 +42,21 @@ def layer_view(spark, sf):
     return VW.layer_view(fact, time_dim, fx.nuts())
 
 
-@register("layer_view_join", with_ctes(["layer_view"], "SELECT * FROM layer_view"))
+LAYER_SQL = with_ctes(["layer_view"], "SELECT * EXCLUDE (id) FROM layer_view")
+
+
+@register("layer_view_join", LAYER_SQL)
 def q_layer_view_join(spark, sf):
-    return layer_view(spark, sf)
+    return layer_view(spark, sf).drop("id")
 
 
-@register("publish_view", with_ctes(["layer_view"], "SELECT * FROM layer_view"))
+@register("publish_view", LAYER_SQL)
 def q_publish_view(spark, sf):
-    return SK.publish_view(spark, layer_view(spark, sf), "ingest_layer_view")
+    """The three tables are stored, the view in the catalog reads them."""
+    fx, fact, time_dim = _ingest(spark, sf)
+    paths = [SK.table_replace(df, staging_path(spark, name)) for name, df in (("view_fact", fact), ("view_time", time_dim), ("view_region", fx.nuts()))]
+    sql = VW.layer_view_sql(paths[0], fact.columns, paths[1], paths[2], fx.nuts().columns)
+    return SK.publish_view(spark, "ingest_layer_view", sql).drop("id")
 
 
 @register("drop_colliding_columns", with_ctes(["lau_stats", "lau"], """
@@ -60,24 +70,25 @@ def q_drop_colliding_columns(spark, sf):
 
 # The four theme projections of the fixture layer view.
 THEMES = {
-    "ingest_value": ["id", "key", "value_eur_m2", "value_eur_m2_unit", "nuts_id"],
-    "ingest_value_alt": ["id", "key", "value-eur-m2_1", "value-eur-m2_1_unit"],
-    "ingest_count": ["id", "count", "flag", "timestamp"],
-    "ingest_region": ["id", "gid", "stat_levl_", "year"],
+    "ingest_value": ["key", "value_eur_m2", "value_eur_m2_unit", "nuts_id"],
+    "ingest_value_alt": ["key", "value-eur-m2_1", "value-eur-m2_1_unit"],
+    "ingest_count": ["count", "flag", "timestamp"],
+    "ingest_region": ["gid", "stat_levl_", "year"],
 }
 
 
+def _content_sql(cols: list[str]) -> str:
+    return "concat_ws('|', " + ", ".join(f"""COALESCE(CAST("{c.replace('-', '_')}" AS VARCHAR), 'NULL')""" for c in cols) + ")"
+
+
 @register("theme_projections", with_ctes(["layer_view"], " UNION ALL ".join(
-    f"SELECT '{name}' AS view, {len(cols)} AS n_columns, count(*) AS n_rows FROM layer_view"
-    for name, cols in THEMES.items())))
+    f"SELECT '{name}' AS view, {_content_sql(cols)} AS content FROM layer_view" for name, cols in THEMES.items())))
 def q_theme_projections(spark, sf):
-    views = VW.theme_projections(layer_view(spark, sf), THEMES)
-    parts = [v.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("view"), F.lit(len(v.columns))
-                                                             .alias("n_columns"), "n_rows") for n, v in views.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Every row of every projection, as text; the view is read once."""
+    views = VW.theme_projections(materialize(layer_view(spark, sf), "layer_view"), THEMES)
+    parts = [v.select(F.lit(n).alias("view"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in v.columns]).alias("content"))
+             for n, v in views.items()]
+    return reduce(lambda a, b: a.unionAll(b), parts)
 
 
 LAU_COLS = "count, sum, mean, stddev, min, max, comm_id, fk_time_id, fk_lau_gid"
@@ -87,10 +98,11 @@ LAU_COLS = "count, sum, mean, stddev, min, max, comm_id, fk_time_id, fk_lau_gid"
 def q_table_replace(spark, sf):
     fx = Fixtures(spark, sf)
     path = staging_path(spark, "lau_stats_table")
-    SK.table_replace(fx.lau_stats().filter(F.col("fk_lau_gid") % 2 == 0), path)   # an older load
-    new_path = staging_path(spark, "lau_stats_table")                                # replace = new directory
-    SK.table_replace(fx.lau_stats(), new_path)
-    return spark.read.parquet(new_path)
+    even = F.col("fk_lau_gid") % 2 == 0
+    SK.table_replace(fx.lau_stats().filter(even), path)                      # an older load
+    half = spark.read.parquet(path)
+    SK.table_replace(half.unionByName(fx.lau_stats().filter(~even)), path)   # reads what it replaces
+    return spark.read.parquet(path)
 
 
 @register("table_append", with_ctes(["nuts", "lau", "lau_stats"], all_levels_sql()))
@@ -120,14 +132,22 @@ def q_append_select(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("schema_difference", "SELECT 'raw_tabular' AS dataset, 'Missing Col' AS field")
+@register("schema_difference", with_ctes(["mres"], """
+SELECT DISTINCT package, name AS field FROM (
+  SELECT package, unnest(json_extract_string(r, '$.schema.fields[*].name')) AS name FROM mres WHERE profile = 'tabular-data-resource')
+WHERE name NOT IN ('key', 'Value EUR/m2', 'Value-EUR-m2', 'count', 'flag', 'datetime', 'comment')
+UNION ALL SELECT 'raw_tabular', 'Missing Col'"""))
 def q_schema_difference(spark, sf):
-    """Declared fields absent from the file header (column-list set
-    difference; the header comes from the staged CSV)."""
-    header = staged_csv(spark, sf).columns
-    declared = [f.name for f in tabular_fields()] + ["Missing Col"]
-    missing = [d for d in declared if d not in header]
-    return spark.createDataFrame([("raw_tabular", m) for m in missing], "dataset string, field string")
+    """Declared fields (of every tabular package, and of the dataset's
+    own manifest with one field too many) absent from the file's header."""
+    from regiostat.plans.q_validate import _resources
+    path = staging_path(spark, "raw_tabular_csv")
+    write_csv_dataset(Fixtures(spark, sf).raw_tabular(), path, delimiter=";")
+    header = spark.read.option("lineSep", "\n").text(path).limit(1).select(F.explode(F.split("value", ";")).alias("field"))
+    own = spark.createDataFrame([("raw_tabular", f.name) for f in tabular_fields()] + [("raw_tabular", "Missing Col")], "package string, field string")
+    declared = (_resources(spark, sf).filter("profile = 'tabular-data-resource'")
+                .select("package", F.explode("r.schema.fields").alias("f")).select("package", F.col("f.name").alias("field")))
+    return declared.unionByName(own).distinct().join(header, "field", "left_anti").select("package", "field")
 
 
 @register("geometry_update", with_ctes(["zvert"], """
@@ -177,12 +197,13 @@ def q_zone_cover_join(spark, sf):
     return points_in_polygons(pts, edges, bucket=10.0)
 
 
-@register("vector_features_scan", with_ctes(["zvert"], """
-SELECT gid, 'N' || CAST(gid AS VARCHAR) AS comm_id, 'POLYGON' AS type, count(*) AS n_vertices,
-  min(x) AS xmin, max(y) AS ymax FROM zvert GROUP BY gid"""))
+@register("vector_features_scan", with_ctes(["sedge"], """
+SELECT gid, 'B' || CAST(gid AS VARCHAR) AS comm_id, 'POLYGON' AS type, CAST(4 AS BIGINT) AS n_vertices,
+  min(x1) AS xmin, max(y1) AS ymax FROM sedge GROUP BY gid"""))
 def q_vector_features_scan(spark, sf):
-    """Zones written as GeoJSON features (one per line) and read back."""
-    z = Fixtures(spark, sf).zones()
+    """Zones (as many as the data has blocks) written as GeoJSON features,
+    one per line, and read back."""
+    z = Fixtures(spark, sf).scaled_zones()
     coords = F.to_json(F.transform("geom.parts", lambda p: F.transform(p, lambda r: F.transform(
         r, lambda v: F.array(v["x"], v["y"]))))[0])
     feat = F.concat(F.lit('{"type": "Feature", "properties": {"gid": "'), F.col("gid").cast("string"),
@@ -197,25 +218,30 @@ def q_vector_features_scan(spark, sf):
                     b["xmin"].alias("xmin"), b["ymax"].alias("ymax"))
 
 
-@register("incremental_ingest", with_ctes(["accepted_tabular", "nuts"], """
-SELECT a."key", a.value_eur_m2, a."count", n.gid AS fk_nuts_gid, 2 AS runs
+@register("incremental_ingest", with_ctes(["typed_tabular", "accepted_tabular", "nuts"], """
+, keyed AS (SELECT a."key", a.value_eur_m2, a."count", n.gid AS fk_nuts_gid
 FROM accepted_tabular a JOIN (SELECT nuts_id, min(gid) AS gid FROM nuts WHERE year = DATE '2013-01-01'
-  GROUP BY nuts_id) n ON upper(a."key") = n.nuts_id"""))
+  GROUP BY nuts_id) n ON upper(a."key") = n.nuts_id)
+SELECT *, (SELECT count(*) FROM keyed) AS n_run1, (SELECT count(*) FROM keyed) AS n_run2,
+  (SELECT count(*) FROM typed_tabular) - (SELECT count(*) FROM accepted_tabular) AS n_rejected FROM keyed""").replace("\n\n,", ",").replace("\n,", ","))
 def q_incremental_ingest(spark, sf):
     """The raw dataset lands as CSV files; a catch-up stream types,
-    filters and keys them; a second run finds no new file and adds nothing."""
+    filters and keys them and stores the rejects; a second run finds no new
+    file and adds nothing.  The counts after each run are read from the sink."""
     fx = Fixtures(spark, sf)
     raw = fx.raw_tabular()
-    landing, sink, ckpt = (staging_path(spark, n) for n in ("landing", "sink", "stream_ckpt"))
+    landing, sink, rejects, ckpt = (staging_path(spark, n) for n in ("landing", "sink", "rejects", "stream_ckpt"))
     raw.write.mode("overwrite").option("header", True).option("sep", ";").csv(landing)
     plan = TB.schema_plan(tabular_fields())
     nuts = fx.nuts()
 
     def transform(df):
-        acc, _ = TB.reject_rows(TB.typed_projection(df, plan), plan)
-        return D.region_key_join(acc.select("key", "value_eur_m2", "count"), "key", nuts)
+        acc, rej = TB.reject_rows(TB.typed_projection(df, plan), plan)
+        return D.region_key_join(acc.select("key", "value_eur_m2", "count"), "key", nuts), rej
 
+    runs = []
     for _ in range(2):
-        incremental_ingest(spark, landing, raw.columns, sink, ckpt, transform, delimiter=";")
-    out = read_sink(spark, sink)
-    return out.select("key", "value_eur_m2", "count", "fk_nuts_gid", F.lit(2).alias("runs"))
+        incremental_ingest(spark, landing, raw.columns, sink, ckpt, transform, delimiter=";", reject_dir=rejects)
+        runs.append(read_sink(spark, sink).count())
+    return read_sink(spark, sink).select("key", "value_eur_m2", "count", "fk_nuts_gid", F.lit(runs[0]).cast("bigint").alias("n_run1"),
+                                         F.lit(runs[1]).cast("bigint").alias("n_run2"), F.lit(read_sink(spark, rejects).count()).cast("bigint").alias("n_rejected"))

@@ -1,32 +1,64 @@
 """CSV datasets (S3): dialect and encoding from the manifest, text columns.
 
 Nothing is inferred: every column is read as text under its header name and
-typed later from the manifest (P3).  ``multiLine`` keeps line breaks inside
-quoted values; ``escape='"'`` reads doubled quotes; Spark drops a UTF-8 BOM.
+typed later from the manifest (P3).  Files are split between tasks unless the
+dataset has line breaks inside quotes (``multi_line``); ``escape='"'`` reads
+doubled quotes; Spark drops a UTF-8 BOM.  Encodings go by their Python names:
+single-byte ones that Spark does not read are read as ISO-8859-1 and their
+upper half is translated.
 """
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# CSV dialect defaults and the UTF-8 spellings that mean "strip a BOM".
+# CSV dialect defaults.
 DEFAULT_DELIMITER = ","
 DEFAULT_DOUBLE_QUOTE = True
 DEFAULT_ENCODING = "utf-8"
-UTF8_ALIASES = {"utf-8", "utf_8", "utf8", "u8", "utf-8-sig"}
+#: Codecs (by Python's own name) that Spark reads itself.
+SPARK_CHARSETS = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "ascii": "US-ASCII", "iso8859-1": "ISO-8859-1",
+                  "utf-16": "UTF-16", "utf-16-le": "UTF-16LE", "utf-16-be": "UTF-16BE"}
+
+
+def charset(encoding: str | None) -> tuple[str, tuple[str, str] | None]:
+    """``(Spark charset, characters to translate)`` of a Python encoding name."""
+    name = codecs.lookup((encoding or DEFAULT_ENCODING).strip()).name
+    if name in SPARK_CHARSETS:
+        return SPARK_CHARSETS[name], None
+    pairs = []
+    for b in range(256):
+        char = bytes([b]).decode(name, errors="replace")
+        if len(char) != 1 or (b < 128 and char != chr(b)):
+            raise ValueError(f"encoding {encoding!r} is no single-byte extension of ASCII")
+        if char != chr(b):
+            pairs.append((chr(b), char))
+    return "ISO-8859-1", ("".join(a for a, _ in pairs), "".join(b for _, b in pairs))
+
+
+def has_broken_lines(spark: SparkSession, path: str, encoding: str | None = None) -> bool:
+    """Whether some line has an odd number of quotes, i.e. a quoted value
+    goes on in the next one (a split scan that stops at the first)."""
+    lines = spark.read.option("encoding", charset(encoding)[0]).text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not lines.filter(quotes % 2 == 1).isEmpty()
 
 
-def read_csv_dataset(spark: SparkSession, path: str, delimiter: str | None = None,
-                     double_quote: bool | None = None, encoding: str | None = None) -> DataFrame:
-    enc = (encoding or DEFAULT_ENCODING).lower()
-    if enc in UTF8_ALIASES:
-        enc = "UTF-8"
+def read_csv_dataset(spark: SparkSession, path: str, delimiter: str | None = None, double_quote: bool | None = None,
+                     encoding: str | None = None, multi_line: bool = False) -> DataFrame:
+    enc, upper_half = charset(encoding)
     dq = DEFAULT_DOUBLE_QUOTE if double_quote is None else double_quote
-    r = (spark.read.option("header", True).option("inferSchema", False)
-         .option("sep", delimiter or DEFAULT_DELIMITER).option("quote", '"')
-         .option("escape", '"' if dq else "\\").option("multiLine", True).option("encoding", enc)
-         .option("mode", "PERMISSIVE"))
-    return r.csv(path)
+    df = (spark.read.option("header", True).option("inferSchema", False)
+          .option("sep", delimiter or DEFAULT_DELIMITER).option("quote", '"')
+          .option("escape", '"' if dq else "\\").option("multiLine", multi_line).option("encoding", enc)
+          .option("mode", "PERMISSIVE").csv(path))
+    if upper_half is None:
+        return df
+    table = str.maketrans(*upper_half)
+    return df.select(*[F.translate(F.col(f"`{c}`"), *upper_half).alias(c.translate(table)) for c in df.columns])
 
 
 def write_csv_dataset(df: DataFrame, path: str, delimiter: str = DEFAULT_DELIMITER) -> None:

@@ -1,13 +1,15 @@
 """Table sinks (S7-S11): replace, append, append-a-query, views, issues.
 
 Tables are Parquet directories in shared storage.  A replace writes a new
-directory and never overwrites the path it reads from; appends compare the
+directory, then swaps it in; appends compare the
 schema first (the original's column/type/value count check), then write
 once for the whole frame.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,16 +17,27 @@ from regiostat.session import staging_path
 
 
 def table_replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """``DROP ... CASCADE`` + ``CREATE`` + load -> one overwrite of a
-    (new) directory; column names lower-cased."""
+    """``DROP ... CASCADE`` + ``CREATE`` + load.  The new table is written
+    beside the old one and takes its place when it is complete, so ``df`` may
+    read the table it replaces; column names lower-cased."""
     out = df.toDF(*[c.lower() for c in df.columns])
-    w = out.write.mode("overwrite")
+    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex[:12]}"
+    w = out.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(fresh)
+    fs, old = _file_system(df.sparkSession, path)
+    fs.delete(old, True)
+    if not fs.rename(df.sparkSession._jvm.org.apache.hadoop.fs.Path(fresh), old):
+        raise OSError(f"could not move {fresh} to {path}")
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def check_append_schema(target: DataFrame, rows: DataFrame, allow_missing: bool = False) -> None:
     """S8 check: same column names (case-insensitive) and types."""
     t = {f.name.lower(): f.dataType for f in target.schema.fields}
@@ -40,10 +53,8 @@ def check_append_schema(target: DataFrame, rows: DataFrame, allow_missing: bool
 
 def table_append(spark: SparkSession, rows: DataFrame, path: str, allow_missing: bool = False) -> str:
     """Append a frame (or a query result) to a table directory."""
-    try:
-        target = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first write creates the table
-        target = None
+    fs, folder = _file_system(spark, path)
+    target = spark.read.parquet(path) if fs.exists(folder) else None  # the first write creates the table
     out = rows.toDF(*[c.lower() for c in rows.columns])
     if target is not None:
         check_append_schema(target, out, allow_missing)
@@ -56,9 +67,10 @@ def table_append(spark: SparkSession, rows: DataFrame, path: str, allow_missing:
     return path
 
 
-def publish_view(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``CREATE VIEW`` -> a session view over the plan."""
-    df.createOrReplaceTempView(name)
+def publish_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """``CREATE VIEW`` in the catalog.  ``sql`` reads stored tables, so
+    the view stays when the session ends (as long as the catalog does)."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
     return spark.table(name)
 
 

@@ -131,18 +131,23 @@ def decode_shp(b: bytes) -> list[tuple[str, list]]:
     return out
 
 
-def _decode_pairs(batches, srid):
+def _decode_pairs(batches, srid, chunk=1_000):
+    names = ["source", "feature", "properties", "geom"]
     for pdf in batches:
-        rows = []
         for src, shp, dbf in zip(pdf["stem"], pdf["shp"], pdf["dbf"]):
             shapes = decode_shp(bytes(shp))
             attrs = decode_dbf(bytes(dbf)) if dbf is not None else [{}] * len(shapes)
-            for i, ((typ, parts), props) in enumerate(zip(shapes, attrs)):
-                geom = {"srid": srid, "type": typ,
-                        "parts": [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in part]
-                                  for part in parts]}
-                rows.append({"source": src, "feature": i, "properties": props, "geom": geom})
-        yield pd.DataFrame(rows, columns=["source", "feature", "properties", "geom"])
+            if len(shapes) != len(attrs):
+                raise ValueError(f"{src}: {len(shapes)} shapes but {len(attrs)} attribute rows")
+            for start in range(0, len(shapes), chunk):
+                rows = []
+                for i in range(start, min(start + chunk, len(shapes))):
+                    typ, parts = shapes[i]
+                    geom = {"srid": srid, "type": typ,
+                            "parts": [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in part]
+                                      for part in parts]}
+                    rows.append((src, i, attrs[i], geom))
+                yield pd.DataFrame(rows, columns=names)
 
 
 def read_shapefiles(spark: SparkSession, folder: str, srid: int = DEFAULT_SRID) -> DataFrame:

@@ -22,17 +22,26 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 def incremental_ingest(spark: SparkSession, landing_dir: str, columns: list[str], sink_dir: str,
-                       checkpoint_dir: str, transform: Callable[[DataFrame], DataFrame],
-                       delimiter: str = ",", max_files_per_trigger: int | None = None) -> None:
-    """Run one catch-up pass over ``landing_dir`` into ``sink_dir``."""
+                       checkpoint_dir: str, transform: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]],
+                       delimiter: str = ",", max_files_per_trigger: int | None = None, reject_dir: str | None = None,
+                       multi_line: bool = False) -> None:
+    """Run one catch-up pass over ``landing_dir`` into ``sink_dir``; a
+    ``transform`` that returns (accepted, rejected) has its rejects stored in
+    ``reject_dir``, per micro-batch like the rows."""
     r = (spark.readStream.schema(text_schema(columns)).option("header", True).option("sep", delimiter)
-         .option("quote", '"').option("escape", '"').option("multiLine", True))
+         .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = r.csv(landing_dir)
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        transform(df).write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
+        out = transform(df)
+        accepted, rejected = out if isinstance(out, tuple) else (out, None)
+        if rejected is not None:
+            if reject_dir is None:
+                raise ValueError("rejected rows need a reject_dir")
+            rejected.write.mode("overwrite").parquet(f"{reject_dir}/batch_id={batch_id}")
+        accepted.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
 
     q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())

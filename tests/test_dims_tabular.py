@@ -64,10 +64,17 @@ def test_csv_dialects(spark, tmp_path):
     p1 = os.path.join(tmp_path, "a.csv")
     with open(p1, "wb") as f:
         f.write('﻿name;note\n"x";"say ""hi""\nthere"\n'.encode("utf-8"))
-    r = read_csv_dataset(spark, p1, delimiter=";", encoding="utf8").collect()
+    from regiostat.sources.csv import has_broken_lines
+    assert has_broken_lines(spark, p1)
+    r = read_csv_dataset(spark, p1, delimiter=";", encoding="utf8", multi_line=True).collect()
     assert r[0]["name"] == "x" and r[0]["note"] == 'say "hi"\nthere'
     p2 = os.path.join(tmp_path, "b.csv")
     with open(p2, "wb") as f:
         f.write("name,city\nA,Zürich\n".encode("iso-8859-1"))
-    r2 = read_csv_dataset(spark, p2, encoding="ISO-8859-1").collect()
-    assert r2[0]["city"] == "Zürich"
+    assert not has_broken_lines(spark, p2, "latin-1")
+    for name in ("ISO-8859-1", "latin-1", "cp1252"):
+        assert read_csv_dataset(spark, p2, encoding=name).collect()[0]["city"] == "Zürich"
+    p3 = os.path.join(tmp_path, "c.csv")
+    with open(p3, "wb") as f:
+        f.write("name,preis\nA,5 \u20ac\n".encode("cp1252"))
+    assert read_csv_dataset(spark, p3, encoding="cp1252").collect()[0]["preis"] == "5 \u20ac"

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from regiostat.config import NUTS_VINTAGE
 from regiostat.operators import hierarchy as H
 from regiostat.operators.joins import join_dimension
+from regiostat.operators.raster import Grid
+from regiostat.session import materialize
 
 LAU_SET = ["count", "sum", "mean", "stddev", "min", "max"]
 NUTS_SET = ["min", "max", "sum", "count", "mean"]
@@ -39,15 +41,16 @@ def update_from(target: DataFrame, updates: DataFrame, keys: list[str], set_cols
 
 
 def region_recompute_lau(lau_stats: DataFrame, fresh: DataFrame, prefix: str,
-                         compat: bool = False) -> DataFrame:
+                         compat: bool = False, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """A5: replace statistics of the municipalities under ``prefix``.
 
     ``fresh`` holds newly computed statistics (same shape as ``lau_stats``).
     The original leaves ``sum`` out of its SET list; ``compat=True`` does the
-    same, the default updates it.
+    same, the default updates it.  ``extra_keys`` (``("dataset",)``) update
+    many datasets at once.
     """
     cols = [c for c in LAU_SET if not (compat and c == "sum")]
-    return update_from(lau_stats, region_prefix_filter(fresh, prefix), ["fk_lau_gid", "fk_time_id"], cols)
+    return update_from(lau_stats, region_prefix_filter(fresh, prefix), [*extra_keys, "fk_lau_gid", "fk_time_id"], cols)
 
 
 def affected_nuts3(lau: DataFrame, prefix: str) -> DataFrame:
@@ -57,7 +60,7 @@ def affected_nuts3(lau: DataFrame, prefix: str) -> DataFrame:
 
 def region_recompute_nuts3(nuts3_stats: DataFrame, lau_stats: DataFrame, lau: DataFrame,
                            nuts: DataFrame, prefix: str, vintage: str = NUTS_VINTAGE,
-                           compat: bool = False) -> DataFrame:
+                           compat: bool = False, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Recompute the NUTS 3 rows that contain a changed municipality,
     from all of their (updated) municipalities, then update by key.
 
@@ -65,42 +68,62 @@ def region_recompute_nuts3(nuts3_stats: DataFrame, lau_stats: DataFrame, lau: Da
     prefix, grouped by ``nuts_id`` with the times merged, matched on
     ``nuts_id`` alone.
     """
-    lp = H.attach_parent(lau_stats, lau)
     if compat:
-        sub = region_prefix_filter(lp, prefix).withColumn("fk_time_id", F.lit(None).cast("bigint"))
+        sub = region_prefix_filter(H.attach_parent(lau_stats, lau), prefix).withColumn("fk_time_id", F.lit(None).cast("bigint"))
         fresh = H.nuts3_rollup(sub, nuts, vintage).drop("fk_time_id")
         return update_from(nuts3_stats, fresh, ["nuts_id"], NUTS_SET)
-    sub = join_dimension(lp, affected_nuts3(lau, prefix), "fk_nuts_gid", "left_semi")
-    fresh = H.nuts3_rollup(sub, nuts, vintage)
-    return update_from(nuts3_stats, fresh, ["nuts_id", "fk_time_id"], NUTS_SET)
+    # only towns of an affected parent are read, before anything is aggregated
+    near = lau.join(affected_nuts3(lau, prefix), "fk_nuts_gid", "left_semi").select("comm_id", "fk_nuts_gid", "nuts_id")
+    fresh = H.nuts3_rollup(lau_stats.join(near, "comm_id"), nuts, vintage, extra_keys=extra_keys)
+    return update_from(nuts3_stats, fresh, [*extra_keys, "nuts_id", "fk_time_id"], NUTS_SET)
 
 
 def region_recompute_upper(nuts_stats: DataFrame, lau: DataFrame, nuts: DataFrame, prefix: str,
-                           vintage: str = NUTS_VINTAGE, per_child: bool = False) -> DataFrame:
+                           vintage: str = NUTS_VINTAGE, per_child: bool = False, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Recompute the level 0-2 ancestors of the changed NUTS 3 regions
     from their (updated) NUTS 3 rows; update on ``nuts_id, fk_nuts_gid``
     and time."""
     l3 = nuts_stats.filter(F.col("stat_levl_") == 3)
     upper = nuts_stats.filter(F.col("stat_levl_") < 3)
-    codes = (join_dimension(affected_nuts3(lau, prefix),
-                            nuts.select(F.col("gid").alias("fk_nuts_gid"), F.col("nuts_id").alias("child_code")),
-                            "fk_nuts_gid").select("child_code"))
+    codes = (affected_nuts3(lau, prefix).join(nuts.select(F.col("gid").alias("fk_nuts_gid"), F.col("nuts_id").alias("child_code")), "fk_nuts_gid")
+             .select("child_code"))
     anc = H.vintage_level(nuts, F.col("stat_levl_") < 3, vintage).select(
         F.col("gid").alias("a_gid"), F.col("nuts_id").alias("a_code"))
     hit = H.hierarchy_prefix_join(codes, anc, child_code="child_code").select("a_gid").distinct()
     nuts_hit = nuts.join(hit.withColumnRenamed("a_gid", "gid"), "gid", "left_semi")
-    fresh = H.nuts_upper_rollup(l3, nuts_hit, vintage, per_child)
-    return H.all_levels(l3, update_from(upper, fresh, ["nuts_id", "fk_nuts_gid", "fk_time_id"], NUTS_SET))
+    fresh = H.nuts_upper_rollup(l3, nuts_hit, vintage, per_child, extra_keys)
+    return H.all_levels(l3, update_from(upper, fresh, [*extra_keys, "nuts_id", "fk_nuts_gid", "fk_time_id"], NUTS_SET), extra_keys)
 
 
 def recompute_regions(lau_stats: DataFrame, nuts_stats: DataFrame, fresh_lau: DataFrame,
                       lau: DataFrame, nuts: DataFrame, prefix: str,
-                      vintage: str = NUTS_VINTAGE) -> tuple[DataFrame, DataFrame]:
-    """A5 -> A6 -> A7 in one plan; returns (new LAU table, new NUTS table)."""
-    new_lau = region_recompute_lau(lau_stats, fresh_lau, prefix)
-    l3 = region_recompute_nuts3(nuts_stats.filter(F.col("stat_levl_") == 3), new_lau, lau, nuts, prefix, vintage)
-    full = H.all_levels(l3, nuts_stats.filter(F.col("stat_levl_") < 3))
-    return new_lau, region_recompute_upper(full, lau, nuts, prefix, vintage)
+                      vintage: str = NUTS_VINTAGE, extra_keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """A5 -> A6 -> A7; returns (new LAU table, new NUTS table).  The region
+    tables are stored once and read by all steps, and so is each level."""
+    lau, nuts = materialize(lau.select("gid", "comm_id", "fk_nuts_gid", "nuts_id"), "regions_lau"), materialize(nuts, "regions_nuts")
+    new_lau = materialize(region_recompute_lau(lau_stats, fresh_lau, prefix, extra_keys=extra_keys), "new_lau")
+    l3 = region_recompute_nuts3(nuts_stats.filter(F.col("stat_levl_") == 3), new_lau, lau, nuts, prefix, vintage, extra_keys=extra_keys)
+    full = materialize(H.all_levels(l3, nuts_stats.filter(F.col("stat_levl_") < 3), extra_keys), "new_nuts")
+    return new_lau, region_recompute_upper(full, lau, nuts, prefix, vintage, extra_keys=extra_keys)
+
+
+def recompute_after_change(zones: DataFrame, new_geoms: DataFrame, tiles: dict[str, tuple[DataFrame, Grid, list[int]]],
+                           lau_stats: DataFrame, nuts_stats: DataFrame, lau: DataFrame, nuts: DataFrame, prefix: str,
+                           vintage: str = NUTS_VINTAGE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """J11 + A1 + A5-A7 for a list of datasets: the new geometries replace the
+    old ones, the zones under ``prefix`` are measured again in every dataset
+    (``tiles``: name -> tiles, grid, time ids; one small plan each), and the
+    three levels of all datasets are updated together with ``dataset`` as a
+    key.  Returns the new zone, LAU and NUTS tables."""
+    from functools import reduce
+
+    from regiostat.operators.zonal import zonal_stats
+    zones = materialize(geometry_update(zones, new_geoms), "zones")
+    changed = region_prefix_filter(zones, prefix)
+    parts = [zonal_stats(changed, t, grid, times).withColumn("dataset", F.lit(name)) for name, (t, grid, times) in tiles.items()]
+    fresh = materialize(reduce(lambda a, b: a.unionByName(b), parts), "fresh_stats")
+    new_lau, new_nuts = recompute_regions(lau_stats, nuts_stats, fresh, lau, nuts, prefix, vintage, ("dataset",))
+    return zones, new_lau, new_nuts
 
 
 def geometry_update(regions: DataFrame, new_geoms: DataFrame, key: str = "comm_id",

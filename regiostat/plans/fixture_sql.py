@@ -97,6 +97,14 @@ FROM (SELECT 'ds_' || regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_',
       FROM fx_price GROUP BY 1, 2)""")
 
 
+cte("fx_price_even", ["fx_price"], "SELECT * FROM fx_price WHERE o_orderkey % 2 = 0")
+cte("dataset_new", ["fx_price_even"], CTES["dataset_stats"][1].replace("FROM fx_price ", "FROM fx_price_even "))
+cte("dataset_upd", ["dataset_stats", "dataset_new"], """
+SELECT dataset, """ + ", ".join(f"CASE WHEN hit THEN n.{c} ELSE o.{c} END AS {c}" for c in ("count", "sum", "mean", "stddev", "min", "max")) + """,
+  o.comm_id, fk_time_id, fk_lau_gid
+FROM dataset_stats AS o LEFT JOIN (SELECT *, true AS hit FROM dataset_new WHERE starts_with(comm_id, 'C1')) AS n USING (dataset, fk_time_id, fk_lau_gid)""")
+
+
 def _upd_body(cols: list[str]) -> str:
     sets = ", ".join(f"CASE WHEN n.fk_lau_gid IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}"
                      if c in cols else f"o.{c}" for c in ["count", "sum", "mean", "stddev", "min", "max"])
@@ -251,17 +259,29 @@ FROM (SELECT DISTINCT col // 32 AS bx, row // 32 AS by, (row // 32) * 32 + col /
 
 
 cte("sedge", ["spx"], _scaled_edges())
-cte("szonal", ["spx", "sedge"], """
+def scaled_zonal_body(pixels: str, time: int) -> str:
+    """Statistics of the scaled zones over one time of a pixel table."""
+    return f"""
 SELECT a.count, a.sum, a.mean, a.stddev, a.min, a.max, 'B' || CAST(z.gid AS VARCHAR) AS comm_id,
-  CAST(1 AS BIGINT) AS fk_time_id, z.gid AS fk_lau_gid
+  CAST({time} AS BIGINT) AS fk_time_id, z.gid AS fk_lau_gid
 FROM (SELECT DISTINCT gid FROM sedge) z LEFT JOIN (
   SELECT gid, count(*) AS count, CAST(sum(value) AS DECIMAL(20,2)) AS sum,
     CAST(CAST(avg(value) AS DECIMAL(38,6)) AS DECIMAL(20,2)) AS mean,
     CAST(CAST(stddev_pop(value) AS DECIMAL(38,6)) AS DECIMAL(20,2)) AS stddev,
     CAST(min(value) AS DECIMAL(20,2)) AS min, CAST(max(value) AS DECIMAL(20,2)) AS max
-  FROM (SELECT e.gid, p.col, p.row, p.value FROM spx p JOIN sedge e
+  FROM (SELECT e.gid, p.col, p.row, p.value FROM {pixels} p JOIN sedge e
           ON e.gid = (p.row // 32) * 32 + p.col // 32
          AND (e.y1 > p.row + 0.5) <> (e.y2 > p.row + 0.5)
          AND p.col + 0.5 < e.x1 + (p.row + 0.5 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
         GROUP BY e.gid, p.col, p.row, p.value HAVING count(*) % 2 = 1)
-  WHERE value <> -9999.0 GROUP BY gid) a ON a.gid = z.gid""")
+  WHERE value <> -9999.0 GROUP BY gid) a ON a.gid = z.gid"""
+
+
+cte("szonal", ["spx", "sedge"], scaled_zonal_body("spx", 1))
+cte("slau", ["sedge", "nuts"], """
+SELECT z.gid, 'B' || CAST(z.gid AS VARCHAR) AS comm_id, CAST(10000 + z.gid % 25 * 12 + z.gid % 3 * 4 + z.gid % 4 AS BIGINT) AS fk_nuts_gid, n.nuts_id
+FROM (SELECT DISTINCT gid FROM sedge) z LEFT JOIN (SELECT gid, nuts_id FROM nuts WHERE stat_levl_ = 3 AND year = DATE '2013-01-01') n
+  ON n.gid = 10000 + z.gid % 25 * 12 + z.gid % 3 * 4 + z.gid % 4""")
+cte("spx_second", ["spx"], """
+SELECT col, row, CASE WHEN (row * 1024 + col) % 5 = 0 AND value <> -9999.0 THEN value + 1 ELSE value END AS value
+FROM spx WHERE (row * 1024 + col) % 3 = 1""")

@@ -120,10 +120,13 @@ class Fixtures:
         return j.select(*self._STAT_COLS, "comm_id", grid.fk_time_id, F.col("gid").alias("fk_lau_gid"))
 
     @cached
-    def dataset_stats(self) -> DataFrame:
+    def dataset_stats(self, even_only: bool = False) -> DataFrame:
         """Statistics per (dataset, municipality): one dataset per order
         priority; the excluded customers keep NULL statistics."""
-        o = self._price().withColumn(
+        o = self._price()
+        if even_only:
+            o = o.filter(F.col("o_orderkey") % 2 == 0)
+        o = o.withColumn(
             "dataset", F.concat(F.lit("ds_"), F.regexp_replace(F.lower("o_orderpriority"), "[^a-z0-9]+", "_")))
         agg = (self._stats(o.groupBy("dataset", "o_custkey"))
                .withColumn("mean", exact_mean("sum", "count")))
@@ -296,11 +299,6 @@ SCALED_BLOCK = 32
 SCALED_TRIANGLE = [(1.25, 1.25), (30.75, 3.25), (12.25, 29.75), (1.25, 1.25)]
 
 
-def scaled_grid():
-    from regiostat.operators.raster import Grid
-    return Grid(width=SCALED_WIDTH, height=1 << 30, tile_w=32, tile_h=32, nodata=NODATA)
-
-
 def _scaled_pixels(self) -> DataFrame:
     k = F.col("o_orderkey")
     return self.t("orders").select(
@@ -327,5 +325,34 @@ def _scaled_zones(self) -> DataFrame:
                     wkt_parse(wkt).alias("geom"))
 
 
+def _scaled_lau(self) -> DataFrame:
+    """Parents of the scaled zones, spread over all level-3 regions."""
+    n3 = self.nuts().filter("stat_levl_ = 3 AND year = DATE'2013-01-01'").select(F.col("gid").alias("fk_nuts_gid"), "nuts_id")
+    g = F.col("gid")
+    z = self.scaled_zones().select("gid", "comm_id", (F.lit(10000) + g % 25 * 12 + g % 3 * 4 + g % 4).cast("bigint").alias("fk_nuts_gid"))
+    return z.join(n3, "fk_nuts_gid", "left").select("gid", "comm_id", "fk_nuts_gid", "nuts_id")
+
+
+def _layered_tiles(self) -> DataFrame:
+    """Tiles of the scaled raster in three times (by order key), and a second
+    layer over every fifth pixel with a value higher by one."""
+    from regiostat.operators.raster import tiles_from_pixels
+    k = F.col("row") * SCALED_WIDTH + F.col("col")
+    p = self.scaled_pixels().withColumn("fk_time_id", (1 + k % 3).cast("bigint"))
+    over = p.filter(k % 5 == 0).withColumn("value", F.when(F.col("value") != NODATA, F.col("value") + 1).otherwise(F.col("value")))
+    g = self.scaled_grid()
+    return tiles_from_pixels(p, g, layer=1).unionByName(tiles_from_pixels(over, g, layer=2))
+
+
+def _grid(self):
+    """The grid of the scaled raster, as high as its last pixel."""
+    from regiostat.operators.raster import Grid
+    last = self.t("orders").agg(F.max("o_orderkey")).first()[0] or 0
+    return Grid(width=SCALED_WIDTH, height=int(last) // SCALED_WIDTH + 1, tile_w=32, tile_h=32, nodata=NODATA)
+
+
+Fixtures.scaled_grid = cached(_grid)
+Fixtures.scaled_lau = cached(_scaled_lau)
+Fixtures.layered_tiles = cached(_layered_tiles)
 Fixtures.scaled_pixels = cached(_scaled_pixels)
 Fixtures.scaled_zones = cached(_scaled_zones)

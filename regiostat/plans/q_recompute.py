@@ -13,7 +13,7 @@ from regiostat.plans.fixture_sql import with_ctes
 from regiostat.plans.fixtures import RECOMPUTE_PREFIX, Fixtures
 from regiostat.plans.q_hierarchy import all_levels_sql, level_sql, nuts3_sql, stat_sql
 from regiostat.plans.registry import register
-from regiostat.session import staging_path
+from regiostat.session import materialize, staging_path
 
 LAU_COLS = "count, sum, mean, stddev, min, max, comm_id, fk_time_id, fk_lau_gid"
 
@@ -49,9 +49,10 @@ def q_region_recompute_lau_compat(spark, sf):
 
 
 def _recompute_inputs(spark, sf):
+    """The stored tables that an update starts from."""
     fx = Fixtures(spark, sf)
-    old_lau = fx.lau_stats()
-    old_nuts = H.rollup_all(old_lau, fx.lau(), fx.nuts())
+    old_lau = materialize(fx.lau_stats(), "lau_stats")
+    old_nuts = materialize(H.rollup_all(old_lau, fx.lau(), fx.nuts()), "nuts_stats")
     return fx, old_lau, old_nuts
 
 
@@ -94,18 +95,16 @@ def q_dataset_list_scan(spark, sf):
     return dataset_list(spark, sf)
 
 
-def _ds_sql() -> str:
-    return with_ctes(["nuts", "lau", "dataset_stats"], all_levels_sql("dataset_stats", keys="dataset"))
-
-
-@register("recompute_batch", _ds_sql())
+@register("recompute_batch", with_ctes(["nuts", "lau", "dataset_upd"], all_levels_sql("dataset_upd", keys="dataset")))
 def q_recompute_batch(spark, sf):
-    """All datasets of the parameter table through one plan (no per-dataset
-    loop): the list is a broadcast semi-join, ``dataset`` a grouping key."""
+    """Stored tables of all datasets of the parameter table are updated for
+    the changed regions in one run, ``dataset`` a key in every step."""
     fx = Fixtures(spark, sf)
     todo = dataset_list(spark, sf).select(F.col("dataset_name").alias("dataset"))
-    stats = fx.dataset_stats().join(todo, "dataset", "left_semi")
-    return H.rollup_all(stats, fx.lau(), fx.nuts(), extra_keys=("dataset",))
+    old = materialize(fx.dataset_stats().join(todo, "dataset", "left_semi"), "lau_stats")
+    levels = materialize(H.rollup_all(old, fx.lau(), fx.nuts(), extra_keys=("dataset",)), "nuts_stats")
+    _, new = R.recompute_regions(old, levels, fx.dataset_stats(even_only=True), fx.lau(), fx.nuts(), RECOMPUTE_PREFIX, extra_keys=("dataset",))
+    return new
 
 
 @register("referential_check", with_ctes(["nuts", "lau", "lau_stats"], """

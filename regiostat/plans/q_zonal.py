@@ -8,7 +8,7 @@ from regiostat.functions import geometry as G
 from regiostat.operators import hierarchy as H
 from regiostat.operators import raster as RA
 from regiostat.operators import zonal as Z
-from regiostat.plans.fixture_sql import CTES, with_ctes
+from regiostat.plans.fixture_sql import CTES, scaled_zonal_body, with_ctes
 from regiostat.plans.fixtures import Fixtures, raster_grid
 from regiostat.plans.q_hierarchy import all_levels_sql
 from regiostat.plans.registry import register
@@ -233,15 +233,16 @@ def q_zone_lateral_stats(spark, sf):
 
 
 def zonal_pipeline(spark, sf):
-    """Flagship: tiles -> zonal statistics per municipality -> NUTS 3 ->
-    NUTS 0-2 (one table)."""
+    """Flagship: pixels -> tiles -> zonal statistics per municipality -> NUTS 3
+    -> NUTS 0-2 (one table).  Raster and zones grow with the data."""
     fx = Fixtures(spark, sf)
-    lau_stats = materialize(Z.zonal_stats(fx.zones(), fx.tiles(), GRID, TIMES))  # the stored LAU table
-    return H.rollup_all(lau_stats, fx.zone_lau(), fx.nuts())
+    grid = fx.scaled_grid()
+    stats = materialize(Z.zonal_stats(fx.scaled_zones(), RA.tiles_from_pixels(fx.scaled_pixels(), grid), grid, [1]), "lau_stats")
+    return H.rollup_all(stats, materialize(fx.scaled_lau(), "scaled_lau"), fx.nuts())
 
 
 def _pipeline_sql() -> str:
-    return with_ctes(["nuts", "zone_lau", "zonal"], all_levels_sql("zonal", "zone_lau"))
+    return with_ctes(["nuts", "slau", "szonal"], all_levels_sql("szonal", "slau"))
 
 
 register("zonal_pipeline", _pipeline_sql())(zonal_pipeline)
@@ -252,8 +253,14 @@ assert "zonal" in CTES
 def q_zonal_stats_scaled(spark, sf):
     """A1 on a raster and a zone set that both grow with the data: one pixel
     per order, one zone per 32 x 32 block holding orders."""
-    from regiostat.plans.fixtures import scaled_grid
-    from regiostat.operators.raster import tiles_from_pixels
     fx = Fixtures(spark, sf)
-    g = scaled_grid()
-    return Z.zonal_stats(fx.scaled_zones(), tiles_from_pixels(fx.scaled_pixels(), g), g, [1])
+    g = fx.scaled_grid()
+    return Z.zonal_stats(fx.scaled_zones(), RA.tiles_from_pixels(fx.scaled_pixels(), g), g, [1])
+
+
+@register("zonal_stats_layers", with_ctes(["spx_second", "sedge"], scaled_zonal_body("spx_second", 2)))
+def q_zonal_stats_layers(spark, sf):
+    """A1 + A8 + P13: one of three times is asked for, and a second layer lies
+    over part of the first; where both are valid the second counts."""
+    fx = Fixtures(spark, sf)
+    return Z.zonal_stats(fx.scaled_zones(), fx.layered_tiles(), fx.scaled_grid(), [2], overlaps=True)

@@ -160,11 +160,12 @@ class _Finder:
         exact tests are all part of the join, so that nothing but links
         comes out of it."""
         sets = self.sets(rest.select(F.col("rep").alias("i")))
+        before = F.slice("bands", F.lit(1), (F.array_position("bands", F.col("bucket")) - 1).cast("int"))
         side = materialize(rest.select("bucket", "rep", "component").join(self.classes.select("rep", "n", "sketch", "bands"), "rep")
-                           .join(sets.select(F.col("i").alias("rep"), "s"), "rep"), "unsettled")
-        first = F.coalesce(*[F.when(F.col("x.bands")[i] == F.col("y.bands")[i], F.col("x.bands")[i]) for i in range(BANDS)])
+                           .join(sets.select(F.col("i").alias("rep"), "s"), "rep").withColumn("before", before).drop("bands"), "unsettled")
         meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component"))
-        tests = _likely("x", "y", self.percent, self.slack) & (first == F.col("x.bucket")) & self.similar("x.s", "y.s")
+        # keys of different bands differ, so a common key is a common band
+        tests = _likely("x", "y", self.percent, self.slack) & ~F.arrays_overlap("x.before", "y.before") & self.similar("x.s", "y.s")
         return side.alias("x").join(side.alias("y"), meet & tests).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
     def add(self, links: DataFrame) -> DataFrame:

@@ -11,12 +11,17 @@ from __future__ import annotations
 import json
 import os
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiostat.config import DEFAULT_RESOLUTION, DEFAULT_START
+from regiostat.config import DEFAULT_RESOLUTION, DEFAULT_SRID, DEFAULT_START
+from regiostat.functions import geometry as G
+from regiostat.functions.timefuncs import normalize_granularity, parse_date_multi
+from regiostat.operators import dims as D
 from regiostat.operators import hierarchy as H
+from regiostat.operators import raster as RA
 from regiostat.operators import tabular as TB
 from regiostat.operators import validate as V
 from regiostat.operators import zonal as Z
@@ -24,7 +29,8 @@ from regiostat.operators.raster import Grid
 from regiostat.session import materialize
 from regiostat.sources import manifest as M
 from regiostat.sources import sinks as SK
-from regiostat.sources.csv import read_csv_dataset
+from regiostat.sources.csv import has_broken_lines, read_csv_dataset
+from regiostat.sources.vector import read_geojson, read_shapefiles
 
 
 @dataclass
@@ -65,36 +71,110 @@ def _fields(resource: dict) -> list[TB.FieldSpec]:
             for f in ((resource.get("schema") or {}).get("fields") or [])]
 
 
+@dataclass
+class Package:
+    """What one integrated resource left behind (table folders)."""
+    tables: dict[str, str]
+    time_dim: DataFrame
+    issues: DataFrame | None = None
+
+
 def integrate_tabular(spark: SparkSession, package_dir: str, resource: dict, nuts: DataFrame,
                       lau: DataFrame, time_dim: DataFrame | None, out_dir: str) -> TB.IngestResult:
     """S3 -> P2..P10 -> J1/J2 -> U1/J3 -> P4 -> W1 -> S7 for one CSV resource."""
     dialect = resource.get("dialect") or {}
-    raw = read_csv_dataset(spark, os.path.join(package_dir, resource["path"]), dialect.get("delimiter"),
-                           dialect.get("doubleQuote"), resource.get("encoding"))
+    path = os.path.join(package_dir, resource["path"])
+    encoding = resource.get("encoding")
+    raw = read_csv_dataset(spark, path, dialect.get("delimiter"), dialect.get("doubleQuote"), encoding,
+                           multi_line=has_broken_lines(spark, path, encoding))
     sr = resource.get("spatial_resolution")
     regions = nuts if (sr or "").lower().startswith("nuts") else lau
     temporal = resource.get("temporal") or {}
     res = TB.ingest_tabular(raw, _fields(resource), regions, sr, resource.get("spatial_key_field"), time_dim,
                             resource.get("temporal_resolution") or DEFAULT_RESOLUTION,
-                            temporal.get("start") or DEFAULT_START)
+                            temporal.get("start") or DEFAULT_START, dataset=resource.get("name") or "dataset")
     SK.table_replace(res.fact, os.path.join(out_dir, "fact"))
     SK.table_replace(res.time_dim, os.path.join(out_dir, "time"))
     return res
 
 
+def _start_time(spark: SparkSession, resource: dict, time_dim: DataFrame | None) -> tuple[str, str, DataFrame]:
+    """Start date and resolution of a resource, and the time dimension with it."""
+    start = (resource.get("temporal") or {}).get("start") or DEFAULT_START
+    resolution = resource.get("temporal_resolution") or DEFAULT_RESOLUTION
+    keys = spark.range(1).select(parse_date_multi(F.lit(start)).alias("timestamp"), normalize_granularity(F.lit(resolution)).alias("granularity"))
+    return start, resolution, D.time_dim_upsert(time_dim, keys)
+
+
+def integrate_vector(spark: SparkSession, package_dir: str, resource: dict, time_dim: DataFrame | None, out_dir: str) -> Package:
+    """S4 -> P3 -> G4 -> P5 (U1/J3) -> S7 for one vector resource: features
+    with typed attributes, multi geometries and the time of the manifest.
+    Features without a readable geometry are left out and leave an issue."""
+    vector = resource.get("vector") or {}
+    path, srid = os.path.join(package_dir, resource["path"]), int(vector.get("epsg") or DEFAULT_SRID)
+    feats = read_shapefiles(spark, path, srid) if resource.get("format") == "shp" else read_geojson(spark, path, srid, sequence=resource.get("format") == "geojsonl")
+    fields = [TB.FieldSpec(f.get("name"), f.get("type") or "", f.get("unit")) for f in vector.get("schema") or []]
+    plan = TB.schema_plan(fields)
+    typed = feats.select(*[TB.typed_value(TB.empty_to_null(F.try_element_at("properties", F.lit(c.raw))), c.type).alias(c.column) for c in plan.columns],
+                         G.force_multi("geom").alias("geom"))
+    start, resolution, new_dim = _start_time(spark, resource, time_dim)
+    new_dim = materialize(new_dim, "time")
+    rows = materialize(TB.unit_columns(TB.metadata_columns(typed, start, resolution, new_dim), plan), "features")
+    tables = {"features": SK.table_replace(rows.filter("geom.parts IS NOT NULL"), os.path.join(out_dir, "features")),
+              "time": SK.table_replace(new_dim, os.path.join(out_dir, "time"))}
+    lost = rows.filter("geom.parts IS NULL").agg(F.count(F.lit(1)).alias("n_messages")).filter("n_messages > 0")
+    name = resource.get("name") or "dataset"
+    issues = lost.select(F.lit(name).alias("dataset"), F.lit(f"Integration error {name}").alias("name"), F.lit("Features without a readable geometry were left out.").alias("description"),
+                         F.lit(SK.ISSUE_TYPE).alias("issue_type"), F.lit(None).cast("array<string>").alias("tags"), "n_messages")
+    return Package(tables, new_dim, issues)
+
+
 def integrate_raster(tiles: DataFrame, zones: DataFrame, lau: DataFrame, nuts: DataFrame, grid: Grid,
-                     time_ids: list[int], out_dir: str) -> tuple[DataFrame, DataFrame]:
+                     time_ids: list[int], out_dir: str, overlaps: bool = False) -> tuple[DataFrame, DataFrame]:
     """Tiles -> municipality statistics table -> NUTS 0-3 table."""
     spark = tiles.sparkSession
-    lau_path = SK.table_replace(Z.zonal_stats(zones, tiles, grid, time_ids), os.path.join(out_dir, "lau_stats"))
+    lau_path = SK.table_replace(Z.zonal_stats(zones, tiles, grid, time_ids, overlaps=overlaps), os.path.join(out_dir, "lau_stats"))
     lau_stats = spark.read.parquet(lau_path)
     nuts_path = SK.table_replace(H.rollup_all(lau_stats, lau, nuts), os.path.join(out_dir, "nuts_stats"))
     return lau_stats, spark.read.parquet(nuts_path)
 
 
+def integrate_raster_package(layers: list[DataFrame], resource: dict, grid: Grid, zones: DataFrame, lau: DataFrame, nuts: DataFrame,
+                             time_dim: DataFrame | None, out_dir: str, pyramid_levels: int = 3) -> Package:
+    """U1 -> S5 -> P15 -> S7 -> A12 -> A8/A1 -> A2/A3 for one raster resource.
+    ``layers``: pixel tables in order, a later one lies over the earlier ones;
+    pixels without a time get that of the manifest.  Tiles are stored by time."""
+    spark = zones.sparkSession
+    start, resolution, new_dim = _start_time(spark, resource, time_dim)
+    new_dim = materialize(new_dim, "time")
+    at = new_dim.filter((F.col("timestamp") == parse_date_multi(F.lit(start))) & (F.col("granularity") == normalize_granularity(F.lit(resolution)))).first()["id"]
+    parts = [RA.tiles_from_pixels(RA.fill_missing_time(p, at), grid, layer=n) for n, p in enumerate(layers)]
+    tables = {"tiles": SK.table_replace(reduce(DataFrame.unionByName, parts), os.path.join(out_dir, "tiles"), ["fk_time_id"]),
+              "time": SK.table_replace(new_dim, os.path.join(out_dir, "time"))}
+    tiles = spark.read.parquet(tables["tiles"])
+    times = [r[0] for r in tiles.select("fk_time_id").distinct().collect()]
+    seen = RA.mosaic_tiles(tiles) if len(layers) > 1 else tiles
+    tables["pyramid"] = SK.table_replace(RA.overview_pyramid(RA.tile_pixels(seen), pyramid_levels), os.path.join(out_dir, "pyramid"))
+    integrate_raster(tiles, zones, lau, nuts, grid, times, out_dir, overlaps=len(layers) > 1)
+    tables |= {n: os.path.join(out_dir, n) for n in ("lau_stats", "nuts_stats")}
+    return Package(tables, new_dim)
+
+
+def finish_run(spark: SparkSession, registry: DataFrame, touched: DataFrame, packages: list[Package], today: str, out_dir: str) -> tuple[str, str]:
+    """U2 + S11 at the end of a run: the registry with the repositories
+    integrated today, and the issues that the packages left."""
+    path = SK.table_replace(D.registry_upsert(registry, touched, today), os.path.join(out_dir, "registry"))
+    issues = os.path.join(out_dir, "issues")
+    for p in packages:
+        if p.issues is not None:
+            SK.append_issues(spark, p.issues, issues)
+    return path, issues
+
+
 def accepted_tabular_resources(v: Validation) -> list[tuple[str, dict]]:
-    """(package, resource) pairs of accepted packages (metadata only)."""
+    """(package, resource) pairs of accepted packages (metadata only, streamed
+    one partition at a time: a run handles them one by one anyway)."""
     ok = v.gate.filter(F.col("decision") != "skip").select("package")
     rows = (v.resources.join(ok, "package", "left_semi").filter(F.col("profile") == V.TABULAR)
-            .select("package", F.to_json("r").alias("r")).collect())
+            .select("package", F.to_json("r").alias("r")).toLocalIterator())
     return [(r.package, json.loads(r.r)) for r in rows]

@@ -197,6 +197,16 @@ def q_zone_cover_join(spark, sf):
     return points_in_polygons(pts, edges, bucket=10.0)
 
 
+def feature_text():
+    """A zone (gid, comm_id, geom) as the text of a GeoJSON feature."""
+    coords = F.to_json(F.transform("geom.parts", lambda p: F.transform(p, lambda r: F.transform(
+        r, lambda v: F.array(v["x"], v["y"]))))[0])
+    feat = F.concat(F.lit('{"type": "Feature", "properties": {"gid": "'), F.col("gid").cast("string"),
+                    F.lit('", "comm_id": "'), F.col("comm_id"), F.lit('"}, "geometry": {"type": "Polygon", '
+                                                                      '"coordinates": '), coords, F.lit("}}"))
+    return feat
+
+
 @register("vector_features_scan", with_ctes(["sedge"], """
 SELECT gid, 'B' || CAST(gid AS VARCHAR) AS comm_id, 'POLYGON' AS type, CAST(4 AS BIGINT) AS n_vertices,
   min(x1) AS xmin, max(y1) AS ymax FROM sedge GROUP BY gid"""))
@@ -204,13 +214,8 @@ def q_vector_features_scan(spark, sf):
     """Zones (as many as the data has blocks) written as GeoJSON features,
     one per line, and read back."""
     z = Fixtures(spark, sf).scaled_zones()
-    coords = F.to_json(F.transform("geom.parts", lambda p: F.transform(p, lambda r: F.transform(
-        r, lambda v: F.array(v["x"], v["y"]))))[0])
-    feat = F.concat(F.lit('{"type": "Feature", "properties": {"gid": "'), F.col("gid").cast("string"),
-                    F.lit('", "comm_id": "'), F.col("comm_id"), F.lit('"}, "geometry": {"type": "Polygon", '
-                                                                      '"coordinates": '), coords, F.lit("}}"))
     path = staging_path(spark, "zones_geojson")
-    z.select(feat.alias("value")).write.mode("overwrite").text(path)     # one Feature per line
+    z.select(feature_text().alias("value")).write.mode("overwrite").text(path)     # one Feature per line
     f = read_geojson(spark, path, sequence=True)
     b = G.bbox("geom")
     return f.select(F.col("properties")["gid"].cast("bigint").alias("gid"), F.col("properties")["comm_id"].alias("comm_id"),
@@ -245,3 +250,33 @@ def q_incremental_ingest(spark, sf):
         runs.append(read_sink(spark, sink).count())
     return read_sink(spark, sink).select("key", "value_eur_m2", "count", "fk_nuts_gid", F.lit(runs[0]).cast("bigint").alias("n_run1"),
                                          F.lit(runs[1]).cast("bigint").alias("n_run2"), F.lit(read_sink(spark, rejects).count()).cast("bigint").alias("n_rejected"))
+
+
+@register("vector_package", with_ctes(["sedge"], """
+SELECT gid, 'B' || CAST(gid AS VARCHAR) AS comm_id, 'MULTIPOLYGON' AS type, CAST(4 AS BIGINT) AS n_vertices, min(x1) AS xmin,
+  DATE '2015-01-01' AS date, TIMESTAMP '2015-01-01 00:00:00' AS timestamp, CAST(1 AS BIGINT) AS fk_time_id FROM sedge GROUP BY gid"""))
+def q_vector_package(spark, sf):
+    """A vector resource from file to table: features, types, multi geometry,
+    time of the manifest."""
+    from regiostat.plans.pipelines import integrate_vector
+    folder = staging_path(spark, "vector_package")
+    zones = Fixtures(spark, sf).scaled_zones()
+    zones.select(feature_text().alias("value")).write.mode("overwrite").text(f"{folder}/data/zones")
+    resource = {"name": "zones", "path": "data/zones", "format": "geojsonl", "temporal": {"start": "2015-01-01"}, "temporal_resolution": "year",
+                "vector": {"epsg": "3035", "schema": [{"name": "gid", "unit": "", "type": "integer"}, {"name": "comm_id", "unit": "", "type": "string"}]}}
+    out = integrate_vector(spark, folder, resource, None, f"{folder}/out")
+    f = spark.read.parquet(out.tables["features"])
+    return f.select("gid", "comm_id", F.col("geom.type").alias("type"), G.num_vertices("geom").cast("bigint").alias("n_vertices"),
+                    G.bbox("geom")["xmin"].alias("xmin"), "date", "timestamp", "fk_time_id")
+
+
+@register("raster_package", with_ctes(["nuts", "slau", "szonal"], all_levels_sql("szonal", "slau")))
+def q_raster_package(spark, sf):
+    """A raster resource from pixels to NUTS tables: time id, tiles stored by
+    time, pyramid, statistics of municipalities and of all levels."""
+    from regiostat.plans.pipelines import integrate_raster_package
+    fx = Fixtures(spark, sf)
+    pixels = fx.scaled_pixels().withColumn("fk_time_id", F.lit(None).cast("bigint"))
+    out = integrate_raster_package([pixels], {"name": "raster", "temporal": {"start": "2015-01-01"}}, fx.scaled_grid(), fx.scaled_zones(),
+                                   materialize(fx.scaled_lau(), "scaled_lau"), fx.nuts(), None, staging_path(spark, "raster_package"), pyramid_levels=2)
+    return spark.read.parquet(out.tables["nuts_stats"])

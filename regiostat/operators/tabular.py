@@ -154,12 +154,10 @@ def default_values(resources: DataFrame) -> DataFrame:
 
 def metadata_columns(df: DataFrame, start_date: str, granularity: str, time_dim: DataFrame) -> DataFrame:
     """P5: ``date``, ``timestamp`` and ``fk_time_id`` from the manifest on
-    every feature (J3 lookup of the start date)."""
-    from regiostat.operators.dims import time_lookup
-    ts = parse_date_multi(F.lit(start_date))
-    out = df.withColumns({"date": ts.cast("date"), "timestamp": ts,
-                          "_gr": normalize_granularity(F.lit(granularity))})
-    return time_lookup(out, time_dim, "timestamp", "_gr").drop("_gr")
+    every feature (J3 lookup of the one start date: a scalar, no join)."""
+    ts, gran = parse_date_multi(F.lit(start_date)), normalize_granularity(F.lit(granularity))
+    found = time_dim.filter((F.col("timestamp") == ts) & (F.col("granularity") == gran)).agg(F.min("id")).first()[0]
+    return df.withColumns({"date": ts.cast("date"), "timestamp": ts, "fk_time_id": F.lit(found).cast("bigint")})
 
 
 def row_time(df: DataFrame, plan: SchemaPlan, start_date: str, last_column_only: bool = False) -> Column:

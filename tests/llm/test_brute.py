@@ -284,3 +284,46 @@ def test_word_hashes():
             assert seen.setdefault(word, w.hashes[k]) == w.hashes[k]
     assert n == 7 and len(set(seen.values())) == len(seen) == 4
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def base_spans(text, kinds):
+    """Leftmost, non-overlapping matches per kind by the plain patterns."""
+    return {name: [(m.start(), m.end()) for m in re.finditer(pattern, text) if keep(m)] for name, pattern, keep in kinds}
+
+
+def luhn_ok(m):
+    d = [int(c) for c in re.sub("[^0-9]", "", m.group(0))]
+    return 13 <= len(d) <= 19 and sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(reversed(d))) % 10 == 0
+
+
+SECRETS = [("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 12),
+           ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16)]
+PERSONAL = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+            ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m[0].split("."))),
+            ("card", r"[0-9]([\x20-]?[0-9])+", luhn_ok),
+            ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15)]
+
+
+def random_texts(pieces, n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))) for _ in range(n)]
+
+
+def test_base_secrets_against_plain_patterns(spark):
+    pieces = ["token", "Secret", "api_key", "APIKEY", "passWD", "=", ":", " ", "  ", '"', "'", "abc123def456", "0123456789abcdef", "AKIA", "ABCDEFGHIJ1234", "x", "é", "-", "_", "\n", "K", "ſ"]
+    rows = list(enumerate(random_texts(pieces, 600, 1)))
+    got = {r.doc_id: r for r in secret_scan.scan(as_docs(spark, rows)).collect()}
+    for i, t in rows:
+        want = base_spans(t, SECRETS)
+        for k, (name, _, _) in enumerate(SECRETS):
+            assert sorted((x.s, x.e) for x in got[i].spans if x.k == k) == want[name], (t, name)
+
+
+def test_base_personal_data_against_plain_patterns(spark):
+    pieces = ["a", "b.c", "@", "@x.org", "_", ".", "..", "1", "25", "255", "300", "007", "+1", "+49 ", "(212) ", "555-0153", "4111111111111111", "4111 1111 1111 1111", "-", " ", "é", "\n", "%", "10.0.0.1"]
+    rows = list(enumerate(random_texts(pieces, 600, 2)))
+    got = {r.doc_id: r for r in pii.scan(as_docs(spark, rows)).collect()}
+    for i, t in rows:
+        want = base_spans(t, PERSONAL)
+        for k, (name, _, _) in enumerate(PERSONAL):
+            assert sorted((x.s, x.e) for x in got[i].spans if x.k == k) == want[name], (t, name)

@@ -105,6 +105,7 @@ def season(ts) -> Column:
     21 Jun-22 Sep, autumn 23 Sep-20 Dec."""
     t = _c(ts)
     md = F.month(t) * 100 + F.dayofmonth(t)
+    # Last day of winter, spring, summer and autumn (month * 100 + day).
     return (F.when(md <= 320, "winter").when(md <= 620, "spring").when(md <= 922, "summer")
              .when(md <= 1220, "autumn").otherwise("winter"))
 

@@ -1,11 +1,9 @@
 """Language-model scores by a hierarchical Pitman-Yor process.
 
 Model.  Two levels of Chinese restaurants: every *context* (the word before)
-with at least ``1 / max_contexts`` of the training tokens has a restaurant of
-its own; all of them share one parent, the unigram restaurant, over a uniform
-base of the vocabulary and one unknown word.  Words after rarer contexts sit
-in the parent directly.  With discount ``d``, strength ``theta``, ``c``
-customers and ``t`` tables,
+has a restaurant of its own; all of them share one parent, the unigram
+restaurant, over a uniform base of the vocabulary and one unknown word.  With
+discount ``d``, strength ``theta``, ``c`` customers and ``t`` tables,
 
     P(w | u) = (c_uw - d t_uw + (theta + d t_u) P(w)) / (theta + c_u)
 
@@ -16,17 +14,20 @@ one, later ones open tables at the rate that this leaves (a Poisson number).
 After ``burn`` sweeps ``samples`` seatings are kept, and the predictive
 probabilities of all kept seatings are averaged.
 
-Distribution.  1. Heavy words of every piece of the corpus give the contexts
-(at most ``max_contexts`` rows, broadcast).  2. Texts become blocks of about
-1 M tokens; a block's distinct (context, word) pairs with their training
-counts go, packed, to buckets: by word, or by pair if the word is itself one
-of the frequent ones, so that no word is hot.  3. A bucket merges the counts of
-its pairs over all blocks and samples their seating.  Restaurant totals, which
-span buckets, are estimated from the bucket's own share while sampling (an
-approximate distributed Gibbs) and summed exactly afterwards, so the
-probabilities are those of one seating and add up to one.  Customers and
-tables of a pair go back to the blocks that asked.  4. Blocks, joined with
-their answers and the totals (``max_contexts`` rows), score their texts.
+Distribution.  1. Heavy words of every piece of the corpus give the *hot* words
+(at most ``max_contexts`` rows, broadcast), which only decide where counts are
+kept.  2. Texts become blocks of about 1 M tokens; a block's distinct (context,
+word) pairs with their training counts go, packed, to buckets: by context if
+the context is not hot, else by word, or by pair if the word is hot too, so
+that nothing is hot.  3. A bucket merges the counts of its pairs over all blocks
+and samples their seating.  The totals of a restaurant that is not hot are
+exact there and go back with its pairs; those of hot ones, which span buckets,
+are estimated from the bucket's own share while sampling (an approximate
+distributed Gibbs) and summed exactly afterwards, so the probabilities are
+those of one seating and add up to one.  4. Tables of words that are not hot are
+summed by word in a second exchange, seated in the unigram restaurant and sent
+to the blocks that asked.  5. Blocks, joined with their answers and the totals
+of the hot words (``max_contexts`` rows), score their texts.
 The number of buckets grows with the tokens, so a bucket's size does not.
 
 Results: one row per document row.  Null or empty text is the end token alone.
@@ -38,6 +39,7 @@ read.
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
@@ -94,6 +96,24 @@ def unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _release() -> None:
+    """Give freed memory of this worker back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def _tidy(run):
+    """``run`` on a group, with its memory given back at the end."""
+    def tidy(group: pa.Table) -> pa.Table:
+        try:
+            return run(group)
+        finally:
+            _release()
+    return tidy
+
+
 def _place(table: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Index in a sorted table, -1 if absent."""
     if not len(table):
@@ -149,9 +169,15 @@ def contexts(docs: DataFrame, s: Settings) -> tuple[int, np.ndarray, np.ndarray]
     return int(total), h[order], rows.n.to_numpy(dtype=float)[order] / max(total, 1)
 
 
+def _home(words: np.ndarray, buckets: int) -> np.ndarray:
+    """Where a word that is not hot has its place in the unigram restaurant."""
+    return (mix64(words + _ODD) % np.uint64(buckets)).astype(np.int64)
+
+
 def blocks(docs: DataFrame, frequent: np.ndarray, buckets: int, s: Settings) -> DataFrame:
-    """Rows of two kinds: a block's texts (bucket null) and its pieces for the
-    buckets."""
+    """Rows of three kinds: a block's texts (bucket null), its pieces for the
+    buckets, and the words it asks the unigram restaurant for (bucket
+    ``-1 - home``)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     id_type = docs.schema["i"].dataType.simpleString()
 
@@ -160,26 +186,41 @@ def blocks(docs: DataFrame, frequent: np.ndarray, buckets: int, s: Settings) ->
         for number, (h, count, learn, ids) in enumerate(_gather(batches, s.block_tokens)):
             before = np.empty_like(h)
             before[0], before[1:] = END, h[:-1]  # the token before a text is the end of the one before
-            ctx = _place(frequent, before) + 1   # 0: no restaurant of its own
-            key = mix64(h + (ctx.astype(np.uint64) + np.uint64(1)) * _ODD)
+            key = mix64(h + mix64(before) * _ODD)
             _, index, which, = np.unique(key, return_index=True, return_inverse=True)
             n = np.bincount(which, weights=np.repeat(learn, count), minlength=len(index)).astype(np.int64)
-            e_ctx, e_h, e_word = ctx[index], h[index], _place(frequent, h[index]) + 1
-            bucket = (np.where(e_word > 0, key[index], mix64(e_h)) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((e_ctx, e_h, e_word == 0, bucket))
+            e_u, e_h = before[index], h[index]
+            e_ctx, e_word = _place(frequent, e_u) + 1, _place(frequent, e_h) + 1  # 0: not hot
+            bucket = (np.where(e_ctx == 0, mix64(e_u), np.where(e_word > 0, key[index], mix64(e_h))) % np.uint64(buckets)).astype(np.int64)
+            kind = np.where(e_ctx == 0, 2, e_word == 0)
+            order = np.lexsort((np.where(kind == 2, e_h, e_ctx.astype(np.uint64)), np.where(kind == 2, e_u, e_h), kind, bucket))
             rank = np.empty_like(order)
             rank[order] = np.arange(len(order))
-            e_ctx, e_h, e_word, n, bucket = e_ctx[order], e_h[order], e_word[order], n[order], bucket[order]
+            e_u, e_h, e_ctx, e_word, n, bucket, kind = (x[order] for x in (e_u, e_h, e_ctx, e_word, n, bucket, kind))
             first = np.append(starts_of(bucket), len(bucket))
-            pieces = []
+            pieces, runs = [], []
             for a, b in zip(first[:-1], first[1:]):
-                m = a + int((e_word[a:b] > 0).sum())
-                new = starts_of(e_h[m:b])
-                pieces.append(pack(e_word[a:m], e_ctx[a:m], n[a:m], e_h[m:b][new], np.diff(np.append(new, b - m)), e_ctx[m:b], n[m:b]))
-            block, none = (task << 24) + number, pa.nulls(len(pieces), pa.list_(ids.type))
-            own = pack(rank[which], e_ctx, e_word, count, learn.astype(np.uint8), first)
-            yield pa.RecordBatch.from_arrays([pa.array([block] * (1 + len(pieces)), pa.int64()), pa.array([None, *bucket[first[:-1]].tolist()], pa.int64()), pa.array([own, *pieces], pa.binary()),
+                m, r = (a + np.searchsorted(kind[a:b], (1, 2))).tolist()
+                new, room, rare = starts_of(e_h[m:r]), starts_of(e_u[r:b]), e_word[r:b] == 0
+                runs.append(np.diff(np.append(room, b - r)))
+                pieces.append(pack(e_word[a:m], e_ctx[a:m], n[a:m], e_h[m:r][new], np.diff(np.append(new, r - m)), e_ctx[m:r], n[m:r],
+                                   e_u[r:b][room], runs[-1], e_word[r:b], e_h[r:b][rare], n[r:b]))
+            # words that are not hot, asked for by home
+            asked, at = np.unique(e_h[e_word == 0], return_inverse=True)
+            home = _home(asked, buckets)
+            by_home = np.argsort(home, kind="stable")
+            rank_home = np.empty_like(by_home)
+            rank_home[by_home] = np.arange(len(by_home))
+            asked, home = asked[by_home], home[by_home]
+            cut = np.append(starts_of(home), len(home))
+            homes = home[cut[:-1]]
+            own = pack(rank[which], e_ctx, e_word, count, np.concatenate(runs), rank_home[at])
+            data = [own, *pieces, *(pack(asked[a:b]) for a, b in zip(cut[:-1], cut[1:]))]
+            block, none = (task << 24) + number, pa.nulls(len(data) - 1, pa.list_(ids.type))
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(data), pa.int64()), pa.array([None, *bucket[first[:-1]].tolist(), *(-1 - homes).tolist()], pa.int64()), pa.array(data, pa.binary()),
                                               pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), none])], names=["block", "bucket", "data", "ids"])
+            del h, before, key, index, which, n, e_u, e_h, e_ctx, e_word, bucket, kind, order, rank, at, asked, pieces, data, own
+            _release()
 
     return docs.mapInArrow(run, f"block bigint, bucket bigint, data binary, ids array<{id_type}>")
 
@@ -235,11 +276,19 @@ def _root_tables(rng: np.random.Generator, customers: np.ndarray, s: Settings) -
     return seating.tables(rng, rate, s.root_discount)
 
 
-def seat(pieces: DataFrame, tokens: int, share: np.ndarray, s: Settings) -> DataFrame:
-    """Answers for every piece, and totals: rows (block, bucket, data) or
-    (what, place, sums)."""
+SEATED = "block bigint, bucket bigint, data binary, what string, place bigint, v array<double>"
+
+
+def _seated(rows: list[tuple]) -> pa.Table:
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("data", pa.binary()), ("what", pa.string()), ("place", pa.int64()), ("v", pa.list_(pa.float64()))])
+    return pa.table(dict(zip(schema.names, map(list, zip(*rows)))) if rows else {n: [] for n in schema.names}, schema=schema)
+
+
+def seat(pieces: DataFrame, tokens: int, share: np.ndarray, buckets: int, s: Settings) -> DataFrame:
+    """Answers for every piece (block, bucket, data), totals of the hot words
+    (what, place, sums) and tables of the others for their homes (bucket,
+    data, what)."""
     shared = pieces.sparkSession.sparkContext.broadcast(share)
-    schema = "block bigint, bucket bigint, data binary, what string, place bigint, v array<double>"
 
     def run(group: pa.Table) -> pa.Table:
         share = shared.value
@@ -248,85 +297,118 @@ def seat(pieces: DataFrame, tokens: int, share: np.ndarray, s: Settings) -> Data
         bucket = group["bucket"][0].as_py()
         rng = np.random.default_rng([bucket, 20_011])
         parts = [unpack(x.as_py()) for x in group["data"]]
-        f_key = np.concatenate([p[0].astype(np.int64) * width + p[1] for p in parts])
-        f_dish, f_which = np.unique(f_key, return_inverse=True)
-        f_c = np.bincount(f_which, weights=np.concatenate([p[2] for p in parts]), minlength=len(f_dish))
-        words, w_which = np.unique(np.concatenate([p[3] for p in parts]), return_inverse=True)
-        w_of = np.repeat(w_which, np.concatenate([p[4] for p in parts]).astype(np.int64))
-        b_dish, b_which = np.unique(w_of * width + np.concatenate([p[5] for p in parts]), return_inverse=True)
-        b_c = np.bincount(b_which, weights=np.concatenate([p[6] for p in parts]), minlength=len(b_dish))
-        # all dishes: word (frequent ones first), restaurant (0: the parent)
-        c = np.concatenate([f_c, b_c]).astype(np.int64)
-        ctx = np.concatenate([f_dish % width, b_dish % width])
-        nf, word = len(f_dish), b_dish // width
-        inner = ctx > 0
-        seating = Seating(np.where(inner, c, 0), s.seats)
-        t = np.where(inner, np.minimum(c, 1), 0)
-        c_u = np.bincount(ctx, weights=np.where(inner, c, 0), minlength=width)
+        cat = lambda i: np.concatenate([p[i] for p in parts])
+        # words: hot ones by place, others after hot contexts, others after other contexts
+        b_words, b_which = np.unique(cat(3), return_inverse=True)
+        rooms, room_which = np.unique(cat(7), return_inverse=True)
+        c_word = cat(9).astype(np.int64)
+        c_words, c_which = np.unique(cat(10), return_inverse=True)
+        c_word[c_word == 0] = width + len(b_words) + c_which
+        n_rooms = width + len(rooms)
+        key = np.concatenate([cat(0).astype(np.int64), width + np.repeat(b_which, cat(4).astype(np.int64)), c_word])
+        del b_which, c_which, c_word
+        key *= n_rooms
+        key += np.concatenate([cat(1).astype(np.int64), cat(5).astype(np.int64), width + np.repeat(room_which, cat(8).astype(np.int64))])
+        n_words, n_hot = width + len(b_words) + len(c_words), width + len(b_words)
+        n, sizes = np.concatenate([cat(2), cat(6), cat(11)]), [[len(p[0]), len(p[5]), len(p[9]), len(p[7])] for p in parts]
+        del parts
+        dish, which = np.unique(key, return_inverse=True)
+        del key
+        which = which.astype(np.int32)
+        c = np.bincount(which, weights=n, minlength=len(dish)).astype(np.int64)
+        del n
+        word, ctx = (dish // n_rooms).astype(np.int32), (dish % n_rooms).astype(np.int32)
+        del dish
+        hot = ctx < width
+        seating, t = Seating(c, s.seats), np.minimum(c, 1)
+        c_u = np.bincount(ctx, weights=c, minlength=n_rooms)
+        c_w = np.bincount(word, weights=c, minlength=n_words)
         c_all = np.append(0.0, share) * tokens
-        kept, root_c, root_t = [], [], []
-        f_p = np.maximum(share, 1e-12)[f_dish // width - 1] if nf else np.zeros(0)
-        c_w = np.bincount(word, weights=b_c, minlength=len(words))
+        p = np.append(np.maximum(np.append(0.0, share), 1e-12), np.zeros(n_words - width))
+        kept = []
         for sweep in range(s.burn + s.samples):
-            sent = np.where(inner, t, c)  # customers in the parent
-            r = np.bincount(word, weights=sent[nf:], minlength=len(words)).astype(np.int64)
-            total = tokens * max(1.0, sent.sum()) / max(1.0, c.sum())
-            p_w = np.maximum(r - 0.5 * s.root_discount, 0.3) / total
-            t_u = c_all * (np.bincount(ctx, weights=np.where(inner, t, 0), minlength=width) + 1) / (c_u + 1)
-            rate = (s.strength + s.discount * t_u[ctx]) * np.concatenate([f_p, p_w[word]])
+            # the parent's customers are tables: all of the hot contexts by share, the others' own
+            r = np.maximum(np.bincount(word, weights=t, minlength=n_words) - 0.5 * s.root_discount, 0.3)
+            p[width:n_hot] = r[width:n_hot] / max(1.0, share.sum() * tokens * max(1, t[hot].sum()) / max(1, c[hot].sum()))
+            p[n_hot:] = r[n_hot:] / max(1, t[~hot].sum())
+            t_u = np.bincount(ctx, weights=t, minlength=n_rooms)
+            t_u[:width] = c_all * (t_u[:width] + 1) / (c_u[:width] + 1)
+            rate = (s.strength + s.discount * t_u[ctx]) * p[word]
             seating.sweep(rng, rate, s.discount)
-            t = np.where(inner, seating.tables(rng, rate, s.discount), 0)
+            t = seating.tables(rng, rate, s.discount)
             if sweep >= s.burn:
-                r = np.bincount(word, weights=np.where(inner, t, c)[nf:], minlength=len(words)).astype(np.int64)
                 kept.append(t)
-                root_c.append(r)
-                root_t.append(_root_tables(rng, r, s))
-        blocks_, data, f_at, w_at, b_at = group["block"].to_pylist(), [], 0, 0, 0
-        for p in parts:
-            f, w, b = f_which[f_at:f_at + len(p[0])], w_which[w_at:w_at + len(p[3])], nf + b_which[b_at:b_at + len(p[5])]
-            f_at, w_at, b_at = f_at + len(f), w_at + len(w), b_at + len(b)
-            both = np.concatenate([f, b])
-            data.append(pack(c[both], *(x[both] for x in kept), p[4], c_w[w].astype(np.int64), *(x[w] for x in root_c), *(x[w] for x in root_t)))
-        what, place, v = [], [], []
-
-        def tell(name: str, at: np.ndarray, sums: list[np.ndarray]) -> None:
-            what.extend([name] * len(at))
-            place.extend(at.tolist())
-            v.extend(np.stack(sums, axis=1).tolist())
-
-        tables = [np.bincount(ctx, weights=x, minlength=width) for x in kept]
-        some = np.flatnonzero(c_u)
-        tell("context", some, [c_u[some], *(x[some] for x in tables)])
-        f_word = f_dish // width
-        some = np.unique(f_word)
-        by_word = [np.bincount(f_word, weights=x[:nf], minlength=width)[some] for x in (c, *(np.where(inner, x, c) for x in kept))]
-        tell("word", some, by_word)
-        tell("rest", np.zeros(1, np.int64), [np.array([float((c_w > 0).sum())]), *(np.array([float(x.sum())]) for x in root_c), *(np.array([float(x.sum())]) for x in root_t)])
-        n, m = len(blocks_), len(what)
-        return pa.table({"block": pa.array(blocks_ + [None] * m, pa.int64()), "bucket": pa.array([bucket] * n + [None] * m, pa.int64()), "data": pa.array(data + [None] * m, pa.binary()),
-                         "what": pa.array([None] * n + what, pa.string()), "place": pa.array([None] * n + place, pa.int64()), "v": pa.array([None] * n + v, pa.list_(pa.float64()))})
-
-    return pieces.groupBy("bucket").applyInArrow(run, schema)
+        tables = [np.bincount(ctx, weights=x, minlength=n_rooms).astype(np.int64) for x in kept]
+        sent = [np.bincount(word, weights=x, minlength=n_words).astype(np.int64) for x in kept]
+        sizes = np.array(sizes)
+        begins = np.cumsum(sizes, axis=0) - sizes + np.array([0, *np.cumsum(sizes.sum(axis=0)[:2]), 0])
+        out = []
+        for block, size, at in zip(group["block"].to_pylist(), sizes.tolist(), begins.tolist()):
+            both = np.concatenate([which[a:a + n] for a, n in zip(at[:3], size)])
+            room = width + room_which[at[3]:at[3] + size[3]]
+            out.append((block, bucket, pack(c[both], *(x[both] for x in kept), c_u[room].astype(np.int64), *(x[room] for x in tables)), None, None, None))
+
+        def tell(name: str, of: np.ndarray, sums: list[np.ndarray]) -> None:
+            some = np.flatnonzero(of[:width])
+            out.extend((None, None, None, name, i, v) for i, v in zip(some.tolist(), np.stack([x[some] for x in sums], axis=1).astype(float).tolist()))
+
+        tell("context", c_u, [c_u, *tables])
+        tell("word", c_w, [c_w, *sent])
+        some = np.flatnonzero(c_w[width:])
+        h = np.concatenate([b_words, c_words]).astype(np.uint64)[some]
+        home = _home(h, buckets)
+        order = np.lexsort((h, home))
+        h, home, some = h[order], home[order], width + some[order]
+        cut = np.append(starts_of(home), len(home))
+        out.extend((None, -1 - int(home[a]), pack(h[a:b], c_w[some[a:b]].astype(np.int64), *(x[some[a:b]] for x in sent)), "tables", bucket, None) for a, b in zip(cut[:-1], cut[1:]))
+        return _seated(out)
+
+    return pieces.groupBy("bucket").applyInArrow(_tidy(run), SEATED)
+
+
+def seat_root(rows: DataFrame, s: Settings) -> DataFrame:
+    """The unigram restaurant of the words that are not hot: ``rows`` has the
+    words blocks ask for and (block null) the tables that buckets send.
+    Customers and tables for every block that asked, and totals."""
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("block", "ascending"), ("place", "ascending")])
+        bucket = group["bucket"][0].as_py()
+        rng = np.random.default_rng([-1 - bucket, 20_029])
+        asking, parts = group["block"].to_pylist(), [unpack(x.as_py()) for x in group["data"]]
+        words, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        ends = np.cumsum([len(p[0]) for p in parts])
+        at = [which[e - len(p[0]):e] for e, p in zip(ends, parts)]
+        sums = [np.zeros(len(words), np.int64) for _ in range(1 + s.samples)]
+        for block, p, w in zip(asking, parts, at):
+            if block is None:
+                for i, x in enumerate(sums):  # a word may come twice
+                    np.add.at(x, w, p[1 + i].astype(np.int64))
+        sums += [_root_tables(rng, x, s) for x in sums[1:]]
+        out = [(block, bucket, pack(*(x[w] for x in sums)), None, None, None) for block, w in zip(asking, at) if block is not None]
+        out.append((None, None, None, "rest", 0, [float((sums[0] > 0).sum()), *(float(x.sum()) for x in sums[1:])]))
+        return _seated(out)
+
+    return rows.groupBy("bucket").applyInArrow(_tidy(run), SEATED)
 
 
 @dataclass
 class Totals:
     tokens: int
     words: int            # distinct training words
-    c_u: np.ndarray       # by context place (0 unused)
+    c_u: np.ndarray       # by hot context place (0 unused)
     t_u: np.ndarray       # sample x context
-    c_w: np.ndarray       # by frequent word place
-    root_c: np.ndarray    # sample x frequent word
+    c_w: np.ndarray       # by hot word place
+    root_c: np.ndarray    # sample x hot word
     root_t: np.ndarray
     all_c: np.ndarray     # by sample, the whole unigram restaurant
     all_t: np.ndarray
 
 
 def totals(answers: DataFrame, tokens: int, width: int, s: Settings) -> Totals:
-    """Sums over all buckets (two rows per context at most)."""
+    """Sums over all buckets (two rows per hot word at most)."""
     size = {"context": 1 + s.samples, "word": 1 + s.samples, "rest": 1 + 2 * s.samples}
     found = {k: np.zeros((width if k != "rest" else 1, n)) for k, n in size.items()}
-    rows = (answers.where(F.col("what").isNotNull()).groupBy("what", "place")
+    rows = (answers.where(F.col("v").isNotNull()).groupBy("what", "place")
             .agg(F.array(*[F.sum(F.get("v", F.lit(i))) for i in range(1 + 2 * s.samples)]).alias("v")).toPandas())
     for what, place, v in zip(rows.what, rows.place, rows.v):
         found[what][int(place)] = [float(x) for x in v[:size[what]]]
@@ -347,23 +429,31 @@ def score(parts: DataFrame, known: Totals, id_type: str, s: Settings) -> DataFra
     def run(group: pa.Table) -> pa.Table:
         k, n_s = shared.value, s.samples
         own = group.filter(pa.compute.is_null(group["bucket"]))
-        answers = group.filter(pa.compute.is_valid(group["bucket"])).sort_by("bucket")
-        which, e_ctx, e_word, count, _, first = unpack(own["data"][0].as_py())
+        place = group["bucket"].combine_chunks()
+        seated = group.filter(pa.compute.greater_equal(place, 0)).sort_by("bucket")
+        rooted = group.filter(pa.compute.less(place, 0)).sort_by([("bucket", "descending")])
+        which, e_ctx, e_word, count, runs, at = unpack(own["data"][0].as_py())
+        e_ctx, e_word, hot, rare = e_ctx.astype(np.int64), e_word.astype(np.int64), e_ctx > 0, e_word == 0
+        got = [np.concatenate(x).astype(float) for x in zip(*(unpack(x.as_py()) for x in seated["data"]))]
+        rest = [np.concatenate(x).astype(float) for x in zip(*(unpack(x.as_py()) for x in rooted["data"]))]
+
+        def words(table: np.ndarray, i: int) -> np.ndarray:
+            out = table[e_word].astype(float)
+            if rest:
+                out[rare] = rest[i][at]
+            return out
+
+        def rooms(table: np.ndarray, i: int) -> np.ndarray:
+            out = table[e_ctx].astype(float)
+            out[~hot] = np.repeat(got[1 + n_s + i], runs.astype(np.int64))
+            return out
+
         base_p = 1.0 / (k.words + 1)
-        p, c_word = np.zeros(len(e_ctx)), np.zeros(len(e_ctx))
-        for a, b, x in zip(first[:-1].astype(np.int64), first[1:].astype(np.int64), answers["data"]):
-            got = unpack(x.as_py())
-            c, t = got[0].astype(float), got[1:1 + n_s]
-            many, rest = got[1 + n_s].astype(np.int64), got[2 + n_s:]
-            f = e_word[a:b][:b - a - many.sum()].astype(np.int64)
-            words = lambda table, own: np.concatenate([table[f], np.repeat(own, many)]).astype(float)
-            c_word[a:b] = words(k.c_w, rest[0])
-            ctx = e_ctx[a:b].astype(np.int64)
-            for i in range(n_s):
-                r, r_t = words(k.root_c[i], rest[1 + i]), words(k.root_t[i], rest[1 + n_s + i])
-                root = (np.maximum(r - s.root_discount * r_t, 0) + (s.root_strength + s.root_discount * k.all_t[i]) * base_p) / (s.root_strength + k.all_c[i])
-                inside = (np.maximum(c - s.discount * t[i], 0) + (s.strength + s.discount * k.t_u[i][ctx]) * root) / (s.strength + k.c_u[ctx])
-                p[a:b] += np.where(ctx > 0, inside, root) / n_s
+        p, c_word, c, c_u = np.zeros(len(e_ctx)), words(k.c_w, 0), got[0], rooms(k.c_u, 0)
+        for i in range(n_s):
+            r, r_t = words(k.root_c[i], 1 + i), words(k.root_t[i], 1 + n_s + i)
+            root = (np.maximum(r - s.root_discount * r_t, 0) + (s.root_strength + s.root_discount * k.all_t[i]) * base_p) / (s.root_strength + k.all_c[i])
+            p += (np.maximum(c - s.discount * got[1 + i], 0) + (s.strength + s.discount * rooms(k.t_u[i], 1 + i)) * root) / (s.strength + c_u) / n_s
         ends = np.cumsum(count.astype(np.int64))
         starts = ends - count
         sums = lambda per_entry: np.add.reduceat(per_entry[which], starts)
@@ -371,7 +461,7 @@ def score(parts: DataFrame, known: Totals, id_type: str, s: Settings) -> DataFra
         return pa.table({"i": own["ids"].combine_chunks().flatten(), "n_tokens": pa.array(count.astype(np.int64)), "n_known": pa.array(sums((c_word > 0).astype(np.int64))),
                          "base_score": pa.array(sums(base)), "score": pa.array(sums(np.log10(p)))})
 
-    return parts.groupBy("block").applyInArrow(run, f"i {id_type}, n_tokens bigint, n_known bigint, base_score double, score double")
+    return parts.groupBy("block").applyInArrow(_tidy(run), f"i {id_type}, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
 def lm_scores(docs: DataFrame, learn: Column, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -383,7 +473,10 @@ def lm_scores(docs: DataFrame, learn: Column, settings: Settings = Settings(), i
     tokens, frequent, share = contexts(rows, s)
     buckets = max(8, -(-tokens // s.bucket_tokens))
     made = materialize(blocks(rows, frequent, buckets, s), "blocks")
-    answers = materialize(seat(made.where(F.col("bucket").isNotNull()).select("block", "bucket", "data"), tokens, share, s), "seatings")
+    answers = materialize(seat(made.where("bucket >= 0").select("block", "bucket", "data"), tokens, share, buckets, s), "seatings")
+    asked = made.where("bucket < 0").select("block", "bucket", "data", F.lit(None).cast("bigint").alias("place"))
+    roots = materialize(seat_root(asked.unionByName(answers.where("what = 'tables'").select("block", "bucket", "data", "place")), s), "roots")
+    answers = answers.unionByName(roots)
     known = totals(answers, tokens, len(share) + 1, s)
     own = made.where(F.col("bucket").isNull())
     back = answers.where(F.col("what").isNull()).select("block", "bucket", "data", F.lit(None).cast(made.schema["ids"].dataType).alias("ids"))

@@ -327,3 +327,15 @@ def test_base_personal_data_against_plain_patterns(spark):
         want = base_spans(t, PERSONAL)
         for k, (name, _, _) in enumerate(PERSONAL):
             assert sorted((x.s, x.e) for x in got[i].spans if x.k == k) == want[name], (t, name)
+
+
+def test_lm_rare_contexts_have_restaurants(spark):
+    rows = [(i, f"{prose(i, 60)} seldom{i % 20} follower{i % 20} {prose(500 + i, 20)}") for i in range(80)]
+    probes = [(1_000 + k, f"seldom{k} follower{k}") for k in range(20)] + [(2_000 + k, f"seldom{k} follower{(k + 1) % 20}") for k in range(20)]
+    docs = as_docs(spark, rows + probes)
+    few, many = ({r.doc_id: r.score for r in lm_scoring.lm_scores(docs, F.col("doc_id") < 1_000, lm_scoring.Settings(block_tokens=700, bucket_tokens=2_000, max_contexts=m)).collect()}
+                 for m in (16, 1 << 14))
+    # four of four times the follower came: far likelier than a word never seen there, whatever is broadcast
+    for got in (few, many):
+        assert sum(got[1_000 + k] - got[2_000 + k] for k in range(20)) / 20 > 1.5
+    assert sum(abs(few[i] - many[i]) for i in few) < 0.02 * sum(abs(x) for x in many.values())

@@ -10,7 +10,9 @@ discount ``d``, strength ``theta``, ``c`` customers and ``t`` tables,
 Seating is sampled by Gibbs: a customer is taken from its table and seated
 anew, at a table of its word by ``size - d``, at a new one by ``(theta + d t_u)
 P(w)``.  Of a word's customers in a restaurant the first 16 are seated one by
-one, later ones open tables at the rate that this leaves (a Poisson number).
+one, later ones by the rule ``a / (n - d t + a)`` for a new table (``a`` the
+rate of new tables, ``n`` customers seated), in steps of ``n / 8`` customers
+that each draw a binomial number and then update ``t``.
 After ``burn`` sweeps ``samples`` seatings are kept, and the predictive
 probabilities of all kept seatings are averaged.
 
@@ -256,11 +258,16 @@ class Seating:
         t = np.minimum(self.c, 1).astype(np.int64)
         for rows, size, _ in self.groups:
             t[rows] = (size > 0).sum(axis=1)
-        late = np.flatnonzero(self.c > self.seats)
-        if len(late):
-            rate, c, now = a[late], self.c[late], t[late]
-            grown = rng.poisson(rate * np.log((c + rate - d * now) / (self.seats + rate - d * now)))
-            t[late] = now + np.minimum(grown, c - self.seats)
+        # the seating rule a / (n - d t + a), in steps of an eighth of the customers seated
+        late, n = np.flatnonzero(self.c > self.seats), self.seats
+        while len(late):
+            new_rate, now, k = a[late], t[late], np.minimum(max(1, n // 8), self.c[late] - n)
+            half = (k - 1) / 2
+            opens = new_rate / (n - d * now + new_rate)
+            opens = new_rate / (n + half - d * (now + opens * half) + new_rate)  # in the middle of the step
+            t[late] = now + rng.binomial(k, opens)
+            n += max(1, n // 8)
+            late = late[self.c[late] > n]
         return t
 
 

@@ -339,3 +339,19 @@ def test_lm_rare_contexts_have_restaurants(spark):
     for got in (few, many):
         assert sum(got[1_000 + k] - got[2_000 + k] for k in range(20)) / 20 > 1.5
     assert sum(abs(few[i] - many[i]) for i in few) < 0.02 * sum(abs(x) for x in many.values())
+
+
+@pytest.mark.parametrize("c", [20, 100, 2_000, 100_000])
+@pytest.mark.parametrize("share", [1e-4, 0.05, 0.25, 2.0])
+def test_seating_of_later_customers_follows_the_rule(c, share):
+    d, strength, a = 0.8, 2.0, max(share * c, 0.5)
+    rows = 2_000 if c <= 2_000 else 60
+    got = lm_scoring.Seating(np.full(rows, c), 16).tables(np.random.default_rng(3), np.full(rows, a), d)
+    # one customer after the other, from the same 16 at one table
+    rng, t = np.random.default_rng(4), np.ones(rows)
+    for n in range(16, c):
+        t += rng.random(rows) < a / (n - d * t + a)
+    error = 5 * np.hypot(got.std(), t.std()) / rows ** 0.5
+    assert abs(got.mean() - t.mean()) <= error + 0.005 * t.mean()
+    score = lambda x: ((c - d * x) / (strength + c)).mean()
+    assert abs(score(got) - score(t)) <= d * (error + 0.005 * t.mean()) / (strength + c)

@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from core_helpers import plan_text
 from regiostat.operators import hierarchy as H
 
 D = Decimal

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF001, plan_text
+from core_helpers import SF001, plan_text
 from regiostat.plans.registry import QUERIES, load_all
 
 load_all()

@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from conftest import plan_text
+from core_helpers import plan_text
 from pyspark.sql import functions as F
 
 from regiostat.functions import geometry as G

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from core_helpers import plan_text
 from regiostat.functions.geometry import wkt_parse
 from regiostat.operators import zonal as Z
 from regiostat.operators.raster import Grid, tiles_from_pixels

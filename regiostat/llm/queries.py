@@ -93,8 +93,15 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from regiostat.llm.conversation_trie import trie
+    return trie(table(spark, sf_dir, "conversations"), every=20, most=4)
+
+
 def _oracles() -> None:
-    from regiostat.llm import mixing, pii, secret_scan
+    from regiostat.llm import conversation_trie, mixing, pii, secret_scan
+    ORACLE["op11_conversation_trie"] = conversation_trie.oracle()
     ORACLE["op3_mixing"] = mixing.oracle()
     ORACLE["op2_secret_scan"] = secret_scan.oracle()
     ORACLE["op10_pii"] = pii.oracle()

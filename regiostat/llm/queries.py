@@ -99,8 +99,22 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie(table(spark, sf_dir, "conversations"), every=20, most=4)
 
 
+@query
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from regiostat.llm.url_filter import Rule, filter_urls
+    rules = [Rule("block", "net/"), Rule("allow", "example.net/en/"), Rule("block", "example.com/de/"), Rule("allow", "org/fr/")]
+    return filter_urls(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from regiostat.llm.spelling_variants import variants
+    return variants(table(spark, sf_dir, "documents"), typo_every=97, least_length=5, least_count=3, ratio=2)
+
+
 def _oracles() -> None:
-    from regiostat.llm import conversation_trie, mixing, pii, secret_scan
+    from regiostat.llm import conversation_trie, mixing, pii, secret_scan, spelling_variants
+    ORACLE["op13_spelling_variants"] = spelling_variants.oracle()
     ORACLE["op11_conversation_trie"] = conversation_trie.oracle()
     ORACLE["op3_mixing"] = mixing.oracle()
     ORACLE["op2_secret_scan"] = secret_scan.oracle()

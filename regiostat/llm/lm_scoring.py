@@ -16,9 +16,9 @@ that each draw a binomial number and then update ``t``.
 After ``burn`` sweeps ``samples`` seatings are kept, and the predictive
 probabilities of all kept seatings are averaged.
 
-Distribution.  1. Heavy words of every piece of the corpus give the *hot* words
-(at most ``max_contexts`` rows, broadcast), which only decide where counts are
-kept.  2. Texts become blocks of about 1 M tokens; a block's distinct (context,
+Distribution.  1. Frequent words of every block give the *hot* words (a
+``max_contexts``-th of all tokens, or a quarter of a bucket; broadcast, a row per
+quarter bucket at most), which only decide where counts are kept.  2. Texts become blocks of about 1 M tokens; a block's distinct (context,
 word) pairs with their training counts go, packed, to buckets: by context if
 the context is not hot, else by word, or by pair if the word is hot too, so
 that nothing is hot.  3. A bucket merges the counts of its pairs over all blocks
@@ -28,9 +28,13 @@ are estimated from the bucket's own share while sampling (an approximate
 distributed Gibbs) and summed exactly afterwards, so the probabilities are
 those of one seating and add up to one.  4. Tables of words that are not hot are
 summed by word in a second exchange, seated in the unigram restaurant and sent
-to the blocks that asked.  5. Blocks, joined with their answers and the totals
-of the hot words (``max_contexts`` rows), score their texts.
-The number of buckets grows with the tokens, so a bucket's size does not.
+to the blocks that asked.  5. The texts are read again; blocks, joined with their
+answers and the totals of the hot words, score them.
+The number of buckets grows with the tokens, and a context as large as a quarter
+of a bucket is hot, so a bucket's size does not grow.  Only answers are kept as
+tables; pieces and blocks are in shuffles alone.  The texts are read three times
+and must come in the same order each time, as those of a stored table do (a
+difference is an error).
 
 Results: one row per document row.  Null or empty text is the end token alone.
 Documents that do not learn are scored like the others.  Without training
@@ -42,6 +46,7 @@ read.
 from __future__ import annotations
 
 import ctypes
+import gc
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,13 +83,13 @@ _KINDS = (np.uint8, np.uint16, np.uint32, np.uint64)
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of whole numbers as one compressed text: a list of (type,
-    length), then the values."""
+    length), then the values, all first bytes before all second ones."""
     heads, bodies = [len(arrays)], []
     for a in arrays:
         top = int(a.max()) if len(a) else 0
         kind = next(k for k, most in enumerate((1 << 8, 1 << 16, 1 << 32, 1 << 64)) if top < most)
         heads += [kind, len(a)]
-        bodies.append(a.astype(_KINDS[kind]).tobytes())
+        bodies.append(a.astype(_KINDS[kind]).view(np.uint8).reshape(len(a), 1 << kind).T.tobytes())
     return zstandard.ZstdCompressor(level=1).compress(np.array(heads, dtype=np.uint32).tobytes() + b"".join(bodies))
 
 
@@ -93,7 +98,8 @@ def unpack(data: bytes) -> list[np.ndarray]:
     n = int(np.frombuffer(raw, np.uint32, 1)[0])
     heads, at = np.frombuffer(raw, np.uint32, 2 * n, 4), 4 + 8 * n
     for kind, size in heads.reshape(n, 2).tolist():
-        out.append(np.frombuffer(raw, _KINDS[kind], size, at))
+        planes = np.frombuffer(raw, np.uint8, size << kind, at).reshape(1 << kind, size)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(_KINDS[kind]))
         at += size << kind
     return out
 
@@ -154,18 +160,21 @@ def _gather(batches, size: int):
 
 
 def contexts(docs: DataFrame, s: Settings) -> tuple[int, np.ndarray, np.ndarray]:
-    """Training tokens, and hash and share of the frequent words (sorted)."""
+    """Training tokens, and hash and share of the frequent words (sorted): those
+    with ``1 / max_contexts`` of all tokens, or a quarter of a bucket.  A block
+    tells the words it has four times or more."""
     def heavy(batches):
         for h, count, learn, _ in _gather(batches, s.block_tokens):
             h = h[np.repeat(learn, count)]
             u, c = np.unique(h, return_counts=True)
-            often = c * 2 * s.max_contexts >= len(h)
+            often = (c >= 4) | (c * 2 * s.max_contexts >= len(h))
             yield batch(w=np.append(u[often].view(np.int64), 0), n=np.append(c[often], 0), tokens=np.append(np.zeros(often.sum(), np.int64), len(h)))
 
     found = docs.mapInArrow(heavy, "w bigint, n bigint, tokens bigint").groupBy("w").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens"))
     found = materialize(found, "heavy")
     total = found.agg(F.sum("tokens")).first()[0] or 0
-    rows = found.where(F.col("n") * s.max_contexts >= total).where("n > 0").select("w", "n").toPandas()  # max_contexts rows at most
+    least = min(total / s.max_contexts, s.bucket_tokens / 4)
+    rows = found.where(F.col("n") >= least).where("n > 0").select("w", "n").toPandas()  # a row per quarter bucket at most
     h = rows.w.to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(h)
     return int(total), h[order], rows.n.to_numpy(dtype=float)[order] / max(total, 1)
@@ -176,55 +185,75 @@ def _home(words: np.ndarray, buckets: int) -> np.ndarray:
     return (mix64(words + _ODD) % np.uint64(buckets)).astype(np.int64)
 
 
-def blocks(docs: DataFrame, frequent: np.ndarray, buckets: int, s: Settings) -> DataFrame:
-    """Rows of three kinds: a block's texts (bucket null), its pieces for the
-    buckets, and the words it asks the unigram restaurant for (bucket
-    ``-1 - home``)."""
+class Block:
+    """The distinct (context, word) pairs of a block, sorted by bucket, and the
+    words that are not hot, sorted by home.  Made from the texts alone, so that
+    the second reading of the texts finds the order of the first."""
+
+    def __init__(self, h: np.ndarray, count: np.ndarray, learn: np.ndarray, frequent: np.ndarray, buckets: int):
+        before = np.empty_like(h)
+        before[0], before[1:] = END, h[:-1]  # the token before a text is the end of the one before
+        key = mix64(h + mix64(before) * _ODD)
+        _, index, which = np.unique(key, return_index=True, return_inverse=True)
+        n = np.bincount(which, weights=np.repeat(learn, count), minlength=len(index)).astype(np.int64)
+        e_u, e_h = before[index], h[index]
+        e_ctx, e_word = _place(frequent, e_u) + 1, _place(frequent, e_h) + 1  # 0: not hot
+        bucket = (np.where(e_ctx == 0, mix64(e_u), np.where(e_word > 0, key[index], mix64(e_h))) % np.uint64(buckets)).astype(np.int64)
+        kind = np.where(e_ctx == 0, 2, e_word == 0)
+        order = np.lexsort((np.where(kind == 2, e_h, e_ctx.astype(np.uint64)), np.where(kind == 2, e_u, e_h), kind, bucket))
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        self.which = rank[which]
+        self.u, self.h, self.ctx, self.word, self.n, self.bucket, self.kind = (x[order] for x in (e_u, e_h, e_ctx, e_word, n, bucket, kind))
+        self.first = np.append(starts_of(self.bucket), len(self.bucket))
+        # words that are not hot, asked for by home
+        asked, at = np.unique(self.h[self.word == 0], return_inverse=True)
+        home = _home(asked, buckets)
+        by_home = np.argsort(home, kind="stable")
+        rank_home = np.empty_like(by_home)
+        rank_home[by_home] = np.arange(len(by_home))
+        self.asked, self.home, self.at = asked[by_home], home[by_home], rank_home[at]
+
+    def pieces(self) -> list[tuple[int, bytes]]:
+        """The pairs and their training counts for each bucket, and the words
+        asked for (``-1 - home``)."""
+        out = []
+        for a, b in zip(self.first[:-1], self.first[1:]):
+            m, r = (a + np.searchsorted(self.kind[a:b], (1, 2))).tolist()
+            new, room, rare = starts_of(self.h[m:r]), starts_of(self.u[r:b]), self.word[r:b] == 0
+            out.append((int(self.bucket[a]), pack(self.word[a:m], self.ctx[a:m], self.n[a:m], self.h[m:r][new], np.diff(np.append(new, r - m)), self.ctx[m:r], self.n[m:r],
+                                                  self.u[r:b][room], np.diff(np.append(room, b - r)), self.word[r:b], self.h[r:b][rare], self.n[r:b])))
+        cut = np.append(starts_of(self.home), len(self.home))
+        return out + [(-1 - int(self.home[a]), pack(self.asked[a:b])) for a, b in zip(cut[:-1], cut[1:])]
+
+    def own(self, count: np.ndarray) -> bytes:
+        """What scoring needs besides the answers."""
+        runs = [np.diff(np.append(starts_of(self.u[r:b]), b - r)) for a, b in zip(self.first[:-1], self.first[1:]) for r in [a + int(np.searchsorted(self.kind[a:b], 2))]]
+        return pack(self.which, self.ctx, self.word, count, np.concatenate(runs), self.at)
+
+
+def blocks(docs: DataFrame, frequent: np.ndarray, buckets: int, own: bool, s: Settings) -> DataFrame:
+    """``block, bucket, data`` of the pieces of every block; with ``own`` instead
+    one row per block with its texts' pairs and ids (bucket null)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     id_type = docs.schema["i"].dataType.simpleString()
 
     def run(batches):
         frequent, task = shared.value, TaskContext.get().partitionId()
         for number, (h, count, learn, ids) in enumerate(_gather(batches, s.block_tokens)):
-            before = np.empty_like(h)
-            before[0], before[1:] = END, h[:-1]  # the token before a text is the end of the one before
-            key = mix64(h + mix64(before) * _ODD)
-            _, index, which, = np.unique(key, return_index=True, return_inverse=True)
-            n = np.bincount(which, weights=np.repeat(learn, count), minlength=len(index)).astype(np.int64)
-            e_u, e_h = before[index], h[index]
-            e_ctx, e_word = _place(frequent, e_u) + 1, _place(frequent, e_h) + 1  # 0: not hot
-            bucket = (np.where(e_ctx == 0, mix64(e_u), np.where(e_word > 0, key[index], mix64(e_h))) % np.uint64(buckets)).astype(np.int64)
-            kind = np.where(e_ctx == 0, 2, e_word == 0)
-            order = np.lexsort((np.where(kind == 2, e_h, e_ctx.astype(np.uint64)), np.where(kind == 2, e_u, e_h), kind, bucket))
-            rank = np.empty_like(order)
-            rank[order] = np.arange(len(order))
-            e_u, e_h, e_ctx, e_word, n, bucket, kind = (x[order] for x in (e_u, e_h, e_ctx, e_word, n, bucket, kind))
-            first = np.append(starts_of(bucket), len(bucket))
-            pieces, runs = [], []
-            for a, b in zip(first[:-1], first[1:]):
-                m, r = (a + np.searchsorted(kind[a:b], (1, 2))).tolist()
-                new, room, rare = starts_of(e_h[m:r]), starts_of(e_u[r:b]), e_word[r:b] == 0
-                runs.append(np.diff(np.append(room, b - r)))
-                pieces.append(pack(e_word[a:m], e_ctx[a:m], n[a:m], e_h[m:r][new], np.diff(np.append(new, r - m)), e_ctx[m:r], n[m:r],
-                                   e_u[r:b][room], runs[-1], e_word[r:b], e_h[r:b][rare], n[r:b]))
-            # words that are not hot, asked for by home
-            asked, at = np.unique(e_h[e_word == 0], return_inverse=True)
-            home = _home(asked, buckets)
-            by_home = np.argsort(home, kind="stable")
-            rank_home = np.empty_like(by_home)
-            rank_home[by_home] = np.arange(len(by_home))
-            asked, home = asked[by_home], home[by_home]
-            cut = np.append(starts_of(home), len(home))
-            homes = home[cut[:-1]]
-            own = pack(rank[which], e_ctx, e_word, count, np.concatenate(runs), rank_home[at])
-            data = [own, *pieces, *(pack(asked[a:b]) for a, b in zip(cut[:-1], cut[1:]))]
-            block, none = (task << 24) + number, pa.nulls(len(data) - 1, pa.list_(ids.type))
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(data), pa.int64()), pa.array([None, *bucket[first[:-1]].tolist(), *(-1 - homes).tolist()], pa.int64()), pa.array(data, pa.binary()),
-                                              pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), none])], names=["block", "bucket", "data", "ids"])
-            del h, before, key, index, which, n, e_u, e_h, e_ctx, e_word, bucket, kind, order, rank, at, asked, pieces, data, own
+            place, block = (task << 24) + number, Block(h, count, learn, frequent, buckets)
+            del h
+            if own:
+                yield pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), pa.array([None], pa.int64()), pa.array([block.own(count)], pa.binary()),
+                                                  pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)], names=["block", "bucket", "data", "ids"])
+            else:
+                to, data = zip(*block.pieces())
+                yield pa.RecordBatch.from_arrays([pa.array([place] * len(to), pa.int64()), pa.array(to, pa.int64()), pa.array(data, pa.binary())], names=["block", "bucket", "data"])
+                del data
+            del block
             _release()
 
-    return docs.mapInArrow(run, f"block bigint, bucket bigint, data binary, ids array<{id_type}>")
+    return docs.mapInArrow(run, "block bigint, bucket bigint, data binary" + (f", ids array<{id_type}>" if own else ""))
 
 
 class Seating:
@@ -293,8 +322,8 @@ def _seated(rows: list[tuple]) -> pa.Table:
 
 def seat(pieces: DataFrame, tokens: int, share: np.ndarray, buckets: int, s: Settings) -> DataFrame:
     """Answers for every piece (block, bucket, data), totals of the hot words
-    (what, place, sums) and tables of the others for their homes (bucket,
-    data, what)."""
+    (what, place, sums), tables of the others for their homes (bucket, data,
+    what), and the words that blocks ask for."""
     shared = pieces.sparkSession.sparkContext.broadcast(share)
 
     def run(group: pa.Table) -> pa.Table:
@@ -302,6 +331,8 @@ def seat(pieces: DataFrame, tokens: int, share: np.ndarray, buckets: int, s: Set
         width = len(share) + 1
         group = group.sort_by("block")
         bucket = group["bucket"][0].as_py()
+        if bucket < 0:  # words asked for, on their way to the unigram restaurant
+            return _seated([(block, bucket, data, "asked", None, None) for block, data in zip(group["block"].to_pylist(), group["data"].to_pylist())])
         rng = np.random.default_rng([bucket, 20_011])
         parts = [unpack(x.as_py()) for x in group["data"]]
         cat = lambda i: np.concatenate([p[i] for p in parts])
@@ -398,6 +429,13 @@ def seat_root(rows: DataFrame, s: Settings) -> DataFrame:
     return rows.groupBy("bucket").applyInArrow(_tidy(run), SEATED)
 
 
+def _free(spark) -> None:
+    """Spark deletes the shuffle files of finished steps when the driver
+    collects its garbage; ask for that now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @dataclass
 class Totals:
     tokens: int
@@ -442,6 +480,8 @@ def score(parts: DataFrame, known: Totals, id_type: str, s: Settings) -> DataFra
         which, e_ctx, e_word, count, runs, at = unpack(own["data"][0].as_py())
         e_ctx, e_word, hot, rare = e_ctx.astype(np.int64), e_word.astype(np.int64), e_ctx > 0, e_word == 0
         got = [np.concatenate(x).astype(float) for x in zip(*(unpack(x.as_py()) for x in seated["data"]))]
+        if len(got[0]) != len(e_ctx):
+            raise RuntimeError("the documents were not the same, or not in the same order, when they were read again")
         rest = [np.concatenate(x).astype(float) for x in zip(*(unpack(x.as_py()) for x in rooted["data"]))]
 
         def words(table: np.ndarray, i: int) -> np.ndarray:
@@ -479,13 +519,13 @@ def lm_scores(docs: DataFrame, learn: Column, settings: Settings = Settings(), i
     rows = docs.select(F.col(id_col).alias("i"), F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     tokens, frequent, share = contexts(rows, s)
     buckets = max(8, -(-tokens // s.bucket_tokens))
-    made = materialize(blocks(rows, frequent, buckets, s), "blocks")
-    answers = materialize(seat(made.where("bucket >= 0").select("block", "bucket", "data"), tokens, share, buckets, s), "seatings")
-    asked = made.where("bucket < 0").select("block", "bucket", "data", F.lit(None).cast("bigint").alias("place"))
-    roots = materialize(seat_root(asked.unionByName(answers.where("what = 'tables'").select("block", "bucket", "data", "place")), s), "roots")
-    answers = answers.unionByName(roots)
+    seated = materialize(seat(blocks(rows, frequent, buckets, False, s), tokens, share, buckets, s), "seatings")
+    _free(docs.sparkSession)
+    columns = ["block", "bucket", "data", "place"]
+    roots = materialize(seat_root(seated.where("what IN ('asked', 'tables')").select(*columns), s), "roots")
+    answers = seated.where("what IS NULL OR what IN ('context', 'word')").unionByName(roots)
     known = totals(answers, tokens, len(share) + 1, s)
-    own = made.where(F.col("bucket").isNull())
-    back = answers.where(F.col("what").isNull()).select("block", "bucket", "data", F.lit(None).cast(made.schema["ids"].dataType).alias("ids"))
+    own = blocks(rows, frequent, buckets, True, s)
+    back = answers.where(F.col("what").isNull()).select("block", "bucket", "data", F.lit(None).cast(own.schema["ids"].dataType).alias("ids"))
     out = score(own.unionByName(back), known, docs.schema[id_col].dataType.simpleString(), s)
     return out.select(F.col("i").alias(id_col), "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

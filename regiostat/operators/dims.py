@@ -28,7 +28,7 @@ def dense_id(df: DataFrame, order_cols: list[str], start: int = 1, name: str = "
 
     One algorithm at every size: a distributed range sort, stored; the rows
     of a partition are numbered by their place in it plus the rows of the
-    partitions before (one count per partition goes over the driver)."""
+    partitions before (a running sum over one row per partition)."""
     return serial_id(df.orderBy(*order_cols), start, name)
 
 
@@ -37,15 +37,11 @@ def serial_id(df: DataFrame, start: int = 1, name: str = "id") -> DataFrame:
     once with partition and place of each row, then every partition gets the
     offset that the counts of the others leave it."""
     s = materialize(df.withColumns({"_pid": F.spark_partition_id(), "_mono": F.monotonically_increasing_id()}), "numbered")
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.min("_mono").alias("first")).orderBy("_pid").collect()
-    offsets, done = {}, start
-    for r in counts:
-        offsets[r["_pid"]] = done - r["first"]
-        done += r["n"]
-    if not offsets:
-        return s.withColumn(name, F.lit(start).cast("bigint")).drop("_pid", "_mono")
-    off = F.element_at(F.map_from_arrays(F.lit(list(offsets)), F.lit(list(offsets.values()))), F.col("_pid"))
-    return s.withColumn(name, (F.col("_mono") + off).cast("bigint")).drop("_pid", "_mono")
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # one row per partition: a table that is joined, never a literal
+    offsets = materialize(counts.select("_pid", (F.lit(start) + before - F.col("_first")).alias("_off")), "offsets")
+    return s.join(offsets, "_pid").withColumn(name, (F.col("_mono") + F.col("_off")).cast("bigint")).drop("_pid", "_mono", "_off")
 
 
 def first_match(df: DataFrame, key: list[str], order_col: str) -> DataFrame:
@@ -95,23 +91,71 @@ def region_key_like_join(fact: DataFrame, key_col: str, regions: DataFrame, code
     data act as wildcards; a row takes the smallest matching gid (W2).
 
     Keys without wildcards take the equi-join path.  Of the others only the
-    *distinct patterns* meet the regions, by an equi-join on the pattern's
-    literal beginning (regions are exploded into their code prefixes), then
-    the LIKE test; the winners go back to the rows by an equi-join on the
-    pattern.  No size limit, no nested loop."""
+    *distinct patterns* meet the regions: every pattern joins on the rarest
+    of its literal grams (up to three letters, the ends of a code marked, so
+    that ``%12`` looks for codes that end so), then takes the LIKE test.
+    Patterns of wildcards alone ask for a length of the code, and meet one
+    row per length.  The winners go back to the rows by the pattern.  No size
+    limit, no nested loop, no key that all regions share."""
     dim = region_dimension(regions, code_col, vintage)
     f = fact.withColumn("_code", F.upper(F.col(key_col)))
     wild = F.col("_code").rlike("[%_]")
     plain = join_dimension(f.filter(~wild), dim, "_code", "inner")
-    patterns = f.filter(wild).select("_code").distinct().withColumn("_head", F.regexp_extract("_code", "^[^%_\\\\]*", 0))
-    heads = dim.select(F.col("_code").alias("_rcode"), "_gid",
-                       F.explode(F.concat(F.array(F.lit("")), F.when(F.length("_code") > 0, prefixes(F.col("_code")))
-                                          .otherwise(F.expr("CAST(array() AS array<string>)")))).alias("_head"))
-    first = (patterns.join(heads, "_head").filter(F.expr("_rcode LIKE _code"))
-             .groupBy("_code").agg(F.min("_gid").alias("_gid")))
+    patterns = f.filter(wild).select("_code").distinct().withColumn("_grams", pattern_grams(F.col("_code")))
+    codes = dim.filter(F.col("_code").isNotNull()).select(F.col("_code").alias("_rcode"), "_gid")
+    first = _gram_matches(patterns.filter(F.size("_grams") > 0), codes).unionByName(_length_matches(patterns.filter(F.size("_grams") == 0), codes))
     return plain.unionByName(f.filter(wild).join(first, "_code")).drop("_code").withColumnRenamed("_gid", out)
 
 
+# Marks of the beginning and the end of a code (no letters of one).
+_BEGIN, _END = "\u0002", "\u0003"
+# What can be escaped in a pattern (the backslash first), and what stands for it.
+_ESCAPED, _STAND_IN = "\\%_", "\u0004\u0005\u0006"
+GRAM = 3
+
+
+def _grams(text: Column) -> Column:
+    """All distinct pieces of one to ``GRAM`` letters."""
+    def of(n: int) -> Column:
+        return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.expr("CAST(array() AS array<string>)"))
+    return F.array_distinct(F.concat(*[of(n) for n in range(1, GRAM + 1)]))
+
+
+def pattern_grams(pattern: Column) -> Column:
+    """Grams that every code which matches a LIKE pattern has (with marked
+    ends): the longest pieces of its literal runs.  What a backslash escapes
+    is literal."""
+    marked = F.concat(F.lit(_BEGIN), pattern, F.lit(_END))
+    for escaped, stand_in in zip(_ESCAPED, _STAND_IN):
+        marked = F.replace(marked, F.lit("\\" + escaped), F.lit(stand_in))
+    runs = F.transform(F.split(marked, "[%_]"), lambda r: F.translate(r, _STAND_IN, _ESCAPED))
+    runs = F.filter(runs, lambda r: (F.length(r) > 0) & (r != _BEGIN) & (r != _END))
+    pieces = F.flatten(F.transform(runs, lambda r: F.filter(_grams(r), lambda g: F.length(g) == F.least(F.length(r), F.lit(GRAM)))))
+    return F.array_distinct(pieces)
+
+
+def _gram_matches(patterns: DataFrame, codes: DataFrame) -> DataFrame:
+    index = codes.select("_rcode", "_gid", F.explode(_grams(F.concat(F.lit(_BEGIN), F.col("_rcode"), F.lit(_END)))).alias("_gram"))
+    sizes = index.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    # a gram that no code has rules the pattern out: it keeps no row here
+    found = patterns.select("_code", F.explode("_grams").alias("_gram")).join(sizes, "_gram", "left")
+    rarest = found.groupBy("_code").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("g"))).alias("_x")).filter("_x.n > 0").select("_code", F.col("_x.g").alias("_gram"))
+    return rarest.join(index, "_gram").filter(F.expr("_rcode LIKE _code")).groupBy("_code").agg(F.min("_gid").alias("_gid"))
+
+
+def _length_matches(patterns: DataFrame, codes: DataFrame) -> DataFrame:
+    """Patterns of ``%`` and ``_`` alone: codes of just that length, or of at
+    least that length if there is a ``%``; one row per length of a code."""
+    lengths = codes.groupBy(F.length("_rcode").alias("_len")).agg(F.min("_gid").alias("_gid"))
+    longer = F.min("_gid").over(Window.orderBy(F.col("_len").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # lengths asked for between two that exist take the next longer one
+    spans = lengths.select("_len", "_gid", longer.alias("_from"), F.coalesce(F.lag("_len").over(Window.orderBy("_len")) + 1, F.lit(0)).alias("_low"))
+    spans = spans.select("_len", "_gid", "_from", F.explode(F.sequence("_low", "_len")).alias("_ask"))
+    asked = patterns.select("_code", F.length(F.regexp_replace("_code", "%", "")).alias("_ask"), F.contains(F.col("_code"), F.lit("%")).alias("_open"))
+    return (asked.join(spans, "_ask").filter(F.col("_open") | (F.col("_ask") == F.col("_len")))
+            .select("_code", F.when(F.col("_open"), F.col("_from")).otherwise(F.col("_gid")).alias("_gid")))
+
+
 # -- J3 / U1 --------------------------------------------------------------------------
 TIME_COLUMNS = ["id", "timestamp", "year", "month", "day", "weekday", "season", "hour_of_day",
                 "hour_of_year", "date", "granularity"]

@@ -9,7 +9,7 @@ the table being read is never overwritten in place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiostat.config import NUTS_VINTAGE
@@ -53,14 +53,18 @@ def region_recompute_lau(lau_stats: DataFrame, fresh: DataFrame, prefix: str,
     return update_from(lau_stats, region_prefix_filter(fresh, prefix), [*extra_keys, "fk_lau_gid", "fk_time_id"], cols)
 
 
-def affected_nuts3(lau: DataFrame, prefix: str) -> DataFrame:
-    """Parents of the changed municipalities."""
-    return region_prefix_filter(lau, prefix).select(F.col("fk_nuts_gid")).distinct()
+def affected_nuts3(lau: DataFrame, prefix: str, changed: DataFrame | None = None) -> DataFrame:
+    """Parents of the changed municipalities: those under ``prefix``, or of
+    them only the ones in ``changed(comm_id)``."""
+    under = region_prefix_filter(lau, prefix)
+    if changed is not None:
+        under = under.join(changed.select("comm_id"), "comm_id", "left_semi")
+    return under.select(F.col("fk_nuts_gid")).distinct()
 
 
 def region_recompute_nuts3(nuts3_stats: DataFrame, lau_stats: DataFrame, lau: DataFrame,
                            nuts: DataFrame, prefix: str, vintage: str = NUTS_VINTAGE,
-                           compat: bool = False, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+                           compat: bool = False, extra_keys: tuple[str, ...] = (), changed: DataFrame | None = None) -> DataFrame:
     """Recompute the NUTS 3 rows that contain a changed municipality,
     from all of their (updated) municipalities, then update by key.
 
@@ -73,19 +77,19 @@ def region_recompute_nuts3(nuts3_stats: DataFrame, lau_stats: DataFrame, lau: Da
         fresh = H.nuts3_rollup(sub, nuts, vintage).drop("fk_time_id")
         return update_from(nuts3_stats, fresh, ["nuts_id"], NUTS_SET)
     # only towns of an affected parent are read, before anything is aggregated
-    near = lau.join(affected_nuts3(lau, prefix), "fk_nuts_gid", "left_semi").select("comm_id", "fk_nuts_gid", "nuts_id")
+    near = lau.join(affected_nuts3(lau, prefix, changed), "fk_nuts_gid", "left_semi").select("comm_id", "fk_nuts_gid", "nuts_id")
     fresh = H.nuts3_rollup(lau_stats.join(near, "comm_id"), nuts, vintage, extra_keys=extra_keys)
     return update_from(nuts3_stats, fresh, [*extra_keys, "nuts_id", "fk_time_id"], NUTS_SET)
 
 
 def region_recompute_upper(nuts_stats: DataFrame, lau: DataFrame, nuts: DataFrame, prefix: str,
-                           vintage: str = NUTS_VINTAGE, per_child: bool = False, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+                           vintage: str = NUTS_VINTAGE, per_child: bool = False, extra_keys: tuple[str, ...] = (), changed: DataFrame | None = None) -> DataFrame:
     """Recompute the level 0-2 ancestors of the changed NUTS 3 regions
     from their (updated) NUTS 3 rows; update on ``nuts_id, fk_nuts_gid``
     and time."""
     l3 = nuts_stats.filter(F.col("stat_levl_") == 3)
     upper = nuts_stats.filter(F.col("stat_levl_") < 3)
-    codes = (affected_nuts3(lau, prefix).join(nuts.select(F.col("gid").alias("fk_nuts_gid"), F.col("nuts_id").alias("child_code")), "fk_nuts_gid")
+    codes = (affected_nuts3(lau, prefix, changed).join(nuts.select(F.col("gid").alias("fk_nuts_gid"), F.col("nuts_id").alias("child_code")), "fk_nuts_gid")
              .select("child_code"))
     anc = H.vintage_level(nuts, F.col("stat_levl_") < 3, vintage).select(
         F.col("gid").alias("a_gid"), F.col("nuts_id").alias("a_code"))
@@ -97,33 +101,45 @@ def region_recompute_upper(nuts_stats: DataFrame, lau: DataFrame, nuts: DataFram
 
 def recompute_regions(lau_stats: DataFrame, nuts_stats: DataFrame, fresh_lau: DataFrame,
                       lau: DataFrame, nuts: DataFrame, prefix: str,
-                      vintage: str = NUTS_VINTAGE, extra_keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+                      vintage: str = NUTS_VINTAGE, extra_keys: tuple[str, ...] = (), changed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """A5 -> A6 -> A7; returns (new LAU table, new NUTS table).  The region
     tables are stored once and read by all steps, and so is each level."""
     lau, nuts = materialize(lau.select("gid", "comm_id", "fk_nuts_gid", "nuts_id"), "regions_lau"), materialize(nuts, "regions_nuts")
     new_lau = materialize(region_recompute_lau(lau_stats, fresh_lau, prefix, extra_keys=extra_keys), "new_lau")
-    l3 = region_recompute_nuts3(nuts_stats.filter(F.col("stat_levl_") == 3), new_lau, lau, nuts, prefix, vintage, extra_keys=extra_keys)
+    l3 = region_recompute_nuts3(nuts_stats.filter(F.col("stat_levl_") == 3), new_lau, lau, nuts, prefix, vintage, extra_keys=extra_keys, changed=changed)
     full = materialize(H.all_levels(l3, nuts_stats.filter(F.col("stat_levl_") < 3), extra_keys), "new_nuts")
-    return new_lau, region_recompute_upper(full, lau, nuts, prefix, vintage, extra_keys=extra_keys)
+    return new_lau, region_recompute_upper(full, lau, nuts, prefix, vintage, extra_keys=extra_keys, changed=changed)
 
 
-def recompute_after_change(zones: DataFrame, new_geoms: DataFrame, tiles: dict[str, tuple[DataFrame, Grid, list[int]]],
+def geometry_hash(geom: str = "geom") -> Column:
+    """128 bits of a geometry (reference system, type and all vertices)."""
+    g = F.col(geom)
+    return F.struct(F.xxhash64(g["srid"], g["type"], g["parts"]).alias("a"), F.xxhash64(g["parts"], g["type"], F.lit(1)).alias("b"))
+
+
+def changed_zones(zones: DataFrame, new_geoms: DataFrame, key: str = "comm_id", geom: str = "geom") -> DataFrame:
+    """``key, geom`` of the new geometries that differ from the stored ones.
+    Stored geometries are not shuffled, only their hashes; an unknown key is
+    no change (as in an UPDATE)."""
+    old = zones.select(key, geometry_hash(geom).alias("_old"))
+    new = new_geoms.select(key, geom, geometry_hash(geom).alias("_new"))
+    return new.join(old, key).filter(F.col("_new") != F.col("_old")).select(key, geom)
+
+
+def recompute_after_change(zones: DataFrame, new_geoms: DataFrame, tiles: DataFrame, grid: Grid, time_ids: list[int], datasets: list[str],
                            lau_stats: DataFrame, nuts_stats: DataFrame, lau: DataFrame, nuts: DataFrame, prefix: str,
                            vintage: str = NUTS_VINTAGE) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """J11 + A1 + A5-A7 for a list of datasets: the new geometries replace the
-    old ones, the zones under ``prefix`` are measured again in every dataset
-    (``tiles``: name -> tiles, grid, time ids; one small plan each), and the
-    three levels of all datasets are updated together with ``dataset`` as a
-    key.  Returns the new zone, LAU and NUTS tables."""
-    from functools import reduce
-
+    """J11 + A1 + A5-A7 for all ``datasets`` of a tile table: geometries that
+    really changed replace the old ones, the zones among them under ``prefix``
+    are measured again in one pass over all datasets, and only they, their
+    NUTS 3 parents and the ancestors of those are updated.  Returns the new
+    zone, LAU and NUTS tables."""
     from regiostat.operators.zonal import zonal_stats
-    zones = materialize(geometry_update(zones, new_geoms), "zones")
-    changed = region_prefix_filter(zones, prefix)
-    parts = [zonal_stats(changed, t, grid, times).withColumn("dataset", F.lit(name)) for name, (t, grid, times) in tiles.items()]
-    fresh = materialize(reduce(lambda a, b: a.unionByName(b), parts), "fresh_stats")
-    new_lau, new_nuts = recompute_regions(lau_stats, nuts_stats, fresh, lau, nuts, prefix, vintage, ("dataset",))
-    return zones, new_lau, new_nuts
+    new_geoms = materialize(changed_zones(zones, new_geoms), "changed_geometries")
+    again = region_prefix_filter(new_geoms, prefix).join(zones.drop("geom"), "comm_id")
+    fresh = materialize(zonal_stats(again, tiles, grid, time_ids, datasets=datasets), "fresh_stats")
+    new_lau, new_nuts = recompute_regions(lau_stats, nuts_stats, fresh, lau, nuts, prefix, vintage, ("dataset",), changed=new_geoms)
+    return geometry_update(zones, new_geoms), new_lau, new_nuts
 
 
 def geometry_update(regions: DataFrame, new_geoms: DataFrame, key: str = "comm_id",

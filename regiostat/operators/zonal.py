@@ -17,7 +17,7 @@ to its pixel count for the values; no polygon-by-pixel product is formed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiostat.config import DEFAULT_SRID, STAT_DECIMAL
@@ -101,15 +101,15 @@ def tile_segments(spans: DataFrame, grid: Grid, ids: tuple[str, ...] = ("gid",))
 
 
 def clip_values(segments: DataFrame, tiles: DataFrame, ids: tuple[str, ...] = ("gid",),
-                mask_nodata: bool = True) -> DataFrame:
-    """G9 (+G10): pixel values inside each zone, ``(ids, fk_time_id, col, row,
-    value)``.  Only the slice of each tile row that lies in a span is
-    exploded."""
-    t = tiles.select("tile_col", "tile_row", "fk_time_id", "pixels", "nodata")
+                mask_nodata: bool = True, keys: tuple[str, ...] = ()) -> DataFrame:
+    """G9 (+G10): pixel values inside each zone, ``(ids, keys, fk_time_id, col,
+    row, value)``.  Only the slice of each tile row that lies in a span is
+    exploded.  ``keys``: more columns of the tiles (``dataset``)."""
+    t = tiles.select("tile_col", "tile_row", *keys, "fk_time_id", "pixels", "nodata")
     j = segments.join(t, ["tile_col", "tile_row"])
-    v = j.select(*ids, "fk_time_id", "row", "c0", "nodata",
+    v = j.select(*ids, *keys, "fk_time_id", "row", "c0", "nodata",
                  F.posexplode(F.slice("pixels", F.col("start") + 1, F.col("len"))).alias("k", "value"))
-    v = v.select(*ids, "fk_time_id", (F.col("c0") + F.col("k")).alias("col"), "row", "value", "nodata")
+    v = v.select(*ids, *keys, "fk_time_id", (F.col("c0") + F.col("k")).alias("col"), "row", "value", "nodata")
     if mask_nodata:
         v = nodata_mask(v)
     return v.drop("nodata")
@@ -127,36 +127,76 @@ def to_grid(geom: str, grid: Grid):
 
 
 def zone_values(zones: DataFrame, tiles: DataFrame, grid: Grid, geom: str = "geom",
-                ids: tuple[str, ...] = ("gid",), mask_nodata: bool = True) -> DataFrame:
+                ids: tuple[str, ...] = ("gid",), mask_nodata: bool = True, keys: tuple[str, ...] = ()) -> DataFrame:
     spans = zone_spans(zone_edges(zones, geom, ids), grid, ids)
-    return clip_values(tile_segments(spans, grid, ids), tiles, ids, mask_nodata)
+    return clip_values(tile_segments(spans, grid, ids), tiles, ids, mask_nodata, keys)
 
 
 def zonal_stats(zones: DataFrame, tiles: DataFrame, grid: Grid, time_ids: list[int],
-                geom: str = "geom", ids: tuple[str, ...] = ("gid", "comm_id"), overlaps: bool = False) -> DataFrame:
+                geom: str = "geom", ids: tuple[str, ...] = ("gid", "comm_id"), overlaps: bool = False,
+                datasets: list[str] | None = None) -> DataFrame:
     """A1 + J9: per zone and time: count, sum, mean, stddev (population),
     min, max of valid pixels, stored as ``decimal(20,2)``; zones without
     pixels keep a row with NULL statistics for every requested time.
 
     Only tiles of ``time_ids`` are read; zones in geographic coordinates are
     projected to the grid; with ``overlaps`` the layers of a time are united
-    first (A8), so no position counts twice.  Sums are exact decimals, so
-    they do not depend on the order of the rows."""
+    first (A8), so no position counts twice.  Sums are exact and do not depend
+    on the order of the rows (:func:`exact_sum`).  With ``datasets`` the tiles
+    have a column ``dataset``, and all of them are measured in one pass over
+    the spans, one row per zone, dataset and time."""
+    keys = ("dataset",) if datasets is not None else ()
     wanted = tiles.filter(F.col("fk_time_id").isin([int(t) for t in time_ids]))
+    if datasets is not None:
+        wanted = wanted.filter(F.col("dataset").isin(datasets))
     own = zones.select(*ids, to_grid(geom, grid).alias(geom))
-    vals = zone_values(own, mosaic_tiles(wanted) if overlaps else wanted, grid, geom, ids)
-    exact = F.col("value").cast("decimal(28,6)")
-    agg = vals.groupBy(*ids, "fk_time_id").agg(
-        F.count(F.lit(1)).alias("count"), to_stat(F.sum(exact)).alias("sum"),
-        (F.sum(exact) / F.count(F.lit(1))).cast("decimal(38,6)").cast(STAT_DECIMAL).alias("mean"), double_to_stat(F.stddev_pop("value")).alias("stddev"),
+    vals = zone_values(own, mosaic_tiles(wanted, keys) if overlaps else wanted, grid, geom, ids, keys=keys)
+    sums = limbs(F.col("value"))
+    agg = vals.groupBy(*ids, *keys, "fk_time_id").agg(
+        F.count(F.lit(1)).alias("count"), *[F.sum(x).alias(f"_s{i}") for i, x in enumerate(sums)], double_to_stat(F.stddev_pop("value")).alias("stddev"),
         to_stat(F.min("value")).alias("min"), to_stat(F.max("value")).alias("max"))
-    grid_rows = zones.select(*ids, F.explode(F.array(*[F.lit(t).cast("bigint") for t in time_ids]))
-                             .alias("fk_time_id"))
-    j = grid_rows.join(agg, [*ids, "fk_time_id"], "left")
-    return j.select(*LAU_STAT_COLUMNS, *[c for c in ids if c != "gid"], "fk_time_id",
+    total = exact_sum([F.col(f"_s{i}") for i in range(len(sums))])
+    agg = agg.select(*ids, *keys, "fk_time_id", "count", to_stat(total).alias("sum"), (total / F.col("count")).cast("decimal(38,6)").cast(STAT_DECIMAL).alias("mean"), "stddev", "min", "max")
+    asked = [F.struct(*[F.lit(d).alias("dataset") for d in ([name] if keys else [])], F.lit(int(t)).cast("bigint").alias("fk_time_id"))
+             for name in (datasets or [None]) for t in time_ids]
+    grid_rows = zones.select(*ids, F.inline(F.array(*asked)))
+    j = grid_rows.join(agg, [*ids, *keys, "fk_time_id"], "left")
+    return j.select(*keys, *LAU_STAT_COLUMNS, *[c for c in ids if c != "gid"], "fk_time_id",
                     F.col("gid").alias("fk_lau_gid"))
 
 
+#: Bits of a limb, and limbs of the fraction: a value is an integer and three
+#: numbers of 30 bits behind the point, exact to 2^-90.
+LIMB, FRACTION = 30, 3
+
+
+def limbs(value: Column) -> list[Column]:
+    """A double as whole numbers ``i, f1, f2, f3``: ``i + f1/2^30 + f2/2^60 +
+    f3/2^90``.  Every step is exact for a double (a difference with its floor,
+    a product with a power of two), so sums of limbs are exact in any order;
+    what lies below 2^-90 is cut off value by value."""
+    out, rest = [F.floor(value)], value - F.floor(value)
+    for _ in range(FRACTION):
+        rest = rest * float(1 << LIMB)
+        out.append(F.floor(rest))
+        rest = rest - F.floor(rest)
+    return out
+
+
+def exact_sum(sums: list[Column]) -> Column:
+    """Sums of limbs as one ``decimal(38,12)``: carries go up, what is left of
+    the fraction (below one) is a double."""
+    carry, parts = F.lit(0).cast("bigint"), []
+    for x in reversed(sums[1:]):
+        whole = x + carry
+        carry = F.shiftright(whole, LIMB)
+        parts.append(whole - F.shiftleft(carry, LIMB))
+    fraction = F.lit(0.0)
+    for x in parts:  # the last limb first
+        fraction = (fraction + x.cast("double")) / float(1 << LIMB)
+    return (sums[0] + carry).cast("decimal(38,12)") + fraction.cast("decimal(38,12)")
+
+
 def zonal_stats_basic(zones: DataFrame, tiles: DataFrame, grid: Grid, time_ids: list[int],
                       geom: str = "geom") -> DataFrame:
     """Min, max, mean, count per polygon."""

@@ -248,17 +248,26 @@ SELECT CAST(1 AS BIGINT) AS fk_time_id, o_orderkey % 1024 AS col, o_orderkey //
   CASE WHEN o_orderstatus = 'P' THEN -9999.0 ELSE o_totalprice END AS value FROM orders""")
 
 
-def _scaled_edges() -> str:
-    from regiostat.plans.fixtures import SCALED_TRIANGLE
+def _scaled_edges(shape) -> str:
     rows = ", ".join(f"({k}, {x1}, {y1}, {x2}, {y2})" for k, ((x1, y1), (x2, y2))
-                     in enumerate(zip(SCALED_TRIANGLE[:-1], SCALED_TRIANGLE[1:])))
+                     in enumerate(zip(shape[:-1], shape[1:])))
     return f"""
 SELECT b.gid, b.bx * 32.0 + t.x1 AS x1, b.by * 32.0 + t.y1 AS y1, b.bx * 32.0 + t.x2 AS x2, b.by * 32.0 + t.y2 AS y2
 FROM (SELECT DISTINCT col // 32 AS bx, row // 32 AS by, (row // 32) * 32 + col // 32 AS gid FROM spx) b,
      (VALUES {rows}) t(k, x1, y1, x2, y2)"""
 
 
-cte("sedge", ["spx"], _scaled_edges())
+def _scaled_shapes() -> None:
+    from regiostat.plans.fixtures import SCALED_CHANGED, SCALED_NEW, SCALED_PREFIX, SCALED_TRIANGLE
+    cte("sedge", ["spx"], _scaled_edges(SCALED_TRIANGLE))
+    cte("sedge_new", ["spx"], _scaled_edges(SCALED_CHANGED))
+    moved = f"gid % {SCALED_NEW} = 0 AND starts_with('B' || CAST(gid AS VARCHAR), '{SCALED_PREFIX}')"
+    cte("sedge_upd", ["sedge", "sedge_new"], f"SELECT * FROM sedge WHERE NOT ({moved}) UNION ALL SELECT * FROM sedge_new WHERE {moved}")
+
+
+_scaled_shapes()
+
+
 def scaled_zonal_body(pixels: str, time: int) -> str:
     """Statistics of the scaled zones over one time of a pixel table."""
     return f"""
@@ -277,6 +286,23 @@ FROM (SELECT DISTINCT gid FROM sedge) z LEFT JOIN (
   WHERE value <> -9999.0 GROUP BY gid) a ON a.gid = z.gid"""
 
 
+cte("dspx", [], """
+SELECT 'ds_' || regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_', 'g') AS dataset, o_orderkey % 1024 AS col, o_orderkey // 1024 AS row,
+  CASE WHEN o_orderstatus = 'P' THEN -9999.0 ELSE o_totalprice END AS value FROM orders""")
+cte("dszonal_upd", ["dspx", "sedge_upd"], """
+SELECT d.dataset, a.count, a.sum, a.mean, a.stddev, a.min, a.max, 'B' || CAST(z.gid AS VARCHAR) AS comm_id,
+  CAST(1 AS BIGINT) AS fk_time_id, z.gid AS fk_lau_gid
+FROM (SELECT DISTINCT gid FROM sedge_upd) z CROSS JOIN (SELECT DISTINCT dataset FROM dspx) d LEFT JOIN (
+  SELECT gid, dataset, count(*) AS count, CAST(sum(value) AS DECIMAL(20,2)) AS sum,
+    CAST(CAST(avg(value) AS DECIMAL(38,6)) AS DECIMAL(20,2)) AS mean,
+    CAST(CAST(stddev_pop(value) AS DECIMAL(38,6)) AS DECIMAL(20,2)) AS stddev,
+    CAST(min(value) AS DECIMAL(20,2)) AS min, CAST(max(value) AS DECIMAL(20,2)) AS max
+  FROM (SELECT e.gid, p.dataset, p.col, p.row, p.value FROM dspx p JOIN sedge_upd e
+          ON e.gid = (p.row // 32) * 32 + p.col // 32
+         AND (e.y1 > p.row + 0.5) <> (e.y2 > p.row + 0.5)
+         AND p.col + 0.5 < e.x1 + (p.row + 0.5 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+        GROUP BY e.gid, p.dataset, p.col, p.row, p.value HAVING count(*) % 2 = 1)
+  WHERE value <> -9999.0 GROUP BY gid, dataset) a ON a.gid = z.gid AND a.dataset = d.dataset""")
 cte("szonal", ["spx", "sedge"], scaled_zonal_body("spx", 1))
 cte("slau", ["sedge", "nuts"], """
 SELECT z.gid, 'B' || CAST(z.gid AS VARCHAR) AS comm_id, CAST(10000 + z.gid % 25 * 12 + z.gid % 3 * 4 + z.gid % 4 AS BIGINT) AS fk_nuts_gid, n.nuts_id

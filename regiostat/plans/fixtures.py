@@ -299,15 +299,45 @@ SCALED_BLOCK = 32
 SCALED_TRIANGLE = [(1.25, 1.25), (30.75, 3.25), (12.25, 29.75), (1.25, 1.25)]
 
 
-def _scaled_pixels(self) -> DataFrame:
+def _dataset_name():
+    return F.concat(F.lit("ds_"), F.regexp_replace(F.lower("o_orderpriority"), "[^a-z0-9]+", "_")).alias("dataset")
+
+
+def _scaled_pixels(self, with_dataset: bool = False) -> DataFrame:
     k = F.col("o_orderkey")
     return self.t("orders").select(
+        *([_dataset_name()] if with_dataset else []),
         F.lit(1).cast("bigint").alias("fk_time_id"), (k % SCALED_WIDTH).alias("col"),
         (k / SCALED_WIDTH).cast("bigint").alias("row"),
         F.when(F.col("o_orderstatus") == "P", F.lit(NODATA)).otherwise(F.col("o_totalprice")).alias("value"))
 
 
+#: Zones whose geometry is sent again (every second), and of these the ones
+#: that really change (every fourth); the prefix that is recomputed.
+SCALED_CHANGED = [(2.25, 3.25), (28.75, 1.25), (24.25, 30.75), (5.75, 22.25), (2.25, 3.25)]
+SCALED_SENT, SCALED_NEW = 2, 4
+SCALED_PREFIX = "B1"
+
+
+def _scaled_geoms(self) -> DataFrame:
+    """New geometries of the scaled zones: ``comm_id, geom``."""
+    old = self.scaled_zones().filter(F.col("gid") % SCALED_SENT == 0)
+    new = _block_zones(self, SCALED_CHANGED).select("comm_id", F.col("geom").alias("new"))
+    return old.join(new, "comm_id").select("comm_id", F.when(F.col("gid") % SCALED_NEW == 0, F.col("new")).otherwise(F.col("geom")).alias("geom"))
+
+
+def _dataset_tiles(self) -> DataFrame:
+    """The scaled raster as one dataset per order priority, on one grid."""
+    from regiostat.operators.raster import tiles_from_pixels
+    p = self.scaled_pixels(with_dataset=True)
+    return tiles_from_pixels(p, self.scaled_grid(), keys=("dataset",))
+
+
 def _scaled_zones(self) -> DataFrame:
+    return _block_zones(self, SCALED_TRIANGLE)
+
+
+def _block_zones(self, shape) -> DataFrame:
     from regiostat.functions.geometry import fmt_number, wkt_parse
     per_row = SCALED_WIDTH // SCALED_BLOCK
     p = self.scaled_pixels()
@@ -315,7 +345,7 @@ def _scaled_zones(self) -> DataFrame:
                  (F.col("row") / SCALED_BLOCK).cast("bigint").alias("by")).distinct()
     x0, y0 = F.col("bx") * float(SCALED_BLOCK), F.col("by") * float(SCALED_BLOCK)
     pts = []
-    for i, (dx, dy) in enumerate(SCALED_TRIANGLE):
+    for i, (dx, dy) in enumerate(shape):
         if i:
             pts.append(F.lit(", "))
         pts += [fmt_number(x0 + dx), F.lit(" "), fmt_number(y0 + dy)]
@@ -352,6 +382,8 @@ def _grid(self):
 
 
 Fixtures.scaled_grid = cached(_grid)
+Fixtures.scaled_geoms = cached(_scaled_geoms)
+Fixtures.dataset_tiles = cached(_dataset_tiles)
 Fixtures.scaled_lau = cached(_scaled_lau)
 Fixtures.layered_tiles = cached(_layered_tiles)
 Fixtures.scaled_pixels = cached(_scaled_pixels)

@@ -154,7 +154,7 @@ def integrate_raster_package(layers: list[DataFrame], resource: dict, grid: Grid
     tiles = spark.read.parquet(tables["tiles"])
     times = [r[0] for r in tiles.select("fk_time_id").distinct().collect()]
     seen = RA.mosaic_tiles(tiles) if len(layers) > 1 else tiles
-    tables["pyramid"] = SK.table_replace(RA.overview_pyramid(RA.tile_pixels(seen), pyramid_levels), os.path.join(out_dir, "pyramid"))
+    tables["pyramid"] = SK.table_replace(RA.overview_pyramid(seen, pyramid_levels), os.path.join(out_dir, "pyramid"))
     integrate_raster(tiles, zones, lau, nuts, grid, times, out_dir, overlaps=len(layers) > 1)
     tables |= {n: os.path.join(out_dir, n) for n in ("lau_stats", "nuts_stats")}
     return Package(tables, new_dim)

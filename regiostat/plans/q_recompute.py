@@ -9,8 +9,9 @@ from regiostat.config import DEFAULT_SRID
 from regiostat.operators import checks as C
 from regiostat.operators import hierarchy as H
 from regiostat.operators import recompute as R
+from regiostat.operators import zonal as Z
 from regiostat.plans.fixture_sql import with_ctes
-from regiostat.plans.fixtures import RECOMPUTE_PREFIX, Fixtures
+from regiostat.plans.fixtures import RECOMPUTE_PREFIX, SCALED_PREFIX, Fixtures
 from regiostat.plans.q_hierarchy import all_levels_sql, level_sql, nuts3_sql, stat_sql
 from regiostat.plans.registry import register
 from regiostat.session import materialize, staging_path
@@ -95,16 +96,19 @@ def q_dataset_list_scan(spark, sf):
     return dataset_list(spark, sf)
 
 
-@register("recompute_batch", with_ctes(["nuts", "lau", "dataset_upd"], all_levels_sql("dataset_upd", keys="dataset")))
+@register("recompute_batch", with_ctes(["nuts", "slau", "dszonal_upd"], all_levels_sql("dszonal_upd", "slau", keys="dataset")))
 def q_recompute_batch(spark, sf):
-    """Stored tables of all datasets of the parameter table are updated for
-    the changed regions in one run, ``dataset`` a key in every step."""
+    """Geometries come in anew; the tables of all datasets of the parameter
+    table are updated in one run, from the pixels of the zones that really
+    changed up to level 0, ``dataset`` a key in every step."""
     fx = Fixtures(spark, sf)
-    todo = dataset_list(spark, sf).select(F.col("dataset_name").alias("dataset"))
-    old = materialize(fx.dataset_stats().join(todo, "dataset", "left_semi"), "lau_stats")
-    levels = materialize(H.rollup_all(old, fx.lau(), fx.nuts(), extra_keys=("dataset",)), "nuts_stats")
-    _, new = R.recompute_regions(old, levels, fx.dataset_stats(even_only=True), fx.lau(), fx.nuts(), RECOMPUTE_PREFIX, extra_keys=("dataset",))
-    return new
+    todo = [r["dataset_name"] for r in dataset_list(spark, sf).collect()]  # the parameter table
+    grid = fx.scaled_grid()
+    tiles, zones = materialize(fx.dataset_tiles(), "tiles"), materialize(fx.scaled_zones(), "zones")
+    lau, nuts = materialize(fx.scaled_lau(), "scaled_lau"), materialize(fx.nuts(), "nuts")
+    old = materialize(Z.zonal_stats(zones, tiles, grid, [1], datasets=todo), "lau_stats")
+    levels = materialize(H.rollup_all(old, lau, nuts, extra_keys=("dataset",)), "nuts_stats")
+    return R.recompute_after_change(zones, fx.scaled_geoms(), tiles, grid, [1], todo, old, levels, lau, nuts, SCALED_PREFIX)[2]
 
 
 @register("referential_check", with_ctes(["nuts", "lau", "lau_stats"], """

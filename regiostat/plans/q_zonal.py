@@ -195,10 +195,13 @@ def _pyramid_sql(levels: int = 3) -> str:
 
 @register("overview_pyramid", _pyramid_sql())
 def q_overview_pyramid(spark, sf):
-    fx = Fixtures(spark, sf)
-    base = RA.nodata_mask(fx.pixels().withColumn("nodata", F.lit(-9999.0)))
-    p = RA.overview_pyramid(base, 3)
-    return p.withColumn("value", F.col("value").cast("decimal(38,6)"))
+    p = RA.overview_pyramid(Fixtures(spark, sf).tiles(), 3)
+    pixels = p.select("level", "fk_time_id", "tile_col", "tile_row", "width", "height", "nodata", F.posexplode("pixels").alias("off", "value"))
+    col = F.col("tile_col") * F.col("width") + F.col("off") % F.col("width")
+    row = F.col("tile_row") * F.col("height") + (F.col("off") / F.col("width")).cast("bigint")
+    pixels = RA.nodata_mask(pixels.select("level", "fk_time_id", col.alias("col"), row.alias("row"), "value", "nodata"))
+    return pixels.select("level", "fk_time_id", "col", "row", (F.col("col") / 2048).cast("bigint").alias("tile_col"), (F.col("row") / 2048).cast("bigint").alias("tile_row"),
+                         F.col("value").cast("decimal(38,6)").alias("value"))
 
 
 # -- zonal statistics ---------------------------------------------------------------

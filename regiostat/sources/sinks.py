@@ -19,7 +19,10 @@ from regiostat.session import staging_path
 def table_replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     """``DROP ... CASCADE`` + ``CREATE`` + load.  The new table is written
     beside the old one and takes its place when it is complete, so ``df`` may
-    read the table it replaces; column names lower-cased."""
+    read the table it replaces; column names lower-cased.  The old table is
+    moved aside, the new one in, and only then the old one deleted: a stop in
+    between loses nothing (:func:`recover_table`, also called here)."""
+    recover_table(df.sparkSession, path)
     out = df.toDF(*[c.lower() for c in df.columns])
     fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex[:12]}"
     w = out.write.mode("errorifexists")
@@ -27,12 +30,31 @@ def table_replace(df: DataFrame, path: str, partition_by: list[str] | None = Non
         w = w.partitionBy(*partition_by)
     w.parquet(fresh)
     fs, old = _file_system(df.sparkSession, path)
-    fs.delete(old, True)
-    if not fs.rename(df.sparkSession._jvm.org.apache.hadoop.fs.Path(fresh), old):
+    _, aside = _file_system(df.sparkSession, _aside(path))
+    _, new = _file_system(df.sparkSession, fresh)
+    if fs.exists(aside):  # left by a replace that stopped before its last step
+        fs.delete(aside, True)
+    if fs.exists(old) and not fs.rename(old, aside):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(new, old):
+        recover_table(df.sparkSession, path)
         raise OSError(f"could not move {fresh} to {path}")
+    fs.delete(aside, True)
     return path
 
 
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}.previous"
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """After a replace that stopped between its two moves, the old table
+    takes its place again; true if it had to."""
+    fs, old = _file_system(spark, path)
+    _, aside = _file_system(spark, _aside(path))
+    return bool(not fs.exists(old) and fs.exists(aside) and fs.rename(aside, old))
+
+
 def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p

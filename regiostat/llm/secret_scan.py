@@ -3,11 +3,14 @@
 Three base kinds (assignments, access keys, hex strings) and one generic kind
 (long tokens of mixed letters and digits that no base span covers) give the
 candidates.  Their values are hashed and counted over the whole corpus by
-distinct documents, repositories and owners: a value that ``example_owners``
-owners or more have is a widely copied example, one that looks random and
-that ``live_owners`` owners at most have is taken for a live credential of
-that owner, the rest is undecided.  Base spans always stay in the result;
-generic ones enter it only as live credentials.
+distinct documents, repositories and owners.  A value in three
+repositories or more, of three owners or more, or copied into fifty documents or
+more (:data:`EXAMPLE`, a parameter) is a widely copied example; one that looks
+random and stays within fewer repositories, owners and documents is taken for
+a live credential, the rest is undecided.  So one value of two owners is live as
+long as neither spread it, and one that a single owner repeats everywhere is an
+example.  Base spans always stay in the result; generic ones enter it only as
+live credentials.
 
 DataFrame functions only.  Counting goes over distinct (hash, repository,
 owner), pre-aggregated before the shuffle, so a value that a third of all
@@ -71,7 +74,7 @@ def ownership(found: DataFrame) -> DataFrame:
     return repos.groupBy("h").agg(F.sum("n").alias("n_docs"), F.sum("r").alias("n_repos"), F.count("*").alias("n_owners"))
 
 
-def _marked(rows: DataFrame, example_owners: int, live_owners: int) -> DataFrame:
+def _marked(rows: DataFrame, example: tuple[int, int, int]) -> DataFrame:
     """Adds ``v`` to the spans of ``rows(row, repo, owner, spans)``: example,
     live or unclear."""
     single = rows.where(F.size("spans") > 0).select("row", "repo", "owner", F.explode("spans").alias("x"))
@@ -79,26 +82,32 @@ def _marked(rows: DataFrame, example_owners: int, live_owners: int) -> DataFrame
     once = single.select("row", "h", "repo", "owner").distinct()
     verdict = materialize(ownership(once), "ownership")
     secret = value(F.col("x.m"), F.col("x.k"))
-    named = (F.when(F.col("n_owners") >= example_owners, "example")
-             .when((F.col("n_owners") <= live_owners) & looks_random(secret), "live").otherwise("unclear"))
+    spread = F.lit(False)
+    for name, least in zip(("n_repos", "n_owners", "n_docs"), example):
+        spread = spread | (F.col(name) >= least)
+    named = F.when(spread, "example").when(looks_random(secret), "live").otherwise("unclear")
     return (single.join(verdict, "h").select("row", F.struct("x.s", "x.e", "x.k", named.alias("v")).alias("x"))
             .groupBy("row").agg(F.collect_list("x").alias("marked")))
 
 
-def scan(docs: DataFrame, example_owners: int = 3, live_owners: int = 1, id_col: str = "doc_id", text_col: str = "text",
+#: From so many repositories, owners or documents on a value is an example.
+EXAMPLE = (3, 3, 50)
+
+
+def scan(docs: DataFrame, example: tuple[int, int, int] = EXAMPLE, id_col: str = "doc_id", text_col: str = "text",
          owner_col: str = "source", repo_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """``id, spans (s, e, k, v)`` of every row: base spans and live generic ones."""
     repo = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repo_cols])
     rows = materialize(docs.select(F.col(id_col).alias("i"), F.col(owner_col).cast("string").alias("owner"), repo.alias("repo"),
                                    candidates(F.col(text_col)).alias("spans"), F.monotonically_increasing_id().alias("row")), "candidates")
-    marked = _marked(rows, example_owners, live_owners)
+    marked = _marked(rows, example)
     out = rows.where(F.size("spans") > 0).select("i", "row").join(marked, "row").select("i", "marked")
     none = rows.where(F.size("spans") == 0).select("i", F.expr("CAST(array() AS array<struct<s:bigint,e:bigint,k:int,v:string>>)").alias("marked"))
     kept = F.filter("marked", lambda x: (x["k"] != GENERIC) | (x["v"] == "live"))
     return out.unionAll(none).select(F.col("i").alias(id_col), kept.alias("spans"))
 
 
-def redact(docs: DataFrame, example_owners: int = 3, live_owners: int = 1, text_col: str = "text", owner_col: str = "source",
+def redact(docs: DataFrame, example: tuple[int, int, int] = EXAMPLE, text_col: str = "text", owner_col: str = "source",
            repo_cols: tuple[str, ...] = ("source", "lang"), length_col: str | None = "n_chars", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with live credentials replaced by ``mark``; widely copied
     examples and undecided strings stay.  Rows without candidates pass through."""
@@ -108,7 +117,7 @@ def redact(docs: DataFrame, example_owners: int = 3, live_owners: int = 1, text_
     rows = materialize(spanned.where(F.size("spans") > 0).withColumn("row", F.monotonically_increasing_id()), "candidates")
     live = F.filter("marked", lambda x: x["v"] == "live")
     text = replace(F.col(f"d.{text_col}"), live, lambda x: F.lit(mark))
-    changed = rows.select("row", "d").join(_marked(rows, example_owners, live_owners), "row").select("d", text.alias("new"))
+    changed = rows.select("row", "d").join(_marked(rows, example), "row").select("d", text.alias("new"))
     columns = []
     for c in names:
         if c == text_col:
@@ -127,7 +136,7 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
                         F.sha2(listing(base, NAMES, by_kind=False), 256).alias("base_sha256"), listing(F.col("spans"), NAMES, by_kind=False).alias("spans"), live.alias("n_live"), example.alias("n_example"))
 
 
-def oracle(docs: str = "documents", example_owners: int = 3, live_owners: int = 1) -> str:
+def oracle(docs: str = "documents", example: tuple[int, int, int] = EXAMPLE) -> str:
     """The same rows as DuckDB SQL."""
     keep = (f"length(regexp_extract($m, '{ASSIGN.replace(chr(39), chr(39) * 2)}', 2)) >= {ASSIGN_VALUE}", "true", "true",
             "regexp_matches($m, '[0-9]') AND regexp_matches($m, '[a-z]') AND regexp_matches($m, '[A-Z]')")
@@ -139,10 +148,10 @@ WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t,
 b AS (SELECT row, doc_id, owner, repo, {base} AS base, {generic} AS gen FROM d),
 c AS (SELECT row, doc_id, owner, repo, base || list_filter(gen, lambda x: len(list_filter(base, lambda y: y.s < x.e AND x.s < y.e)) = 0) AS spans FROM b),
 u AS (SELECT row, owner, repo, unnest(spans) AS x FROM c),
-w AS (SELECT row, owner, x, {secret} AS secret FROM u),
-o AS (SELECT secret, count(DISTINCT owner) AS owners FROM w GROUP BY secret),
-m AS (SELECT row, list({{'s': x.s, 'e': x.e, 'k': x.k, 'v': CASE WHEN owners >= {example_owners} THEN 'example'
-  WHEN owners <= {live_owners} AND regexp_matches(secret, '[0-9]') AND regexp_matches(secret, '[A-Za-z]') AND len(list_distinct(string_split(secret, ''))) >= 8 THEN 'live' ELSE 'unclear' END}}) AS marked
+w AS (SELECT row, owner, repo, x, {secret} AS secret FROM u),
+o AS (SELECT secret, count(DISTINCT repo) AS repos, count(DISTINCT owner) AS owners, count(DISTINCT row) AS docs FROM w GROUP BY secret),
+m AS (SELECT row, list({{'s': x.s, 'e': x.e, 'k': x.k, 'v': CASE WHEN repos >= {example[0]} OR owners >= {example[1]} OR docs >= {example[2]} THEN 'example'
+  WHEN regexp_matches(secret, '[0-9]') AND regexp_matches(secret, '[A-Za-z]') AND len(list_distinct(string_split(secret, ''))) >= 8 THEN 'live' ELSE 'unclear' END}}) AS marked
   FROM w JOIN o USING (secret) GROUP BY row),
 f AS (SELECT doc_id, coalesce(list_filter(marked, lambda x: x.k <> {GENERIC} OR x.v = 'live'), []) AS spans FROM c LEFT JOIN m USING (row))
 SELECT doc_id, {', '.join(f"CAST(len(list_filter(spans, lambda x: x.k = {i})) AS BIGINT) AS n_{n}" for i, n in enumerate(NAMES[:GENERIC]))},

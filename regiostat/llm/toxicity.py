@@ -8,11 +8,13 @@ factors give every pair of terms a weight of its own, also pairs too rare to
 be learned one by one.
 
 Learning takes at most ``sample`` labelled rows (those with the least hash of
-their id; the only bound, a parameter).  Terms that tell the labels apart on
-that sample by at least ``min_z`` standard errors enter the machine, the
-others weigh nothing.  Selection counts are summed by Spark (2^18 rows at
-most); the bounded sample is then fitted by Adam on the driver and the model
-(fixed size, about 9 MB) is broadcast for scoring whole texts.
+their id), a parameter.  A term enters the machine if it tells the labels apart
+by itself (``min_z`` standard errors; at most ``max_terms``, a parameter), or if it
+does so together with another one: words that are neutral alone are counted in
+pairs (:func:`separating_words`), on at most ``pair_rows`` rows of each label,
+a parameter too.  Selection counts are summed by Spark (2^18 rows at most); the
+bounded sample is then fitted by Adam on the driver and the model (fixed size,
+about 9 MB) is broadcast for scoring whole texts.
 
 Results: one row per document row, score in [0, 1].  Null or empty text has
 no terms and scores the intercept.  A document with several label rows is
@@ -37,13 +39,13 @@ BITS = 18
 PREFIXES = (4, 5, 6)
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def terms(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = PREFIXES) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed terms of each text of a block: ``(text, term)``."""
     w = Words(data, offsets, ALNUM)
     doc = np.repeat(np.arange(len(offsets) - 1), w.counts).astype(np.int64)
     shift = np.uint64(64 - BITS)
     keys = [doc << BITS | (w.hashes >> shift).astype(np.int64)]
-    for n in PREFIXES:
+    for n in prefixes:
         long = w.ends - w.starts >= n
         start = w.starts[long]
         h = spans_hash(w.raw, start, start + n) * np.uint64(2 * n + 1)  # unlike the word of the same bytes
@@ -114,17 +116,66 @@ def fit_machine(label: np.ndarray, doc: np.ndarray, term: np.ndarray, rank: int
     return Machine(float(params[0][0]), weight.astype(np.float32), params[2].astype(np.float32), place)
 
 
+def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, min_z: float, bits: int = 23, part: int = 1 << 21) -> np.ndarray:
+    """Terms of the pairs that separate the labels.  ``rows`` lists the sorted
+    terms of each row; a pair counts in the rows that have both.  Pairs are
+    counted hashed first, those of suspicious counters then one by one."""
+    mask = np.int64((1 << bits) - 1)
+
+    def pairs():
+        held, of, n = [], [], 0
+        for y, t in zip(label, rows):
+            for a in range(0, len(t), 2_000):  # rows of any length, in pieces
+                left = t[a:a + 2_000]
+                i, j = np.triu_indices(len(left), 1)
+                own = [left[i] << BITS | left[j]]
+                if a + 2_000 < len(t):
+                    own.append((left[:, None] << BITS | t[None, a + 2_000:]).ravel())
+                for key in own:
+                    held.append(key)
+                    of.append(np.full(len(key), y))
+                    n += len(key)
+                if n >= part:
+                    yield np.concatenate(held), np.concatenate(of)
+                    held, of, n = [], [], 0
+        if held:
+            yield np.concatenate(held), np.concatenate(of)
+
+    def place(key: np.ndarray) -> np.ndarray:
+        return ((key * np.int64(0x9E3779B97F4A7C1)) >> np.int64(64 - bits - 8)) & mask
+
+    share = float(label.mean()) if len(label) else 0.0
+    if not 0 < share < 1:
+        return np.zeros(0, np.int64)
+
+    def z(n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+        return np.abs(pos - share * n) / np.sqrt(np.maximum(n, 1) * share * (1 - share))
+
+    n, pos = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
+    for key, y in pairs():
+        at, many = np.unique(place(key), return_counts=True)
+        n[at] += many.astype(np.int32)
+        at, many = np.unique(place(key[y > 0]), return_counts=True)
+        pos[at] += many.astype(np.int32)
+    hot = (n >= min_rows) & (z(n, pos) >= min_z * 0.75)  # other pairs of a counter may hide a part
+    found = [(key[h], y[h]) for key, y in pairs() for h in [hot[place(key)]]]
+    key, which = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    n, pos = np.bincount(which, minlength=len(key)), np.bincount(which, weights=np.concatenate([y for _, y in found]), minlength=len(key))
+    key = key[(n >= min_rows) & (z(n, pos) >= min_z)]
+    return np.unique(np.concatenate([key >> BITS, key & ((1 << BITS) - 1)]))
+
+
 def _labelled(docs: DataFrame, labels: DataFrame, learn: Column | None, sample: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
     marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if learn is not None:
         marks = marks.where(learn)
     marks = marks.groupBy(F.col(id_col).alias("i")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
     marks = marks.orderBy(F.xxhash64("i"), "i").limit(sample)  # bounded, so it may be broadcast
-    return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(marks), "i").select("t", "y")
+    return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(marks), "i").select("i", "t", "y")
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample: int = 24_000, min_rows: int = 4, min_z: float = 4.0, max_terms: int = 20_000,
-          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Machine:
+          pair_rows: int = 2_500, min_pair_rows: int = 8, min_pair_z: float = 6.0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Machine:
     """Fit on the labelled rows for which ``learn`` (a column of ``labels``) holds."""
     rows = _labelled(docs, labels, learn, sample, id_col, text_col, label_col)
 
@@ -139,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sampl
         # term -1: the rows themselves
         yield batch(term=np.append(seen, -1), n=np.append(n[seen], len(y)), pos=np.append(pos[seen], (y > 0).sum()))
 
-    counts = map_rows(rows, tally, "term bigint, n bigint, pos bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).toPandas()
+    counts = map_rows(rows.select("t", "y"), tally, "term bigint, n bigint, pos bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).toPandas()
     whole = counts[counts.term < 0]
     n_rows, n_pos = int(whole.n.sum()), int(whole.pos.sum())
     share = (n_pos + 0.5) / (n_rows + 1)
@@ -149,20 +200,50 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sampl
     chosen = np.zeros(1 << BITS, dtype=bool)
     chosen[ranked.term.to_numpy()[:max_terms].astype(np.int64)] = True
 
+    # words that are neutral alone but frequent enough to matter in pairs
+    open_ = np.zeros(1 << BITS, dtype=bool)
+    open_[counts.term.to_numpy()[counts.n.to_numpy() >= min_pair_rows].astype(np.int64)] = True
+    open_ &= ~chosen
+    shares = [min(1.0, pair_rows / max(1, k)) for k in (n_rows - n_pos, n_pos)]
+
     def encode(part: pa.RecordBatch):
         for start, data, offsets in text_blocks(part["t"]):
+            y = part["y"].slice(start, len(offsets) - 1).cast(pa.int32())
             doc, term = terms(data, offsets)
-            doc, term = doc[chosen[term]], term[chosen[term]].astype(np.int32)
-            first = np.searchsorted(doc, np.arange(len(offsets)))
-            yield batch(y=part["y"].slice(start, len(offsets) - 1).cast(pa.int32()),
-                        terms=pa.array([term[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary()))
-
-    data = map_rows(rows, encode, "y int, terms binary").toPandas().sort_values(["y", "terms"]) if n_rows else None
+            word_doc, word = terms(data, offsets, ())
+            drawn = part["r"].slice(start, len(offsets) - 1).to_numpy() < np.where(y.to_numpy() > 0, shares[1], shares[0])
+            keep = open_[word] & drawn[word_doc]
+            word_doc, word = word_doc[keep], word[keep].astype(np.int32)
+            out = []
+            for d, t in ((doc, term), (word_doc, word)):
+                first = np.searchsorted(d, np.arange(len(offsets)))
+                out.append([t[a:b].astype(np.int32) for a, b in zip(first[:-1], first[1:])])
+            yield batch(y=y, terms=pa.array([t[chosen[t]].tobytes() for t in out[0]], pa.binary()), words=pa.array([t.tobytes() for t in out[1]], pa.binary()))
+
+    drawn = rows.select("t", "y", (F.pmod(F.xxhash64("i"), F.lit(1 << 20)) / float(1 << 20)).alias("r"))
+    data = map_rows(drawn, encode, "y int, terms binary, words binary").toPandas().sort_values(["y", "terms", "words"]) if n_rows else None
     if data is None or not len(data):
         return fit_machine(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    term = np.frombuffer(b"".join(data.terms), dtype=np.int32).astype(np.int64)
-    doc = np.repeat(np.arange(len(data)), [len(t) // 4 for t in data.terms])
-    return fit_machine((data.y.to_numpy() > 0).astype(float), doc, term)
+    label = (data.y.to_numpy() > 0).astype(float)
+    words = [np.frombuffer(w, np.int32).astype(np.int64) for w in data.words]
+    some = np.flatnonzero([len(w) > 1 for w in words])
+    paired = separating_words(label[some], [words[i] for i in some], min_pair_rows, min_pair_z)
+    own = [np.frombuffer(t, np.int32).astype(np.int64) for t in data.terms]
+    if len(paired):  # the rows outside the draw have these words too
+        second = np.zeros(1 << BITS, dtype=bool)
+        second[paired] = True
+
+        def encode_pairs(part: pa.RecordBatch):
+            for start, block, offsets in text_blocks(part["t"]):
+                doc, term = terms(block, offsets)
+                every = chosen | second
+                doc, term = doc[every[term]], term[every[term]].astype(np.int32)
+                first = np.searchsorted(doc, np.arange(len(offsets)))
+                yield batch(y=part["y"].slice(start, len(offsets) - 1).cast(pa.int32()), terms=pa.array([term[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary()))
+
+        data = map_rows(rows.select("t", "y"), encode_pairs, "y int, terms binary").toPandas().sort_values(["y", "terms"])
+        label, own = (data.y.to_numpy() > 0).astype(float), [np.frombuffer(t, np.int32).astype(np.int64) for t in data.terms]
+    return fit_machine(label, np.repeat(np.arange(len(own)), [len(t) for t in own]), np.concatenate(own))
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN = "array<struct<s:bigint,e:bigint,k:int,m:string>>"
+_LIST = 256
 
 
 @dataclass(frozen=True)
@@ -30,17 +31,22 @@ def matches(text: Column, pattern: str, number: int) -> Column:
     gaps between matches (``split``) give the offsets."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     pairs = F.arrays_zip(found.alias("m"), gaps.alias("g"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(f"CAST(array() AS {SPAN})").alias("out"))
+    none, nones = F.expr(f"CAST(array() AS {SPAN})"), F.expr(f"CAST(array() AS array<{SPAN}>)")
+    zero = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("new"), nones.alias("out"))
 
     def step(a, x):
         s = a["at"] + F.length(x["g"])
         e = s + F.length(x["m"])
-        span = F.struct(s.alias("s"), e.alias("e"), F.lit(number).alias("k"), x["m"].alias("m"))
+        span = F.array(F.struct(s.alias("s"), e.alias("e"), F.lit(number).alias("k"), x["m"].alias("m")))
+        # appended to a short list, which is put away when it is full: appending copies
+        full = F.size(a["new"]) >= _LIST
+        more = F.struct(e.alias("at"), F.when(full, span).otherwise(F.concat(a["new"], span)).alias("new"),
+                        F.when(full, F.concat(a["out"], F.array(a["new"]))).otherwise(a["out"]).alias("out"))
         # the last pair holds the text behind the last match
-        return F.when(x["m"].isNull(), a).otherwise(F.struct(e.alias("at"), F.concat(a["out"], F.array(span)).alias("out")))
+        return F.when(x["m"].isNull(), a).otherwise(more)
 
-    spans = F.aggregate(pairs, zero, step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.expr(f"CAST(array() AS {SPAN})"))
+    spans = F.aggregate(pairs, zero, step, lambda a: F.flatten(F.concat(a["out"], F.array(a["new"]))))
+    return F.when(text.rlike(pattern), spans).otherwise(none)
 
 
 def _keep(spans: Column, condition) -> Column:

@@ -178,6 +178,81 @@ def test_toxicity_learns_terms_prefixes_and_pairs(spark):
     assert s[3] > 0.9 and s[:3].max() < 0.2
 
 
+def test_toxicity_learns_labels_that_only_a_pair_of_words_decides(spark):
+    rng, rows, labels = random.Random(4), [], []
+    for i in range(4000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        w = prose(i, 40).split() + ["alphaword"] * a + ["betaword"] * b
+        rng.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(a == b)))
+    docs, marks = as_docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    machine = toxicity.train(docs, marks, learn=F.col("doc_id") % 3 != 1)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, machine).collect()}
+    assert np.mean([(got[i] >= 0.5) == (y == 1) for i, y in labels if i % 3 == 1]) > 0.95
+
+
+def test_machine_margin_is_the_plain_sum_over_pairs():
+    rng = np.random.default_rng(9)
+    place = np.full(1 << toxicity.BITS, -1, np.int32)
+    chosen = rng.choice(1 << toxicity.BITS, 30, replace=False)
+    place[chosen] = np.arange(30)
+    weight = np.zeros(1 << toxicity.BITS)
+    weight[chosen] = rng.normal(size=30)
+    m = toxicity.Machine(0.3, weight, rng.normal(size=(30, 8)), place)
+    texts = [rng.choice(chosen, k, replace=False) for k in (0, 1, 2, 9, 30)]
+    doc, term = np.repeat(np.arange(5), [len(t) for t in texts]), np.concatenate(texts)
+    for got, t in zip(m.margin(5, doc, term), texts):
+        want = 0.3 + sum(weight[i] for i in t) + sum(m.factor[place[i]] @ m.factor[place[j]] for a, i in enumerate(t) for j in t[a + 1:])
+        assert got == pytest.approx(want)
+
+
+def test_separating_words_against_all_pairs():
+    rng = np.random.default_rng(2)
+    rows = [np.unique(rng.integers(0, 60, 20)) for _ in range(600)]
+    label = np.array([float((3 in r) and (7 in r) or rng.random() < 0.2) for r in rows])
+    found = set()
+    share = label.mean()
+    for a in range(60):
+        for b in range(a + 1, 60):
+            y = [l for l, r in zip(label, rows) if a in r and b in r]
+            if len(y) >= 8 and abs(sum(y) - share * len(y)) / (len(y) * share * (1 - share)) ** 0.5 >= 6:
+                found |= {a, b}
+    assert found == set(toxicity.separating_words(label, rows, 8, 6.0).tolist()) == {3, 7}
+
+
+def test_secret_verdicts_by_repositories_owners_and_documents(spark):
+    key = "api_key=Aa0Bb1Cc2Dd3Ee4Ff5{}"
+    rows = [(i, f"{prose(i, 10)} {key.format('many')}", ["en", "de", "fr"][i % 3], "s1") for i in range(12)]       # three repositories of one owner
+    rows += [(100 + i, f"{prose(i, 10)} {key.format('copy')}", "en", "s1") for i in range(50)]                      # one repository, fifty documents
+    rows += [(200 + i, f"{prose(i, 10)} {key.format('both')}", "en", f"s{i}") for i in range(2)]                    # two owners
+    rows += [(300, f"x {key.format('own')}", "en", "s9"), (301, "y password=aaaaaaaaaaaa", "en", "s9")]
+    got = {r.doc_id: [x.v for x in r.spans] for r in secret_scan.scan(as_docs(spark, rows)).collect()}
+    assert {got[i][0] for i in range(12)} == {got[100 + i][0] for i in range(50)} == {"example"}
+    assert got[200] == got[201] == got[300] == ["live"] and got[301] == ["unclear"]
+
+
+def test_a_term_far_from_the_entity_discloses_it_and_is_marked_everywhere(spark):
+    rows = [(k, f"Zaphodius {prose(k, 400)} zaphodius {prose(60 + k, 300)} mail bob@ex.org") for k in range(6)] + [(100 + k, prose(100 + k, 60)) for k in range(60)]
+    rows.append((500, f"zaphodiuses {prose(5, 20)}"))
+    got = {r.doc_id: r for r in pii.scan(as_docs(spark, rows), with_text=True).collect()}
+    for k in range(6):
+        assert "aphodius" not in got[k].text and sum(x.k == pii.TERM for x in got[k].spans) >= 2
+    assert "zaphodiuses" in got[500].text
+
+
+def test_long_texts_with_many_entities(spark):
+    import time
+    took = []
+    for n in (2_000, 20_000):
+        rows = [(1, " ".join(f"user{i}@ex{i % 7}.org word" for i in range(n))), (2, "a@b.cd")]
+        start = time.time()
+        got = {r.doc_id: r for r in pii.digest(pii.scan(as_docs(spark, rows))).collect()}
+        took.append(time.time() - start)
+        assert got[1].n_email == n
+    assert took[1] < 12 * took[0] + 5
+
+
 def test_lm_base_scores_and_probabilities_that_add_up(spark):
     rows = [(i, prose(i, 50 + i)) for i in range(60)] + [(60, None), (61, "unseen1 unseen2")]
     s = lm_scoring.Settings(block_tokens=700, bucket_tokens=2_000, max_contexts=64)

@@ -1,10 +1,10 @@
 """Dataset manifests (S1, S2, F15): ``datapackage.json`` as nested rows.
 
-The schema is explicit.  Only text that is no JSON is corrupt (an issue
-instead of a stop); a value of another type than expected is read as far as it
-goes.  Fields that come in several shapes (contributors, doubleQuote,
-temporal) are read as text first, and which keys a resource *has* is kept
-beside their values, because ``"unit": null`` is there and ``unit`` left out
+A document is parsed once, into a VARIANT; every value, list and set of keys is
+read from that binary form by its path.  Only text that is no JSON is corrupt (an
+issue instead of a stop); a value of another type than expected is read as far
+as it goes, an object or a list as its JSON text.  Which keys a resource *has* is
+kept beside their values, because ``"unit": null`` is there and ``unit`` left out
 is not.
 """
 
@@ -12,64 +12,57 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from regiostat.functions.common import let
 
-S = T.StringType()
-FIELD = T.StructType([T.StructField("name", S), T.StructField("unit", S), T.StructField("type", S)])
-RESOURCE = T.StructType([
-    T.StructField("name", S), T.StructField("path", S), T.StructField("format", S), T.StructField("unit", S),
-    T.StructField("encoding", S),
-    T.StructField("vector", T.StructType([T.StructField("epsg", S), T.StructField("geometry_type", S),
-                                          T.StructField("schema", T.ArrayType(FIELD))])),
-    T.StructField("raster", T.StructType([T.StructField("epsg", S)])),
-    T.StructField("schema", T.StructType([T.StructField("fields", T.ArrayType(FIELD))])),
-    T.StructField("dialect", T.StructType([T.StructField("delimiter", S), T.StructField("doubleQuote", S)])),
-    T.StructField("spatial_resolution", S), T.StructField("spatial_key_field", S),
-    T.StructField("temporal", S),
-    T.StructField("temporal_resolution", S),
-])
-MANIFEST = T.StructType([
-    T.StructField("profile", S), T.StructField("name", S), T.StructField("version", S),
-    T.StructField("contributors", S), T.StructField("resources", T.ArrayType(S)),
-])
-CONTRIBUTORS = T.ArrayType(T.StructType([T.StructField("title", S)]))
-TEMPORAL = T.StructType([T.StructField("start", S), T.StructField("end", S)])
 #: What a complete field description has.
 FIELD_KEYS = ("name", "unit", "type")
 
 
-def _keys(json: Column, path: str = "$") -> Column:
+def _text(v: Column, path: str) -> Column:
+    return F.try_variant_get(v, path, "string")
+
+
+def _list(v: Column, path: str) -> Column:
+    """The entries of a list as an array of variants (null if there is none)."""
+    return F.try_variant_get(v, path, "array<variant>")
+
+
+def _keys(v: Column, path: str = "$") -> Column:
     """Keys of the object at ``path`` (empty if there is none)."""
-    return F.coalesce(F.json_object_keys(F.get_json_object(json, path)), F.array().cast("array<string>"))
+    return F.coalesce(F.map_keys(F.try_variant_get(v, path, "map<string,variant>")), F.array().cast("array<string>"))
 
 
-def _complete(json: Column, path: str) -> Column:
+def _complete(v: Column, path: str) -> Column:
     """Every entry of the list at ``path`` has all of :data:`FIELD_KEYS`."""
-    entries = F.from_json(F.get_json_object(json, path), "array<string>")
-    return F.forall(entries, lambda x: F.size(F.array_intersect(_keys(x), F.array(*[F.lit(k) for k in FIELD_KEYS]))) == len(FIELD_KEYS))
-
-
-def _resource(json: Column) -> Column:
-    """JSON text of one resource -> struct: the values of :data:`RESOURCE`
-    and ``keys``, ``vector_keys``, ``raster_keys``, ``schema_keys``,
-    ``vector_complete``, ``fields_complete``."""
-    def typed(r: Column) -> Column:
-        values = []
-        for f in RESOURCE.fields:
-            v = r[f.name]
-            if f.name == "dialect":
-                double = F.lower(v["doubleQuote"])
-                quote = F.when(double == "true", True).when(double == "false", False)
-                v = F.when(v.isNotNull(), F.struct(v["delimiter"].alias("delimiter"), quote.alias("doubleQuote")))
-            elif f.name == "temporal":
-                v = F.from_json(v, TEMPORAL)
-            values.append(v.alias(f.name))
-        return F.struct(*values, _keys(json).alias("keys"), _keys(json, "$.vector").alias("vector_keys"), _keys(json, "$.raster").alias("raster_keys"),
-                        _keys(json, "$.schema").alias("schema_keys"), _complete(json, "$.vector.schema").alias("vector_complete"),
-                        _complete(json, "$.schema.fields").alias("fields_complete"))
-    return let(F.from_json(json, RESOURCE), typed)
+    return F.forall(_list(v, path), lambda x: F.size(F.array_intersect(_keys(x), F.array(*[F.lit(k) for k in FIELD_KEYS]))) == len(FIELD_KEYS))
+
+
+def _fields(v: Column, path: str) -> Column:
+    return F.transform(_list(v, path), lambda x: F.struct(*[_text(x, f"$.{k}").alias(k) for k in FIELD_KEYS]))
+
+
+def _object(v: Column, path: str, *values: Column) -> Column:
+    """A struct of ``values``, null if there is nothing at ``path``."""
+    return F.when(_text(v, path).isNotNull(), F.struct(*values))
+
+
+def _resource(r: Column) -> Column:
+    """One resource: its values, and ``keys``, ``vector_keys``, ``raster_keys``,
+    ``schema_keys``, ``vector_complete``, ``fields_complete``."""
+    double = F.lower(_text(r, "$.dialect.doubleQuote"))
+    quote = F.when(double == "true", True).when(double == "false", False)
+    return F.struct(
+        *[_text(r, f"$.{k}").alias(k) for k in ("name", "path", "format", "unit", "encoding")],
+        _object(r, "$.vector", _text(r, "$.vector.epsg").alias("epsg"), _text(r, "$.vector.geometry_type").alias("geometry_type"), _fields(r, "$.vector.schema").alias("schema")).alias("vector"),
+        _object(r, "$.raster", _text(r, "$.raster.epsg").alias("epsg")).alias("raster"),
+        _object(r, "$.schema", _fields(r, "$.schema.fields").alias("fields")).alias("schema"),
+        _object(r, "$.dialect", _text(r, "$.dialect.delimiter").alias("delimiter"), quote.alias("doubleQuote")).alias("dialect"),
+        *[_text(r, f"$.{k}").alias(k) for k in ("spatial_resolution", "spatial_key_field")],
+        _object(r, "$.temporal", _text(r, "$.temporal.start").alias("start"), _text(r, "$.temporal.end").alias("end")).alias("temporal"),
+        _text(r, "$.temporal_resolution").alias("temporal_resolution"),
+        _keys(r).alias("keys"), *[_keys(r, f"$.{k}").alias(f"{k}_keys") for k in ("vector", "raster", "schema")],
+        _complete(r, "$.vector.schema").alias("vector_complete"), _complete(r, "$.schema.fields").alias("fields_complete"))
 
 
 def parse_manifest(json_text: Column | str) -> Column:
@@ -77,11 +70,13 @@ def parse_manifest(json_text: Column | str) -> Column:
     c = F.col(json_text) if isinstance(json_text, str) else json_text
 
     def typed(m: Column) -> Column:
-        people = F.filter(F.from_json(m["contributors"], CONTRIBUTORS), lambda x: x["title"].isNotNull())
-        return F.struct(m["profile"].alias("profile"), m["name"].alias("name"), m["version"].alias("version"), people.alias("contributors"),
-                        F.transform(m["resources"], _resource).alias("resources"), _keys(c).alias("keys"))
+        people = _list(m, "$.contributors")
+        objects = F.forall(people, lambda x: F.try_variant_get(x, "$", "map<string,variant>").isNotNull())
+        people = F.when(objects, F.filter(F.transform(people, lambda x: F.struct(_text(x, "$.title").alias("title"))), lambda x: x["title"].isNotNull()))
+        return F.when(m.isNotNull(), F.struct(*[_text(m, f"$.{k}").alias(k) for k in ("profile", "name", "version")], people.alias("contributors"),
+                                              F.transform(_list(m, "$.resources"), _resource).alias("resources"), _keys(m).alias("keys")))
 
-    return F.when(F.try_parse_json(c).isNotNull(), let(F.from_json(c, MANIFEST), typed))
+    return let(F.try_parse_json(c), typed)
 
 
 def manifest_scan(texts: DataFrame, package_col: str = "package", text_col: str = "json") -> DataFrame:

@@ -223,6 +223,58 @@ def q_vector_features_scan(spark, sf):
                     b["xmin"].alias("xmin"), b["ymax"].alias("ymax"))
 
 
+@register("shapefile_scan", with_ctes(["sedge"], """
+SELECT gid, 'Bé' || CAST(gid AS VARCHAR) AS name, CASE WHEN gid % 16 <> 5 THEN 'MULTIPOLYGON' END AS type,
+  CASE WHEN gid % 16 <> 5 THEN 4 END AS n_vertices, CASE WHEN gid % 16 <> 5 THEN xmin END AS xmin, CASE WHEN gid % 16 <> 5 THEN ymax END AS ymax
+FROM (SELECT gid, min(x1) AS xmin, max(y1) AS ymax FROM sedge GROUP BY gid) WHERE gid % 10 <> 9"""))
+def q_shapefile_scan(spark, sf):
+    """Zones as shapefile bytes (with index, attributes, code page; plain and
+    Z polygons, empty shapes, deleted rows), decoded in pieces of five."""
+    from regiostat.plans.shapefile_fixture import shapefile_bytes
+    from regiostat.sources.vector import decode_shapefiles
+    f = decode_shapefiles(materialize(shapefile_bytes(Fixtures(spark, sf).scaled_zones()), "shapefiles"), records=5)
+    b = G.bbox("geom")
+    return f.select(F.col("properties")["gid"].cast("bigint").alias("gid"), F.col("properties")["name"].alias("name"), F.col("geom.type").alias("type"),
+                    F.when(F.col("geom.parts").isNotNull(), G.num_vertices("geom").cast("int")).alias("n_vertices"), b["xmin"].alias("xmin"), b["ymax"].alias("ymax"))
+
+
+@register("incremental_state", with_ctes(["accepted_tabular", "raw_tabular", "nuts"], """
+, keyed AS (SELECT a."key", a.value_eur_m2_1, a.datetime FROM accepted_tabular a JOIN (SELECT nuts_id, min(gid) AS gid FROM nuts WHERE year = DATE '2013-01-01'
+  GROUP BY nuts_id) n ON upper(a."key") = n.nuts_id)
+SELECT CAST(step AS INTEGER) AS step, count("key") AS n_fact, count(DISTINCT datetime) AS n_time, count(DISTINCT upper(substr("key", 1, 3))) AS n_registry,
+  count("key") - count(datetime) AS n_timeless
+FROM (VALUES (0), (1), (2), (3)) s(step) LEFT JOIN keyed ON step > 1 OR (step = 1 AND value_eur_m2_1 < 125) GROUP BY step""").replace("\n\n,", ",").replace("\n,", ","))
+def q_incremental_state(spark, sf):
+    """T1 + U1 + U2: four catch-up runs, without files, over the first part of
+    the raw dataset, over the rest, and without anything new: rows, times and
+    registered sources after each."""
+    from regiostat.streaming.incremental import RunState
+    fx = Fixtures(spark, sf)
+    raw = materialize(fx.raw_tabular(), "raw")
+    landing, sink, rejects, ckpt, folder = (staging_path(spark, n) for n in ("landing", "sink", "rejects", "stream_ckpt", "run_state"))
+    plan, nuts = TB.schema_plan(tabular_fields()), materialize(fx.nuts(), "nuts")
+    raw.limit(0).write.mode("overwrite").option("header", True).option("sep", ";").csv(f"{landing}/none")
+    code = F.upper(F.substring("key", 1, 3))
+    state = RunState(folder, "2024-01-01 00:00:00", lambda df: df.withColumns({"timestamp": F.col("datetime"), "granularity": F.lit("day")}),
+                     lambda df: df.select(code.alias("name"), F.crc32(code.cast("binary")).alias("git_id")))
+
+    def transform(df):
+        acc, rej = TB.reject_rows(TB.typed_projection(df, plan), plan)
+        return D.region_key_join(acc.select("key", "value_eur_m2", "value_eur_m2_1", "count", "datetime"), "key", nuts), rej
+
+    first = F.col("Value-EUR-m2").cast("decimal(20,2)") < 125
+    rows = []
+    for step, part in enumerate((None, raw.filter(first), raw.filter(~first), None)):
+        if part is not None:
+            part.write.mode("append").option("header", True).option("sep", ";").csv(f"{landing}/part{step}")
+        incremental_ingest(spark, f"{landing}/*", raw.columns, sink, ckpt, transform, delimiter=";", reject_dir=rejects, state=state)
+        seen = read_sink(spark, sink)
+        timeless = seen.filter("fk_time_id IS NULL").count() if seen.columns else 0
+        rows.append(spark.range(1).select(F.lit(step).alias("step"), F.lit(seen.count()).cast("bigint").alias("n_fact"), F.lit(state.time_dim(spark).count()).cast("bigint").alias("n_time"),
+                                          F.lit(state.registry(spark).count()).cast("bigint").alias("n_registry"), F.lit(timeless).cast("bigint").alias("n_timeless")))
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 @register("incremental_ingest", with_ctes(["typed_tabular", "accepted_tabular", "nuts"], """
 , keyed AS (SELECT a."key", a.value_eur_m2, a."count", n.gid AS fk_nuts_gid
 FROM accepted_tabular a JOIN (SELECT nuts_id, min(gid) AS gid FROM nuts WHERE year = DATE '2013-01-01'

@@ -12,10 +12,15 @@ duplicating it; a run without new files adds nothing.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from regiostat.operators import dims as D
+from regiostat.session import materialize
+
 
 def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -24,10 +29,11 @@ def text_schema(columns: list[str]) -> T.StructType:
 def incremental_ingest(spark: SparkSession, landing_dir: str, columns: list[str], sink_dir: str,
                        checkpoint_dir: str, transform: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]],
                        delimiter: str = ",", max_files_per_trigger: int | None = None, reject_dir: str | None = None,
-                       multi_line: bool = False) -> None:
+                       multi_line: bool = False, state: RunState | None = None) -> None:
     """Run one catch-up pass over ``landing_dir`` into ``sink_dir``; a
     ``transform`` that returns (accepted, rejected) has its rejects stored in
-    ``reject_dir``, per micro-batch like the rows."""
+    ``reject_dir``, per micro-batch like the rows.  With ``state`` every batch also
+    extends the time dimension and the registry, and its rows get time ids."""
     r = (spark.readStream.schema(text_schema(columns)).option("header", True).option("sep", delimiter)
          .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     if max_files_per_trigger:
@@ -41,6 +47,8 @@ def incremental_ingest(spark: SparkSession, landing_dir: str, columns: list[str]
             if reject_dir is None:
                 raise ValueError("rejected rows need a reject_dir")
             rejected.write.mode("overwrite").parquet(f"{reject_dir}/batch_id={batch_id}")
+        if state is not None:
+            accepted = state.extend(materialize(accepted, "accepted"), batch_id)
         accepted.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
 
     q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
@@ -48,5 +56,69 @@ def incremental_ingest(spark: SparkSession, landing_dir: str, columns: list[str]
     q.awaitTermination()
 
 
+@dataclass
+class RunState:
+    """Time dimension (U1) and registry (U2) of an incremental run, kept as one
+    folder per micro-batch below ``folder``.
+
+    A batch looks only at batches before it and writes its own folder anew, so
+    one that is replayed after a failure finds and leaves the same ids.
+    ``time_keys`` adds ``timestamp`` and ``granularity`` to the accepted rows of a
+    batch, ``touched`` tells the ``(name, git_id)`` they came from; ``today`` is the
+    day of the run."""
+    folder: str
+    today: str
+    time_keys: Callable[[DataFrame], DataFrame] | None = None
+    touched: Callable[[DataFrame], DataFrame] | None = None
+
+    def _before(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame | None:
+        rows = read_sink(spark, f"{self.folder}/{name}")
+        return rows.filter(F.col("batch_id") < batch_id) if "batch_id" in rows.columns else None
+
+    def _write(self, rows: DataFrame, name: str, batch_id: int) -> DataFrame:
+        path = f"{self.folder}/{name}/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.parquet(path)
+
+    def extend(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        spark = rows.sparkSession
+        if self.touched is not None:
+            known = self._before(spark, "registry", batch_id)
+            known = empty_registry(spark) if known is None else latest(known)
+            seen = self.touched(rows).select("name", "git_id").distinct()
+            now = D.registry_upsert(known, seen, self.today).join(seen, ["name", "git_id"], "left_semi")
+            self._write(now.select("id", "name", "git_id", "created", "updated"), "registry", batch_id)
+        if self.time_keys is None:
+            return rows
+        known = self._before(spark, "time", batch_id)
+        dim = D.empty_time_dim(spark) if known is None else known.select(*D.TIME_COLUMNS)
+        new = D.time_dim_upsert(dim, self.time_keys(rows)).filter(F.col("id") > D.max_id(dim))
+        new = self._write(new, "time", batch_id)
+        keyed = self.time_keys(rows)
+        extra = [c for c in ("timestamp", "granularity") if c not in rows.columns]
+        return D.time_lookup(keyed, dim.unionByName(new.select(*D.TIME_COLUMNS))).drop(*extra)
+
+    def time_dim(self, spark: SparkSession) -> DataFrame:
+        rows = read_sink(spark, f"{self.folder}/time")
+        return rows.select(*D.TIME_COLUMNS) if rows.columns else D.empty_time_dim(spark)
+
+    def registry(self, spark: SparkSession) -> DataFrame:
+        rows = read_sink(spark, f"{self.folder}/registry")
+        return latest(rows) if rows.columns else empty_registry(spark)
+
+
+def latest(registry: DataFrame) -> DataFrame:
+    """Of every repository the row of the last batch that touched it."""
+    return (registry.groupBy("id", "name", "git_id").agg(F.min("created").alias("created"), F.max("updated").alias("updated")))
+
+
+def empty_registry(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "id bigint, name string, git_id bigint, created timestamp_ntz, updated timestamp_ntz")
+
+
 def read_sink(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """The rows written so far; without columns and rows before the first one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(sink_dir)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], T.StructType([]))
     return spark.read.parquet(sink_dir)

@@ -115,14 +115,61 @@ def test_replace_reads_what_it_replaces_and_append_checks(spark, tmp_path):
         SK.table_append(spark, spark.range(3).toDF("other"), path)
 
 
-def test_shapefile_count_mismatch_is_an_error():
-    import pandas as pd
-    from regiostat.sources import vector
-    shapes = vector.decode_shp
-    try:
-        vector.decode_shp = lambda b: [("POINT", [[[(0.0, 0.0)]]])] * 3
-        with pytest.raises(ValueError, match="3 shapes but 1"):
-            dbf = (b"\x03" * 4) + (1).to_bytes(4, "little") + (33).to_bytes(2, "little") + (1).to_bytes(2, "little") + b"\0" * 20 + b"\r" + b" "
-            list(vector._decode_pairs([pd.DataFrame([("s", b"x", dbf)], columns=["stem", "shp", "dbf"])], 3035))
-    finally:
-        vector.decode_shp = shapes
+def _bytes(spark, shp, shx, dbf, cpg=None):
+    return spark.createDataFrame([("s", bytearray(shp), bytearray(shx) if shx else None, bytearray(dbf) if dbf else None, cpg)], "source string, shp binary, shx binary, dbf binary, cpg string")
+
+
+SQUARE = [(0.0, 0.0), (0.0, 4.0), (4.0, 4.0), (4.0, 0.0), (0.0, 0.0)]
+
+
+@pytest.mark.parametrize("indexed", [True, False])
+def test_shapefile_count_mismatch_is_an_error(spark, indexed):
+    from regiostat.plans.shapefile_fixture import encode
+    from regiostat.sources.vector import decode_shapefiles
+    shp, shx, _ = encode([(i, "n", SQUARE) for i in range(3)], 5, "latin-1")
+    dbf = encode([(1, "n", SQUARE)], 5, "latin-1")[2]
+    with pytest.raises(Exception, match="3 shapes but 1"):
+        decode_shapefiles(_bytes(spark, shp, shx if indexed else None, dbf)).collect()
+
+
+@pytest.mark.parametrize("kind", [5, 15])
+@pytest.mark.parametrize("records", [1, 4, 1000])
+def test_shapefile_in_pieces(spark, kind, records):
+    from regiostat.plans.shapefile_fixture import encode
+    from regiostat.sources.vector import decode_shapefiles
+    features = [(i, f"Bé{i}", None if i % 16 == 5 else [(x + i, y) for x, y in SQUARE]) for i in range(23)]
+    shp, shx, dbf = encode(features, kind, "cp1252")
+    want = {i: (f"Bé{i}", None if i % 16 == 5 else float(i)) for i in range(23) if i % 10 != 9}
+    for index, cpg in ((shx, "1252"), (None, "ANSI 1252"), (shx, None)):
+        rows = decode_shapefiles(_bytes(spark, shp, index, dbf, cpg), records=records).collect()
+        assert {r.feature: (r.properties["name"], r.geom.parts[0][0][0].x if r.geom.parts else None) for r in rows} == want
+        assert all((r.geom.type is None) == (r.geom.parts is None) for r in rows)
+    assert len(decode_shapefiles(_bytes(spark, shp, shx, None), records=records).collect()) == 23
+    empty = encode([], kind, "latin-1")
+    assert decode_shapefiles(_bytes(spark, *empty)).collect() == []
+
+
+def test_shape_types_with_z_and_m_and_unknown_ones():
+    import struct
+    from regiostat.sources.vector import decode_shape
+    for kind in (1, 11, 21):
+        assert decode_shape(struct.pack("<i4d", kind, 1, 2, 3, 4))[1][0][0].tolist() == [[1.0, 2.0]]
+    for kind in (8, 18, 28):
+        name, parts = decode_shape(struct.pack("<i4di4d", kind, 0, 0, 1, 1, 2, 1, 2, 3, 4) + b"\0" * 48)
+        assert name == "MULTIPOINT" and parts[0][0].tolist() == [[1.0, 2.0], [3.0, 4.0]]
+    assert decode_shape(struct.pack("<i", 0)) == decode_shape(struct.pack("<i9d", 31, *[0.0] * 9)) == (None, None)
+
+
+def test_a_batch_that_is_replayed_changes_nothing(spark, tmp_path):
+    import datetime as dt
+    from regiostat.streaming.incremental import RunState, read_sink
+    state = RunState(str(tmp_path / "state"), "2024-05-01 00:00:00", lambda df: df.withColumn("granularity", F.lit("day")), lambda df: df.select("name", F.lit(7).cast("bigint").alias("git_id")))
+    assert read_sink(spark, str(tmp_path / "none")).count() == 0 and state.time_dim(spark).count() == 0 and state.registry(spark).count() == 0
+    rows = lambda *days: spark.createDataFrame([(n, dt.datetime(2020, 1, d)) for n, d in days], "name string, timestamp timestamp_ntz")
+    first = sorted(r.fk_time_id for r in state.extend(rows(("a", 1), ("a", 2)), 0).collect())
+    again = sorted(r.fk_time_id for r in state.extend(rows(("a", 1), ("a", 2)), 0).collect())
+    assert first == again == [1, 2] and state.time_dim(spark).count() == 2
+    for _ in range(2):  # a later batch, twice
+        assert sorted(r.fk_time_id for r in state.extend(rows(("b", 2), ("b", 3)), 1).collect()) == [2, 3]
+    assert sorted(r.id for r in state.time_dim(spark).collect()) == [1, 2, 3]
+    assert sorted((r.id, r.name) for r in state.registry(spark).collect()) == [(1, "a"), (2, "b")]

@@ -120,14 +120,12 @@ cte("lau_upd_compat", ["lau_stats", "lau_stats_new"], _upd_body(["count", "mean"
 
 # -- B.6 / B.7 / B.8 -------------------------------------------------------------
 cte("px", [], """
-SELECT CAST(1 AS BIGINT) AS fk_time_id, CAST(col AS BIGINT) AS col, CAST(row AS BIGINT) AS row,
-       CAST(CASE WHEN d = 0 THEN -9999.0 ELSE v END AS DOUBLE) AS value
-FROM (SELECT l_orderkey % 200 AS col, l_partkey % 200 AS row, max(l_quantity) AS v, min(l_discount) AS d
-      FROM lineitem GROUP BY 1, 2)
+SELECT CAST(1 AS BIGINT) AS fk_time_id, o_orderkey % 1024 AS col, o_orderkey // 1024 AS row,
+       CAST(CASE WHEN o_orderstatus = 'P' THEN -9999.0 ELSE floor(o_totalprice) END AS DOUBLE) AS value FROM orders
 UNION ALL
-SELECT CAST(2 AS BIGINT), CAST(col AS BIGINT), CAST(row AS BIGINT), CAST(v AS DOUBLE)
-FROM (SELECT (l_orderkey + l_linenumber) % 200 AS col, l_suppkey % 200 AS row, min(l_quantity) AS v
-      FROM lineitem GROUP BY 1, 2)""")
+SELECT CAST(2 AS BIGINT), o_orderkey % 1024, o_orderkey // 1024, CAST(o_custkey % 50 AS DOUBLE) FROM orders WHERE o_orderkey % 3 <> 0""")
+cte("zblock", [], """
+SELECT DISTINCT (o_orderkey % 1024) // 32 AS bcol, o_orderkey // 32768 AS brow, (o_orderkey // 32768) * 32 + (o_orderkey % 1024) // 32 AS gid FROM orders""")
 
 
 def _template_values() -> str:
@@ -138,11 +136,11 @@ def _template_values() -> str:
     return ", ".join(rows)
 
 
-cte("zvert", [], f"""
-SELECT CAST(n_nationkey AS BIGINT) AS gid, 0 AS part, t.ring, t.seq,
-  CAST(CASE WHEN n_nationkey = 24 THEN 1002.25 ELSE (n_nationkey % 5) * 40.0 + 2.25 END + t.dx AS DOUBLE) AS x,
-  CAST((n_nationkey // 5) * 40.0 + 2.25 + t.dy AS DOUBLE) AS y
-FROM nation JOIN (VALUES {_template_values()}) t(shape, ring, seq, dx, dy) ON t.shape = n_nationkey % 2""")
+cte("zvert", ["zblock"], f"""
+SELECT gid, 0 AS part, t.ring, t.seq,
+  CAST(bcol * 32.0 + CASE WHEN gid % 25 = 24 THEN 100000.0 ELSE 0.0 END + 1.25 + t.dx AS DOUBLE) AS x,
+  CAST(brow * 32.0 + 1.25 + t.dy AS DOUBLE) AS y
+FROM zblock JOIN (VALUES {_template_values()}) t(shape, ring, seq, dx, dy) ON t.shape = gid % 2""")
 cte("zedge", ["zvert"], """
 SELECT * FROM (
   SELECT gid, part, ring, seq, x AS x1, y AS y1,
@@ -154,15 +152,16 @@ SELECT gid, 'POLYGON (' || string_agg(r, ',' ORDER BY ring) || ')' AS wkt FROM (
   SELECT gid, ring, '(' || string_agg(regexp_replace(CAST(x AS VARCHAR), '\\.0$', '') || ' ' ||
          regexp_replace(CAST(y AS VARCHAR), '\\.0$', ''), ',' ORDER BY seq) || ')' AS r
   FROM zvert GROUP BY gid, ring) GROUP BY gid""")
-cte("zone_lau", ["nuts"], """
-SELECT CAST(n_nationkey AS BIGINT) AS gid, 'N' || CAST(n_nationkey AS VARCHAR) AS comm_id,
-       CAST(n_nationkey * 12 + 10000 AS BIGINT) AS fk_nuts_gid, n.nuts_id
-FROM nation LEFT JOIN (SELECT gid, nuts_id FROM nuts WHERE stat_levl_ = 3 AND year = DATE '2013-01-01') n
-  ON n.gid = n_nationkey * 12 + 10000""")
-cte("pos", [], "SELECT CAST(c AS BIGINT) AS col, CAST(r AS BIGINT) AS row FROM range(200) a(c), range(200) b(r)")
+cte("zone_lau", ["nuts", "zblock"], """
+SELECT z.gid, 'N' || CAST(z.gid AS VARCHAR) AS comm_id, CAST(z.gid % 25 * 12 + 10000 AS BIGINT) AS fk_nuts_gid, n.nuts_id
+FROM zblock z LEFT JOIN (SELECT gid, nuts_id FROM nuts WHERE stat_levl_ = 3 AND year = DATE '2013-01-01') n
+  ON n.gid = z.gid % 25 * 12 + 10000""")
+cte("pos", ["zblock"], """
+SELECT gid, bcol * 32 + c AS col, brow * 32 + r AS row FROM zblock, range(32) a(c), range(32) b(r)
+WHERE brow * 32 + r <= (SELECT max(o_orderkey) // 1024 FROM orders)""")
 cte("inside", ["pos", "zedge"], """
-SELECT e.gid, p.col, p.row FROM pos p JOIN zedge e
-  ON (e.y1 > p.row + 0.5) <> (e.y2 > p.row + 0.5)
+SELECT e.gid, p.col, p.row FROM pos p JOIN zedge e ON e.gid = p.gid
+ AND (e.y1 > p.row + 0.5) <> (e.y2 > p.row + 0.5)
  AND p.col + 0.5 < e.x1 + (p.row + 0.5 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
 GROUP BY e.gid, p.col, p.row HAVING count(*) % 2 = 1""")
 cte("tilekeys", ["px"], "SELECT DISTINCT fk_time_id, col // 32 AS tile_col, row // 32 AS tile_row FROM px")

@@ -138,20 +138,16 @@ class Fixtures:
 
 
 # -- B.6 / B.7 raster and zones -------------------------------------------------
-# Raster size, tiling, nodata, zone shapes (offsets from the
-# lower-left corner of each zone; rings are closed).
-RASTER_SIZE = 200
+# Nodata, zone shapes (offsets from the lower-left corner of each
+# zone; rings are closed).  Raster and zones grow with the data: a pixel per
+# order, a zone per 32 x 32 block that holds an order.
 NODATA = -9999.0
 SQUARE_OUTER = [(0, 0), (30, 0), (30, 30), (0, 30), (0, 0)]
 SQUARE_HOLE = [(10, 10), (19, 10), (19, 19), (10, 19), (10, 10)]
 TRIANGLE = [(0, 0), (30, 2), (11, 30), (0, 0)]
-OUTSIDE_ZONE = 24          # moved to x = 1002.25, has no pixels
-OUTSIDE_X = 1002.25
-
-
-def raster_grid():
-    from regiostat.operators.raster import Grid
-    return Grid(width=RASTER_SIZE, height=RASTER_SIZE, tile_w=32, tile_h=32, nodata=NODATA)
+ZONE_AT = 1.25             # corner of a zone in its block
+OUTSIDE_ZONE = 24          # every 25th zone (gid % 25) is moved off the raster, has no pixels
+OUTSIDE_X = 100000.0
 
 
 def _ring_text(x0, y0, ring):
@@ -165,18 +161,14 @@ def _ring_text(x0, y0, ring):
 
 
 def _pixels(self, layer: int) -> DataFrame:
-    li = self.t("lineitem")
+    k = F.col("o_orderkey")
+    o = self.t("orders")
     if layer == 1:
-        g = li.groupBy((F.col("l_orderkey") % RASTER_SIZE).alias("col"),
-                       (F.col("l_partkey") % RASTER_SIZE).alias("row")).agg(
-            F.max("l_quantity").alias("v"), F.min("l_discount").alias("d"))
-        value = F.when(F.col("d") == 0, F.lit(NODATA)).otherwise(F.col("v"))
+        value = F.when(F.col("o_orderstatus") == "P", F.lit(NODATA)).otherwise(F.floor("o_totalprice"))
     else:
-        g = li.groupBy(((F.col("l_orderkey") + F.col("l_linenumber")) % RASTER_SIZE).alias("col"),
-                       (F.col("l_suppkey") % RASTER_SIZE).alias("row")).agg(F.min("l_quantity").alias("v"))
-        value = F.col("v")
-    return g.select(F.lit(layer).cast("bigint").alias("fk_time_id"), F.col("col").cast("bigint").alias("col"),
-                    F.col("row").cast("bigint").alias("row"), value.cast("double").alias("value"))
+        o, value = o.filter(k % 3 != 0), F.col("o_custkey") % 50
+    return o.select(F.lit(layer).cast("bigint").alias("fk_time_id"), (k % SCALED_WIDTH).alias("col"),
+                    (k / SCALED_WIDTH).cast("bigint").alias("row"), value.cast("double").alias("value"))
 
 
 def _pixels_all(self) -> DataFrame:
@@ -187,22 +179,28 @@ def _pixels_all(self) -> DataFrame:
 
 def _tiles(self) -> DataFrame:
     from regiostat.operators.raster import tiles_from_pixels
-    return tiles_from_pixels(self.pixels(), raster_grid())
+    return tiles_from_pixels(self.pixels(), self.scaled_grid())
+
+
+def _blocks(self) -> DataFrame:
+    """Blocks of the raster that hold an order: ``bx, by, gid``."""
+    per_row, p = SCALED_WIDTH // SCALED_BLOCK, self.scaled_pixels()
+    b = p.select((F.col("col") / SCALED_BLOCK).cast("bigint").alias("bx"),
+                 (F.col("row") / SCALED_BLOCK).cast("bigint").alias("by")).distinct()
+    return b.select("bx", "by", (F.col("by") * per_row + F.col("bx")).alias("gid"))
 
 
 def _zone_wkt(self) -> DataFrame:
-    """B.7: one polygon per nation as WKT text, with its parent NUTS 3."""
-    n = self.t("nation").select("n_nationkey")
-    i, j = F.col("n_nationkey") % 5, (F.col("n_nationkey") / 5).cast("int")
-    x0 = F.when(F.col("n_nationkey") == OUTSIDE_ZONE, F.lit(OUTSIDE_X)).otherwise(i * 40.0 + 2.25)
-    y0 = j * 40.0 + 2.25
+    """B.7: one polygon per block as WKT text, with its parent NUTS 3."""
+    g = F.col("gid")
+    x0 = F.col("bx") * float(SCALED_BLOCK) + F.when(g % 25 == OUTSIDE_ZONE, OUTSIDE_X).otherwise(0.0) + ZONE_AT
+    y0 = F.col("by") * float(SCALED_BLOCK) + ZONE_AT
     square = F.concat(F.lit("POLYGON("), _ring_text(x0, y0, SQUARE_OUTER), F.lit(","),
                       _ring_text(x0, y0, SQUARE_HOLE), F.lit(")"))
     tri = F.concat(F.lit("POLYGON("), _ring_text(x0, y0, TRIANGLE), F.lit(")"))
-    return n.select(F.col("n_nationkey").cast("bigint").alias("gid"),
-                    F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("comm_id"),
-                    (F.col("n_nationkey") * 12 + 10000).cast("bigint").alias("fk_nuts_gid"),
-                    F.when(F.col("n_nationkey") % 2 == 0, square).otherwise(tri).alias("wkt"))
+    return _blocks(self).select(g, F.concat(F.lit("N"), g.cast("string")).alias("comm_id"),
+                                (g % 25 * 12 + 10000).cast("bigint").alias("fk_nuts_gid"),
+                                F.when(g % 2 == 0, square).otherwise(tri).alias("wkt"))
 
 
 def _zones(self) -> DataFrame:
@@ -339,10 +337,7 @@ def _scaled_zones(self) -> DataFrame:
 
 def _block_zones(self, shape) -> DataFrame:
     from regiostat.functions.geometry import fmt_number, wkt_parse
-    per_row = SCALED_WIDTH // SCALED_BLOCK
-    p = self.scaled_pixels()
-    b = p.select((F.col("col") / SCALED_BLOCK).cast("bigint").alias("bx"),
-                 (F.col("row") / SCALED_BLOCK).cast("bigint").alias("by")).distinct()
+    b = _blocks(self)
     x0, y0 = F.col("bx") * float(SCALED_BLOCK), F.col("by") * float(SCALED_BLOCK)
     pts = []
     for i, (dx, dy) in enumerate(shape):
@@ -350,8 +345,8 @@ def _block_zones(self, shape) -> DataFrame:
             pts.append(F.lit(", "))
         pts += [fmt_number(x0 + dx), F.lit(" "), fmt_number(y0 + dy)]
     wkt = F.concat(F.lit("POLYGON(("), *pts, F.lit("))"))
-    gid = F.col("by") * per_row + F.col("bx")
-    return b.select(gid.alias("gid"), F.concat(F.lit("B"), gid.cast("string")).alias("comm_id"),
+    gid = F.col("gid")
+    return b.select("gid", F.concat(F.lit("B"), gid.cast("string")).alias("comm_id"),
                     wkt_parse(wkt).alias("geom"))
 
 

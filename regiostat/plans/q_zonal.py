@@ -9,12 +9,11 @@ from regiostat.operators import hierarchy as H
 from regiostat.operators import raster as RA
 from regiostat.operators import zonal as Z
 from regiostat.plans.fixture_sql import CTES, scaled_zonal_body, with_ctes
-from regiostat.plans.fixtures import Fixtures, raster_grid
+from regiostat.plans.fixtures import Fixtures
 from regiostat.plans.q_hierarchy import all_levels_sql
 from regiostat.plans.registry import register
 from regiostat.session import materialize
 
-GRID = raster_grid()
 TIMES = [1, 2]
 
 
@@ -90,7 +89,7 @@ GROUP BY gid, row, grp""")
 @register("zone_spans", SPANS_SQL)
 def q_zone_spans(spark, sf):
     fx = Fixtures(spark, sf)
-    return Z.zone_spans(Z.zone_edges(fx.zones()), GRID)
+    return Z.zone_spans(Z.zone_edges(fx.zones()), fx.scaled_grid())
 
 
 @register("tile_zone_join", with_ctes(["inside", "tilekeys"], """
@@ -98,7 +97,7 @@ SELECT DISTINCT i.gid, t.fk_time_id, t.tile_col, t.tile_row FROM inside i
 JOIN tilekeys t ON t.tile_col = i.col // 32 AND t.tile_row = i.row // 32"""))
 def q_tile_zone_join(spark, sf):
     fx = Fixtures(spark, sf)
-    seg = Z.tile_segments(Z.zone_spans(Z.zone_edges(fx.zones()), GRID), GRID)
+    seg = Z.tile_segments(Z.zone_spans(Z.zone_edges(fx.zones()), fx.scaled_grid()), fx.scaled_grid())
     t = fx.tiles().select("tile_col", "tile_row", "fk_time_id")
     return seg.join(t, ["tile_col", "tile_row"]).select("gid", "fk_time_id", "tile_col", "tile_row").distinct()
 
@@ -106,14 +105,14 @@ def q_tile_zone_join(spark, sf):
 @register("raster_clip", with_ctes(["clip"], "SELECT gid, fk_time_id, col, row, value FROM clip"))
 def q_raster_clip(spark, sf):
     fx = Fixtures(spark, sf)
-    return Z.zone_values(fx.zones(), fx.tiles(), GRID, mask_nodata=False)
+    return Z.zone_values(fx.zones(), fx.tiles(), fx.scaled_grid(), mask_nodata=False)
 
 
 @register("nodata_mask", with_ctes(["clip"], "SELECT gid, fk_time_id, col, row, value FROM clip "
                                             "WHERE value <> -9999.0 AND NOT isnan(value)"))
 def q_nodata_mask(spark, sf):
     fx = Fixtures(spark, sf)
-    return Z.zone_values(fx.zones(), fx.tiles(), GRID)
+    return Z.zone_values(fx.zones(), fx.tiles(), fx.scaled_grid())
 
 
 # -- raster ----------------------------------------------------------------------
@@ -211,14 +210,14 @@ ZONAL_COLS = "count, sum, mean, stddev, min, max, comm_id, fk_time_id, fk_lau_gi
 @register("zonal_stats", with_ctes(["zonal"], f"SELECT {ZONAL_COLS} FROM zonal"))
 def q_zonal_stats(spark, sf):
     fx = Fixtures(spark, sf)
-    return Z.zonal_stats(fx.zones(), fx.tiles(), GRID, TIMES)
+    return Z.zonal_stats(fx.zones(), fx.tiles(), fx.scaled_grid(), TIMES)
 
 
 @register("zonal_stats_basic", with_ctes(["zonal"], "SELECT fk_lau_gid, comm_id, fk_time_id, min, max, mean, count "
                                                    "FROM zonal"))
 def q_zonal_stats_basic(spark, sf):
     fx = Fixtures(spark, sf)
-    return Z.zonal_stats_basic(fx.zones(), fx.tiles(), GRID, TIMES)
+    return Z.zonal_stats_basic(fx.zones(), fx.tiles(), fx.scaled_grid(), TIMES)
 
 
 def _zonal_t3_sql() -> str:
@@ -232,12 +231,12 @@ def q_zone_lateral_stats(spark, sf):
     """Every zone keeps a row per requested time, NULL where a time has
     no pixels (time 3 has no tiles at all)."""
     fx = Fixtures(spark, sf)
-    return Z.zonal_stats(fx.zones(), fx.tiles(), GRID, [1, 3])
+    return Z.zonal_stats(fx.zones(), fx.tiles(), fx.scaled_grid(), [1, 3])
 
 
 def zonal_pipeline(spark, sf):
     """Flagship: pixels -> tiles -> zonal statistics per municipality -> NUTS 3
-    -> NUTS 0-2 (one table).  Raster and zones grow with the data."""
+    -> NUTS 0-2 (one table)."""
     fx = Fixtures(spark, sf)
     grid = fx.scaled_grid()
     stats = materialize(Z.zonal_stats(fx.scaled_zones(), RA.tiles_from_pixels(fx.scaled_pixels(), grid), grid, [1]), "lau_stats")

@@ -2,22 +2,27 @@
 
 A run validates every package (one frame for all manifests), then integrates
 the accepted resources.  Each dataset has its own schema, so datasets are
-iterated on the driver (metadata only); every dataset's rows are processed by
-one distributed plan and written once.
+iterated on the driver (metadata only, fetched as the run goes on); every
+dataset's rows are processed by one distributed plan and written once.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiostat.config import DEFAULT_RESOLUTION, DEFAULT_SRID, DEFAULT_START
 from regiostat.functions import geometry as G
+from regiostat.functions.text import sanitize_name_py
 from regiostat.functions.timefuncs import normalize_granularity, parse_date_multi
 from regiostat.operators import dims as D
 from regiostat.operators import hierarchy as H
@@ -42,14 +47,18 @@ class Validation:
     report: DataFrame
 
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
-    """Paths below ``root`` relative to it (``package/...``), from a
-    distributed file listing (no bytes read)."""
+    """Paths below ``root`` relative to it (``package/...``), files and the
+    folders above them, from a distributed file listing (no bytes read)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-             .select("path"))
-    prefix = root.rstrip("/") + "/"
-    return files.select(F.regexp_replace(F.regexp_replace("path", "^file:", ""), "^" + prefix.replace(".", r"\."), "")
-                        .alias("path"))
+             .select(F.regexp_replace("path", _SCHEME, "").alias("path")))
+    prefix = re.sub(_SCHEME, "", root).rstrip("/") + "/"
+    parts = F.split(F.substring(F.col("path"), F.lit(len(prefix) + 1), F.length("path")), "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    return files.filter(F.col("path").startswith(prefix)).select(F.explode(above).alias("path")).distinct()
 
 
 def validate_packages(spark: SparkSession, root: str) -> Validation:
@@ -171,10 +180,69 @@ def finish_run(spark: SparkSession, registry: DataFrame, touched: DataFrame, pac
     return path, issues
 
 
-def accepted_tabular_resources(v: Validation) -> list[tuple[str, dict]]:
-    """(package, resource) pairs of accepted packages (metadata only, streamed
-    one partition at a time: a run handles them one by one anyway)."""
+def accepted_resources(v: Validation, profiles: tuple[str, ...] = (V.TABULAR, V.VECTOR, V.RASTER)) -> Iterator[tuple[str, str, dict]]:
+    """(package, profile, resource) of accepted packages, in order; metadata
+    only, fetched partition by partition while the run goes on."""
     ok = v.gate.filter(F.col("decision") != "skip").select("package")
-    rows = (v.resources.join(ok, "package", "left_semi").filter(F.col("profile") == V.TABULAR)
-            .select("package", F.to_json("r").alias("r")).toLocalIterator())
-    return [(r.package, json.loads(r.r)) for r in rows]
+    rows = (v.resources.join(ok, "package", "left_semi").filter(F.col("profile").isin(*profiles) & F.col("r").isNotNull())
+            .select("package", "profile", "ridx", F.to_json("r").alias("r")).orderBy("package", "ridx"))
+    for r in materialize(rows, "accepted").orderBy("package", "ridx").toLocalIterator():
+        yield r["package"], r["profile"], json.loads(r["r"])
+
+
+def accepted_tabular_resources(v: Validation) -> list[tuple[str, dict]]:
+    """(package, resource) pairs of accepted tabular packages."""
+    return [(package, r) for package, _, r in accepted_resources(v, (V.TABULAR,))]
+
+
+@dataclass
+class Run:
+    """Table folders that a run left behind: of every resource
+    (``package/resource`` -> name -> folder), registry and issues."""
+    tables: dict[str, dict[str, str]]
+    registry: str
+    issues: str
+    time: str | None
+
+
+def run_packages(spark: SparkSession, root: str, registry: DataFrame, repositories: DataFrame, nuts: DataFrame, lau: DataFrame, zones: DataFrame, grid: Grid,
+                 today: str, out_dir: str, time_dim: DataFrame | None = None) -> Run:
+    """A whole run over the packages below ``root``: validation and gate, every
+    accepted resource by its profile (CSV, features, raster pixels), the time
+    dimension handed from one to the next, then registry and issues.
+
+    ``repositories(name, git_id)`` tells which repository a package is.  A
+    resource that cannot be read leaves an issue, and the run goes on."""
+    v = validate_packages(spark, root)
+    issues = os.path.join(out_dir, "issues")
+    SK.append_issues(spark, SK.issue_rows(v.violations, v.manifests), issues)
+    tables, done, packages, time = {}, [], [], None
+    for package, profile, resource in accepted_resources(v):
+        name = sanitize_name_py(resource.get("name") or "dataset")
+        folder, out = f"{root.rstrip('/')}/{package}", f"{out_dir.rstrip('/')}/{package}/{name}"
+        try:
+            if profile == V.TABULAR:
+                res = integrate_tabular(spark, folder, resource, nuts, lau, time_dim, out)
+                left = Package({"fact": f"{out}/fact", "time": f"{out}/time"}, res.time_dim, res.issues)
+            elif profile == V.VECTOR:
+                left = integrate_vector(spark, folder, resource, time_dim, out)
+            else:
+                pixels = spark.read.parquet(f"{folder}/{resource['path']}")
+                left = integrate_raster_package([pixels], resource, grid, zones, lau, nuts, time_dim, out)
+        except (PySparkException, Py4JError, ValueError, OSError) as e:
+            left = Package({}, time_dim, _failure(spark, package, e))
+        else:
+            time = left.tables["time"]
+            time_dim = spark.read.parquet(time)
+            done.append(package)
+            tables[f"{package}/{name}"] = left.tables
+        packages.append(left)
+    touched = repositories.filter(F.col("name").isin(done)) if done else repositories.limit(0)
+    path, issues = finish_run(spark, registry, touched, packages, today, out_dir)
+    return Run(tables, path, issues, time)
+
+
+def _failure(spark: SparkSession, package: str, e: Exception) -> DataFrame:
+    text = str(e).strip().splitlines()
+    return spark.range(1).select(F.lit(package).alias("dataset"), F.lit(f"Integration error {package}").alias("name"), F.lit(text[0][:500] if text else type(e).__name__).alias("description"),
+                                 F.lit(SK.ISSUE_TYPE).alias("issue_type"), F.lit(None).cast("array<string>").alias("tags"), F.lit(1).cast("bigint").alias("n_messages"))

@@ -132,24 +132,6 @@ def q_append_select(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("schema_difference", with_ctes(["mres"], """
-SELECT DISTINCT package, name AS field FROM (
-  SELECT package, unnest(json_extract_string(r, '$.schema.fields[*].name')) AS name FROM mres WHERE profile = 'tabular-data-resource')
-WHERE name NOT IN ('key', 'Value EUR/m2', 'Value-EUR-m2', 'count', 'flag', 'datetime', 'comment')
-UNION ALL SELECT 'raw_tabular', 'Missing Col'"""))
-def q_schema_difference(spark, sf):
-    """Declared fields (of every tabular package, and of the dataset's
-    own manifest with one field too many) absent from the file's header."""
-    from regiostat.plans.q_validate import _resources
-    path = staging_path(spark, "raw_tabular_csv")
-    write_csv_dataset(Fixtures(spark, sf).raw_tabular(), path, delimiter=";")
-    header = spark.read.option("lineSep", "\n").text(path).limit(1).select(F.explode(F.split("value", ";")).alias("field"))
-    own = spark.createDataFrame([("raw_tabular", f.name) for f in tabular_fields()] + [("raw_tabular", "Missing Col")], "package string, field string")
-    declared = (_resources(spark, sf).filter("profile = 'tabular-data-resource'")
-                .select("package", F.explode("r.schema.fields").alias("f")).select("package", F.col("f.name").alias("field")))
-    return declared.unionByName(own).distinct().join(header, "field", "left_anti").select("package", "field")
-
-
 @register("geometry_update", with_ctes(["zvert"], """
 SELECT 'N' || CAST(gid AS VARCHAR) AS comm_id, count(*) AS n_vertices,
   min(x) + CASE WHEN gid % 3 = 0 THEN 1.0 ELSE 0.0 END AS xmin FROM zvert GROUP BY gid"""))

@@ -32,4 +32,4 @@ def load_all() -> None:
         importlib.import_module(f"regiostat.plans.{m}")
 
 
-MODULES = ["q_hierarchy", "q_recompute", "q_zonal", "q_tabular", "q_validate", "q_repos", "q_views"]
+MODULES = ["q_hierarchy", "q_recompute", "q_zonal", "q_tabular", "q_validate", "q_repos", "q_views", "q_run"]

@@ -75,6 +75,17 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> str:
+    """A small text (a manifest) as one file, wherever files are stored."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop, True)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()
+    return path
+
+
 @contextmanager
 def staged_tables(spark: SparkSession):
     """Tables staged inside the block are deleted at its end; results that

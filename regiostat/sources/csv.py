@@ -11,6 +11,7 @@ upper half is translated.
 from __future__ import annotations
 
 import codecs
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,3 +66,14 @@ def write_csv_dataset(df: DataFrame, path: str, delimiter: str = DEFAULT_DELIMIT
     """Stage a text table as CSV with a header (used to build file inputs)."""
     (df.write.mode("overwrite").option("header", True).option("sep", delimiter)
      .option("quote", '"').option("escape", '"').csv(path))
+
+
+def file_headers(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
+    """``file, fields``: the column names in the first line of every file below
+    ``path`` (quoted names may hold the delimiter)."""
+    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("n"))
+    first = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line"))
+    names = F.split(F.regexp_replace("line", "[\\uFEFF\\r]", ""), re.escape(delimiter) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    plain = F.transform(names, lambda n: F.when(n.startswith('"') & n.endswith('"'), F.replace(F.substring(n, F.lit(2), F.length(n) - 2), F.lit('""'), F.lit('"'))).otherwise(n))
+    return first.select("file", plain.alias("fields"))

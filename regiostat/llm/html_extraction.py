@@ -11,8 +11,9 @@ Training: at most ``sample`` pages (least hash of the id; the only bound) that
 mark their main element (one ``article``, ``main`` or the like) label their
 own nodes.  Node potentials are the maximum a posteriori fit around stated
 prior weights, so what the labelled pages never show keeps its prior;
-parent-child potentials are smoothed counts.  Only sums over equal node
-descriptions leave the tasks.
+parent-child potentials are counts added to pseudo-counts.  Every labelled page
+adds the same evidence, without a bound.  Only sums over equal node descriptions
+leave the tasks.
 
 Results: one row per page.  Null or empty html gives an empty text.  Whole
 pages of any length are read.  Repeated rows give repeated rows; empty tables
@@ -129,20 +130,30 @@ def describe(nodes: list[Node], runs: list[tuple[int, bool, str]]) -> list[tuple
 
 def own_labels(nodes: list[Node]) -> list[int] | None:
     """States that a page's own markup gives its nodes: None unless it marks
-    exactly one main element."""
+    exactly one main element.  Within it, elements that HTML itself sets apart are
+    clutter; one that only a name calls so is clutter as well, unless it holds
+    most of the main element's unlinked text: then the name misleads."""
     mains = [i for i, x in enumerate(nodes) if x.tag in ("article", "main") or x.names.get("role") == "main" or "articlebody" in x.names.get("itemprop", "")]
-    tops = [i for i in mains if not any(_inside(nodes, i, j) for j in mains if j != i)]
+    end, prose = list(range(len(nodes))), [x.chars - x.links for x in nodes]
+    for i in range(len(nodes) - 1, 0, -1):  # nodes come in page order: a subtree is a range
+        end[nodes[i].parent] = max(end[nodes[i].parent], end[i])
+        prose[nodes[i].parent] += prose[i]
+    tops: list[int] = []
+    for i in mains:
+        if not tops or i > end[tops[-1]]:
+            tops.append(i)
     if len(tops) != 1:
         return None
     # the innermost single main element within
     root = tops[0]
-    while len(inner := [i for i in mains if i != root and _inside(nodes, i, root)]) == 1:
+    while len(inner := [i for i in mains if root < i <= end[root]]) == 1:
         root = inner[0]
     state = [CLUTTER] * len(nodes)
     state[root] = CONTENT
-    for i, x in enumerate(nodes):
-        if i > root and state[x.parent] == CONTENT and _inside(nodes, i, root):
-            cut = x.tag in ("nav", "aside", "footer", "form", "dialog") or _TAGS.get(x.tag) in ("control", "form") or (x.names and is_clutter(x.names))
+    for i in range(root + 1, end[root] + 1):
+        x = nodes[i]
+        if state[x.parent] == CONTENT:
+            cut = x.tag in ("nav", "aside", "footer", "form", "dialog") or _TAGS.get(x.tag) in ("control", "form") or (x.names and is_clutter(x.names) and 2 * prose[i] <= prose[root])
             state[i] = CLUTTER if cut else CONTENT
     up = nodes[root].parent
     while up >= 0:
@@ -150,12 +161,6 @@ def own_labels(nodes: list[Node]) -> list[int] | None:
     return state
 
 
-def _inside(nodes: list[Node], i: int, root: int) -> bool:
-    while i > root:
-        i = nodes[i].parent
-    return i == root
-
-
 @dataclass
 class Model:
     weight: np.ndarray  # feature x state
@@ -190,8 +195,10 @@ def _read_pages(html: pa.Array):
         yield nodes, runs, describe(nodes, runs)
 
 
-def train(pages: DataFrame, sample: int = 2_000, id_col: str = "page_id", html_col: str = "html", spread: float = 1.0, steps: int = 300, rate: float = 0.1) -> Model:
-    """Fit on the pages of a bounded sample that label themselves."""
+def train(pages: DataFrame, sample: int = 2_000, id_col: str = "page_id", html_col: str = "html", spread: float = 1.0, unit: float = 2.0, steps: int = 300, rate: float = 0.1) -> Model:
+    """Fit on the pages of a bounded sample that label themselves; a page weighs
+    ``unit`` against the prior (of variance ``spread`` squared), so what many pages
+    show outweighs it."""
     ids = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("i")).distinct().orderBy(F.xxhash64("i"), "i").limit(sample)
     rows = pages.select(F.col(id_col).alias("i"), F.col(html_col).alias("h")).join(F.broadcast(ids), "i", "left_semi")
 
@@ -201,19 +208,20 @@ def train(pages: DataFrame, sample: int = 2_000, id_col: str = "page_id", html_c
             state = own_labels(nodes)
             if state is None:
                 continue
+            seen["page", 0] = seen.get(("page", 0), 0) + 1
             for x, s, f in zip(nodes, state, features):
                 for key in ((" ".join(map(str, f)), s), *([("pair", 3 * state[x.parent] + s)] if x.parent >= 0 else [])):
                     seen[key] = seen.get(key, 0) + 1
         yield batch(what=pa.array([k for k, _ in seen], pa.string()), state=pa.array([s for _, s in seen], pa.int64()), n=pa.array(list(seen.values()), pa.int64()))
 
     found = map_rows(rows, tally, "what string, state bigint, n bigint").groupBy("what", "state").agg(F.sum("n").alias("n")).orderBy("what", "state").toPandas()
-    pairs, found = found[found.what == "pair"], found[found.what != "pair"]
+    # nodes of a page are no independent witnesses: together they weigh ``unit``
+    weight_of_all = unit * float(found[found.what == "page"].n.sum())
+    pairs, found = found[found.what == "pair"], found[~found.what.isin(["pair", "page"])]
     seen = np.zeros((3, 3))
     for s, n in zip(pairs.state, pairs.n):
         seen[int(s) // 3, int(s) % 3] += n
-    # the labelled pages weigh as much as the pseudo-counts at most
-    total = seen.sum(axis=1, keepdims=True)
-    counts = PAIRS + seen * np.minimum(1.0, PAIRS.sum(axis=1, keepdims=True) / np.maximum(total, 1))
+    counts = PAIRS + seen * weight_of_all / max(1.0, seen.sum())
     mean = np.array(list(PRIOR.values()), dtype=float)
     weight = mean.copy()
     if len(found):
@@ -222,7 +230,7 @@ def train(pages: DataFrame, sample: int = 2_000, id_col: str = "page_id", html_c
             x[row, [int(i) for i in what.split()]] = 1
         y = np.eye(3)[found.state.to_numpy().astype(int)]
         n = found.n.to_numpy(dtype=float)
-        n = n / n.sum() * min(n.sum(), 500.0)  # nodes of a page are no independent witnesses
+        n = n / n.sum() * weight_of_all
         first, second = np.zeros_like(weight), np.zeros_like(weight)
         for step in range(1, steps + 1):
             z = x @ weight

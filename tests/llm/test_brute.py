@@ -335,6 +335,29 @@ def test_html_extraction(spark):
     assert all(got[i] == f"T {LONG} Number {i}." for i in range(40))
 
 
+def test_pages_whose_names_mislead_keep_their_article(spark):
+    page = ('<html><body><nav><a href=x>Home</a></nav><article class="post-related"><h1>T{0}</h1><div class="message"><p>' + LONG + ' Number {0}.</p></div></article>'
+            '<div class="sidebar"><p>' + LONG + '</p></div><footer>foot</footer></body></html>')
+    pages = spark.createDataFrame([(i, "u", page.format(i)) for i in range(400)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extraction.extract(pages, html_extraction.train(pages)).collect()}
+    assert all(got[i] == f"T{i} {LONG} Number {i}." for i in range(400))
+    # a few pages do not outweigh the prior
+    few = html_extraction.train(pages.limit(2))
+    assert abs(few.weight - html_extraction.train(pages.limit(0)).weight).max() < abs(html_extraction.train(pages).weight - html_extraction.train(pages.limit(0)).weight).max()
+
+
+def test_labels_of_deep_pages_take_linear_time():
+    import time
+    from regiostat.llm.html_tree import read
+    took = []
+    for depth in (2_000, 16_000):
+        nodes, _ = read("<article>" + "<div>" * depth + LONG, html_extraction.is_clutter)
+        start = time.time()
+        assert html_extraction.own_labels(nodes).count(html_extraction.CONTENT) == depth + 1
+        took.append(time.time() - start)
+    assert took[1] < 30 * took[0] + 0.5
+
+
 def test_marginals_match_enumeration():
     rng = np.random.default_rng(5)
     parent, depth = np.array([-1, 0, 0, 1, 1, 2]), np.array([0, 1, 1, 2, 2, 2])

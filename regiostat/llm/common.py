@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space of the word rules: blank and the controls 9 to 13.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -62,7 +63,9 @@ def filter_rows(df: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndar
     return map_rows(df, run, df.schema)
 
 
-def join_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str, most: int = 1_000_000) -> DataFrame:
-    """Semi- or anti-join with a one-column table of ids: broadcast when its
-    counted size is at most ``most`` (8 MB), shuffled otherwise."""
-    return df.join(F.broadcast(ids) if ids.count() <= most else ids, id_col, how).select(*df.columns)
+def join_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str, most: int = 16 << 20) -> DataFrame:
+    """Semi- or anti-join with a stored one-column table of ids: broadcast when its
+    measured size is at most ``most`` bytes, shuffled otherwise."""
+    width = F.octet_length(F.col(id_col)) + 16 if isinstance(ids.schema[id_col].dataType, (T.StringType, T.BinaryType)) else F.lit(16)
+    size = ids.agg(F.sum(width)).first()[0] or 0
+    return df.join(F.broadcast(ids) if size <= most else ids, id_col, how).select(*df.columns)

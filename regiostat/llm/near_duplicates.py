@@ -222,16 +222,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, slack: f
 
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group, the one with the least id.
-    Of rows that repeat an id one stays; rows without an id are only freed of
-    exact copies of each other."""
-    found = materialize(near_duplicates(docs.where(F.col(id_col).isNotNull()), words, percent, id_col=id_col, text_col=text_col), "groups")
-    gone = materialize(found.where(~F.col("kept")).select(id_col).distinct(), "gone")
-    repeated = materialize(found.groupBy(id_col).count().where("count > 1").select(id_col), "repeated")
-    named = join_ids(docs.where(F.col(id_col).isNotNull()), gone, id_col, "left_anti")
-    once = join_ids(named, repeated, id_col, "left_anti")
-    again = join_ids(named, repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return once.unionAll(again).unionAll(docs.where(F.col(id_col).isNull()).dropDuplicates([text_col]))
+    """``docs`` with one row of each group, the one with the least id (rows
+    without an id come last).  Every row takes part under a key of its own, so rows
+    without an id and rows that repeat one are searched like others; rows without
+    words are nobody's copies, and stay."""
+    keyed = materialize(docs.select(F.monotonically_increasing_id().alias("k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")), "keyed")
+    found = near_duplicates(keyed.select("k", F.col(f"d.`{text_col}`").alias("t")), words, percent, id_col="k", text_col="t")
+    found = materialize(found.where("n_shingles > 0").select("k", "component_id"), "groups")
+    named = found.join(keyed.select("k", F.col(f"d.`{id_col}`").alias("i")), "k")
+    least = named.groupBy("component_id").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.col("i").isNull().alias("none"), "i", "k")).alias("x")).where("size > 1")
+    gone = named.join(least.select("component_id", F.col("x.k").alias("keeper")), "component_id").where("k != keeper").select("k")
+    return join_ids(keyed, materialize(gone, "gone"), "k", "left_anti").select("d.*")
 
 
 def _unsettled(members: DataFrame, component: DataFrame) -> DataFrame | None:

@@ -83,3 +83,47 @@ def test_stage_effects(spark, tmp_path):
     assert live not in masked[5].text and "[SECRET] end" in masked[5].text and masked[5].n_chars == len(masked[5].text)
     assert all("password=aaaa1111bbbb2222cccc" in masked[10 + k].text for k in range(4))
     assert masked[1].text == a
+
+
+def test_near_copies_without_ids_and_under_one_id(spark):
+    a, b = prose_of(7, 300), prose_of(8, 300)
+    rows = [(None, a), (None, a + " more words"), (5, b), (5, b + " other end"), (5, prose_of(9, 200)), (6, ""), (7, None), (None, ""), (8, "  "), (3, b + " third end")]
+    out = dict(corpus_pipeline.STAGES)["near duplicates"](spark, as_docs_of(spark, rows), "")
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(None, a), (3, b + " third end"), (5, prose_of(9, 200)), (6, ""), (7, None), (None, ""), (8, "  ")], key=str) or \
+        got == sorted([(None, a + " more words"), (3, b + " third end"), (5, prose_of(9, 200)), (6, ""), (7, None), (None, ""), (8, "  ")], key=str)
+
+
+def prose_of(seed, n):
+    from llm_helpers import prose
+    return prose(seed, n)
+
+
+def as_docs_of(spark, rows):
+    from llm_helpers import as_docs
+    return as_docs(spark, rows)
+
+
+def test_stages_without_labels_or_benchmark(spark, odd, odd_rows, tmp_path):
+    d = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert stages["toxicity"](spark, odd, d).count() == len(odd_rows)
+    assert stages["benchmark decontamination"](spark, odd, d).count() == len(odd_rows)
+
+
+def test_pipeline_run_is_its_stages_one_after_the_other(spark, tmp_path):
+    from llm_helpers import as_docs, prose
+    d, item, live = str(tmp_path), prose(5, 40), "password=9f8e7d6c5b4a39281706"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    clean = [(k, prose(100 + k, 80), "en", f"s{k % 2}") for k in range(40)]
+    toxic = [(100 + k, prose(300 + k, 40) + " scumbag " + prose(500 + k, 40), "en", "s0") for k in range(40)]
+    rows = clean + toxic + [(200, clean[0][1] + " tail", "en", "s0"), (201, prose(900, 30) + " " + item, "en", "s0"), (202, f"{prose(901, 60)} {live}", "en", "s1")]
+    as_docs(spark, rows).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(r[0], int(100 <= r[0] < 200)) for r in rows], "doc_id long, toxic int").write.parquet(f"{d}/labels.parquet")
+    out = corpus_pipeline.run(spark, d)
+    assert out.columns == as_docs(spark, rows).columns
+    got = Counter(r.doc_id for r in out.collect())
+    assert set(got) <= {r[0] for r in clean} | {202} and all(n <= 3 for n in got.values()) and len(got) > 20
+    assert not [r for r in out.collect() if live in r.text]

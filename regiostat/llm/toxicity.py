@@ -116,7 +116,7 @@ def fit_machine(label: np.ndarray, doc: np.ndarray, term: np.ndarray, rank: int
     return Machine(float(params[0][0]), weight.astype(np.float32), params[2].astype(np.float32), place)
 
 
-def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, min_z: float, bits: int = 23, part: int = 1 << 21) -> np.ndarray:
+def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, min_z: float, bits: int = 22, part: int = 1 << 20) -> np.ndarray:
     """Terms of the pairs that separate the labels.  ``rows`` lists the sorted
     terms of each row; a pair counts in the rows that have both.  Pairs are
     counted hashed first, those of suspicious counters then one by one."""
@@ -124,16 +124,16 @@ def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, m
 
     def pairs():
         held, of, n = [], [], 0
-        for y, t in zip(label, rows):
-            for a in range(0, len(t), 2_000):  # rows of any length, in pieces
-                left = t[a:a + 2_000]
+        for y, t in zip(label.astype(np.int8), rows):
+            for a in range(0, len(t), 1_000):  # rows of any length, in pieces
+                left = t[a:a + 1_000]
                 i, j = np.triu_indices(len(left), 1)
                 own = [left[i] << BITS | left[j]]
-                if a + 2_000 < len(t):
-                    own.append((left[:, None] << BITS | t[None, a + 2_000:]).ravel())
+                if a + 1_000 < len(t):
+                    own.append((left[:, None] << BITS | t[None, a + 1_000:]).ravel())
                 for key in own:
                     held.append(key)
-                    of.append(np.full(len(key), y))
+                    of.append(np.full(len(key), y, np.int8))
                     n += len(key)
                 if n >= part:
                     yield np.concatenate(held), np.concatenate(of)
@@ -153,14 +153,13 @@ def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, m
 
     n, pos = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
     for key, y in pairs():
-        at, many = np.unique(place(key), return_counts=True)
-        n[at] += many.astype(np.int32)
-        at, many = np.unique(place(key[y > 0]), return_counts=True)
-        pos[at] += many.astype(np.int32)
+        at = place(key)
+        n += np.bincount(at, minlength=1 << bits).astype(np.int32)
+        pos += np.bincount(at[y > 0], minlength=1 << bits).astype(np.int32)
     hot = (n >= min_rows) & (z(n, pos) >= min_z * 0.75)  # other pairs of a counter may hide a part
     found = [(key[h], y[h]) for key, y in pairs() for h in [hot[place(key)]]]
     key, which = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-    n, pos = np.bincount(which, minlength=len(key)), np.bincount(which, weights=np.concatenate([y for _, y in found]), minlength=len(key))
+    n, pos = np.bincount(which, minlength=len(key)), np.bincount(which, weights=np.concatenate([y for _, y in found]).astype(float), minlength=len(key))
     key = key[(n >= min_rows) & (z(n, pos) >= min_z)]
     return np.unique(np.concatenate([key >> BITS, key & ((1 << BITS) - 1)]))
 
@@ -175,7 +174,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, learn: Column | None, sample:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample: int = 24_000, min_rows: int = 4, min_z: float = 4.0, max_terms: int = 20_000,
-          pair_rows: int = 2_500, min_pair_rows: int = 8, min_pair_z: float = 6.0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Machine:
+          pair_rows: int = 2_000, min_pair_rows: int = 8, min_pair_z: float = 6.0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Machine:
     """Fit on the labelled rows for which ``learn`` (a column of ``labels``) holds."""
     rows = _labelled(docs, labels, learn, sample, id_col, text_col, label_col)
 

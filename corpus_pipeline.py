@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from regiostat.llm import decontamination, mixing, near_duplicates, secret_scan, toxicity
 from regiostat.llm.common import crc_mod, table
-from regiostat.session import materialize
+from regiostat.session import staged_tables, staging_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +58,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written once."""
+    """All stages over ``documents``, each written once; what a stage keeps on
+    disk meanwhile is deleted when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = staging_path(spark, name.replace(" ", "-"))
+        with staged_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -177,11 +177,12 @@ def _parents(tiles: DataFrame) -> DataFrame:
     return four.select("fk_time_id", "tile_col", "tile_row", "width", "height", "nodata", F.transform(F.sequence(F.lit(0), w * h - 1), placed).alias("pixels"))
 
 
-def save_tile_table(tiles: DataFrame, table: str, buckets: int) -> DataFrame:
-    """Store tiles as a catalog table bucketed and sorted by the tile key.
+def save_tile_table(tiles: DataFrame, table: str, buckets: int, by_time: bool = False) -> DataFrame:
+    """Store tiles as a catalog table bucketed and sorted by the tile key (and in
+    a folder per time with ``by_time``).
 
     The zonal join (segments JOIN tiles ON tile_col, tile_row) then reads the
     big side in place and shuffles only the segments into the same buckets."""
-    (tiles.write.mode("overwrite").bucketBy(buckets, "tile_col", "tile_row")
-     .sortBy("tile_col", "tile_row").saveAsTable(table))
+    w = tiles.write.mode("overwrite").bucketBy(buckets, "tile_col", "tile_row").sortBy("tile_col", "tile_row")
+    (w.partitionBy("fk_time_id") if by_time else w).saveAsTable(table)
     return tiles.sparkSession.table(table)

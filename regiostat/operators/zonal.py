@@ -126,6 +126,12 @@ def to_grid(geom: str, grid: Grid):
     return F.when(same, g).otherwise(transform_to_laea(g))
 
 
+def off_grid(zones: DataFrame, grid: Grid, geom: str = "geom") -> DataFrame:
+    """Zones whose geometry can't be brought to the grid's reference system: they
+    are measured as zones without pixels."""
+    return zones.filter(F.col(geom)["parts"].isNotNull() & to_grid(geom, grid)["parts"].isNull())
+
+
 def zone_values(zones: DataFrame, tiles: DataFrame, grid: Grid, geom: str = "geom",
                 ids: tuple[str, ...] = ("gid",), mask_nodata: bool = True, keys: tuple[str, ...] = ()) -> DataFrame:
     spans = zone_spans(zone_edges(zones, geom, ids), grid, ids)

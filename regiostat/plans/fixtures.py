@@ -22,13 +22,10 @@ RECOMPUTE_PREFIX = "C1"   # plays the part of a country prefix
 TIMES = 3                 # several-times variant: fk_time_id = 1 + o_orderkey % 3
 
 
-_PLANS: dict[tuple[int, str], tuple[SparkSession, dict]] = {}
-
-
 def cached(fn):
-    """Reuse the (immutable) DataFrame a fixture method built for the same
-    session, folder and arguments: building a plan costs many JVM round
-    trips, executing it is unaffected."""
+    """Reuse the (immutable) DataFrame that this object's method built for the
+    same arguments: building a plan costs many JVM round trips, executing it is
+    unaffected.  Every query makes an object of its own."""
     def wrapper(self, *args, **kwargs):
         key = (fn.__name__, args, tuple(sorted(kwargs.items())))
         memo = self._memo
@@ -44,10 +41,7 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        k = (id(spark), sf_dir)
-        if k not in _PLANS or _PLANS[k][0] is not spark:
-            _PLANS[k] = (spark, {})
-        self._memo = _PLANS[k][1]
+        self._memo: dict = {}
 
     @cached
     def t(self, name: str) -> DataFrame:
@@ -87,7 +81,7 @@ class Fixtures:
             .cast("bigint").alias("fk_nuts_gid"))
         n3 = self.nuts().filter("stat_levl_ = 3 AND year = DATE'2013-01-01'").select(
             F.col("gid").alias("n_gid"), "nuts_id")
-        return c.join(F.broadcast(n3), c.fk_nuts_gid == n3.n_gid, "left").drop("n_gid")
+        return c.join(n3, c.fk_nuts_gid == n3.n_gid, "left").drop("n_gid")
 
     # -- B.3 municipality statistics --------------------------------------------
     def _price(self) -> DataFrame:
@@ -212,7 +206,7 @@ def _zone_lau(self) -> DataFrame:
     n3 = self.nuts().filter("stat_levl_ = 3 AND year = DATE'2013-01-01'").select(
         F.col("gid").alias("n_gid"), "nuts_id")
     z = self.zone_wkt().select("gid", "comm_id", "fk_nuts_gid")
-    return z.join(F.broadcast(n3), z.fk_nuts_gid == n3.n_gid, "left").drop("n_gid")
+    return z.join(n3, z.fk_nuts_gid == n3.n_gid, "left").drop("n_gid")
 
 
 def _lonlat(self) -> DataFrame:

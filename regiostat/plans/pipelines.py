@@ -149,10 +149,13 @@ def integrate_raster(tiles: DataFrame, zones: DataFrame, lau: DataFrame, nuts: D
 
 
 def integrate_raster_package(layers: list[DataFrame], resource: dict, grid: Grid, zones: DataFrame, lau: DataFrame, nuts: DataFrame,
-                             time_dim: DataFrame | None, out_dir: str, pyramid_levels: int = 3) -> Package:
+                             time_dim: DataFrame | None, out_dir: str, pyramid_levels: int = 3, tile_table: str | None = None, buckets: int = 64) -> Package:
     """U1 -> S5 -> P15 -> S7 -> A12 -> A8/A1 -> A2/A3 for one raster resource.
     ``layers``: pixel tables in order, a later one lies over the earlier ones;
-    pixels without a time get that of the manifest.  Tiles are stored by time."""
+    pixels without a time get that of the manifest.  Tiles are stored by time,
+    and with ``tile_table`` as a catalog table bucketed by the tile key, which the
+    zonal join reads in place.  Zones in a reference system that can't be brought
+    to the grid leave an issue."""
     spark = zones.sparkSession
     start, resolution, new_dim = _start_time(spark, resource, time_dim)
     new_dim = materialize(new_dim, "time")
@@ -161,12 +164,18 @@ def integrate_raster_package(layers: list[DataFrame], resource: dict, grid: Grid
     tables = {"tiles": SK.table_replace(reduce(DataFrame.unionByName, parts), os.path.join(out_dir, "tiles"), ["fk_time_id"]),
               "time": SK.table_replace(new_dim, os.path.join(out_dir, "time"))}
     tiles = spark.read.parquet(tables["tiles"])
+    if tile_table:
+        tiles = RA.save_tile_table(tiles, tile_table, buckets, by_time=True)
     times = [r[0] for r in tiles.select("fk_time_id").distinct().collect()]
     seen = RA.mosaic_tiles(tiles) if len(layers) > 1 else tiles
     tables["pyramid"] = SK.table_replace(RA.overview_pyramid(seen, pyramid_levels), os.path.join(out_dir, "pyramid"))
     integrate_raster(tiles, zones, lau, nuts, grid, times, out_dir, overlaps=len(layers) > 1)
     tables |= {n: os.path.join(out_dir, n) for n in ("lau_stats", "nuts_stats")}
-    return Package(tables, new_dim)
+    name = resource.get("name") or "dataset"
+    lost = Z.off_grid(zones, grid).agg(F.count(F.lit(1)).alias("n_messages")).filter("n_messages > 0")
+    issues = lost.select(F.lit(name).alias("dataset"), F.lit(f"Integration error {name}").alias("name"), F.lit("Regions in another reference system than the raster were not measured.").alias("description"),
+                         F.lit(SK.ISSUE_TYPE).alias("issue_type"), F.lit(None).cast("array<string>").alias("tags"), "n_messages")
+    return Package(tables, new_dim, issues)
 
 
 def finish_run(spark: SparkSession, registry: DataFrame, touched: DataFrame, packages: list[Package], today: str, out_dir: str) -> tuple[str, str]:

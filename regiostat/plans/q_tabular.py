@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from regiostat.functions import text as TX
@@ -308,7 +310,7 @@ def q_tabular_ingest(spark, sf):
     """CSV -> typed -> rejects out -> region key -> time id -> units -> ids.
     The ids follow the storage order, so what is compared is that they are
     all different and without gaps."""
-    fact = loaded_tabular(spark, sf, reload=True)[0]
+    fact = loaded_tabular(spark, sf)[0]
     n, first, last = fact.agg(F.countDistinct("id"), F.min("id"), F.max("id")).first()
     return fact.drop("id").withColumns({"n_ids": F.lit(n).cast("bigint"), "first_id": F.lit(first).cast("bigint"), "last_id": F.lit(last).cast("bigint")})
 
@@ -322,17 +324,28 @@ def q_tabular_ingest_strict(spark, sf):
     return res.issues.select("dataset", "n_messages").withColumn("n_loaded", F.lit(res.fact.count()).cast("bigint"))
 
 
-_LOADED: dict[tuple[int, str], tuple] = {}
+#: Tables that a caller has loaded beforehand, by folder (see ``keep_loaded``).
+_KEPT: dict[str, tuple] = {}
 
 
-def loaded_tabular(spark, sf, reload: bool = False):
-    """(fact, time dimension) of the fixture dataset, loaded and stored;
-    later readers (views) use the loaded tables of the same session and
-    folder instead of loading again."""
-    key = (id(spark), sf)
-    if reload or key not in _LOADED or _LOADED[key][0] is not spark:
-        fx = Fixtures(spark, sf)
-        res = TB.ingest_tabular(staged_csv(spark, sf), tabular_fields(), fx.nuts(), "NUTS 3", "key",
-                                None, TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
-        _LOADED[key] = (spark, res.fact, res.time_dim)
-    return _LOADED[key][1], _LOADED[key][2]
+def loaded_tabular(spark, sf):
+    """(fact, time dimension) of the fixture dataset, loaded and stored now,
+    unless the caller keeps a loaded one."""
+    if sf in _KEPT:
+        return _KEPT[sf]
+    fx = Fixtures(spark, sf)
+    res = TB.ingest_tabular(staged_csv(spark, sf), tabular_fields(), fx.nuts(), "NUTS 3", "key",
+                            None, TABULAR_RESOLUTION, TABULAR_START, all_or_nothing=False)
+    return res.fact, res.time_dim
+
+
+@contextmanager
+def keep_loaded(spark, sf):
+    """Within the block, views read one stored fact table (loaded here) instead
+    of loading it each."""
+    fact, time_dim = loaded_tabular(spark, sf)
+    _KEPT[sf] = (materialize(fact, "fact"), materialize(time_dim, "time"))
+    try:
+        yield
+    finally:
+        del _KEPT[sf]

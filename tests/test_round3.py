@@ -144,3 +144,19 @@ def test_a_replace_that_stopped_between_its_moves_loses_nothing(spark, tmp_path)
     os.rename(path, f"{path}.previous")
     SK.table_replace(spark.range(7).toDF("id"), path)
     assert spark.read.parquet(path).count() == 7 and not os.path.exists(f"{path}.previous")
+
+
+def test_raster_package_with_bucketed_tiles_and_zones_off_the_grid(spark, tmp_path):
+    from regiostat.plans.pipelines import integrate_raster_package
+    grid = RA.Grid(width=64, height=64, tile_w=16, tile_h=16, nodata=-1.0)
+    pixels = spark.createDataFrame([(None, c, r, 2.0) for c in range(64) for r in range(64)], PIXEL)
+    square = "POLYGON((0.25 0.25, 9.25 0.25, 9.25 9.25, 0.25 9.25, 0.25 0.25))"
+    z = spark.createDataFrame([(1, "A", square, 3035), (2, "B", square, 25832)], "gid long, comm_id string, wkt string, srid int")
+    z = z.select("gid", "comm_id", F.when(F.col("srid") == 3035, wkt_parse("wkt", 3035)).otherwise(wkt_parse("wkt", 25832)).alias("geom"))
+    lau = spark.createDataFrame([(1, "A", 7, "AA11"), (2, "B", 7, "AA11")], "gid long, comm_id string, fk_nuts_gid long, nuts_id string")
+    nuts = spark.createDataFrame([(7, "AA11", 3), (6, "AA1", 2)], "gid long, nuts_id string, stat_levl_ int").withColumn("year", F.lit("2013-01-01").cast("date"))
+    out = integrate_raster_package([pixels], {"name": "r"}, grid, z, lau, nuts, None, str(tmp_path), pyramid_levels=1, tile_table="round3_tiles", buckets=4)
+    got = {r.comm_id: r["count"] for r in spark.read.parquet(out.tables["lau_stats"]).collect()}
+    assert got == {"A": 81, "B": None}
+    assert [(r.dataset, r.n_messages) for r in out.issues.collect()] == [("r", 1)]
+    assert spark.table("round3_tiles").count() == 16

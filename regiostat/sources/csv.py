@@ -68,12 +68,27 @@ def write_csv_dataset(df: DataFrame, path: str, delimiter: str = DEFAULT_DELIMIT
      .option("quote", '"').option("escape", '"').csv(path))
 
 
-def file_headers(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
+def write_packed_files(files: DataFrame, path: str) -> None:
+    """Stage small text files, rows ``file, content``, as one table: it takes as
+    many files as it has bytes for, not one (and a folder) for every row."""
+    files.select("file", "content").write.parquet(path)
+
+
+def file_headers(spark: SparkSession, path: str, delimiter: str = ",", packed: bool = False) -> DataFrame:
     """``file, fields``: the column names in the first line of every file below
-    ``path`` (quoted names may hold the delimiter)."""
-    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("n"))
-    first = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line"))
+    ``path`` (quoted names may hold the delimiter), or of every file in the table
+    of packed ones at ``path``.  Empty files have no first line and are left out."""
+    first = _packed_first_lines(spark, path) if packed else _first_lines(spark, path)
     names = F.split(F.regexp_replace("line", "[\\uFEFF\\r]", ""), re.escape(delimiter) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
     plain = F.transform(names, lambda n: F.when(n.startswith('"') & n.endswith('"'), F.replace(F.substring(n, F.lit(2), F.length(n) - 2), F.lit('""'), F.lit('"'))).otherwise(n))
     return first.select("file", plain.alias("fields"))
+
+
+def _first_lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("n"))
+    return lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "n").alias("line"))
+
+
+def _packed_first_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).filter("content != ''").select("file", F.substring_index("content", "\n", 1).alias("line"))

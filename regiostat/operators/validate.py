@@ -187,6 +187,11 @@ def validation_report(violations: DataFrame) -> DataFrame:
     """A10: per package ``Errors:`` then ``Missing properties:`` sections,
     messages in check order.  (The original overwrites the error section
     when both exist; both are kept here.)"""
+    return counted_report(violations).drop("n_messages")
+
+
+def counted_report(violations: DataFrame) -> DataFrame:
+    """The report with ``n_messages``, from one aggregation."""
     v = violations.withColumn("k", F.when(F.col("kind") == "error", 0).otherwise(1))
     g = v.groupBy("package").agg(F.array_sort(F.collect_list(F.struct(
         "k", F.coalesce("ridx", F.lit(-1)).alias("ri"), "ord", "message"))).alias("items"))
@@ -194,7 +199,7 @@ def validation_report(violations: DataFrame) -> DataFrame:
     miss = F.transform(F.filter("items", lambda x: x["k"] == 1), lambda x: x["message"])
     e_txt = F.when(F.size(errs) > 0, F.concat(F.lit("Errors: \n"), F.array_join(errs, "\n")))
     m_txt = F.when(F.size(miss) > 0, F.concat(F.lit("Missing properties: \n"), F.array_join(miss, "\n")))
-    return g.select("package", F.concat_ws("\n", e_txt, m_txt).alias("report"))
+    return g.select("package", F.concat_ws("\n", e_txt, m_txt).alias("report"), F.size("items").cast("bigint").alias("n_messages"))
 
 
 def validation_gate(manifests: DataFrame, violations: DataFrame) -> DataFrame:

@@ -56,12 +56,18 @@ MANIFEST_JSON_SQL = (f"CASE WHEN p_partkey % 37 = 0 THEN substr({_FULL}, 1, leng
 PACKAGE_SQL = f"'pkg' || {K}"
 
 
+def _keys(spark, sf):
+    """The part keys, dealt by their number: a key of a few bytes becomes a
+    manifest of about a KB, which is then parsed."""
+    from regiostat.plans.fixtures import Fixtures
+    from regiostat.session import spread
+    return spread(Fixtures(spark, sf).t("part").select("p_partkey"))
+
+
 def manifest_texts(spark, sf):
     from pyspark.sql import functions as F
 
-    from regiostat.plans.fixtures import Fixtures
-    p = Fixtures(spark, sf).t("part")
-    return p.select(F.expr(PACKAGE_SQL).alias("package"), F.expr(MANIFEST_JSON_SQL).alias("json"))
+    return _keys(spark, sf).select(F.expr(PACKAGE_SQL).alias("package"), F.expr(MANIFEST_JSON_SQL).alias("json"))
 
 
 def file_listing(spark, sf):
@@ -69,8 +75,7 @@ def file_listing(spark, sf):
     for keys % 41, and ``datapackage.json`` except for keys % 47."""
     from pyspark.sql import functions as F
 
-    from regiostat.plans.fixtures import Fixtures
-    p = Fixtures(spark, sf).t("part").select("p_partkey")
+    p = _keys(spark, sf)
     ext = F.expr("CASE p_partkey % 4 WHEN 0 THEN 'shp' WHEN 1 THEN 'tif' WHEN 2 THEN 'csv' ELSE 'dat' END")
     pkg = F.concat(F.lit("pkg"), F.col("p_partkey").cast("string"))
     res = (p.filter(F.col("p_partkey") % 41 != 0)

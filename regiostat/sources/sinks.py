@@ -101,11 +101,10 @@ ISSUE_TYPE = "Dataset Provider improvement needed"
 
 def issue_rows(violations: DataFrame, manifests: DataFrame) -> DataFrame:
     """One issue per package with violations; tags = contributor titles."""
-    from regiostat.operators.validate import validation_report
-    rep = validation_report(violations)
-    n = violations.groupBy("package").agg(F.count(F.lit(1)).alias("n_messages"))
+    from regiostat.operators.validate import counted_report
+    rep = counted_report(violations).filter(F.col("package").isNotNull())
     tags = manifests.select("package", F.transform("m.contributors", lambda c: c["title"]).alias("tags"))
-    j = rep.join(n, "package").join(tags, "package", "left")
+    j = rep.join(tags, "package", "left")
     return j.select(F.col("package").alias("dataset"), F.concat(F.lit("Validation error "), "package").alias("name"),
                     F.concat(F.lit("The repository validation was not successful.\n"), "report").alias("description"),
                     F.lit(ISSUE_TYPE).alias("issue_type"), "tags", "n_messages")

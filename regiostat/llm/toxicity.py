@@ -122,19 +122,21 @@ def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, m
     counted hashed first, those of suspicious counters then one by one."""
     mask = np.int64((1 << bits) - 1)
 
+    def row_pairs(t: np.ndarray):
+        for a in range(0, len(t), 1_000):  # rows of any length, in pieces
+            left = t[a:a + 1_000]
+            i, j = np.triu_indices(len(left), 1)
+            yield left[i] << BITS | left[j]
+            for b in range(a + 1_000, len(t), 1_000):
+                yield (left[:, None] << BITS | t[None, b:b + 1_000]).ravel()
+
     def pairs():
         held, of, n = [], [], 0
         for y, t in zip(label.astype(np.int8), rows):
-            for a in range(0, len(t), 1_000):  # rows of any length, in pieces
-                left = t[a:a + 1_000]
-                i, j = np.triu_indices(len(left), 1)
-                own = [left[i] << BITS | left[j]]
-                if a + 1_000 < len(t):
-                    own.append((left[:, None] << BITS | t[None, a + 1_000:]).ravel())
-                for key in own:
-                    held.append(key)
-                    of.append(np.full(len(key), y, np.int8))
-                    n += len(key)
+            for key in row_pairs(t):
+                held.append(key)
+                of.append(np.full(len(key), y, np.int8))
+                n += len(key)
                 if n >= part:
                     yield np.concatenate(held), np.concatenate(of)
                     held, of, n = [], [], 0
@@ -157,9 +159,12 @@ def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, m
         n += np.bincount(at, minlength=1 << bits).astype(np.int32)
         pos += np.bincount(at[y > 0], minlength=1 << bits).astype(np.int32)
     hot = (n >= min_rows) & (z(n, pos) >= min_z * 0.75)  # other pairs of a counter may hide a part
-    found = [(key[h], y[h]) for key, y in pairs() for h in [hot[place(key)]]]
-    key, which = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-    n, pos = np.bincount(which, minlength=len(key)), np.bincount(which, weights=np.concatenate([y for _, y in found]).astype(float), minlength=len(key))
+    key, n, pos = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    for more, y in pairs():  # summed part by part: what is held are different pairs, not each place of a pair
+        h = hot[place(more)]
+        key, which = np.unique(np.concatenate([key, more[h]]), return_inverse=True)
+        n = np.bincount(which, weights=np.concatenate([n, np.ones(int(h.sum()))]), minlength=len(key))
+        pos = np.bincount(which, weights=np.concatenate([pos, y[h]]), minlength=len(key))
     key = key[(n >= min_rows) & (z(n, pos) >= min_z)]
     return np.unique(np.concatenate([key >> BITS, key & ((1 << BITS) - 1)]))
 

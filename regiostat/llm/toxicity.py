@@ -116,7 +116,7 @@ def fit_machine(label: np.ndarray, doc: np.ndarray, term: np.ndarray, rank: int
     return Machine(float(params[0][0]), weight.astype(np.float32), params[2].astype(np.float32), place)
 
 
-def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, min_z: float, bits: int = 22, part: int = 1 << 20) -> np.ndarray:
+def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, min_z: float, bits: int = 22, part: int = 1 << 18) -> np.ndarray:
     """Terms of the pairs that separate the labels.  ``rows`` lists the sorted
     terms of each row; a pair counts in the rows that have both.  Pairs are
     counted hashed first, those of suspicious counters then one by one."""
@@ -156,9 +156,14 @@ def separating_words(label: np.ndarray, rows: list[np.ndarray], min_rows: int, m
     n, pos = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
     for key, y in pairs():
         at = place(key)
-        n += np.bincount(at, minlength=1 << bits).astype(np.int32)
-        pos += np.bincount(at[y > 0], minlength=1 << bits).astype(np.int32)
-    hot = (n >= min_rows) & (z(n, pos) >= min_z * 0.75)  # other pairs of a counter may hide a part
+        for count, seen in ((n, at), (pos, at[y > 0])):
+            counter, times = np.unique(seen, return_counts=True)
+            count[counter] += times.astype(np.int32)
+    hot = np.zeros(1 << bits, bool)
+    for a in range(0, 1 << bits, 1 << 18):  # other pairs of a counter may hide a part
+        some, of = n[a:a + (1 << 18)], pos[a:a + (1 << 18)]
+        hot[a:a + (1 << 18)] = (some >= min_rows) & (z(some, of) >= min_z * 0.75)
+    del n, pos
     key, n, pos = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
     for more, y in pairs():  # summed part by part: what is held are different pairs, not each place of a pair
         h = hot[place(more)]

@@ -15,7 +15,7 @@ def test_pair_counts_hold_different_pairs_only():
     found = toxicity.separating_words(label, rows, 8, 6.0)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert set(common) <= set(found) and peak < 400e6, peak
+    assert set(common) <= set(found) and peak < 200e6, peak
 
 
 def test_pairs_of_long_rows_in_pieces():

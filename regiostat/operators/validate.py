@@ -2,8 +2,8 @@
 
 One row per (package, resource, rule, message).  Every rule is a column
 predicate evaluated in a single projection over the exploded resources (no
-per-rule pass, no Python loop over packages); file existence is an
-equi-join against a file listing.
+per-rule pass, no Python loop over packages); file existence is a left anti
+join against a file listing.
 """
 
 from __future__ import annotations
@@ -59,43 +59,41 @@ def _lacks(keys: Column, key: str) -> Column:
 
 
 def resource_rule_table():
-    """(Rule, condition builder) pairs; builders take the resource struct
-    column ``r`` and the path-exists flag."""
+    """(Rule, condition builder) pairs of the rules on a resource alone;
+    builders take the resource struct column ``r``."""
     out = []
     for prof, props in PROPS.items():
         for i, p in enumerate(props):
             base = 10 * (i + 1)
             out.append((Rule(PROP_RULE[prof], base, "missing", f"resources/{p}", prof),
-                        lambda r, ex, p=p: _lacks(r["keys"], p)))
+                        lambda r, p=p: _lacks(r["keys"], p)))
             if p == "name":
                 out.append((Rule("v_name", base + 1, "error", MSG_NAME_LONG, prof),
-                            lambda r, ex: name_too_long(r["name"])))
+                            lambda r: name_too_long(r["name"])))
                 out.append((Rule("v_name", base + 2, "error", MSG_NAME_EXT, prof),
-                            lambda r, ex: has_file_extension(r["name"])))
-    for prof in (VECTOR, RASTER):
-        out.append((Rule("v_path", 100, "error", MSG_PATH, prof), lambda r, ex: r["path"].isNotNull() & ~ex))
-    out.append((Rule("v_epsg", 110, "missing", "vector/epsg", VECTOR), lambda r, ex: _lacks(r["vector_keys"], "epsg")))
-    out.append((Rule("v_epsg", 110, "missing", "raster/epsg", RASTER), lambda r, ex: _lacks(r["raster_keys"], "epsg")))
+                            lambda r: has_file_extension(r["name"])))
+    out.append((Rule("v_epsg", 110, "missing", "vector/epsg", VECTOR), lambda r: _lacks(r["vector_keys"], "epsg")))
+    out.append((Rule("v_epsg", 110, "missing", "raster/epsg", RASTER), lambda r: _lacks(r["raster_keys"], "epsg")))
     out.append((Rule("v_geometry_type", 120, "missing", "vector/geometry_type", VECTOR),
-                lambda r, ex: _lacks(r["vector_keys"], "geometry_type")))
+                lambda r: _lacks(r["vector_keys"], "geometry_type")))
     out.append((Rule("v_geometry_type", 121, "error", MSG_GEOM_TYPE, VECTOR),
-                lambda r, ex: ~F.lower(r["vector"]["geometry_type"]).isin(*GEOMETRY_TYPES)))
+                lambda r: ~F.lower(r["vector"]["geometry_type"]).isin(*GEOMETRY_TYPES)))
     out.append((Rule("v_vector_schema", 130, "missing", "vector/schema", VECTOR),
-                lambda r, ex: _lacks(r["vector_keys"], "schema")))
+                lambda r: _lacks(r["vector_keys"], "schema")))
     out.append((Rule("v_vector_schema", 131, "error", MSG_VECTOR_SCHEMA, VECTOR),
-                lambda r, ex: _lacks(r["vector_keys"], "schema") | ~F.coalesce(r["vector_complete"], F.lit(True))))
+                lambda r: _lacks(r["vector_keys"], "schema") | ~F.coalesce(r["vector_complete"], F.lit(True))))
     fields = lambda r: r["schema"]["fields"]
     out.append((Rule("v_tabular_fields", 140, "missing", "fields", TABULAR),
-                lambda r, ex: ~_lacks(r["keys"], "schema") & _lacks(r["schema_keys"], "fields")))
+                lambda r: ~_lacks(r["keys"], "schema") & _lacks(r["schema_keys"], "fields")))
     out.append((Rule("v_tabular_fields", 141, "error", MSG_TABULAR_SCHEMA, TABULAR),
-                lambda r, ex: _lacks(r["keys"], "schema") | ~F.coalesce(r["fields_complete"], F.lit(True))))
+                lambda r: _lacks(r["keys"], "schema") | ~F.coalesce(r["fields_complete"], F.lit(True))))
     spatial = lambda r: ~_lacks(r["keys"], "spatial_resolution") & ~_lacks(r["keys"], "spatial_key_field")
     names = lambda r: F.coalesce(F.transform(fields(r), lambda f: f["name"]), F.array().cast("array<string>"))  # noqa
     has_geom = lambda r: F.coalesce(F.exists(fields(r), lambda f: f["type"] == "geometry"), F.lit(False))  # noqa
     out.append((Rule("v_spatial_key", 150, "error", MSG_SPATIAL_KEY, TABULAR),
-                lambda r, ex: spatial(r) & ~F.array_contains(names(r), r["spatial_key_field"])))
+                lambda r: spatial(r) & ~F.array_contains(names(r), r["spatial_key_field"])))
     out.append((Rule("v_has_geometry", 151, "error", MSG_NO_GEOMETRY, TABULAR),
-                lambda r, ex: ~spatial(r) & ~has_geom(r)))
+                lambda r: ~spatial(r) & ~has_geom(r)))
     return out
 
 
@@ -104,6 +102,9 @@ PACKAGE_RULES = [
     Rule("v_profile", 2, "missing", "resources", None),
     Rule("v_profile_value", 3, "error", MSG_PROFILE, None),
 ]
+# the declared file is not there: vector and raster resources
+FILE_RULE = Rule("v_path", 100, "error", MSG_PATH, None)
+FILE_PROFILES = (VECTOR, RASTER)
 RULE_COLUMNS = ["package", "ridx", "rule", "ord", "kind", "message"]
 
 
@@ -119,21 +120,30 @@ def _explode_rules(df: DataFrame, entries: list[Column]) -> DataFrame:
         "package", "ridx", "v.rule", "v.ord", "v.kind", "v.message")
 
 
+def without_file(resources: DataFrame, listing: DataFrame) -> DataFrame:
+    """``(package, ridx, path)`` of the resources whose declared path
+    ``package/path`` is not in ``listing`` (a left anti join).  Merged, as the
+    size of a listing that is derived from a few keys is not known beforehand:
+    Spark takes it for that of the keys and would broadcast millions of paths."""
+    declared = resources.filter(F.col("r.path").isNotNull()).select(
+        "package", "ridx", F.concat_ws("/", "package", F.col("r.path")).alias("path"))
+    return declared.join(listing.select("path").hint("merge"), "path", "left_anti").select("package", "ridx", "path")
+
+
 def resource_violations(resources: DataFrame, listing: DataFrame | None) -> DataFrame:
     """V4-V14 over S2 output ``(package, profile, ridx, r)``; ``listing``
-    holds existing file paths ``package/path`` (column ``path``)."""
+    holds existing file paths ``package/path`` (column ``path``).  Only the
+    rule on files meets the listing, with a few short columns; the others read
+    the resources where they lie."""
     res = resources.filter(F.col("r").isNotNull())
-    if listing is not None:
-        lp = listing.select(F.col("path").alias("_lp")).distinct().withColumn("_exists", F.lit(True))
-        full = F.concat_ws("/", "package", F.col("r.path"))
-        res = res.join(lp, full == F.col("_lp"), "left")
-        exists = F.coalesce(F.col("_exists"), F.lit(False))
-    else:
-        exists = F.lit(True)
     r = F.col("r")
-    entries = [_emit(rule, (F.col("profile") == rule.profile) & build(r, exists))
-               for rule, build in resource_rule_table()]
-    return _explode_rules(res, entries)
+    out = _explode_rules(res, [_emit(rule, (F.col("profile") == rule.profile) & build(r))
+                               for rule, build in resource_rule_table()])
+    if listing is None:
+        return out
+    gone = without_file(res.filter(F.col("profile").isin(*FILE_PROFILES)), listing)
+    return out.unionByName(gone.select("package", "ridx", *[F.lit(x).alias(c) for c, x in (
+        ("rule", FILE_RULE.key), ("ord", FILE_RULE.ord), ("kind", FILE_RULE.kind), ("message", FILE_RULE.message))]))
 
 
 def package_violations(manifests: DataFrame) -> DataFrame:
@@ -228,10 +238,8 @@ def geometry_column_count(resources: DataFrame) -> DataFrame:
 
 
 def missing_paths(resources: DataFrame, listing: DataFrame) -> DataFrame:
-    """Declared paths without a file (left anti join on the listing)."""
-    res = resources.filter(F.col("r.path").isNotNull()).select(
-        "package", "ridx", F.concat_ws("/", "package", F.col("r.path")).alias("path"))
-    return res.join(listing.select("path").distinct(), "path", "left_anti")
+    """Declared paths without a file, with the path first."""
+    return without_file(resources, listing).select("path", "package", "ridx")
 
 
 def sorted_errors(violations: DataFrame) -> DataFrame:

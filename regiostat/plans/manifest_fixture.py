@@ -56,12 +56,12 @@ MANIFEST_JSON_SQL = (f"CASE WHEN p_partkey % 37 = 0 THEN substr({_FULL}, 1, leng
 PACKAGE_SQL = f"'pkg' || {K}"
 
 
-def _keys(spark, sf):
+def _keys(spark, sf, rows=10_000):
     """The part keys, dealt by their number: a key of a few bytes becomes a
     manifest of about a KB, which is then parsed."""
     from regiostat.plans.fixtures import Fixtures
     from regiostat.session import spread
-    return spread(Fixtures(spark, sf).t("part").select("p_partkey"))
+    return spread(Fixtures(spark, sf).t("part").select("p_partkey"), rows)
 
 
 def manifest_texts(spark, sf):
@@ -72,19 +72,19 @@ def manifest_texts(spark, sf):
 
 def file_listing(spark, sf):
     """Existing files ``package/path``: every declared resource file except
-    for keys % 41, and ``datapackage.json`` except for keys % 47."""
+    for keys % 41, and ``datapackage.json`` except for keys % 47.  Paths are made
+    quickly, so a task takes the keys of ten tasks of manifests."""
     from pyspark.sql import functions as F
 
-    p = _keys(spark, sf)
+    key = F.col("p_partkey")
     ext = F.expr("CASE p_partkey % 4 WHEN 0 THEN 'shp' WHEN 1 THEN 'tif' WHEN 2 THEN 'csv' ELSE 'dat' END")
-    pkg = F.concat(F.lit("pkg"), F.col("p_partkey").cast("string"))
-    res = (p.filter(F.col("p_partkey") % 41 != 0)
-           .select("p_partkey", pkg.alias("pkg"), ext.alias("ext"),
-                   F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("p_partkey") % 2)).alias("i"))
-           .select(F.concat("pkg", F.lit("/data/res_"), F.col("p_partkey").cast("string"), F.lit("_"),
-                            F.col("i").cast("string"), F.lit("."), "ext").alias("path")))
-    dp = p.filter(F.col("p_partkey") % 47 != 0).select(F.concat(pkg, F.lit("/datapackage.json")).alias("path"))
-    return res.unionByName(dp)
+    pkg = F.concat(F.lit("pkg"), key.cast("string"))
+    res = F.transform(F.sequence(F.lit(0).cast("bigint"), key % 2), lambda i: F.concat(
+        pkg, F.lit("/data/res_"), key.cast("string"), F.lit("_"), i.cast("string"), F.lit("."), ext))
+    none = F.array().cast("array<string>")
+    files = F.concat(F.when(key % 41 != 0, res).otherwise(none),
+                     F.when(key % 47 != 0, F.array(F.concat(pkg, F.lit("/datapackage.json")))).otherwise(none))
+    return _keys(spark, sf, 100_000).select(F.explode(files).alias("path"))
 
 
 LISTING_SQL = """

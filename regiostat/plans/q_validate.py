@@ -226,7 +226,9 @@ def q_missing_paths(spark, sf):
 
 @register("sorted_errors", with_ctes(["violations"], "SELECT package, message FROM violations ORDER BY package, message"))
 def q_sorted_errors(spark, sf):
-    return V.sorted_errors(_violations(spark, sf))
+    # stored: a sort reads its input twice, first to find the ranges
+    found = _violations(spark, sf).select("package", "message")
+    return V.sorted_errors(materialize(found, "violations"))
 
 
 @register("geometry_type_normalize", with_ctes(["mres"], f"""

@@ -1,10 +1,11 @@
 """Steps of the manifest queries: values read together, a listing that is
-merged with short columns only."""
+merged with short columns only, rules that run once before the sort."""
 
 from pyspark.sql import functions as F
 
 from core_helpers import plan_text
 from regiostat.operators import validate as V
+from regiostat.plans import q_validate as Q
 from regiostat.plans.manifest_fixture import file_listing
 from regiostat.sources import manifest as M
 
@@ -61,3 +62,11 @@ def test_listing_in_few_tasks(spark, tmp_path):
                      "pkg47/data/res_47_0.dat", "pkg47/data/res_47_1.dat", "pkg94/data/res_94_0.csv"}
     want = sum((k % 41 != 0) * (1 + k % 2) + (k % 47 != 0) for k in range(1000, 36000))
     assert got.count() == len(small) + want
+
+
+def test_rules_run_once_before_the_sort(spark, tmp_path):
+    spark.createDataFrame([(k,) for k in range(200)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    got = Q.q_sorted_errors(spark, str(tmp_path))
+    assert "Generate" not in plan_text(got) and "Sort" in plan_text(got)
+    want = [tuple(r) for r in Q.q_v_schema_violations(spark, str(tmp_path)).select("package", "message").collect()]
+    assert [tuple(r) for r in got.collect()] == sorted(want)
